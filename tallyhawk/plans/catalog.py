@@ -135,3 +135,159 @@ ORACLE: dict[str, str] = {
     "fraud_amount_probe_multiday": oracle.r4_sql("interval 3 day", per_day=False),
     "fraud_report": oracle.report_sql(),
 }
+
+
+# --- SCD2 ----------------------------------------------------------------------------
+
+from tallyhawk.operators import scd2 as scd2_ops  # noqa: E402
+from tallyhawk.plans import history  # noqa: E402
+from tallyhawk.schemas import DIMENSIONS  # noqa: E402
+
+
+def _fold(spark, d, shape, staging, semantics):
+    snaps = [fx.snapshot(spark, d, n) for n in (1, 2, 3)]
+    if shape == "generic":
+        key, attrs = "k", ["s"]
+    else:
+        key, attrs, _ = DIMENSIONS[shape]
+        snaps = [fx.snapshot_as(shape, s) for s in snaps]
+    return history.fold_days(spark, fx.SCD2_DAYS, snaps, key, attrs, staging, semantics)
+
+
+def _fold_query(shape, staging, semantics):
+    return lambda spark, d: _fold(spark, d, shape, staging, semantics)
+
+
+def _day1(spark, d):
+    """History after loading S1 on the first day, and S2 staged against it."""
+    s1, s2 = fx.snapshot(spark, d, 1), fx.snapshot(spark, d, 2)
+    d1, d2 = fx.SCD2_DAYS[0], fx.SCD2_DAYS[1]
+    h1 = history.fold_days(spark, [d1], [s1], "k", ["s"], history.SNAPSHOT, REFERENCE)
+    staged = scd2_ops.stage_snapshot(s2, h1, "k", ["s"], d1, d2)
+    return h1, staged, s2, d2
+
+
+def q_stage_terminals(spark, d):
+    return _day1(spark, d)[1]
+
+
+def q_scd2_new(spark, d):
+    h1, staged, _, _ = _day1(spark, d)
+    return scd2_ops.scd2_new(h1, staged, "k")
+
+
+def q_scd2_changed(spark, d):
+    h1, staged, _, _ = _day1(spark, d)
+    return scd2_ops.scd2_changed(h1, staged, "k", ["s"])
+
+
+def q_scd2_close(spark, d):
+    h1, staged, _, d2 = _day1(spark, d)
+    return scd2_ops.scd2_close(h1, scd2_ops.scd2_changed(h1, staged, "k", ["s"]), d2, "k")
+
+
+def q_scd2_deleted(spark, d):
+    h1, _, s2, d2 = _day1(spark, d)
+    return scd2_ops.scd2_deleted(h1, s2.select("k"), d2, "k")
+
+
+def q_watermark_advance(spark, d):
+    """New watermark after staging S2 (advances) and after an empty staging (keeps the old one)."""
+    h1, staged, _, _ = _day1(spark, d)
+    old = fx.SCD2_DAYS[0]
+    adv = staged.agg(F.coalesce(F.max("update_dt"), F.lit(old)).alias("max_update_dt"))
+    keep = staged.filter(F.lit(False)).agg(F.coalesce(F.max("update_dt"), F.lit(old)).alias("max_update_dt"))
+    return (adv.select(F.lit("staged").alias("case_name"), "max_update_dt")
+            .unionByName(keep.select(F.lit("empty").alias("case_name"), "max_update_dt")))
+
+
+def _stage(kind):
+    def q(spark, d):
+        if kind == "cards":
+            src = fx.source_cards(spark, d).withColumnRenamed("account", "account_num")
+        elif kind == "accounts":
+            src = fx.source_accounts(spark, d).withColumnRenamed("account", "account_num")
+        else:
+            from tallyhawk.functions.scalars import full_name
+            src = fx.source_clients(spark, d).withColumn(
+                "fio", full_name("last_name", "first_name", "patronymic"))
+        key, attrs, _ = DIMENSIONS[kind]
+        return scd2_ops.stage_incremental(src, key, attrs, fx.STAGE_WATERMARK, fx.STAGE_DAY)
+    return q
+
+
+QUERIES.update({
+    "stage_cards": _stage("cards"),
+    "stage_accounts": _stage("accounts"),
+    "stage_clients": _stage("clients"),
+    "stage_terminals": q_stage_terminals,
+    "scd2_new": q_scd2_new,
+    "scd2_changed": q_scd2_changed,
+    "scd2_close": q_scd2_close,
+    "scd2_deleted": q_scd2_deleted,
+    "watermark_advance": q_watermark_advance,
+    "scd2_three_days": _fold_query("generic", history.SNAPSHOT, REFERENCE),
+    "scd2_three_days_strict": _fold_query("generic", history.SNAPSHOT, STRICT),
+    "scd2_restage_three_days": _fold_query("generic", history.RESTAGE_ALL, REFERENCE),
+    "scd2_restage_three_days_strict": _fold_query("generic", history.RESTAGE_ALL, STRICT),
+    "scd2_terminals": _fold_query("terminals", history.SNAPSHOT, REFERENCE),
+    "scd2_cards": _fold_query("cards", history.RESTAGE_ALL, REFERENCE),
+    "scd2_accounts": _fold_query("accounts", history.RESTAGE_ALL, REFERENCE),
+    "scd2_clients": _fold_query("clients", history.RESTAGE_ALL, REFERENCE),
+})
+
+
+def _stage_sql(kind):
+    upd = ("case when c_custkey % 4 = 0 then null "
+           "else cast(date '2024-01-01' + cast(c_custkey % 10 as int) as date) end")
+    if kind == "cards":
+        src = f"select c_custkey as card_num, c_custkey + 1000000 as account_num, {upd} as update_dt from customer"
+        cols = "card_num, account_num"
+    elif kind == "accounts":
+        src = (f"select c_custkey + 1000000 as account_num, "
+               f"cast(date '2024-01-01' + cast((c_custkey * 11) % 45 as int) as date) as valid_to, "
+               f"c_custkey + 2000000 as client, {upd} as update_dt from customer")
+        cols = "account_num, valid_to, client"
+    else:
+        src = f"""select c_custkey + 2000000 as client_id,
+            split_part(c_name, '#', 1) || ' ' || split_part(c_name, '#', 2) || ' ' ||
+              (case when c_custkey % 6 = 0 then null else 'N' || cast(c_custkey % 7 as varchar) end) as fio,
+            cast(date '1960-01-01' + cast(c_custkey % 15000 as int) as date) as date_of_birth,
+            'P' || cast(c_custkey as varchar) as passport_num,
+            case when c_custkey % 29 = 3 then null
+                 else cast(date '2024-01-01' + cast((c_custkey * 7) % 60 as int) as date) end as passport_valid_to,
+            '+7' || lpad(cast(c_custkey as varchar), 10, '0') as phone, {upd} as update_dt from customer"""
+        cols = "client_id, fio, date_of_birth, passport_num, passport_valid_to, phone"
+    return (f"select {cols}, date '2024-01-10' as update_dt from ({src}) "
+            f"where update_dt > date '2024-01-05' or update_dt is null")
+
+
+def _day1_sql(final: str) -> str:
+    return oracle.scd2_fold_sql("generic", "snapshot", False, days=2, final=final)
+
+
+ORACLE.update({
+    "stage_cards": _stage_sql("cards"),
+    "stage_accounts": _stage_sql("accounts"),
+    "stage_clients": _stage_sql("clients"),
+    "stage_terminals": _day1_sql("select k, s, update_dt from stg2"),
+    "scd2_new": _day1_sql("select k, s, update_dt from stg2 g where not exists (select 1 from h1 t where t.k = g.k)"),
+    "scd2_changed": _day1_sql("select k, s from chg2"),
+    "scd2_close": _day1_sql("""select k, s, effective_from,
+        case when k in (select k from chg2) and effective_to = date '2999-01-01'
+             then date '2024-03-01' else effective_to end as effective_to, deleted_flg from h1"""),
+    "scd2_deleted": _day1_sql("""select k, s, effective_from,
+        case when k not in (select k from src2) then date '2024-03-01' else effective_to end as effective_to,
+        case when k not in (select k from src2) then true else deleted_flg end as deleted_flg from h1"""),
+    "watermark_advance": _day1_sql("""select 'staged' as case_name,
+        coalesce((select max(update_dt) from stg2), date '2024-03-01') as max_update_dt
+      union all select 'empty', coalesce((select max(update_dt) from stg2 where false), date '2024-03-01')"""),
+    "scd2_three_days": oracle.scd2_fold_sql("generic", "snapshot", False),
+    "scd2_three_days_strict": oracle.scd2_fold_sql("generic", "snapshot", True),
+    "scd2_restage_three_days": oracle.scd2_fold_sql("generic", "restage", False),
+    "scd2_restage_three_days_strict": oracle.scd2_fold_sql("generic", "restage", True),
+    "scd2_terminals": oracle.scd2_fold_sql("terminals", "snapshot", False),
+    "scd2_cards": oracle.scd2_fold_sql("cards", "restage", False),
+    "scd2_accounts": oracle.scd2_fold_sql("accounts", "restage", False),
+    "scd2_clients": oracle.scd2_fold_sql("clients", "restage", False),
+})

@@ -164,3 +164,100 @@ def report_sql() -> str:
     union all select {r2_body}
     union all select {_report('h3.event_ts', 3, 'h3.trans_day')} from h3 join chain c on c.card_num = h3.card_num
     union all select {_report('h4.trans_date', 4, 'h4.trans_day')} from h4 join chain c on c.card_num = h4.card_num"""
+
+
+# --- SCD2 (unrolled daily steps) ---------------------------------------------------
+
+SNAP_SQL = {
+    1: "select c_custkey as k, c_mktsegment as s from customer where c_custkey % 10 <> 0",
+    2: """select c_custkey as k, case when c_custkey % 5 = 1 then 'CHANGED'
+            when c_custkey % 11 = 2 then null else c_mktsegment end as s
+          from customer where c_custkey % 7 <> 3""",
+    3: """select c_custkey as k, case when c_custkey % 5 = 1 and c_custkey % 2 = 0 then 'CHANGED'
+            when c_custkey % 11 = 2 then null else c_mktsegment end as s
+          from customer where c_custkey % 9 <> 4""",
+}
+
+SHAPE_SQL = {
+    "generic": ("k", ["s"], "select k, s from ({src})"),
+    "terminals": ("terminal_id", ["terminal_type", "terminal_city", "terminal_address"],
+                  """select k as terminal_id, s as terminal_type, 'CITY_' || cast(k % 5 as varchar) as terminal_city,
+                     'ADDR_' || cast(k as varchar) as terminal_address from ({src})"""),
+    "cards": ("card_num", ["account_num"], "select k as card_num, s as account_num from ({src})"),
+    "accounts": ("account_num", ["valid_to", "client"],
+                 """select k as account_num, cast(date '2024-01-01' + cast((k * 11) % 45 as int) as date) as valid_to,
+                    s as client from ({src})"""),
+    "clients": ("client_id", ["fio", "date_of_birth", "passport_num", "passport_valid_to", "phone"],
+                """select k as client_id, s as fio, cast(date '1960-01-01' + cast(k % 15000 as int) as date) as date_of_birth,
+                   'P' || cast(k as varchar) as passport_num,
+                   cast(date '2024-01-01' + cast((k * 7) % 60 as int) as date) as passport_valid_to,
+                   cast(null as varchar) as phone from ({src})"""),
+}
+
+SCD2_DAYS_SQL = ["2024-03-01", "2024-03-02", "2024-03-03"]
+OPEN = "date '2999-01-01'"
+
+
+def _distinct(attrs, a, b):
+    return " or ".join(f"{a}.{x} is distinct from {b}.{x}" for x in attrs)
+
+
+def scd2_step_sql(n: int, key: str, attrs: list[str], day: str, staging: str, strict: bool) -> str:
+    """CTEs turning h{n-1} (+ wm{n-1}, src{n}) into h{n} and wm{n}."""
+    p = n - 1
+    D = f"date '{day}'"
+    Dm1 = f"(date '{day}' - interval 1 day)::date"
+    cols = ", ".join([key, *attrs])
+    open_live = f"deleted_flg = false and effective_to = {OPEN}"
+    if staging == "snapshot":
+        match = " and ".join(f"s.{c} is not distinct from c.{c}" for c in [key, *attrs])
+        stg = f"""stg{n} as (select * from (select {', '.join('s.' + c for c in [key, *attrs])},
+              coalesce(c.effective_from, {D}) as update_dt
+            from src{n} s left join (select * from h{p} where {open_live}) c on {match}) x
+            where update_dt > (select wm from wm{p}))"""
+    else:
+        stg = f"stg{n} as (select {cols}, {D} as update_dt from src{n})"
+    if not strict:
+        body = f"""new{n} as (select {cols} from stg{n} g where not exists (select 1 from h{p} t where t.{key} = g.{key})),
+      chg{n} as (select distinct {', '.join('g.' + c for c in [key, *attrs])} from stg{n} g
+                 join h{p} t on g.{key} = t.{key} where {_distinct(attrs, 'g', 't')}),
+      h{n} as (
+        select {cols}, effective_from,
+          case when {key} not in (select {key} from src{n}) then {Dm1}
+               when {key} in (select {key} from chg{n}) and effective_to = {OPEN} then {Dm1}
+               else effective_to end as effective_to,
+          case when {key} not in (select {key} from src{n}) then true else deleted_flg end as deleted_flg
+        from h{p}
+        union all select {cols}, {D}, {OPEN}, false from new{n}
+        union all select {cols}, {D}, {OPEN}, false from chg{n})"""
+    else:
+        body = f"""cls{n} as (select {', '.join('g.' + c for c in [key, *attrs])},
+              c.{key} is not null as has_open,
+              c.{key} is not null and ({_distinct(attrs, 'g', 'c')}) as changed
+            from stg{n} g left join (select * from h{p} where {open_live}) c on c.{key} = g.{key}),
+      h{n} as (
+        select {cols}, effective_from,
+          case when {open_live} and ({key} not in (select {key} from src{n})
+                    or {key} in (select {key} from cls{n} where changed)) then {Dm1}
+               else effective_to end as effective_to,
+          case when {open_live} and {key} not in (select {key} from src{n}) then true
+               else deleted_flg end as deleted_flg
+        from h{p}
+        union all select {cols}, {D}, {OPEN}, false from cls{n} where not has_open or changed)"""
+    wm = f"wm{n} as (select coalesce((select max(update_dt) from stg{n}), (select wm from wm{p})) as wm)"
+    return f"{stg},\n      {body},\n      {wm}"
+
+
+def scd2_fold_sql(shape: str = "generic", staging: str = "snapshot", strict: bool = False,
+                  days: int = 3, final: str | None = None) -> str:
+    key, attrs, tmpl = SHAPE_SQL[shape]
+    srcs = ",\n      ".join(f"src{i} as ({tmpl.format(src=SNAP_SQL[i])})" for i in range(1, days + 1))
+    h0 = f"""h0 as (select {', '.join([key, *attrs])}, cast(null as date) as effective_from,
+        cast(null as date) as effective_to, cast(null as boolean) as deleted_flg from src1 where false)"""
+    steps = ",\n      ".join(scd2_step_sql(i, key, attrs, SCD2_DAYS_SQL[i - 1], staging, strict)
+                            for i in range(1, days + 1))
+    return f"""with {srcs},
+      {h0},
+      wm0 as (select date '1900-01-01' as wm),
+      {steps}
+    {final or f'select * from h{days}'}"""
