@@ -168,13 +168,15 @@ def scd2_merge(hist: DataFrame, staged: DataFrame, source_keys: DataFrame, day,
         new_flag = F.when(live & ~present, F.lit(True)).otherwise(flag)
         insert = ~F.col("__has_open") | changed
 
-    out_cols = [key, *attrs]
-    kept = c.filter(role == "h").select(
-        *out_cols, "effective_from", new_to.alias("effective_to"), new_flag.alias("deleted_flg"))
-    added = c.filter((role == "s") & insert).select(
-        *out_cols, d.alias("effective_from"), open_end().alias("effective_to"),
-        F.lit(False).alias("deleted_flg"))
-    return kept.unionByName(added)
+    # one projection emits both the rewritten versions (h rows) and the new ones
+    # (inserted s rows): a second branch would re-run the exchange and windows
+    is_h = role == "h"
+    out = c.filter(is_h | ((role == "s") & insert)).select(
+        key, *attrs,
+        F.when(is_h, F.col("effective_from")).otherwise(d).alias("effective_from"),
+        F.when(is_h, new_to).otherwise(open_end()).alias("effective_to"),
+        F.when(is_h, new_flag).otherwise(F.lit(False)).alias("deleted_flg"))
+    return out
 
 
 # --- the four steps as separate operators (for inspection and tests) ------------------

@@ -66,9 +66,7 @@ def with_next(df: DataFrame, part: list[str], order: list[str], cols: list[str],
     # rows are already clustered and sorted by (part, chunk): the join only moves `follow`
     out = rows.join(follow, keys, "left")
     nxt = F.coalesce(F.col("__nxt"), F.col("__follow"))
-    for c in cols:
-        out = out.withColumn(prefix + c, nxt[c])
-    return out.drop("__nxt", "__follow", _CHUNK)
+    return out.select(*df.columns, *[nxt[c].alias(prefix + c) for c in cols])
 
 
 def with_previous(df: DataFrame, part: list[str], order: list[str], cols: list[str], k: int,
