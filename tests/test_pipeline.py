@@ -1,0 +1,142 @@
+"""Daily runs over generated files: report, history, archive, reruns, replay, file order."""
+
+import datetime as dt
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+import daygen
+from tallyhawk.plans.pipeline import reset, run_day, run_days
+from tallyhawk.plans.state import Warehouse
+from tallyhawk.schemas import REFERENCE, STRICT
+from tallyhawk.sources import files
+
+
+@pytest.fixture
+def dirs(tmp_path):
+    d = {k: str(tmp_path / k) for k in ("input", "archive", "wh")}
+    for i in range(3):
+        daygen.write_day(d["input"], i)
+    return d
+
+
+def _report(wh):
+    return sorted((r.report_dt.day, r.event_type, r.passport, r.event_dt) for r in wh.read_report().collect())
+
+
+def test_three_days(spark, dirs):
+    wh = Warehouse(spark, dirs["wh"])
+    done = run_days(spark, wh, dirs["input"], dirs["archive"], daygen.sources(spark))
+    assert [r["day"] for r in done] == daygen.DAYS
+    assert os.listdir(dirs["input"]) == []
+    assert len(os.listdir(dirs["archive"])) == 9
+    assert all(n.endswith(".backup") for n in os.listdir(dirs["archive"]))
+    rep = _report(wh)
+    # rule 1: K1's passport expires on day 2 (inclusive); K2 is blacklisted every day;
+    # K3 (NULL patronymic -> NULL fio) becomes blacklisted on day 3
+    r1 = [r for r in rep if r[1] == 1]
+    assert (2, 1, "1111 000001", "09:00:00") in r1 and (3, 1, "1111 000001", "09:00:00") in r1
+    assert (1, 1, "1111 000001", "09:00:00") not in r1
+    # C2 daily, plus C4's three operations once C4 moves to K2's account on day 2
+    assert sum(1 for r in r1 if r[2] == "1111 000002") == 1 + 4 + 4
+    assert sum(1 for r in r1 if r[2] == "1111 000003") == 4   # day 3: four C3 operations
+    # rule 2: account A3 valid_to day 2 -> expired from day 2 00:00:01 (reference promotion)
+    r2 = [r for r in rep if r[1] == 2]
+    assert {r[0] for r in r2} == {2, 3} and all(r[2] == "1111 000003" for r in r2)
+    # rule 4: one probe per day for card C3
+    assert [r for r in rep if r[1] == 4] == [(d, 4, "1111 000003", "12:06:00") for d in (1, 2, 3)]
+    # rule 3 (reference: first leg of the last compared hop; the last pair is never compared):
+    # day 1 Kazan->SPB->Kazan, day 2 Kazan->Omsk->Kazan (T4 new), day 3 again SPB;
+    # C4 belongs to K4 on day 1, to K2 from day 2 (card moved to account A2)
+    r3 = [r for r in rep if r[1] == 3]
+    # day 3: T2 came back unchanged and stays closed in reference mode (Q5), so the
+    # operation there is dropped before the window (Q11) and no hop is left
+    assert r3 == [(1, 3, "1111 000004", "15:00:00"), (2, 3, "1111 000002", "15:00:00")]
+    # terminals history: T2 deleted on day 2, lost for good on return (reference Q5)
+    term = {(r.terminal_id, r.terminal_city, r.effective_from.day, r.deleted_flg)
+            for r in spark.read.parquet(wh.table_path("terminals", wh.version("terminals"))).collect()}
+    assert ("T2", "SPB", 1, True) in term and ("T1", "Tver", 2, False) in term
+    assert wh.watermark("terminals") == daygen.DAYS[2] or wh.watermark("terminals") == daygen.DAYS[1]
+    assert wh.watermark("cards") == daygen.DAYS[2]   # NULL update_dt: staged every day
+    # fio is NULL when a name part is NULL
+    k3 = spark.read.parquet(wh.table_path("clients", wh.version("clients"))).filter("client_id = 'K3'")
+    assert k3.select("fio").first()[0] is None
+
+
+@pytest.mark.parametrize("operations,factor", [(STRICT, 1), (REFERENCE, 2)])
+def test_rerun_day(spark, dirs, operations, factor):
+    wh = Warehouse(spark, dirs["wh"])
+    run_day(spark, wh, dirs["input"], dirs["archive"], daygen.sources(spark), operations=operations)
+    n1 = wh.read_facts(daygen.DAYS[0]).count()
+    files.restore_files(spark, dirs["archive"], dirs["input"])
+    run_day(spark, wh, dirs["input"], dirs["archive"], daygen.sources(spark), operations=operations)
+    assert wh.read_facts(daygen.DAYS[0]).count() == factor * n1
+
+
+def test_replay_equals_first_run(spark, dirs):
+    wh = Warehouse(spark, dirs["wh"])
+    run_days(spark, wh, dirs["input"], dirs["archive"], daygen.sources(spark), operations=STRICT)
+    first = {t: sorted(map(tuple, spark.read.parquet(wh.table_path(t, wh.version(t))).collect()), key=repr)
+             for t in ("terminals", "cards", "accounts", "clients", "blacklist")}
+    rep1 = _report(wh)
+    reset(spark, wh, dirs["input"], dirs["archive"])
+    assert wh.state()["tables"] == {}
+    run_days(spark, wh, dirs["input"], dirs["archive"], daygen.sources(spark), operations=STRICT)
+    again = {t: sorted(map(tuple, spark.read.parquet(wh.table_path(t, wh.version(t))).collect()), key=repr)
+             for t in first}
+    assert again == first
+    assert _report(wh) == rep1
+
+
+def test_pick_files_month_boundary(spark, tmp_path):
+    d = tmp_path / "in"
+    d.mkdir()
+    for day in ("01042021", "02032021"):
+        for kind, ext in (("transactions", "txt"), ("terminals", "xlsx"), ("passport_blacklist", "xlsx")):
+            (d / f"{kind}_{day}.{ext}").write_text("x")
+    ref = files.pick_files(spark, str(d), REFERENCE)
+    strict = files.pick_files(spark, str(d), STRICT)
+    assert ref["day"] == dt.date(2021, 4, 1) and ref["transactions"].endswith("transactions_01042021.txt")
+    assert strict["day"] == dt.date(2021, 3, 2) and strict["transactions"].endswith("transactions_02032021.txt")
+
+
+def test_pick_files_requires_all_kinds(spark, tmp_path):
+    d = tmp_path / "in"
+    d.mkdir()
+    (d / "transactions_01032021.txt").write_text("x")
+    (d / "terminals_01032021.xlsx").write_text("x")
+    assert files.pick_files(spark, str(d), STRICT) == {}
+
+
+def test_decimal_comma_and_rejects(spark, tmp_path):
+    p = tmp_path / "transactions_01032021.txt"
+    p.write_text("transaction_id;transaction_date;amount;card_num;oper_type;oper_result;terminal\n"
+                 "1;2021-03-01 10:00:00;1234,56;C;P;SUCCESS;T\n"
+                 "2;2021-03-01 10:00:01;7;C;P;SUCCESS;T\n"
+                 "3;2021-03-01 10:00:02;;C;P;SUCCESS;T\n"
+                 "4;2021-03-01 10:00:03;abc;C;P;SUCCESS;T\n")
+    good, bad = files.scan_transactions(spark, str(p))
+    assert sorted((r.trans_id, float(r.amt)) for r in good.collect()) == [("1", 1234.56), ("2", 7.0)]
+    assert sorted(r.trans_id for r in bad.collect()) == ["3", "4"]
+    with pytest.raises(files.BadRowsError):
+        files.scan_transactions(spark, str(p), on_bad="fail")
+
+
+def test_day_from_name(spark):
+    df = spark.createDataFrame([("in/terminals_01032021.xlsx",), ("transactions_15122021.txt",), ("junk.txt",)],
+                               "name string")
+    got = [r[0] for r in df.select(files.day_from_name("name")).collect()]
+    assert got == [dt.date(2021, 3, 1), dt.date(2021, 12, 15), None]
+
+
+def test_xlsx_reader_dates_and_numbers(spark, tmp_path):
+    from tallyhawk.sources.excel import read_xlsx, write_xlsx
+    from tallyhawk.schemas import BLACKLIST_FILE
+    p = tmp_path / "passport_blacklist_01032021.xlsx"
+    write_xlsx(str(p), ["date", "passport"], [[dt.date(2021, 2, 1), "4000 123456"], [dt.date(2021, 2, 3), 123]])
+    rows = sorted(tuple(r) for r in read_xlsx(spark, str(p), BLACKLIST_FILE).collect())
+    assert rows == [("2021-02-01", "4000 123456"), ("2021-02-03", "123")]
+    bl = files.read_blacklist(spark, str(p)).collect()
+    assert sorted((r.passport_num, r.entry_dt) for r in bl) == [("123", dt.date(2021, 2, 3)),
+                                                               ("4000 123456", dt.date(2021, 2, 1))]
