@@ -124,12 +124,15 @@ def city_hops(tx: DataFrame, terminals: DataFrame, max_gap=CITY_HOP_GAP, semanti
     the second leg of the last hit.
 
     Transactions at unknown or inactive terminals are dropped before any of it.
+    ``max_broadcast_rows=0`` leaves the broadcast decision to the caller.
     """
     _check_semantics(semantics)
     gap_us = to_micros(max_gap)
     term = current(terminals).select(F.col("terminal_id").alias("terminal"), "terminal_city")
+    if max_broadcast_rows:
+        term = broadcast_if_small(term, max_broadcast_rows)
     t = tx.select("card_num", "trans_day", "trans_date", "trans_id", "terminal")
-    j = t.join(broadcast_if_small(term, max_broadcast_rows), "terminal")
+    j = t.join(term, "terminal")
     part, order = ["card_num", "trans_day"], ["trans_date", "trans_id"]
     nxt = sequence.with_next(j, part, order, ["trans_date", "terminal_city"], split=split)
     close = micros_between("trans_date", "next_trans_date") < F.lit(gap_us)
@@ -197,20 +200,47 @@ def fraud_amount_probe(tx: DataFrame, chain: DataFrame, rejects: int = PROBE_REJ
 def fraud_report(tx: DataFrame, chain: DataFrame, blacklist: DataFrame, terminals: DataFrame,
                  semantics: str = REFERENCE, report_day=None, probe_tx: DataFrame | None = None,
                  city_gap=CITY_HOP_GAP, probe_span=PROBE_SPAN,
-                 split: str | None = sequence.DEFAULT_SPLIT) -> DataFrame:
+                 split: str | None = sequence.DEFAULT_SPLIT,
+                 max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """All four rules as one bag union (a transaction may appear under several rules).
 
+    Equal to the union of the four rule functions, but planned so the chain is
+    joined once: every transaction (candidate for rules 1 and 2) and the
+    per-card hits of rules 3 and 4 are unioned, joined to the chain and the
+    blacklist in one pass, and each row then emits the rules it satisfies.
     ``probe_tx`` is the input of rule 4 (the reference reads the day's file
     rather than the fact table); defaults to ``tx``.
     """
-    parts = [
-        fraud_expired_passport(tx, chain, blacklist),
-        fraud_expired_contract(tx, chain, semantics, report_day),
-        fraud_city_hop(tx, terminals, chain, city_gap, semantics, report_day, split=split),
-        fraud_amount_probe(probe_tx if probe_tx is not None else tx, chain, max_span=probe_span,
-                           per_day=(semantics == REFERENCE), report_day=report_day, split=split),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    _check_semantics(semantics)
+    rd = _report_day(report_day)
+    term = broadcast_if_small(current(terminals), max_broadcast_rows)
+    bl = blacklist.select("passport_num").distinct().withColumn("_listed", F.lit(True))
+    bl = broadcast_if_small(bl, max_broadcast_rows)
+
+    base = tx.select("card_num", F.col("trans_date").alias("event_ts"), "trans_day",
+                     F.lit(0).alias("_rule"))
+    hops = city_hops(tx, term, city_gap, semantics, split=split, max_broadcast_rows=0) \
+        .select("card_num", "event_ts", "trans_day", F.lit(EVENT_CITY_HOP).alias("_rule"))
+    probes = amount_probes(probe_tx if probe_tx is not None else tx, max_span=probe_span,
+                           per_day=(semantics == REFERENCE), split=split) \
+        .select("card_num", F.col("trans_date").alias("event_ts"), "trans_day",
+                F.lit(EVENT_AMOUNT_PROBE).alias("_rule"))
+    cand = base.unionByName(hops).unionByName(probes)
+
+    j = cand.join(chain.select("card_num", "valid_to", "passport_num", "passport_valid_to", "fio", "phone"),
+                  "card_num").join(bl, "passport_num", "left")
+    rule = F.col("_rule")
+    r1 = (rule == 0) & (F.col("_listed").isNotNull() | (F.col("passport_valid_to") <= F.col("trans_day")))
+    if semantics == REFERENCE:
+        r2 = (rule == 0) & (F.col("valid_to").cast("timestamp_ntz") < F.col("event_ts"))
+    else:
+        r2 = (rule == 0) & (F.col("valid_to") < F.col("trans_day"))
+    et = F.explode(F.array(F.when(r1, F.lit(EVENT_PASSPORT)), F.when(r2, F.lit(EVENT_CONTRACT)),
+                           F.when(rule > 0, rule))).alias("_et")
+    rows = j.select("*", et).filter(F.col("_et").isNotNull())
+    return rows.select(
+        time_of_day("event_ts").alias("event_dt"),
+        F.col("passport_num").alias("passport"), "fio", "phone",
+        F.col("_et").cast("int").alias("event_type"),
+        F.when(F.col("_et") == EVENT_PASSPORT, F.col("trans_day")).otherwise(rd).alias("report_dt"),
+        "event_ts")
