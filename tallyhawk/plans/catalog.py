@@ -291,3 +291,144 @@ ORACLE.update({
     "scd2_accounts": oracle.scd2_fold_sql("accounts", "restage", False),
     "scd2_clients": oracle.scd2_fold_sql("clients", "restage", False),
 })
+
+
+# --- files, sinks, checks ------------------------------------------------------------
+
+from tallyhawk.functions.scalars import decimal_comma as _decimal_comma  # noqa: E402
+from tallyhawk.operators import checks as check_ops  # noqa: E402
+from tallyhawk.operators import facts as fact_ops  # noqa: E402
+from tallyhawk.session import scratch_path  # noqa: E402
+from tallyhawk.sources import files as file_ops  # noqa: E402
+
+_EXT = {"transactions": ".txt", "terminals": ".xlsx", "passport_blacklist": ".xlsx"}
+
+
+def _file_names(spark, d):
+    """Input names for every business day present in the events: kind_DDMMYYYY.ext."""
+    days = fx.tx(spark, d).select("trans_day").distinct()
+    kind = F.explode(F.array(*[F.lit(k) for k in _EXT])).alias("kind0")
+    ext = F.when(F.col("kind0") == "transactions", F.lit(".txt")).otherwise(F.lit(".xlsx"))
+    names = days.select("trans_day", kind).select(
+        F.concat(F.col("kind0"), F.lit("_"), F.date_format("trans_day", "ddMMyyyy"), ext).alias("name"))
+    return names.withColumn("path", F.col("name"))
+
+
+def q_file_day(spark, d):
+    return _file_names(spark, d).select("name", file_ops.day_from_name("name").alias("day"))
+
+
+def _pick(semantics):
+    def q(spark, d):
+        chosen = file_ops.choose_files(file_ops.classify_names(_file_names(spark, d)), semantics)
+        return chosen.select("kind", "name", "day")
+    return q
+
+
+def q_decimal_comma(spark, d):
+    o = fx.table(spark, d, "orders")
+    text = F.regexp_replace(o["o_totalprice"].cast("decimal(30,2)").cast("string"), r"\.", ",")
+    t = o.select("o_orderkey", text.alias("amount_text"))
+    return t.select("o_orderkey", "amount_text", _decimal_comma("amount_text").cast("double").alias("amt"))
+
+
+def q_check_unique_key(spark, d):
+    return check_ops.check_unique_key(fx.table(spark, d, "orders"), "o_custkey")
+
+
+def q_check_unique_key_customer(spark, d):
+    return check_ops.check_unique_key(fx.table(spark, d, "customer"), "c_custkey")
+
+
+def q_check_lengths(spark, d):
+    """Orders whose priority text is longer than a declared 10 characters."""
+    return check_ops.check_lengths(fx.table(spark, d, "orders").select("o_orderkey", "o_orderpriority"),
+                                   {"o_orderpriority": 10})
+
+
+def q_blacklist_refresh(spark, d):
+    """Full refresh: the second snapshot replaces the first at the same path."""
+    path = scratch_path(spark, "blacklist")
+    c = fx.table(spark, d, "customer")
+    k = F.col("c_custkey")
+
+    def snap(m):
+        return c.filter(k % m == 0).select(F.concat(F.lit("P"), k.cast("string")).alias("passport_num"),
+                                           F.lit(fx.BASE_DAY).alias("entry_dt"))
+    fact_ops.refresh_snapshot(snap(13), path)
+    fact_ops.refresh_snapshot(snap(17), path)
+    return spark.read.parquet(path)
+
+
+def write_transactions_file(tx, path):
+    """The fact rows as a ';'-separated file with a decimal comma (what the bank sends)."""
+    out = tx.select(
+        F.col("trans_id").cast("string").alias("transaction_id"),
+        F.date_format("trans_date", "yyyy-MM-dd HH:mm:ss").alias("transaction_date"),
+        F.regexp_replace(F.col("amt").cast("decimal(30,2)").cast("string"), r"\.", ",").alias("amount"),
+        F.col("card_num").cast("string").alias("card_num"),
+        F.col("oper_type"), F.col("oper_result"),
+        F.col("terminal").cast("string").alias("terminal"))
+    out.write.option("sep", ";").option("header", True).mode("overwrite").csv(path)
+
+
+def q_scan_transactions(spark, d):
+    path = scratch_path(spark, "input") + "/transactions_01012024.txt"
+    write_transactions_file(fx.tx(spark, d), path)
+    good, _ = file_ops.scan_transactions(spark, path)
+    return good.withColumn("amt", F.col("amt").cast("double"))
+
+
+def q_scan_snapshot(spark, d):
+    path = scratch_path(spark, "input") + "/terminals_01012024.csv"
+    snap = chain_ops.current(fx.terminals(spark, d)).select(
+        F.col("terminal_id").cast("string").alias("terminal_id"), "terminal_type", "terminal_city",
+        "terminal_address")
+    snap.write.option("sep", ";").option("header", True).mode("overwrite").csv(path)
+    return file_ops.read_terminals(spark, path)
+
+
+QUERIES.update({
+    "file_day": q_file_day,
+    "pick_files": _pick(STRICT),
+    "pick_files_reference": _pick(REFERENCE),
+    "decimal_comma": q_decimal_comma,
+    "check_unique_key": q_check_unique_key,
+    "check_unique_key_customer": q_check_unique_key_customer,
+    "check_lengths": q_check_lengths,
+    "blacklist_refresh": q_blacklist_refresh,
+    "scan_transactions": q_scan_transactions,
+    "scan_snapshot": q_scan_snapshot,
+})
+
+_NAMES_SQL = """with names as (
+    select k || '_' || strftime(d, '%d%m%Y') || case when k = 'transactions' then '.txt' else '.xlsx' end as name,
+           k as kind, d as day
+    from (select distinct cast(ts as date) as d from events) days,
+         (select unnest(['passport_blacklist', 'terminals', 'transactions']) as k) kinds)"""
+
+ORACLE.update({
+    "file_day": _NAMES_SQL + " select name, day from names",
+    "pick_files": _NAMES_SQL + """, full_days as (select day from names group by day having count(distinct kind) = 3)
+        select kind, min(name) as name, day from names where day = (select min(day) from full_days)
+        group by kind, day""",
+    "pick_files_reference": _NAMES_SQL + """ select kind, min(name) as name,
+        arg_min(day, name) as day from names group by kind""",
+    "decimal_comma": """select o_orderkey, replace(cast(cast(o_totalprice as decimal(30,2)) as varchar), '.', ',')
+          as amount_text,
+        cast(cast(replace(replace(cast(cast(o_totalprice as decimal(30,2)) as varchar), '.', ','), ',', '.')
+          as decimal(30,2)) as double) as amt from orders""",
+    "check_unique_key": "select o_custkey, count(*) as n from orders group by o_custkey having count(*) > 1",
+    "check_unique_key_customer":
+        "select c_custkey, count(*) as n from customer group by c_custkey having count(*) > 1",
+    "check_lengths": "select o_orderkey, o_orderpriority from orders where length(o_orderpriority) > 10",
+    "blacklist_refresh": """select 'P' || cast(c_custkey as varchar) as passport_num, date '2024-01-01' as entry_dt
+        from customer where c_custkey % 17 = 0""",
+    "scan_transactions": oracle.with_views("""select cast(trans_id as varchar) as trans_id,
+        date_trunc('second', trans_date) as trans_date, cast(cast(amt as decimal(30,2)) as double) as amt,
+        cast(card_num as varchar) as card_num, oper_type, oper_result, cast(terminal as varchar) as terminal,
+        cast(date_trunc('second', trans_date) as date) as trans_day from tx""", "tx"),
+    "scan_snapshot": oracle.with_views("""select cast(terminal_id as varchar) as terminal_id, terminal_type,
+        terminal_city, terminal_address from terminals
+        where deleted_flg = false and effective_to = date '2999-01-01'""", "terminals"),
+})

@@ -116,37 +116,48 @@ def list_inputs(spark: SparkSession, input_dir: str) -> DataFrame:
             if name.startswith((".", "_")):
                 continue
             rows.append((name, st.getPath().toString()))
-    df = spark.createDataFrame(rows, "name string, path string")
+    return classify_names(spark.createDataFrame(rows, "name string, path string"))
+
+
+def classify_names(names: DataFrame, name_col: str = "name") -> DataFrame:
+    """Add ``kind`` (first matching kind substring) and ``day`` (parsed from the name)."""
     kind = F.lit(None).cast("string")
     for k in reversed(FILE_KINDS):
-        kind = F.when(F.col("name").contains(k), F.lit(k)).otherwise(kind)
-    return df.select("name", "path", kind.alias("kind"), day_from_name("name").alias("day"))
+        kind = F.when(F.col(name_col).contains(k), F.lit(k)).otherwise(kind)
+    return names.withColumn("kind", kind).withColumn("day", day_from_name(name_col))
 
 
-def pick_files(spark: SparkSession, input_dir: str, semantics: str = STRICT) -> dict:
-    """The next day's three inputs.
+def choose_files(listing: DataFrame, semantics: str = STRICT) -> DataFrame:
+    """One row per kind: the file to load next (columns kind, name, path, day).
 
     reference: names sorted as text, first match per kind, kinds picked
-    independently (so ``01042021`` comes before ``02032021``).
-    strict: the earliest parsed day having all three kinds.
-    Returns ``{"day": date, kind: path, ...}`` or ``{}`` when nothing is left.
+    independently -- ``01042021`` sorts before ``02032021`` and a missing kind
+    pairs files of different days.
+    strict: all kinds of the earliest parsed day that has every kind.
     """
-    files = list_inputs(spark, input_dir).filter(F.col("kind").isNotNull())
+    files = listing.filter(F.col("kind").isNotNull())
     if semantics == REFERENCE:
-        firsts = files.groupBy("kind").agg(F.min_by("path", "name").alias("path"),
-                                           F.min("name").alias("name")).collect()
-        out = {r["kind"]: r["path"] for r in firsts}
-        if "terminals" in out:
-            out["day"] = files.filter(F.col("path") == out["terminals"]).select("day").first()[0]
-        return out
+        first = F.min_by(F.struct("name", "path", "day"), F.col("name"))
+        return files.groupBy("kind").agg(first.alias("f")).select("kind", "f.name", "f.path", "f.day")
     complete = (files.filter(F.col("day").isNotNull()).groupBy("day")
-                .agg(F.count_distinct("kind").alias("n")).filter(F.col("n") == len(FILE_KINDS)))
-    first = complete.agg(F.min("day")).first()[0]
-    if first is None:
+                .agg(F.count_distinct("kind").alias("n")).filter(F.col("n") == len(FILE_KINDS))
+                .agg(F.min("day").alias("day")))
+    chosen = files.join(complete, "day", "left_semi")
+    first = F.min_by(F.struct("name", "path"), F.col("name"))
+    return chosen.groupBy("kind", "day").agg(first.alias("f")).select("kind", "f.name", "f.path", "day")
+
+
+def pick_files(spark: SparkSession, input_dir: str, semantics: str = STRICT) -> dict:
+    """The next day's inputs as ``{"day": date, kind: path, ...}`` (``{}`` when none is left).
+
+    The day is the terminals file's day (used for every table of the run).
+    """
+    rows = choose_files(list_inputs(spark, input_dir), semantics).collect()   # at most 3 rows
+    out = {r["kind"]: r["path"] for r in rows}
+    if not rows:
         return {}
-    chosen = files.filter(F.col("day") == F.lit(first)).groupBy("kind").agg(F.min("path").alias("path")).collect()
-    out = {r["kind"]: r["path"] for r in chosen}
-    out["day"] = first
+    days = {r["kind"]: r["day"] for r in rows}
+    out["day"] = days.get("terminals", rows[0]["day"])
     return out
 
 
