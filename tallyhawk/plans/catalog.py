@@ -432,3 +432,90 @@ ORACLE.update({
         terminal_city, terminal_address from terminals
         where deleted_flg = false and effective_to = date '2999-01-01'""", "terminals"),
 })
+
+
+# --- the daily pipeline end to end -----------------------------------------------------
+
+from tallyhawk.plans import pipeline as pipe  # noqa: E402
+from tallyhawk.plans.state import Warehouse  # noqa: E402
+
+PIPELINE_DAYS = (_dt.date(2024, 1, 1), _dt.date(2024, 1, 2), _dt.date(2024, 1, 3))
+
+
+def _pipeline_sources(spark, d):
+    """info.* tables from customer; update_dt is NULL, so every row is restaged daily."""
+    c = fx.table(spark, d, "customer")
+    k = F.col("c_custkey")
+    none = F.lit(None).cast("date")
+    s = lambda e: e.cast("string")
+    cards = c.filter(k % 19 != 0).select(s(k).alias("card_num"), s(k + 1000000).alias("account"),
+                                         none.alias("update_dt"))
+    accounts = c.select(s(k + 1000000).alias("account"),
+                        F.date_add(F.lit(fx.BASE_DAY), ((k * 11) % 45).cast("int")).alias("valid_to"),
+                        s(k + 2000000).alias("client"), none.alias("update_dt"))
+    clients = fx.source_clients(spark, d).withColumn("client_id", s(F.col("client_id"))) \
+        .withColumn("update_dt", none)
+    return pipe.Sources(cards, accounts, clients)
+
+
+def write_day_inputs(spark, d, input_dir, day):
+    """The three input files of one day, written by Spark from the driver tables."""
+    name = day.strftime("%d%m%Y")
+    write_transactions_file(fx.tx(spark, d).filter(F.col("trans_day") == F.lit(day)),
+                            f"{input_dir}/transactions_{name}.txt")
+    term = chain_ops.current(fx.terminals(spark, d)).select(
+        F.col("terminal_id").cast("string").alias("terminal_id"), "terminal_type", "terminal_city",
+        "terminal_address")
+    term.write.option("sep", ";").option("header", True).mode("overwrite").csv(f"{input_dir}/terminals_{name}.csv")
+    bl = fx.blacklist(spark, d).select(F.date_format("entry_dt", "yyyy-MM-dd").alias("date"),
+                                       F.col("passport_num").alias("passport"))
+    bl.write.option("sep", ";").option("header", True).mode("overwrite") \
+        .csv(f"{input_dir}/passport_blacklist_{name}.csv")
+
+
+def _run_pipeline(spark, d, replay=False):
+    base = scratch_path(spark, "pipeline")
+    inp, arc = f"{base}/input", f"{base}/archive"
+    for day in PIPELINE_DAYS:
+        write_day_inputs(spark, d, inp, day)
+    wh = Warehouse(spark, f"{base}/warehouse")
+    src = _pipeline_sources(spark, d)
+    pipe.run_days(spark, wh, inp, arc, src)
+    if replay:
+        pipe.reset(spark, wh, inp, arc)
+        pipe.run_days(spark, wh, inp, arc, src)
+    return wh.read_report().select("event_dt", "passport", "fio", "phone", "event_type", "report_dt", "event_ts")
+
+
+QUERIES.update({
+    "pipeline_three_days": lambda spark, d: _run_pipeline(spark, d),
+    "replay_equals_first_run": lambda spark, d: _run_pipeline(spark, d, replay=True),
+})
+
+_PIPELINE_VIEWS = {
+    "tx": """select cast(event_id as varchar) as trans_id, date_trunc('second', ts) as trans_date,
+        cast(ts as date) as trans_day, cast(cast(value as decimal(30,2)) as double) as amt,
+        cast(user_id as varchar) as card_num, event_type as oper_type,
+        case when event_type in ('click','view','error') then 'REJECT'
+             when event_type = 'purchase' then 'SUCCESS' else 'OTHER' end as oper_result,
+        json_extract_string(props, '$.k') as terminal
+      from events where cast(ts as date) between date '2024-01-01' and date '2024-01-03'""",
+    "terminals": """select cast(terminal_id as varchar) as terminal_id, 'CITY_' || cast(terminal_id % 5 as varchar)
+        as terminal_city, date '2999-01-01' as effective_to, false as deleted_flg
+      from (select distinct cast(json_extract_string(props, '$.k') as int) as terminal_id from events)
+      where terminal_id % 23 <> 0""",
+    "chain": """select cast(c_custkey as varchar) as card_num, cast(c_custkey + 1000000 as varchar) as account_num,
+        cast(date '2024-01-01' + cast((c_custkey * 11) % 45 as int) as date) as valid_to,
+        cast(c_custkey + 2000000 as varchar) as client_id,
+        split_part(c_name, '#', 1) || ' ' || split_part(c_name, '#', 2) || ' ' ||
+          (case when c_custkey % 6 = 0 then null else 'N' || cast(c_custkey % 7 as varchar) end) as fio,
+        'P' || cast(c_custkey as varchar) as passport_num,
+        case when c_custkey % 29 = 3 then null
+             else cast(date '2024-01-01' + cast((c_custkey * 7) % 60 as int) as date) end as passport_valid_to,
+        '+7' || lpad(cast(c_custkey as varchar), 10, '0') as phone
+      from customer where c_custkey % 19 <> 0""",
+}
+ORACLE.update({
+    "pipeline_three_days": oracle.report_sql(_PIPELINE_VIEWS),
+    "replay_equals_first_run": oracle.report_sql(_PIPELINE_VIEWS),
+})

@@ -53,8 +53,9 @@ VIEWS = {
 _VIEW_ORDER = ["tx", "terminals", "cards", "accounts", "clients", "blacklist", "chain"]
 
 
-def with_views(body: str, *needed: str) -> str:
-    """Prefix ``body`` with the CTEs it needs (plus their dependencies)."""
+def with_views(body: str, *needed: str, views: dict | None = None) -> str:
+    """Prefix ``body`` with the CTEs it needs (plus their dependencies); ``views`` overrides definitions."""
+    defs = {**VIEWS, **(views or {})}
     deps = {"terminals": ["tx"], "chain": ["cards", "accounts", "clients"]}
     want: list[str] = []
 
@@ -67,7 +68,7 @@ def with_views(body: str, *needed: str) -> str:
     for v in needed:
         add(v)
     ordered = [v for v in _VIEW_ORDER if v in want]
-    ctes = ",\n".join(f"{v} as ({VIEWS[v]})" for v in ordered)
+    ctes = ",\n".join(f"{v} as ({defs[v]})" for v in ordered)
     return f"with {ctes}\n{body}"
 
 
@@ -79,20 +80,20 @@ def _report(ts: str, etype: int, rdt: str, c: str = "c") -> str:
     return REPORT_SELECT.format(ts=ts, etype=etype, rdt=rdt, c=c)
 
 
-def r1_sql() -> str:
+def r1_sql(views: dict | None = None) -> str:
     body = f"""select {_report('t.trans_date', 1, 't.trans_day')}
     from tx t join chain c on c.card_num = t.card_num
     left join (select distinct passport_num as bl_passport from blacklist) b on b.bl_passport = c.passport_num
     where b.bl_passport is not null or c.passport_valid_to <= t.trans_day"""
-    return with_views(body, "tx", "chain", "blacklist")
+    return with_views(body, "tx", "chain", "blacklist", views=views)
 
 
-def r2_sql(strict: bool = False) -> str:
+def r2_sql(strict: bool = False, views: dict | None = None) -> str:
     cond = "c.valid_to < t.trans_day" if strict else "cast(c.valid_to as timestamp) < t.trans_date"
     body = f"""select {_report('t.trans_date', 2, 't.trans_day')}
     from tx t join chain c on c.card_num = t.card_num
     where {cond}"""
-    return with_views(body, "tx", "chain")
+    return with_views(body, "tx", "chain", views=views)
 
 
 _W = "partition by card_num, trans_day order by trans_date, trans_id"
@@ -117,8 +118,8 @@ def r3_hits_sql(strict: bool = False, gap: str = "interval 1 hour", sfx: str = "
             where terminal_city <> next_city group by card_num, trans_day)"""
 
 
-def _ctes(*needed: str) -> str:
-    return with_views("select 1", *needed)[: -len("\nselect 1")]
+def _ctes(*needed: str, views: dict | None = None) -> str:
+    return with_views("select 1", *needed, views=views)[: -len("\nselect 1")]
 
 
 def r3_sql(strict: bool = False) -> str:
@@ -154,10 +155,10 @@ def r4_sql(span: str = "interval 20 minute", per_day: bool = True) -> str:
     from h join chain c on c.card_num = h.card_num"""
 
 
-def report_sql() -> str:
-    r1_body = r1_sql().split("\nselect ", 1)[1]
-    r2_body = r2_sql().split("\nselect ", 1)[1]
-    return f"""{_ctes("tx", "terminals", "chain", "blacklist")},
+def report_sql(views: dict | None = None) -> str:
+    r1_body = r1_sql(views).split("\nselect ", 1)[1]
+    r2_body = r2_sql(views=views).split("\nselect ", 1)[1]
+    return f"""{_ctes("tx", "terminals", "chain", "blacklist", views=views)},
       {r3_hits_sql(sfx="3")},
       {r4_hits_sql("interval 20 minute", sfx="4")}
     select {r1_body}
