@@ -519,3 +519,42 @@ ORACLE.update({
     "pipeline_three_days": oracle.report_sql(_PIPELINE_VIEWS),
     "replay_equals_first_run": oracle.report_sql(_PIPELINE_VIEWS),
 })
+
+
+# --- many days in one job (as-of) --------------------------------------------------------
+
+from tallyhawk.operators import asof as asof_ops  # noqa: E402
+
+ASOF_DAYS = (_dt.date(2024, 1, 1), _dt.date(2024, 1, 10), _dt.date(2024, 1, 20))
+
+
+def _all_snapshots(spark, d, days):
+    snaps = [fx.snapshot(spark, d, n).withColumn("day", F.lit(day)) for n, day in zip((1, 2, 3), days)]
+    return snaps[0].unionByName(snaps[1]).unionByName(snaps[2])
+
+
+def q_scd2_from_snapshots(spark, d):
+    return asof_ops.scd2_from_snapshots(_all_snapshots(spark, d, fx.SCD2_DAYS), "k", ["s"])
+
+
+def q_asof_join(spark, d):
+    """Each transaction with the card's version (attribute s) valid on its day."""
+    hist = asof_ops.scd2_from_snapshots(_all_snapshots(spark, d, ASOF_DAYS), "k", ["s"])
+    t = fx.tx(spark, d).select("trans_id", "card_num", "trans_day")
+    return asof_ops.asof_join(t, hist, "card_num", "k", "trans_day", ["s"])
+
+
+QUERIES.update({
+    "scd2_from_snapshots": q_scd2_from_snapshots,
+    "asof_join": q_asof_join,
+})
+ORACLE.update({
+    "scd2_from_snapshots": oracle.scd2_fold_sql("generic", "snapshot", True),
+    "asof_join": oracle.scd2_fold_sql(
+        "generic", "snapshot", True, day_list=[x.isoformat() for x in ASOF_DAYS],
+        # the final clause extends the fold's CTE list with the transactions view
+        final=""", tx as ({tx})
+        select t.trans_id, t.card_num, t.trans_day, h.s from tx t join h3 h
+          on h.k = t.card_num and h.effective_from <= t.trans_day and t.trans_day <= h.effective_to"""
+        .format(tx=oracle.VIEWS["tx"])),
+})

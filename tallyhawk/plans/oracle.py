@@ -250,12 +250,13 @@ def scd2_step_sql(n: int, key: str, attrs: list[str], day: str, staging: str, st
 
 
 def scd2_fold_sql(shape: str = "generic", staging: str = "snapshot", strict: bool = False,
-                  days: int = 3, final: str | None = None) -> str:
+                  days: int = 3, final: str | None = None, day_list: list[str] | None = None) -> str:
+    day_list = day_list or SCD2_DAYS_SQL
     key, attrs, tmpl = SHAPE_SQL[shape]
     srcs = ",\n      ".join(f"src{i} as ({tmpl.format(src=SNAP_SQL[i])})" for i in range(1, days + 1))
     h0 = f"""h0 as (select {', '.join([key, *attrs])}, cast(null as date) as effective_from,
         cast(null as date) as effective_to, cast(null as boolean) as deleted_flg from src1 where false)"""
-    steps = ",\n      ".join(scd2_step_sql(i, key, attrs, SCD2_DAYS_SQL[i - 1], staging, strict)
+    steps = ",\n      ".join(scd2_step_sql(i, key, attrs, day_list[i - 1], staging, strict)
                             for i in range(1, days + 1))
     return f"""with {srcs},
       {h0},
