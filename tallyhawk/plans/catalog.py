@@ -558,3 +558,31 @@ ORACLE.update({
           on h.k = t.card_num and h.effective_from <= t.trans_day and t.trans_day <= h.effective_to"""
         .format(tx=oracle.VIEWS["tx"])),
 })
+
+
+# --- streaming ----------------------------------------------------------------------------
+
+from tallyhawk.streaming import amount_probe as stream_ops  # noqa: E402
+
+STREAM_CHUNKS = ((1, 10), (11, 20), (21, 31))
+
+
+def q_stream_amount_probe(spark, d):
+    """Rule 4 per card across days (3-day span) over three transaction files streamed in order."""
+    base = scratch_path(spark, "stream")
+    tx = fx.tx(spark, d)
+    for lo, hi in STREAM_CHUNKS:
+        part = tx.filter(F.dayofmonth("trans_day").between(lo, hi))
+        write_transactions_file(part.coalesce(1), f"{base}/input/transactions_{lo:02d}012024.txt")
+    q = stream_ops.run_probe_stream(spark, f"{base}/input/transactions_*/part-*.csv", f"{base}/out",
+                                    f"{base}/checkpoint", max_span="3 days")
+    q.awaitTermination()
+    return spark.read.schema(stream_ops.HIT_SCHEMA).parquet(f"{base}/out")
+
+
+QUERIES["stream_amount_probe"] = q_stream_amount_probe
+
+_STREAM_TX = {"tx": _PIPELINE_VIEWS["tx"].split(" where cast(ts as date) between")[0]}
+ORACLE["stream_amount_probe"] = f"""{oracle._ctes("tx", views=_STREAM_TX)},
+      {oracle.r4_hits_sql("interval 3 day", per_day=False)}
+    select trans_id, card_num, trans_day, trans_date from h"""
