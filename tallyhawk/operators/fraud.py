@@ -17,7 +17,7 @@ phone, event_type, report_dt, event_ts.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhawk.functions.intervals import micros_between, to_micros
@@ -134,11 +134,13 @@ def city_hops(tx: DataFrame, terminals: DataFrame, max_gap=CITY_HOP_GAP, semanti
     t = tx.select("card_num", "trans_day", "trans_date", "trans_id", "terminal")
     j = t.join(term, "terminal")
     part, order = ["card_num", "trans_day"], ["trans_date", "trans_id"]
-    nxt = sequence.with_next(j, part, order, ["trans_date", "terminal_city"], split=split)
+    if split is not None:
+        return _city_hops_split(j, part, order, gap_us, semantics, to_micros(split))
+    nxt = sequence.with_next(j, part, order, ["trans_date", "terminal_city"])
     close = micros_between("trans_date", "next_trans_date") < F.lit(gap_us)
     if semantics == REFERENCE:
         kept = nxt.filter(close).drop("next_terminal_city", "next_trans_date")
-        kept = sequence.with_next(kept, part, order, ["terminal_city"], split=split)
+        kept = sequence.with_next(kept, part, order, ["terminal_city"])
         hits = kept.filter(F.col("terminal_city") != F.col("next_terminal_city"))
         ts = "trans_date"
     else:
@@ -147,6 +149,47 @@ def city_hops(tx: DataFrame, terminals: DataFrame, max_gap=CITY_HOP_GAP, semanti
     return hits.groupBy("card_num", "trans_day").agg(F.max(ts).alias("event_ts"))
 
 
+def _city_hops_split(j: DataFrame, part: list[str], order: list[str], gap_us: int, semantics: str,
+                     split_us: int) -> DataFrame:
+    """:func:`city_hops` over time chunks, so a hot card is spread over many tasks.
+
+    Stage 1 only needs the next operation when it is within the gap, so rows
+    close to a chunk's start are copied into the previous chunk as context
+    and ``lead`` runs per (card, day, chunk) -- exact for every pair within
+    the gap. The strict rule is complete after that. The reference's second
+    ``lead`` runs over the kept rows and may reach any distance; inside a
+    chunk it is a window again, and across chunks each chunk contributes its
+    first and last kept row: a window over those summaries (one row per
+    chunk) pairs the last kept row of a chunk with the first kept row of the
+    next chunk that has one. Since the rule reports only the latest hop per
+    (card, day), the chunk results are combined by ``max``.
+    """
+    width = max(split_us, gap_us)
+    both = sequence.with_context(j, "trans_date", width, gap_us, forward=False)
+    keys = [*part, "__chunk"]
+    w = Window.partitionBy(*keys).orderBy(*order)
+    both = (both.withColumn("next_trans_date", F.lead("trans_date").over(w))
+                .withColumn("next_terminal_city", F.lead("terminal_city").over(w)))
+    own = both.filter(F.col("__own"))
+    close = micros_between("trans_date", "next_trans_date") < F.lit(gap_us)
+    if semantics == STRICT:
+        hits = own.filter(close & (F.col("terminal_city") != F.col("next_terminal_city")))
+        return hits.groupBy(*part).agg(F.max("next_trans_date").alias("event_ts"))
+
+    kept = own.filter(close).select(*keys, *order, "terminal_city")
+    kept = kept.withColumn("next_kept_city", F.lead("terminal_city").over(w))
+    by_order = F.struct(*[F.col(c) for c in order])
+    chunks = kept.groupBy(*keys).agg(
+        F.max(F.when(F.col("terminal_city") != F.col("next_kept_city"), F.col("trans_date"))).alias("hit_ts"),
+        F.min_by("terminal_city", by_order).alias("first_city"),
+        F.max_by(F.struct("terminal_city", "trans_date"), by_order).alias("last"))
+    wc = Window.partitionBy(*part).orderBy("__chunk")
+    chunks = chunks.withColumn("next_first_city", F.lead("first_city").over(wc))
+    edge = F.when(F.col("last.terminal_city") != F.col("next_first_city"), F.col("last.trans_date"))
+    per = chunks.groupBy(*part).agg(F.max(F.greatest("hit_ts", edge)).alias("event_ts"))
+    return per.filter(F.col("event_ts").isNotNull())
+
+
 def fraud_city_hop(tx: DataFrame, terminals: DataFrame, chain: DataFrame, max_gap=CITY_HOP_GAP,
                    semantics: str = REFERENCE, report_day=None,
                    split: str | None = sequence.DEFAULT_SPLIT) -> DataFrame:

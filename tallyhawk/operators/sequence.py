@@ -69,6 +69,29 @@ def with_next(df: DataFrame, part: list[str], order: list[str], cols: list[str],
     return out.select(*df.columns, *[nxt[c].alias(prefix + c) for c in cols])
 
 
+def with_context(df: DataFrame, ts: str, width_us: int, reach_us: int, forward: bool) -> DataFrame:
+    """Assign time chunks of ``width_us`` and copy rows near a chunk edge into the neighbour chunk.
+
+    forward=True: rows within ``reach_us`` of the *end* of their chunk are also
+    sent to the next chunk (context for span-bounded lags there).
+    forward=False: rows within ``reach_us`` of the *start* of their chunk are
+    also sent to the previous chunk (context for gap-bounded leads there).
+    Adds ``__chunk`` and ``__own`` (False on copies). One pass: the copy is an
+    ``explode``, not a union, so the input is read once.
+    """
+    if reach_us > width_us:
+        raise ValueError("chunk width must be at least the reach")
+    pos = epoch_micros(ts)
+    chunk = F.floor(pos / F.lit(width_us)).cast("long")
+    offset = pos - chunk * F.lit(width_us)
+    near = (offset + F.lit(reach_us) >= F.lit(width_us)) if forward else (offset < F.lit(reach_us))
+    step = 1 if forward else -1
+    shifts = F.when(near, F.array(F.lit(0), F.lit(step))).otherwise(F.array(F.lit(0)))
+    out = df.withColumn(_CHUNK, chunk).withColumn("__shift", F.explode(shifts))
+    return (out.withColumn(_CHUNK, F.col(_CHUNK) + F.col("__shift"))
+               .withColumn(_ROLE, F.col("__shift") == 0).drop("__shift"))
+
+
 def with_previous(df: DataFrame, part: list[str], order: list[str], cols: list[str], k: int,
                   span_us: int | None = None, split: str | int | None = None,
                   prefix: str = "prev") -> DataFrame:
@@ -87,12 +110,7 @@ def with_previous(df: DataFrame, part: list[str], order: list[str], cols: list[s
     if span_us is None:
         raise ValueError("with_previous(split=...) needs span_us")
     width = max(to_micros(split), span_us)
-    pos = epoch_micros(order[0])
-    own = df.withColumn(_CHUNK, F.floor(pos / F.lit(width)).cast("long")).withColumn(_ROLE, F.lit(True))
-    # rows within span_us of the next chunk's start are its context
-    ctx = (own.filter(F.floor((pos + F.lit(span_us)) / F.lit(width)).cast("long") > F.col(_CHUNK))
-              .withColumn(_CHUNK, F.col(_CHUNK) + 1).withColumn(_ROLE, F.lit(False)))
-    both = own.unionByName(ctx)
+    both = with_context(df, order[0], width, span_us, forward=True)
     w = Window.partitionBy(*part, _CHUNK).orderBy(*order)
     for i in range(1, k + 1):
         for c in cols:

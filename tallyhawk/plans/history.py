@@ -1,8 +1,8 @@
 """Folding daily snapshots into a type-2 history inside one Spark application.
 
-Each day's history is checkpointed (reliably, to the cluster's
-``spark.checkpoint.dir``) so the plan does not grow with the number of days
-and a lost executor only recomputes one day.
+Each day's history is written as parquet under the cluster's shared
+``spark.checkpoint.dir`` and read back, so the plan does not grow with the
+number of days and a lost executor only recomputes part of one day.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyhawk.operators import scd2
 from tallyhawk.schemas import INITIAL_WATERMARK, REFERENCE
-from tallyhawk.session import ensure_checkpoint_dir
+from tallyhawk.session import ensure_checkpoint_dir, materialize
 
 SNAPSHOT = "snapshot"      # full snapshot file, staged against open versions (terminals)
 RESTAGE_ALL = "restage"    # relational source whose update_dt is NULL: every row staged each day
@@ -42,10 +42,8 @@ def fold_days(spark: SparkSession, days: Sequence, sources: Sequence[DataFrame],
             staged = scd2.stage_all(src, key, attrs, day)
         else:
             raise ValueError(f"unknown staging {staging!r}")
-        if checkpoint:
-            staged = staged.checkpoint()
         new_hist = scd2.scd2_merge(hist, staged, src.select(key), day, key, attrs, semantics)
         wm_value = staged.agg(F.max("update_dt")).first()[0]
         wm = F.lit(wm_value) if wm_value is not None else wm
-        hist = new_hist.checkpoint() if checkpoint else new_hist
+        hist = materialize(new_hist, "history") if checkpoint else new_hist
     return hist

@@ -72,3 +72,16 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    Cuts lineage with one job (``checkpoint()`` would compute the plan twice:
+    once for its count and once to write, unless the frame is persisted).
+    Survives executor loss: the files are on the cluster's shared file system.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
