@@ -20,13 +20,28 @@ def current(hist: DataFrame) -> DataFrame:
     return hist.filter((F.col("deleted_flg") == F.lit(False)) & (F.col("effective_to") == open_end()))
 
 
+_PROVEN: dict[tuple, bool] = {}
+
+
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
     ``limit(n + 1).count()`` stops each scan task after n + 1 rows, so the
-    check costs at most that many rows whatever the table size.
+    check costs at most that many rows whatever the table size. The answer is
+    remembered per plan and exact set of input files: any rewrite of the
+    inputs yields new file names and a fresh check.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    try:
+        key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(),
+               tuple(sorted(df.inputFiles())), max_rows)
+    except Exception:  # plans without a stable hash are simply checked
+        key = None
+    if key is not None and key in _PROVEN:
+        return _PROVEN[key]
+    ok = df.limit(max_rows + 1).count() <= max_rows
+    if key is not None:
+        _PROVEN[key] = ok
+    return ok
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,

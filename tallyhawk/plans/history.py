@@ -43,7 +43,8 @@ def fold_days(spark: SparkSession, days: Sequence, sources: Sequence[DataFrame],
         else:
             raise ValueError(f"unknown staging {staging!r}")
         new_hist = scd2.scd2_merge(hist, staged, src.select(key), day, key, attrs, semantics)
-        wm_value = staged.agg(F.max("update_dt")).first()[0]
-        wm = F.lit(wm_value) if wm_value is not None else wm
+        if staging == SNAPSHOT:  # only snapshot staging filters on the watermark
+            wm_value = staged.agg(F.max("update_dt")).first()[0]
+            wm = F.lit(wm_value) if wm_value is not None else wm
         hist = materialize(new_hist, "history") if checkpoint else new_hist
     return hist
