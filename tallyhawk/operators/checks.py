@@ -37,3 +37,18 @@ def assert_lengths(df: DataFrame, max_lengths: dict[str, int], what: str = "tabl
     bad = check_lengths(df, max_lengths).limit(3).collect()
     if bad:
         raise ConstraintError(f"value too long in {what}: {[r.asDict() for r in bad]}")
+
+
+def enforce_lengths(df: DataFrame, max_lengths: dict[str, int], what: str = "table") -> DataFrame:
+    """``df`` unchanged, but any value longer than declared fails the job that evaluates it.
+
+    The check rides inside whatever job writes ``df``: no extra pass over the data.
+    """
+    out = df
+    for c, n in max_lengths.items():
+        if c not in df.columns:
+            continue
+        too_long = F.length(F.col(c)) > F.lit(n)
+        msg = F.concat(F.lit(f"value too long in {what}.{c} (max {n}): "), F.col(c).cast("string"))
+        out = out.withColumn(c, F.when(too_long, F.raise_error(msg)).otherwise(F.col(c)))
+    return out

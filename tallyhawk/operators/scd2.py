@@ -118,19 +118,22 @@ def classify(hist: DataFrame, staged: DataFrame, source_keys: DataFrame, key: st
              semantics: str = REFERENCE) -> DataFrame:
     """History, staged rows and source keys in one frame with per-key flags.
 
-    Columns: key, attrs, version columns, ``__role`` (h / s / k), and
-    ``__in_hist`` (key has any version), ``__has_open`` (key has an open
-    version), ``__present`` (key is in the source), ``__changed``.
+    Columns: key, attrs, version columns, ``__role`` (h / s / k), ``__upd``
+    (staged update_dt), and ``__in_hist`` (key has any version), ``__has_open``
+    (key has an open version), ``__present`` (key is in the source),
+    ``__changed``, ``__dups`` (most staged or source rows of the key).
     """
     _check(semantics)
     base = [key, *attrs]
     null_versions = [F.lit(None).cast("date").alias("effective_from"),
                      F.lit(None).cast("date").alias("effective_to"),
                      F.lit(None).cast("boolean").alias("deleted_flg")]
-    h = hist.select(*base, *VERSION_COLS, F.lit("h").alias("__role"))
-    s = staged.select(*base, *null_versions, F.lit("s").alias("__role"))
+    no_upd = F.lit(None).cast("date").alias("__upd")
+    h = hist.select(*base, *VERSION_COLS, F.lit("h").alias("__role"), no_upd)
+    upd = F.col("update_dt").cast("date") if "update_dt" in staged.columns else F.lit(None).cast("date")
+    s = staged.select(*base, *null_versions, F.lit("s").alias("__role"), upd.alias("__upd"))
     k_attrs = [F.lit(None).cast(hist.schema[a].dataType).alias(a) for a in attrs]
-    k = source_keys.select(key, *k_attrs, *null_versions, F.lit("k").alias("__role"))
+    k = source_keys.select(key, *k_attrs, *null_versions, F.lit("k").alias("__role"), no_upd)
     u = h.unionByName(s).unionByName(k)
 
     w = Window.partitionBy(key)
@@ -140,16 +143,26 @@ def classify(hist: DataFrame, staged: DataFrame, source_keys: DataFrame, key: st
     u = (u.withColumn("__s", F.max(staged_val).over(w))
           .withColumn("__in_hist", F.max(is_h).over(w))
           .withColumn("__has_open", F.max(is_h & _is_open()).over(w))
-          .withColumn("__present", F.max(role != "h").over(w)))
+          .withColumn("__present", F.max(role != "h").over(w))
+          .withColumn("__dups", F.greatest(F.count(F.when(role == "s", 1)).over(w),
+                                           F.count(F.when(role == "k", 1)).over(w))))
     compared = is_h if semantics == REFERENCE else (is_h & _is_open())
     diff = compared & F.col("__s").isNotNull() & _differs(attrs, "__s")
     return u.withColumn("__changed", F.max(diff).over(w))
 
 
 def scd2_merge(hist: DataFrame, staged: DataFrame, source_keys: DataFrame, day, key: str,
-               attrs: list[str], semantics: str = REFERENCE) -> DataFrame:
-    """One day's type-2 merge; returns the complete new history."""
+               attrs: list[str], semantics: str = REFERENCE, observation=None) -> DataFrame:
+    """One day's type-2 merge; returns the complete new history.
+
+    A key staged or listed twice fails the job that evaluates the result (the
+    reference's primary keys), inside the same pass. With ``observation`` (a
+    ``pyspark.sql.Observation``) the new watermark ``max_update_dt`` of the
+    staged rows is collected while the result is written.
+    """
     c = classify(hist, staged, source_keys, key, attrs, semantics)
+    if observation is not None:
+        c = c.observe(observation, F.max("__upd").alias("max_update_dt"))
     d = _day(day)
     prev = F.date_sub(d, 1)
     role = F.col("__role")
@@ -171,8 +184,11 @@ def scd2_merge(hist: DataFrame, staged: DataFrame, source_keys: DataFrame, day,
     # one projection emits both the rewritten versions (h rows) and the new ones
     # (inserted s rows): a second branch would re-run the exchange and windows
     is_h = role == "h"
-    out = c.filter(is_h | ((role == "s") & insert)).select(
-        key, *attrs,
+    dup = F.col("__dups") > 1
+    checked_key = F.when(dup, F.raise_error(F.concat(F.lit(f"duplicate key {key}="), F.col(key).cast("string"))))\
+        .otherwise(F.col(key))
+    out = c.filter(is_h | ((role == "s") & insert) | dup).select(
+        checked_key.alias(key), *attrs,
         F.when(is_h, F.col("effective_from")).otherwise(d).alias("effective_from"),
         F.when(is_h, new_to).otherwise(open_end()).alias("effective_to"),
         F.when(is_h, new_flag).otherwise(F.lit(False)).alias("deleted_flg"))

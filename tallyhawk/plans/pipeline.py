@@ -17,10 +17,11 @@ Two switches:
 from __future__ import annotations
 
 import datetime as _dt
+import logging
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhawk.functions.scalars import full_name
@@ -73,17 +74,25 @@ def _typed(df: DataFrame, name: str) -> DataFrame:
                      *[c for c in df.columns if c not in (key, *attrs)])
 
 
+log = logging.getLogger("tallyhawk")
+
+
 def merge_dimension(spark: SparkSession, wh: Warehouse, name: str, day: _dt.date, staged: DataFrame,
                     source_keys: DataFrame, version: int, semantics: str) -> _dt.date:
-    """Merge one dimension into a new version; returns its new watermark."""
+    """Merge one dimension into a new version in one job; returns its new watermark.
+
+    Duplicate keys and over-long values fail that job (nothing is published);
+    the watermark is observed while the version is written.
+    """
     key, attrs, _ = DIMENSIONS[name]
     hist = wh.read_table(name)
     if hist is None:
         hist = _empty_hist(spark, name)
-    checks.assert_unique_key(staged, key, f"staged {name}")
-    new_hist = scd2.scd2_merge(hist, staged, source_keys, day, key, attrs, semantics)
+    obs = Observation(f"{name}_watermark")
+    new_hist = scd2.scd2_merge(hist, staged, source_keys, day, key, attrs, semantics, observation=obs)
+    new_hist = checks.enforce_lengths(new_hist, MAX_LENGTHS[name], name)
     new_hist.write.mode("overwrite").parquet(wh.table_path(name, version))
-    latest = staged.agg(F.max("update_dt")).first()[0]
+    latest = obs.get.get("max_update_dt")
     return latest if latest is not None else wh.watermark(name)
 
 
@@ -101,18 +110,29 @@ def run_day(spark: SparkSession, wh: Warehouse, input_dir: str, archive_dir: str
     version = wh.state()["seq"] + 1
     fact_mode = facts.OVERWRITE_DAY if operations == STRICT else facts.APPEND
 
-    # 1. facts
-    tx_file, rejects = files.scan_transactions(
-        spark, picked[KIND_TRANSACTIONS], on_bad="reject" if operations == STRICT else "fail")
-    checks.assert_lengths(tx_file, MAX_LENGTHS["fact_transactions"], "transactions")
+    log.info("run_day %s on Spark %s", day, spark.version)
+
+    # 1. facts: one pass parses, checks lengths, counts rejects and writes the day
+    parsed = files.parse_transactions(files.read_transactions_raw(spark, picked[KIND_TRANSACTIONS]))
+    obs = Observation("transactions")
+    parsed = parsed.observe(obs, F.count(F.lit(1)).alias("rows"),
+                            F.count(F.col("_reject")).alias("rejects"))
+    keep = F.col("_reject").isNull()
+    if operations == REFERENCE:   # a bad row fails the load, as in the reference
+        keep = F.when(~keep, F.raise_error(F.concat(F.lit("bad transaction row: "), F.col("_reject")))) \
+            .otherwise(F.lit(True))
+    tx_file = parsed.filter(keep).drop("_reject", "_amount_text")
+    tx_file = checks.enforce_lengths(tx_file, MAX_LENGTHS["fact_transactions"], "transactions")
     facts.write_partitioned(tx_file, wh.facts_path(), "trans_day", fact_mode)
-    n_rejects = rejects.count() if operations == STRICT else 0
+    n_rejects = obs.get.get("rejects", 0)
+    if n_rejects:   # a second pass only when something was rejected
+        _, rejects = files.scan_transactions(spark, picked[KIND_TRANSACTIONS])
+        rejects.withColumn("day", F.lit(day)).write.mode("append").parquet(f"{wh.epoch_root()}/rejects")
 
     tables: dict[str, tuple[int, _dt.date | None]] = {}
 
     # 2. terminals from the snapshot file
-    snap = files.read_terminals(spark, picked[KIND_TERMINALS])
-    checks.assert_unique_key(snap, "terminal_id", "terminals file")
+    snap = files.read_terminals(spark, picked[KIND_TERMINALS])   # duplicate ids fail the merge job
     hist = wh.read_table("terminals")
     if hist is None:
         hist = _empty_hist(spark, "terminals")
@@ -141,8 +161,11 @@ def run_day(spark: SparkSession, wh: Warehouse, input_dir: str, archive_dir: str
 
     chain = chain_for_join(read("cards"), read("accounts"), read("clients"))
     tx_day = wh.read_facts(day)
+    # rule 4 reads the day's file in the reference; with day overwrite the fact
+    # partition holds exactly the file's rows, so it is read from there
+    probe = files.scan_transactions(spark, picked[KIND_TRANSACTIONS])[0] if operations == REFERENCE else None
     report = fraud.fraud_report(tx_day, chain, read("blacklist"), read("terminals"), semantics,
-                                report_day=day, probe_tx=tx_file)
+                                report_day=day, probe_tx=probe)
     facts.write_partitioned(report, wh.report_path(), "report_dt", fact_mode)
 
     # 6. publish, then archive

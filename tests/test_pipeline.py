@@ -140,3 +140,40 @@ def test_xlsx_reader_dates_and_numbers(spark, tmp_path):
     bl = files.read_blacklist(spark, str(p)).collect()
     assert sorted((r.passport_num, r.entry_dt) for r in bl) == [("123", dt.date(2021, 2, 3)),
                                                                ("4000 123456", dt.date(2021, 2, 1))]
+
+
+def test_duplicate_key_fails_day_unpublished(spark, tmp_path):
+    from tallyhawk.sources.excel import write_xlsx
+    d = {k: str(tmp_path / k) for k in ("input", "archive", "wh")}
+    daygen.write_day(d["input"], 0)
+    write_xlsx(os.path.join(d["input"], "terminals_01032021.xlsx"),
+               ["terminal_id", "terminal_type", "terminal_city", "terminal_address"],
+               [["T1", "POS", "Moscow", "a"], ["T1", "POS", "Tver", "b"]])
+    wh = Warehouse(spark, d["wh"])
+    with pytest.raises(Exception, match="duplicate key terminal_id=T1"):
+        run_day(spark, wh, d["input"], d["archive"], daygen.sources(spark))
+    assert wh.state()["seq"] == 0                      # nothing published
+    assert len(os.listdir(d["input"])) == 3            # nothing archived
+
+
+def test_overlong_value_fails_day(spark, tmp_path):
+    d = {k: str(tmp_path / k) for k in ("input", "archive", "wh")}
+    daygen.write_day(d["input"], 0, extra_rows=[("x" * 25, "2021-03-01 10:00:00", "1,00", "C9", "P", "SUCCESS",
+                                                   "T1")])
+    wh = Warehouse(spark, d["wh"])
+    with pytest.raises(Exception, match="value too long in transactions.trans_id"):
+        run_day(spark, wh, d["input"], d["archive"], daygen.sources(spark))
+    assert wh.state()["seq"] == 0
+
+
+def test_rejects_are_counted_and_kept(spark, tmp_path):
+    d = {k: str(tmp_path / k) for k in ("input", "archive", "wh")}
+    daygen.write_day(d["input"], 0, extra_rows=[("777", "2021-03-01 10:00:00", "abc", "C9", "P", "SUCCESS", "T1")])
+    wh = Warehouse(spark, d["wh"])
+    r = run_day(spark, wh, d["input"], d["archive"], daygen.sources(spark))
+    assert r["rejects"] == 1
+    assert [x.trans_id for x in spark.read.parquet(f"{wh.epoch_root()}/rejects").collect()] == ["777"]
+    with pytest.raises(Exception, match="bad transaction row"):
+        files.restore_files(spark, d["archive"], d["input"])
+        run_day(spark, Warehouse(spark, str(tmp_path / "wh2")), d["input"], d["archive"],
+                daygen.sources(spark), operations=REFERENCE)
