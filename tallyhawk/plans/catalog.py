@@ -473,23 +473,24 @@ def write_day_inputs(spark, d, input_dir, day):
         .csv(f"{input_dir}/passport_blacklist_{name}.csv")
 
 
-def _run_pipeline(spark, d, replay=False):
+def _run_pipeline(spark, d, replay=False, semantics=REFERENCE):
     base = scratch_path(spark, "pipeline")
     inp, arc = f"{base}/input", f"{base}/archive"
     for day in PIPELINE_DAYS:
         write_day_inputs(spark, d, inp, day)
     wh = Warehouse(spark, f"{base}/warehouse")
     src = _pipeline_sources(spark, d)
-    pipe.run_days(spark, wh, inp, arc, src)
+    pipe.run_days(spark, wh, inp, arc, src, semantics=semantics)
     if replay:
         pipe.reset(spark, wh, inp, arc)
-        pipe.run_days(spark, wh, inp, arc, src)
+        pipe.run_days(spark, wh, inp, arc, src, semantics=semantics)
     return wh.read_report().select("event_dt", "passport", "fio", "phone", "event_type", "report_dt", "event_ts")
 
 
 QUERIES.update({
     "pipeline_three_days": lambda spark, d: _run_pipeline(spark, d),
     "replay_equals_first_run": lambda spark, d: _run_pipeline(spark, d, replay=True),
+    "pipeline_three_days_strict": lambda spark, d: _run_pipeline(spark, d, semantics=STRICT),
 })
 
 _PIPELINE_VIEWS = {
@@ -518,6 +519,7 @@ _PIPELINE_VIEWS = {
 ORACLE.update({
     "pipeline_three_days": oracle.report_sql(_PIPELINE_VIEWS),
     "replay_equals_first_run": oracle.report_sql(_PIPELINE_VIEWS),
+    "pipeline_three_days_strict": oracle.report_sql(_PIPELINE_VIEWS, strict=True),
 })
 
 

@@ -77,23 +77,35 @@ def _typed(df: DataFrame, name: str) -> DataFrame:
 log = logging.getLogger("tallyhawk")
 
 
-def merge_dimension(spark: SparkSession, wh: Warehouse, name: str, day: _dt.date, staged: DataFrame,
-                    source_keys: DataFrame, version: int, semantics: str) -> _dt.date:
-    """Merge one dimension into a new version in one job; returns its new watermark.
+# A strict history is rewritten in full (compacted) once its closed rows are
+# spread over this many versions.
+COMPACT_AFTER = 30
+
 
-    Duplicate keys and over-long values fail that job (nothing is published);
+def merge_dimension(spark: SparkSession, wh: Warehouse, name: str, day: _dt.date, staged: DataFrame,
+                    source_keys: DataFrame, version: int, semantics: str) -> tuple:
+    """Merge one dimension into a new version in one job; returns (version, watermark, closed versions).
+
+    strict: closed versions never change, so only the open rows take part in
+    the merge; the day's newly closed rows become one more closed partition.
+    reference: changes compare with every version and deletions re-stamp
+    closed rows (Q1, Q4), so the whole history is merged and rewritten.
+    Duplicate keys and over-long values fail the job (nothing is published);
     the watermark is observed while the version is written.
     """
     key, attrs, _ = DIMENSIONS[name]
-    hist = wh.read_table(name)
+    chain = wh.closed_versions(name)
+    incremental = semantics == STRICT and len(chain) < COMPACT_AFTER
+    hist = wh.read_history(name, open_only=incremental)
     if hist is None:
         hist = _empty_hist(spark, name)
     obs = Observation(f"{name}_watermark")
-    new_hist = scd2.scd2_merge(hist, staged, source_keys, day, key, attrs, semantics, observation=obs)
-    new_hist = checks.enforce_lengths(new_hist, MAX_LENGTHS[name], name)
-    new_hist.write.mode("overwrite").parquet(wh.table_path(name, version))
+    merged = scd2.scd2_merge(hist, staged, source_keys, day, key, attrs, semantics, observation=obs)
+    merged = checks.enforce_lengths(merged, MAX_LENGTHS[name], name)
+    wh.write_history(name, version, merged)
     latest = obs.get.get("max_update_dt")
-    return latest if latest is not None else wh.watermark(name)
+    return (version, latest if latest is not None else wh.watermark(name),
+            [*chain, version] if incremental else [version])
 
 
 def run_day(spark: SparkSession, wh: Warehouse, input_dir: str, archive_dir: str,
@@ -133,13 +145,13 @@ def run_day(spark: SparkSession, wh: Warehouse, input_dir: str, archive_dir: str
 
     # 2. terminals from the snapshot file
     snap = files.read_terminals(spark, picked[KIND_TERMINALS])   # duplicate ids fail the merge job
-    hist = wh.read_table("terminals")
-    if hist is None:
-        hist = _empty_hist(spark, "terminals")
+    current_terminals = wh.read_history("terminals", open_only=True)
+    if current_terminals is None:
+        current_terminals = _empty_hist(spark, "terminals")
     key, attrs, _ = DIMENSIONS["terminals"]
-    staged = scd2.stage_snapshot(snap, hist, key, attrs, wh.watermark("terminals"), day)
-    wm = merge_dimension(spark, wh, "terminals", day, staged, snap.select(key), version, semantics)
-    tables["terminals"] = (version, wm)
+    staged = scd2.stage_snapshot(snap, current_terminals, key, attrs, wh.watermark("terminals"), day)
+    tables["terminals"] = merge_dimension(spark, wh, "terminals", day, staged, snap.select(key), version,
+                                          semantics)
 
     # 3. blacklist, full refresh
     bl = files.read_blacklist(spark, picked[KIND_BLACKLIST])
@@ -152,19 +164,20 @@ def run_day(spark: SparkSession, wh: Warehouse, input_dir: str, archive_dir: str
         key, attrs, _ = DIMENSIONS[name]
         frame = _typed(frame, name)
         staged = scd2.stage_incremental(frame, key, attrs, wh.watermark(name), day, semantics=semantics)
-        wm = merge_dimension(spark, wh, name, day, staged, frame.select(key), version, semantics)
-        tables[name] = (version, wm)
+        tables[name] = merge_dimension(spark, wh, name, day, staged, frame.select(key), version, semantics)
 
-    # 5. report over the versions just written (read back: the lineage stops here)
+    # 5. report over the versions just written (read back: the lineage stops here);
+    # rules use current rows only, so only the open partitions are read
     def read(name):
-        return spark.read.parquet(wh.table_path(name, version))
+        return wh.read_history(name, open_only=True, version=version)
 
     chain = chain_for_join(read("cards"), read("accounts"), read("clients"))
     tx_day = wh.read_facts(day)
     # rule 4 reads the day's file in the reference; with day overwrite the fact
     # partition holds exactly the file's rows, so it is read from there
     probe = files.scan_transactions(spark, picked[KIND_TRANSACTIONS])[0] if operations == REFERENCE else None
-    report = fraud.fraud_report(tx_day, chain, read("blacklist"), read("terminals"), semantics,
+    blacklist = spark.read.parquet(wh.table_path("blacklist", version))
+    report = fraud.fraud_report(tx_day, chain, blacklist, read("terminals"), semantics,
                                 report_day=day, probe_tx=probe)
     facts.write_partitioned(report, wh.report_path(), "report_dt", fact_mode)
 

@@ -4,12 +4,18 @@ Layout under ``root`` (any Hadoop file system)::
 
     epoch=<e>/fact_transactions/trans_day=<d>/      facts, by day
     epoch=<e>/report/report_dt=<d>/                 fraud report, by day
-    epoch=<e>/dims/<name>/v=<n>/                    full history of a dimension, version n
+    epoch=<e>/dims/<name>/v=<n>/is_open=<b>/        a dimension version, split open / closed rows
     epoch=<e>/blacklist/v=<n>/                      blacklist snapshot, version n
     log/c<n>/                                       commit log (append-only)
 
 Dimension versions are immutable: day n reads version n-1 and writes a new
-version n, never the path it reads. A day becomes visible only when its
+version n, never the path it reads. Each version is partitioned by
+``is_open``. The history at version n is its open rows plus the closed rows
+of every version listed in its commit (``closed_versions``): a strict day
+merges only the open rows and adds its newly closed rows as one more
+closed partition, so daily work follows the current dimension, not its
+whole history; a full rewrite (reference semantics, or compaction) lists
+only itself. A day becomes visible only when its
 commit row (watermarks + version numbers) is written -- the last step. A
 crash before that leaves the previous state intact; a rerun writes fresh
 version paths. A full reset (the reference's "drop all tables") starts a new
@@ -24,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhawk.schemas import DIMENSIONS, INITIAL_WATERMARK
+from tallyhawk.schemas import DIMENSIONS, INITIAL_WATERMARK, OPEN_END
 
 LOG_SCHEMA = T.StructType([
     T.StructField("seq", T.LongType()),
@@ -35,6 +41,7 @@ LOG_SCHEMA = T.StructType([
     T.StructField("version", T.LongType()),
     T.StructField("max_update_dt", T.DateType()),
     T.StructField("committed_at", T.TimestampType()),
+    T.StructField("closed_versions", T.ArrayType(T.LongType())),
 ])
 
 TABLES = [*DIMENSIONS, "blacklist"]
@@ -67,7 +74,8 @@ class Warehouse:
                       "kind": rows[0]["kind"], "tables": {}}
                 for r in rows:
                     if r["table_name"]:
-                        st["tables"][r["table_name"]] = (r["version"], r["max_update_dt"])
+                        st["tables"][r["table_name"]] = (r["version"], r["max_update_dt"],
+                                                         list(r["closed_versions"] or []))
         self._state = st
         return st
 
@@ -79,14 +87,19 @@ class Warehouse:
         v = self.state()["tables"].get(table)
         return v[0] if v else None
 
-    def commit(self, day: _dt.date | None, tables: dict[str, tuple[int | None, _dt.date | None]],
+    def closed_versions(self, table: str) -> list[int]:
+        v = self.state()["tables"].get(table)
+        return list(v[2]) if v else []
+
+    def commit(self, day: _dt.date | None, tables: dict[str, tuple],
                kind: str = "run", epoch: int | None = None) -> int:
+        """Publish a day. ``tables``: name -> (version, watermark[, closed_versions])."""
         st = self.state()
         seq = st["seq"] + 1
         ep = st["epoch"] if epoch is None else epoch
         now = _dt.datetime.now(_dt.timezone.utc)
-        rows = [(seq, ep, kind, day, t, v, wm, now) for t, (v, wm) in tables.items()] or \
-               [(seq, ep, kind, day, None, None, None, now)]
+        rows = [(seq, ep, kind, day, t, spec[0], spec[1], now, list(spec[2]) if len(spec) > 2 else None)
+                for t, spec in tables.items()] or [(seq, ep, kind, day, None, None, None, now, None)]
         (self.spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1)
          .write.mode("errorifexists").parquet(f"{self.root}/log/_c{seq:09d}"))
         # written under a hidden name, then published by one directory rename
@@ -115,6 +128,36 @@ class Warehouse:
             return None
         return self.spark.read.parquet(self.table_path(table, v))
 
+    def write_history(self, table: str, version: int, hist: DataFrame) -> None:
+        """Write a dimension version split by ``is_open`` (one job)."""
+        open_now = (F.col("effective_to") == F.lit(OPEN_END)) & (F.col("deleted_flg") == F.lit(False))
+        (hist.withColumn("is_open", F.coalesce(open_now, F.lit(False)))
+             .write.mode("overwrite").partitionBy("is_open").parquet(self.table_path(table, version)))
+
+    def read_history(self, table: str, open_only: bool = False, version: int | None = None,
+                     closed: list[int] | None = None) -> DataFrame | None:
+        """A dimension's history (or only its open rows) at the committed version."""
+        v = self.version(table) if version is None else version
+        if v is None:
+            return None
+        fields = DIMENSIONS[table][2].fields
+        cols = [f.name for f in fields]
+        schema = T.StructType([*fields, T.StructField("is_open", T.BooleanType())])
+        out = self.spark.read.schema(schema).parquet(self.table_path(table, v)) \
+            .filter(F.col("is_open")).select(*cols)
+        if not open_only:
+            chain = self.closed_versions(table) if closed is None else closed
+            leaves = [f"{self.table_path(table, k)}/is_open=false" for k in chain]
+            leaves = [p for p in leaves if self._exists(p)]      # a day may close nothing
+            if leaves:
+                root = self.table_path(table, 0).rsplit("/", 1)[0]
+                closed_schema = T.StructType([*fields, T.StructField("v", T.LongType()),
+                                              T.StructField("is_open", T.BooleanType())])
+                old = (self.spark.read.schema(closed_schema).option("basePath", root)
+                       .parquet(*leaves).select(*cols))
+                out = out.unionByName(old)
+        return out
+
     def read_facts(self, day: _dt.date | None = None) -> DataFrame:
         df = self.spark.read.parquet(self.facts_path())
         return df if day is None else df.filter(F.col("trans_day") == F.lit(day))

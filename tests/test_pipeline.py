@@ -55,12 +55,12 @@ def test_three_days(spark, dirs):
     assert r3 == [(1, 3, "1111 000004", "15:00:00"), (2, 3, "1111 000002", "15:00:00")]
     # terminals history: T2 deleted on day 2, lost for good on return (reference Q5)
     term = {(r.terminal_id, r.terminal_city, r.effective_from.day, r.deleted_flg)
-            for r in spark.read.parquet(wh.table_path("terminals", wh.version("terminals"))).collect()}
+            for r in wh.read_history("terminals").collect()}
     assert ("T2", "SPB", 1, True) in term and ("T1", "Tver", 2, False) in term
     assert wh.watermark("terminals") == daygen.DAYS[2] or wh.watermark("terminals") == daygen.DAYS[1]
     assert wh.watermark("cards") == daygen.DAYS[2]   # NULL update_dt: staged every day
     # fio is NULL when a name part is NULL
-    k3 = spark.read.parquet(wh.table_path("clients", wh.version("clients"))).filter("client_id = 'K3'")
+    k3 = wh.read_history("clients").filter("client_id = 'K3'")
     assert k3.select("fio").first()[0] is None
 
 
@@ -77,14 +77,17 @@ def test_rerun_day(spark, dirs, operations, factor):
 def test_replay_equals_first_run(spark, dirs):
     wh = Warehouse(spark, dirs["wh"])
     run_days(spark, wh, dirs["input"], dirs["archive"], daygen.sources(spark), operations=STRICT)
-    first = {t: sorted(map(tuple, spark.read.parquet(wh.table_path(t, wh.version(t))).collect()), key=repr)
-             for t in ("terminals", "cards", "accounts", "clients", "blacklist")}
+    def tables():
+        out = {t: sorted(map(tuple, wh.read_history(t).collect()), key=repr)
+               for t in ("terminals", "cards", "accounts", "clients")}
+        out["blacklist"] = sorted(map(tuple, wh.read_table("blacklist").collect()), key=repr)
+        return out
+    first = tables()
     rep1 = _report(wh)
     reset(spark, wh, dirs["input"], dirs["archive"])
     assert wh.state()["tables"] == {}
     run_days(spark, wh, dirs["input"], dirs["archive"], daygen.sources(spark), operations=STRICT)
-    again = {t: sorted(map(tuple, spark.read.parquet(wh.table_path(t, wh.version(t))).collect()), key=repr)
-             for t in first}
+    again = tables()
     assert again == first
     assert _report(wh) == rep1
 
@@ -177,3 +180,24 @@ def test_rejects_are_counted_and_kept(spark, tmp_path):
         files.restore_files(spark, d["archive"], d["input"])
         run_day(spark, Warehouse(spark, str(tmp_path / "wh2")), d["input"], d["archive"],
                 daygen.sources(spark), operations=REFERENCE)
+
+
+def test_strict_days_merge_only_open_rows(spark, dirs):
+    """Strict: each day adds one closed partition; the assembled history equals a full rewrite."""
+    from tallyhawk.plans import pipeline as pipe
+    wh = Warehouse(spark, dirs["wh"])
+    run_days(spark, wh, dirs["input"], dirs["archive"], daygen.sources(spark), semantics=STRICT)
+    chain = wh.closed_versions("terminals")
+    assert chain == [1, 2, 3]
+    incremental = sorted(map(tuple, wh.read_history("terminals").collect()), key=repr)
+    # the same days with compaction forced every day (full history merged and rewritten)
+    files.restore_files(spark, dirs["archive"], dirs["input"])
+    wh2 = Warehouse(spark, dirs["wh"] + "_full")
+    old = pipe.COMPACT_AFTER
+    pipe.COMPACT_AFTER = 0
+    try:
+        run_days(spark, wh2, dirs["input"], dirs["archive"], daygen.sources(spark), semantics=STRICT)
+    finally:
+        pipe.COMPACT_AFTER = old
+    assert wh2.closed_versions("terminals") == [3]
+    assert sorted(map(tuple, wh2.read_history("terminals").collect()), key=repr) == incremental
