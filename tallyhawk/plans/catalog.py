@@ -388,7 +388,18 @@ def q_scan_snapshot(spark, d):
     return file_ops.read_terminals(spark, path)
 
 
+def q_scan_snapshot_xlsx(spark, d):
+    """The current terminals written as workbooks (one per partition) and read back by the xlsx job."""
+    from tallyhawk.sources.excel import write_xlsx_files
+    path = scratch_path(spark, "input") + "/terminals_01012024.xlsx"
+    snap = chain_ops.current(fx.terminals(spark, d)).select(
+        "terminal_id", "terminal_type", "terminal_city", "terminal_address")
+    write_xlsx_files(snap, path).collect()   # one (path, rows) row per written file
+    return file_ops.read_terminals(spark, path)
+
+
 QUERIES.update({
+    "scan_snapshot_xlsx": q_scan_snapshot_xlsx,
     "file_day": q_file_day,
     "pick_files": _pick(STRICT),
     "pick_files_reference": _pick(REFERENCE),
@@ -432,6 +443,7 @@ ORACLE.update({
         terminal_city, terminal_address from terminals
         where deleted_flg = false and effective_to = date '2999-01-01'""", "terminals"),
 })
+ORACLE["scan_snapshot_xlsx"] = ORACLE["scan_snapshot"]
 
 
 # --- the daily pipeline end to end -----------------------------------------------------

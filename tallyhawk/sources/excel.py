@@ -213,3 +213,38 @@ def xlsx_bytes(header: list[str], rows: list[list]) -> bytes:
 def write_xlsx(path: str, header: list[str], rows: list[list]) -> None:
     with open(path, "wb") as f:
         f.write(xlsx_bytes(header, rows))
+
+
+XLSX_MAX_ROWS = 1_048_575   # a sheet holds 1,048,576 rows including the header
+
+
+def write_xlsx_files(df: DataFrame, path: str) -> DataFrame:
+    """Write each partition of ``df`` as one workbook under ``path``; returns (path, rows) per file.
+
+    Lazy: run it with an action (the result is one row per file). Each task
+    writes its own file through ``pyarrow.fs`` (local, HDFS or object store),
+    so nothing passes through the driver. Partitions must stay below the
+    sheet limit; repartition first for larger frames.
+    """
+    names = df.columns
+
+    def write(batches):
+        import uuid
+
+        import pyarrow.fs as pafs
+        fs, root = pafs.FileSystem.from_uri(path if "://" in path else "file://" + path)
+        fs.create_dir(root, recursive=True)
+        rows = []
+        for pdf in batches:
+            rows.extend([None if (isinstance(v, float) and v != v) else v for v in r]
+                        for r in pdf.itertuples(index=False, name=None))
+        if not rows:
+            return
+        if len(rows) > XLSX_MAX_ROWS:
+            raise ValueError(f"{len(rows)} rows do not fit one sheet; repartition before writing")
+        target = f"{root}/part-{uuid.uuid4().hex}.xlsx"
+        with fs.open_output_stream(target) as f:
+            f.write(xlsx_bytes(names, rows))
+        yield pd.DataFrame({"path": [target], "rows": [len(rows)]})
+
+    return df.mapInPandas(write, "path string, rows long")
