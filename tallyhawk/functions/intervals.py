@@ -13,8 +13,6 @@ _UNITS = {
     "hour": 3_600_000_000, "day": 86_400_000_000, "week": 604_800_000_000,
 }
 
-EPOCH_NTZ = _dt.datetime(1970, 1, 1)
-
 
 def to_micros(span: str | _dt.timedelta | int) -> int:
     """``"20 minutes"``, ``"1 hour"``, a timedelta or a microsecond count -> microseconds."""
@@ -43,4 +41,5 @@ def micros_between(start: str | Column, end: str | Column) -> Column:
 
 def epoch_micros(ts: str | Column) -> Column:
     """Microseconds since 1970-01-01 00:00:00 of a timestamp without time zone."""
-    return micros_between(F.lit(EPOCH_NTZ).cast("timestamp_ntz"), ts)
+    # a string literal casts to timestamp_ntz without the session time zone
+    return micros_between(F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)

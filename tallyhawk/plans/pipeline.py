@@ -172,13 +172,14 @@ def run_day(spark: SparkSession, wh: Warehouse, input_dir: str, archive_dir: str
         return wh.read_history(name, open_only=True, version=version)
 
     chain = chain_for_join(read("cards"), read("accounts"), read("clients"))
-    tx_day = wh.read_facts(day)
+    report_day = picked["days"].get(KIND_TRANSACTIONS) or day
+    tx_day = wh.read_facts(report_day)
     # rule 4 reads the day's file in the reference; with day overwrite the fact
     # partition holds exactly the file's rows, so it is read from there
     probe = files.scan_transactions(spark, picked[KIND_TRANSACTIONS])[0] if operations == REFERENCE else None
     blacklist = spark.read.parquet(wh.table_path("blacklist", version))
     report = fraud.fraud_report(tx_day, chain, blacklist, read("terminals"), semantics,
-                                report_day=day, probe_tx=probe)
+                                report_day=report_day, probe_tx=probe)
     facts.write_partitioned(report, wh.report_path(), "report_dt", fact_mode)
 
     # 6. publish, then archive

@@ -232,7 +232,12 @@ def write_xlsx_files(df: DataFrame, path: str) -> DataFrame:
         import uuid
 
         import pyarrow.fs as pafs
-        fs, root = pafs.FileSystem.from_uri(path if "://" in path else "file://" + path)
+        uri = path
+        if uri.startswith("file:") and not uri.startswith("file://"):
+            uri = "file://" + uri[len("file:"):]
+        elif "://" not in uri:
+            uri = "file://" + uri
+        fs, root = pafs.FileSystem.from_uri(uri)
         fs.create_dir(root, recursive=True)
         rows = []
         for pdf in batches:

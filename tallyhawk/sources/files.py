@@ -148,16 +148,18 @@ def choose_files(listing: DataFrame, semantics: str = STRICT) -> DataFrame:
 
 
 def pick_files(spark: SparkSession, input_dir: str, semantics: str = STRICT) -> dict:
-    """The next day's inputs as ``{"day": date, kind: path, ...}`` (``{}`` when none is left).
+    """The next day's inputs as ``{"day": date, "days": {kind: date}, kind: path, ...}``.
 
-    The day is the terminals file's day (used for every table of the run).
+    ``day`` is the terminals file's day, used for the dimensions (Q8); the
+    report uses the transactions file's day. They differ only when reference
+    picking pairs files of different days. ``{}`` when nothing is left.
     """
     rows = choose_files(list_inputs(spark, input_dir), semantics).collect()   # at most 3 rows
     out = {r["kind"]: r["path"] for r in rows}
     if not rows:
         return {}
-    days = {r["kind"]: r["day"] for r in rows}
-    out["day"] = days.get("terminals", rows[0]["day"])
+    out["days"] = {r["kind"]: r["day"] for r in rows}
+    out["day"] = out["days"].get("terminals", rows[0]["day"])
     return out
 
 

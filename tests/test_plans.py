@@ -72,3 +72,23 @@ def test_report_joins_chain_once(spark):
     assert plan.count("Join Inner") == 4
     # the blacklist is joined once, as an existence flag
     assert plan.count("Join LeftOuter") == 1
+
+
+def test_report_without_broadcast_matches(spark):
+    """Above the row bound nothing is broadcast; the shuffle-join plan gives the same rows."""
+    from tallyhawk.operators.chain import chain_for_join
+    args = (fx.tx(spark, SF_SMALL), fx.blacklist(spark, SF_SMALL), fx.terminals(spark, SF_SMALL))
+    cards, accounts, clients = fx.cards(spark, SF_SMALL), fx.accounts(spark, SF_SMALL), fx.clients(spark, SF_SMALL)
+    want = sorted(map(tuple, catalog.q_fraud_report(spark, SF_SMALL).collect()), key=repr)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        chain = chain_for_join(cards, accounts, clients, max_rows=1)
+        rep = fraud.fraud_report(args[0], chain, args[1], args[2], max_broadcast_rows=1)
+        plan = _plan(rep)
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+        assert sorted(map(tuple, rep.collect()), key=repr) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
