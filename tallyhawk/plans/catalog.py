@@ -596,6 +596,23 @@ def q_stream_amount_probe(spark, d):
 
 QUERIES["stream_amount_probe"] = q_stream_amount_probe
 
+
+def q_stream_ingest_three_days(spark, d):
+    """The three daily loads triggered by a file stream (foreachBatch) instead of a loop."""
+    from tallyhawk.streaming.ingest import ingest_on_arrival
+    base = scratch_path(spark, "ingest")
+    inp = f"{base}/input"
+    for day in reversed(PIPELINE_DAYS):          # arrive out of order; loaded by parsed day
+        write_day_inputs(spark, d, inp, day)
+    wh = Warehouse(spark, f"{base}/warehouse")
+    ingest_on_arrival(spark, wh, inp, f"{base}/archive", _pipeline_sources(spark, d),
+                      f"{base}/checkpoint").awaitTermination()
+    return wh.read_report().select("event_dt", "passport", "fio", "phone", "event_type", "report_dt", "event_ts")
+
+
+QUERIES["stream_ingest_three_days"] = q_stream_ingest_three_days
+ORACLE["stream_ingest_three_days"] = ORACLE["pipeline_three_days"]
+
 _STREAM_TX = {"tx": _PIPELINE_VIEWS["tx"].split(" where cast(ts as date) between")[0]}
 ORACLE["stream_amount_probe"] = f"""{oracle._ctes("tx", views=_STREAM_TX)},
       {oracle.r4_hits_sql("interval 3 day", per_day=False)}

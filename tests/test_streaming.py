@@ -37,3 +37,19 @@ def test_sequence_across_files(spark, tmp_path):
     tx, _ = files.scan_transactions(spark, str(inp / "transactions_*.txt"))
     assert [r.trans_id for r in fraud.amount_probes(tx, per_day=False).collect()] == ["4"]
     assert fraud.amount_probes(tx, per_day=True).count() == 0
+
+
+def test_ingest_on_arrival(spark, tmp_path):
+    import daygen
+    from tallyhawk.plans.state import Warehouse
+    from tallyhawk.streaming.ingest import ingest_on_arrival
+    inp, arc, ck = str(tmp_path / "in"), str(tmp_path / "arc"), str(tmp_path / "ck")
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    daygen.write_day(inp, 1)          # out of order: day 2 arrives first, then day 1
+    daygen.write_day(inp, 0)
+    ingest_on_arrival(spark, wh, inp, arc, daygen.sources(spark), ck).awaitTermination()
+    assert wh.state()["day"] == daygen.DAYS[1] and wh.state()["seq"] == 2
+    daygen.write_day(inp, 2)
+    ingest_on_arrival(spark, wh, inp, arc, daygen.sources(spark), ck).awaitTermination()
+    assert wh.state()["day"] == daygen.DAYS[2] and wh.state()["seq"] == 3
+    assert sorted(r.report_dt for r in wh.read_report().select("report_dt").distinct().collect()) == daygen.DAYS
