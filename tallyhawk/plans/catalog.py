@@ -8,11 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyhawk.functions.scalars import decimal_comma as _decimal_comma
+from tallyhawk.operators import asof as asof_ops
 from tallyhawk.operators import chain as chain_ops
-from tallyhawk.operators import fraud
+from tallyhawk.operators import checks as check_ops
+from tallyhawk.operators import facts as fact_ops
+from tallyhawk.operators import fraud, sequence
+from tallyhawk.operators import scd2 as scd2_ops
 from tallyhawk.plans import fixtures as fx
-from tallyhawk.plans import oracle
-from tallyhawk.schemas import REFERENCE, STRICT
+from tallyhawk.plans import history, oracle
+from tallyhawk.plans import pipeline as pipe
+from tallyhawk.plans.state import Warehouse
+from tallyhawk.schemas import DIMENSIONS, REFERENCE, STRICT
+from tallyhawk.session import scratch_path
+from tallyhawk.sources import files as file_ops
+from tallyhawk.streaming import amount_probe as stream_ops
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,7 +67,6 @@ def q_fraud_expired_contract_strict(spark, d):
 
 def q_txn_gap(spark, d):
     """Gap to the next operation of the card on the same day, in whole seconds."""
-    from tallyhawk.operators import sequence
     t = fx.tx(spark, d).select("trans_id", "card_num", "trans_day", "trans_date")
     t = t.withColumn("ts_s", F.date_trunc("second", "trans_date"))
     n = sequence.with_next(t, ["card_num", "trans_day"], ["trans_date", "trans_id"], ["ts_s"],
@@ -139,9 +148,6 @@ ORACLE: dict[str, str] = {
 
 # --- SCD2 ----------------------------------------------------------------------------
 
-from tallyhawk.operators import scd2 as scd2_ops  # noqa: E402
-from tallyhawk.plans import history  # noqa: E402
-from tallyhawk.schemas import DIMENSIONS  # noqa: E402
 
 
 def _fold(spark, d, shape, staging, semantics):
@@ -295,11 +301,6 @@ ORACLE.update({
 
 # --- files, sinks, checks ------------------------------------------------------------
 
-from tallyhawk.functions.scalars import decimal_comma as _decimal_comma  # noqa: E402
-from tallyhawk.operators import checks as check_ops  # noqa: E402
-from tallyhawk.operators import facts as fact_ops  # noqa: E402
-from tallyhawk.session import scratch_path  # noqa: E402
-from tallyhawk.sources import files as file_ops  # noqa: E402
 
 _EXT = {"transactions": ".txt", "terminals": ".xlsx", "passport_blacklist": ".xlsx"}
 
@@ -448,8 +449,6 @@ ORACLE["scan_snapshot_xlsx"] = ORACLE["scan_snapshot"]
 
 # --- the daily pipeline end to end -----------------------------------------------------
 
-from tallyhawk.plans import pipeline as pipe  # noqa: E402
-from tallyhawk.plans.state import Warehouse  # noqa: E402
 
 PIPELINE_DAYS = (_dt.date(2024, 1, 1), _dt.date(2024, 1, 2), _dt.date(2024, 1, 3))
 
@@ -537,7 +536,6 @@ ORACLE.update({
 
 # --- many days in one job (as-of) --------------------------------------------------------
 
-from tallyhawk.operators import asof as asof_ops  # noqa: E402
 
 ASOF_DAYS = (_dt.date(2024, 1, 1), _dt.date(2024, 1, 10), _dt.date(2024, 1, 20))
 
@@ -576,7 +574,6 @@ ORACLE.update({
 
 # --- streaming ----------------------------------------------------------------------------
 
-from tallyhawk.streaming import amount_probe as stream_ops  # noqa: E402
 
 STREAM_CHUNKS = ((1, 10), (11, 20), (21, 31))
 
