@@ -45,15 +45,17 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                       probe: DataFrame | None = None) -> DataFrame:
+                       probe: DataFrame | None = None, known_rows: int | None = None) -> DataFrame:
     """Broadcast ``df`` only behind a proven row bound; otherwise leave it to a shuffle join.
 
     ``probe`` is a cheaper frame whose row count bounds ``df`` (e.g. the
     current cards for the whole chain, whose inner joins are on unique keys).
+    ``known_rows`` is such a bound already measured (recorded when the table
+    was written); then no job runs.
     """
-    if fits_broadcast(probe if probe is not None else df, max_rows):
-        return F.broadcast(df)
-    return df
+    small = known_rows <= max_rows if known_rows is not None else \
+        fits_broadcast(probe if probe is not None else df, max_rows)
+    return F.broadcast(df) if small else df
 
 
 def dim_chain(cards: DataFrame, accounts: DataFrame, clients: DataFrame) -> DataFrame:
@@ -72,7 +74,10 @@ def dim_chain(cards: DataFrame, accounts: DataFrame, clients: DataFrame) -> Data
 
 
 def chain_for_join(cards: DataFrame, accounts: DataFrame, clients: DataFrame,
-                   max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """The chain, broadcast when the current cards bound it below ``max_rows``."""
+                   max_rows: int = BROADCAST_MAX_ROWS, card_rows: int | None = None) -> DataFrame:
+    """The chain, broadcast when the current cards bound it below ``max_rows``.
+
+    ``card_rows``: the number of current cards if already known.
+    """
     chain = dim_chain(cards, accounts, clients)
-    return broadcast_if_small(chain, max_rows, probe=current(cards).select("card_num"))
+    return broadcast_if_small(chain, max_rows, probe=current(cards).select("card_num"), known_rows=card_rows)

@@ -244,7 +244,8 @@ def fraud_report(tx: DataFrame, chain: DataFrame, blacklist: DataFrame, terminal
                  semantics: str = REFERENCE, report_day=None, probe_tx: DataFrame | None = None,
                  city_gap=CITY_HOP_GAP, probe_span=PROBE_SPAN,
                  split: str | None = sequence.DEFAULT_SPLIT,
-                 max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                 max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+                 terminal_rows: int | None = None, blacklist_rows: int | None = None) -> DataFrame:
     """All four rules as one bag union (a transaction may appear under several rules).
 
     Equal to the union of the four rule functions, but planned so the chain is
@@ -252,13 +253,14 @@ def fraud_report(tx: DataFrame, chain: DataFrame, blacklist: DataFrame, terminal
     per-card hits of rules 3 and 4 are unioned, joined to the chain and the
     blacklist in one pass, and each row then emits the rules it satisfies.
     ``probe_tx`` is the input of rule 4 (the reference reads the day's file
-    rather than the fact table); defaults to ``tx``.
+    rather than the fact table); defaults to ``tx``. ``terminal_rows`` /
+    ``blacklist_rows`` are row bounds already known (recorded at write time).
     """
     _check_semantics(semantics)
     rd = _report_day(report_day)
-    term = broadcast_if_small(current(terminals), max_broadcast_rows)
+    term = broadcast_if_small(current(terminals), max_broadcast_rows, known_rows=terminal_rows)
     bl = blacklist.select("passport_num").distinct().withColumn("_listed", F.lit(True))
-    bl = broadcast_if_small(bl, max_broadcast_rows)
+    bl = broadcast_if_small(bl, max_broadcast_rows, known_rows=blacklist_rows)
 
     base = tx.select("card_num", F.col("trans_date").alias("event_ts"), "trans_day",
                      F.lit(0).alias("_rule"))

@@ -102,10 +102,10 @@ def merge_dimension(spark: SparkSession, wh: Warehouse, name: str, day: _dt.date
     obs = Observation(f"{name}_watermark")
     merged = scd2.scd2_merge(hist, staged, source_keys, day, key, attrs, semantics, observation=obs)
     merged = checks.enforce_lengths(merged, MAX_LENGTHS[name], name)
-    wh.write_history(name, version, merged)
+    open_rows = wh.write_history(name, version, merged)
     latest = obs.get.get("max_update_dt")
     return (version, latest if latest is not None else wh.watermark(name),
-            [*chain, version] if incremental else [version])
+            [*chain, version] if incremental else [version], open_rows)
 
 
 def run_day(spark: SparkSession, wh: Warehouse, input_dir: str, archive_dir: str,
@@ -156,8 +156,9 @@ def run_day(spark: SparkSession, wh: Warehouse, input_dir: str, archive_dir: str
     # 3. blacklist, full refresh
     bl = files.read_blacklist(spark, picked[KIND_BLACKLIST])
     checks.assert_unique_key(bl, "passport_num", "blacklist file")
-    facts.refresh_snapshot(bl, wh.table_path("blacklist", version))
-    tables["blacklist"] = (version, None)
+    bl_obs = Observation("blacklist_rows")
+    facts.refresh_snapshot(bl.observe(bl_obs, F.count(F.lit(1)).alias("rows")), wh.table_path("blacklist", version))
+    tables["blacklist"] = (version, None, None, int(bl_obs.get.get("rows", 0)))
 
     # 4. cards, accounts, clients from the relational sources
     for name, frame in _source_frames(src).items():
@@ -171,7 +172,8 @@ def run_day(spark: SparkSession, wh: Warehouse, input_dir: str, archive_dir: str
     def read(name):
         return wh.read_history(name, open_only=True, version=version)
 
-    chain = chain_for_join(read("cards"), read("accounts"), read("clients"))
+    # row counts recorded while the versions were written bound the broadcasts: no probing jobs
+    chain = chain_for_join(read("cards"), read("accounts"), read("clients"), card_rows=tables["cards"][3])
     report_day = picked["days"].get(KIND_TRANSACTIONS) or day
     tx_day = wh.read_facts(report_day)
     # rule 4 reads the day's file in the reference; with day overwrite the fact
@@ -179,7 +181,8 @@ def run_day(spark: SparkSession, wh: Warehouse, input_dir: str, archive_dir: str
     probe = files.scan_transactions(spark, picked[KIND_TRANSACTIONS])[0] if operations == REFERENCE else None
     blacklist = spark.read.parquet(wh.table_path("blacklist", version))
     report = fraud.fraud_report(tx_day, chain, blacklist, read("terminals"), semantics,
-                                report_day=report_day, probe_tx=probe)
+                                report_day=report_day, probe_tx=probe,
+                                terminal_rows=tables["terminals"][3], blacklist_rows=tables["blacklist"][3])
     facts.write_partitioned(report, wh.report_path(), "report_dt", fact_mode)
 
     # 6. publish, then archive

@@ -42,6 +42,7 @@ LOG_SCHEMA = T.StructType([
     T.StructField("max_update_dt", T.DateType()),
     T.StructField("committed_at", T.TimestampType()),
     T.StructField("closed_versions", T.ArrayType(T.LongType())),
+    T.StructField("open_rows", T.LongType()),       # current rows, counted while written
 ])
 
 TABLES = [*DIMENSIONS, "blacklist"]
@@ -75,7 +76,7 @@ class Warehouse:
                 for r in rows:
                     if r["table_name"]:
                         st["tables"][r["table_name"]] = (r["version"], r["max_update_dt"],
-                                                         list(r["closed_versions"] or []))
+                                                         list(r["closed_versions"] or []), r["open_rows"])
         self._state = st
         return st
 
@@ -91,20 +92,31 @@ class Warehouse:
         v = self.state()["tables"].get(table)
         return list(v[2]) if v else []
 
+    def open_rows(self, table: str) -> int | None:
+        """Rows of the table's current version that are open, as counted when it was written."""
+        v = self.state()["tables"].get(table)
+        return v[3] if v else None
+
     def commit(self, day: _dt.date | None, tables: dict[str, tuple],
                kind: str = "run", epoch: int | None = None) -> int:
-        """Publish a day. ``tables``: name -> (version, watermark[, closed_versions])."""
+        """Publish a day. ``tables``: name -> (version, watermark[, closed_versions[, open_rows]]).
+
+        The caller is the warehouse's single writer, so the new state is kept
+        in memory instead of being read back from the log.
+        """
         st = self.state()
         seq = st["seq"] + 1
         ep = st["epoch"] if epoch is None else epoch
         now = _dt.datetime.now(_dt.timezone.utc)
-        rows = [(seq, ep, kind, day, t, spec[0], spec[1], now, list(spec[2]) if len(spec) > 2 else None)
-                for t, spec in tables.items()] or [(seq, ep, kind, day, None, None, None, now, None)]
+        specs = {t: (tuple(spec) + (None, None))[:4] for t, spec in tables.items()}
+        rows = [(seq, ep, kind, day, t, v, wm, now, list(cv) if cv is not None else None, n)
+                for t, (v, wm, cv, n) in specs.items()] or [(seq, ep, kind, day, None, None, None, now, None, None)]
         (self.spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1)
          .write.mode("errorifexists").parquet(f"{self.root}/log/_c{seq:09d}"))
         # written under a hidden name, then published by one directory rename
         self._rename(f"{self.root}/log/_c{seq:09d}", f"{self.root}/log/c{seq:09d}")
-        self._state = None
+        self._state = {"seq": seq, "epoch": ep, "day": day, "kind": kind,
+                       "tables": {t: (v, wm, list(cv or []), n) for t, (v, wm, cv, n) in specs.items()}}
         return seq
 
     # -- paths ---------------------------------------------------------------------------
@@ -128,11 +140,15 @@ class Warehouse:
             return None
         return self.spark.read.parquet(self.table_path(table, v))
 
-    def write_history(self, table: str, version: int, hist: DataFrame) -> None:
-        """Write a dimension version split by ``is_open`` (one job)."""
+    def write_history(self, table: str, version: int, hist: DataFrame) -> int:
+        """Write a dimension version split by ``is_open`` (one job); returns its open row count."""
+        from pyspark.sql import Observation
         open_now = (F.col("effective_to") == F.lit(OPEN_END)) & (F.col("deleted_flg") == F.lit(False))
+        obs = Observation(f"{table}_rows")
         (hist.withColumn("is_open", F.coalesce(open_now, F.lit(False)))
+             .observe(obs, F.count(F.when(F.col("is_open"), 1)).alias("open_rows"))
              .write.mode("overwrite").partitionBy("is_open").parquet(self.table_path(table, version)))
+        return int(obs.get.get("open_rows", 0))
 
     def read_history(self, table: str, open_only: bool = False, version: int | None = None,
                      closed: list[int] | None = None) -> DataFrame | None:
