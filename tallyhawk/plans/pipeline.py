@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import logging
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -124,48 +125,59 @@ def run_day(spark: SparkSession, wh: Warehouse, input_dir: str, archive_dir: str
 
     log.info("run_day %s on Spark %s", day, spark.version)
 
-    # 1. facts: one pass parses, checks lengths, counts rejects and writes the day
-    parsed = files.parse_transactions(files.read_transactions_raw(spark, picked[KIND_TRANSACTIONS]))
-    obs = Observation("transactions")
-    parsed = parsed.observe(obs, F.count(F.lit(1)).alias("rows"),
-                            F.count(F.col("_reject")).alias("rejects"))
-    keep = F.col("_reject").isNull()
-    if operations == REFERENCE:   # a bad row fails the load, as in the reference
-        keep = F.when(~keep, F.raise_error(F.concat(F.lit("bad transaction row: "), F.col("_reject")))) \
-            .otherwise(F.lit(True))
-    tx_file = parsed.filter(keep).drop("_reject", "_amount_text")
-    tx_file = checks.enforce_lengths(tx_file, MAX_LENGTHS["fact_transactions"], "transactions")
-    facts.write_partitioned(tx_file, wh.facts_path(), "trans_day", fact_mode)
-    n_rejects = obs.get.get("rejects", 0)
-    if n_rejects:   # a second pass only when something was rejected
-        _, rejects = files.scan_transactions(spark, picked[KIND_TRANSACTIONS])
-        rejects.withColumn("day", F.lit(day)).write.mode("append").parquet(f"{wh.epoch_root()}/rejects")
-
-    tables: dict[str, tuple[int, _dt.date | None]] = {}
-
-    # 2. terminals from the snapshot file
-    snap = files.read_terminals(spark, picked[KIND_TERMINALS])   # duplicate ids fail the merge job
-    current_terminals = wh.read_history("terminals", open_only=True)
-    if current_terminals is None:
-        current_terminals = _empty_hist(spark, "terminals")
-    key, attrs, _ = DIMENSIONS["terminals"]
-    staged = scd2.stage_snapshot(snap, current_terminals, key, attrs, wh.watermark("terminals"), day)
-    tables["terminals"] = merge_dimension(spark, wh, "terminals", day, staged, snap.select(key), version,
-                                          semantics)
-
-    # 3. blacklist, full refresh
-    bl = files.read_blacklist(spark, picked[KIND_BLACKLIST])
-    checks.assert_unique_key(bl, "passport_num", "blacklist file")
-    bl_obs = Observation("blacklist_rows")
-    facts.refresh_snapshot(bl.observe(bl_obs, F.count(F.lit(1)).alias("rows")), wh.table_path("blacklist", version))
-    tables["blacklist"] = (version, None, None, int(bl_obs.get.get("rows", 0)))
-
-    # 4. cards, accounts, clients from the relational sources
-    for name, frame in _source_frames(src).items():
+    def load_facts():
+        # one pass parses, checks lengths, counts rejects and writes the day
+        parsed = files.parse_transactions(files.read_transactions_raw(spark, picked[KIND_TRANSACTIONS]))
+        obs = Observation("transactions")
+        parsed = parsed.observe(obs, F.count(F.lit(1)).alias("rows"),
+                                F.count(F.col("_reject")).alias("rejects"))
+        keep = F.col("_reject").isNull()
+        if operations == REFERENCE:   # a bad row fails the load, as in the reference
+            keep = F.when(~keep, F.raise_error(F.concat(F.lit("bad transaction row: "), F.col("_reject")))) \
+                .otherwise(F.lit(True))
+        tx_file = parsed.filter(keep).drop("_reject", "_amount_text")
+        tx_file = checks.enforce_lengths(tx_file, MAX_LENGTHS["fact_transactions"], "transactions")
+        facts.write_partitioned(tx_file, wh.facts_path(), "trans_day", fact_mode)
+        n_rejects = obs.get.get("rejects", 0)
+        if n_rejects:   # a second pass only when something was rejected
+            _, rejects = files.scan_transactions(spark, picked[KIND_TRANSACTIONS])
+            rejects.withColumn("day", F.lit(day)).write.mode("append").parquet(f"{wh.epoch_root()}/rejects")
+        return n_rejects
+
+    def load_terminals():
+        snap = files.read_terminals(spark, picked[KIND_TERMINALS])   # duplicate ids fail the merge job
+        current_terminals = wh.read_history("terminals", open_only=True)
+        if current_terminals is None:
+            current_terminals = _empty_hist(spark, "terminals")
+        key, attrs, _ = DIMENSIONS["terminals"]
+        staged = scd2.stage_snapshot(snap, current_terminals, key, attrs, wh.watermark("terminals"), day)
+        return merge_dimension(spark, wh, "terminals", day, staged, snap.select(key), version, semantics)
+
+    def load_blacklist():   # full refresh
+        bl = files.read_blacklist(spark, picked[KIND_BLACKLIST])
+        checks.assert_unique_key(bl, "passport_num", "blacklist file")
+        obs = Observation("blacklist_rows")
+        facts.refresh_snapshot(bl.observe(obs, F.count(F.lit(1)).alias("rows")),
+                               wh.table_path("blacklist", version))
+        return (version, None, None, int(obs.get.get("rows", 0)))
+
+    def load_source(name, frame):   # cards, accounts, clients from the relational sources
         key, attrs, _ = DIMENSIONS[name]
         frame = _typed(frame, name)
         staged = scd2.stage_incremental(frame, key, attrs, wh.watermark(name), day, semantics=semantics)
-        tables[name] = merge_dimension(spark, wh, name, day, staged, frame.select(key), version, semantics)
+        return merge_dimension(spark, wh, name, day, staged, frame.select(key), version, semantics)
+
+    # The six loads are independent: their jobs are submitted together from
+    # driver threads and share the cluster. Nothing is published unless all
+    # of them succeed (the report and the commit come after).
+    with ThreadPoolExecutor(max_workers=6, thread_name_prefix="load") as pool:
+        futures = {"facts": pool.submit(load_facts), "terminals": pool.submit(load_terminals),
+                   "blacklist": pool.submit(load_blacklist)}
+        for name, frame in _source_frames(src).items():
+            futures[name] = pool.submit(load_source, name, frame)
+        done = {k: f.result() for k, f in futures.items()}
+    n_rejects = done.pop("facts")
+    tables: dict[str, tuple] = done
 
     # 5. report over the versions just written (read back: the lineage stops here);
     # rules use current rows only, so only the open partitions are read
