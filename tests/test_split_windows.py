@@ -34,3 +34,29 @@ def test_with_next_split_equals_plain(spark):
     plain = _rows(sequence.with_next(tx, part, order, ["trans_date", "terminal"]))
     split = _rows(sequence.with_next(tx, part, order, ["trans_date", "terminal"], split="5 minutes"))
     assert split == plain
+
+
+def _hot_card_tx(spark):
+    """A third of all operations moved onto one card (derived from the driver events)."""
+    from pyspark.sql import functions as F
+    tx = fx.tx(spark, SF_ORACLE)
+    return tx.withColumn("card_num", F.when(F.col("trans_id") % 3 == 0, F.lit(-1)).otherwise(F.col("card_num")))
+
+
+def test_hot_card_results_equal_and_groups_shrink(spark):
+    from pyspark.sql import functions as F
+    from tallyhawk.functions.intervals import epoch_micros
+    tx = _hot_card_tx(spark)
+    term = fx.terminals(spark, SF_ORACLE)
+    for sem in (REFERENCE, STRICT):
+        assert _rows(fraud.city_hops(tx, term, semantics=sem, split="1 hour")) == \
+            _rows(fraud.city_hops(tx, term, semantics=sem, split=None))
+    assert _rows(fraud.amount_probes(tx, max_span="1 day", split="1 hour")) == \
+        _rows(fraud.amount_probes(tx, max_span="1 day", split=None))
+    # largest window partition: (card, day) vs (card, day, 1-hour chunk)
+    by_day = tx.groupBy("card_num", "trans_day").count().agg(F.max("count")).first()[0]
+    chunk = F.floor(epoch_micros("trans_date") / F.lit(3_600_000_000))
+    by_chunk = tx.groupBy("card_num", "trans_day", chunk).count().agg(F.max("count")).first()[0]
+    total = tx.count()
+    assert by_day > total / 3 / 31          # the hot card dominates each day
+    assert by_chunk * 8 < by_day            # chunks cut its largest task input by far
