@@ -4,7 +4,6 @@ import datetime as dt
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 import daygen
 from tallyhawk.plans.pipeline import reset, run_day, run_days
