@@ -17,7 +17,7 @@ from tallyhawk.operators import fraud, sequence
 from tallyhawk.operators import scd2 as scd2_ops
 from tallyhawk.plans import fixtures as fx
 from tallyhawk.plans import history, oracle
-from tallyhawk.plans import pipeline as pipe
+from tallyhawk.plans import daily as pipe
 from tallyhawk.plans.state import Warehouse
 from tallyhawk.schemas import DIMENSIONS, REFERENCE, STRICT
 from tallyhawk.session import scratch_path
@@ -447,13 +447,13 @@ ORACLE.update({
 ORACLE["scan_snapshot_xlsx"] = ORACLE["scan_snapshot"]
 
 
-# --- the daily pipeline end to end -----------------------------------------------------
+# --- the daily run end to end ------ -----------------------------------------------------
 
 
 PIPELINE_DAYS = (_dt.date(2024, 1, 1), _dt.date(2024, 1, 2), _dt.date(2024, 1, 3))
 
 
-def _pipeline_sources(spark, d):
+def _daily_sources(spark, d):
     """info.* tables from customer; update_dt is NULL, so every row is restaged daily."""
     c = fx.table(spark, d, "customer")
     k = F.col("c_custkey")
@@ -484,13 +484,13 @@ def write_day_inputs(spark, d, input_dir, day):
         .csv(f"{input_dir}/passport_blacklist_{name}.csv")
 
 
-def _run_pipeline(spark, d, replay=False, semantics=REFERENCE):
-    base = scratch_path(spark, "pipeline")
+def _run_daily(spark, d, replay=False, semantics=REFERENCE):
+    base = scratch_path(spark, "daily")
     inp, arc = f"{base}/input", f"{base}/archive"
     for day in PIPELINE_DAYS:
         write_day_inputs(spark, d, inp, day)
     wh = Warehouse(spark, f"{base}/warehouse")
-    src = _pipeline_sources(spark, d)
+    src = _daily_sources(spark, d)
     pipe.run_days(spark, wh, inp, arc, src, semantics=semantics)
     if replay:
         pipe.reset(spark, wh, inp, arc)
@@ -499,12 +499,12 @@ def _run_pipeline(spark, d, replay=False, semantics=REFERENCE):
 
 
 QUERIES.update({
-    "pipeline_three_days": lambda spark, d: _run_pipeline(spark, d),
-    "replay_equals_first_run": lambda spark, d: _run_pipeline(spark, d, replay=True),
-    "pipeline_three_days_strict": lambda spark, d: _run_pipeline(spark, d, semantics=STRICT),
+    "daily_run_three_days": lambda spark, d: _run_daily(spark, d),
+    "replay_equals_first_run": lambda spark, d: _run_daily(spark, d, replay=True),
+    "daily_run_three_days_strict": lambda spark, d: _run_daily(spark, d, semantics=STRICT),
 })
 
-_PIPELINE_VIEWS = {
+_DAILY_VIEWS = {
     "tx": """select cast(event_id as varchar) as trans_id, date_trunc('second', ts) as trans_date,
         cast(ts as date) as trans_day, cast(cast(value as decimal(30,2)) as double) as amt,
         cast(user_id as varchar) as card_num, event_type as oper_type,
@@ -528,9 +528,9 @@ _PIPELINE_VIEWS = {
       from customer where c_custkey % 19 <> 0""",
 }
 ORACLE.update({
-    "pipeline_three_days": oracle.report_sql(_PIPELINE_VIEWS),
-    "replay_equals_first_run": oracle.report_sql(_PIPELINE_VIEWS),
-    "pipeline_three_days_strict": oracle.report_sql(_PIPELINE_VIEWS, strict=True),
+    "daily_run_three_days": oracle.report_sql(_DAILY_VIEWS),
+    "replay_equals_first_run": oracle.report_sql(_DAILY_VIEWS),
+    "daily_run_three_days_strict": oracle.report_sql(_DAILY_VIEWS, strict=True),
 })
 
 
@@ -602,15 +602,15 @@ def q_stream_ingest_three_days(spark, d):
     for day in reversed(PIPELINE_DAYS):          # arrive out of order; loaded by parsed day
         write_day_inputs(spark, d, inp, day)
     wh = Warehouse(spark, f"{base}/warehouse")
-    ingest_on_arrival(spark, wh, inp, f"{base}/archive", _pipeline_sources(spark, d),
+    ingest_on_arrival(spark, wh, inp, f"{base}/archive", _daily_sources(spark, d),
                       f"{base}/checkpoint").awaitTermination()
     return wh.read_report().select("event_dt", "passport", "fio", "phone", "event_type", "report_dt", "event_ts")
 
 
 QUERIES["stream_ingest_three_days"] = q_stream_ingest_three_days
-ORACLE["stream_ingest_three_days"] = ORACLE["pipeline_three_days"]
+ORACLE["stream_ingest_three_days"] = ORACLE["daily_run_three_days"]
 
-_STREAM_TX = {"tx": _PIPELINE_VIEWS["tx"].split(" where cast(ts as date) between")[0]}
+_STREAM_TX = {"tx": _DAILY_VIEWS["tx"].split(" where cast(ts as date) between")[0]}
 ORACLE["stream_amount_probe"] = f"""{oracle._ctes("tx", views=_STREAM_TX)},
       {oracle.r4_hits_sql("interval 3 day", per_day=False)}
     select trans_id, card_num, trans_day, trans_date from h"""

@@ -1,4 +1,4 @@
-"""Small hand-made daily input files for pipeline tests."""
+"""Small hand-made daily input files for daily-run tests."""
 
 from __future__ import annotations
 
@@ -75,7 +75,7 @@ def sources(spark):
                     "+7 900 000 03", DAYS[0]),
                    ("K4", "Orlov", "Oleg", "Olegovich", dt.date(1983, 1, 1), "1111 000004", dt.date(2030, 1, 1),
                     "+7 900 000 04", DAYS[0])]
-        from tallyhawk.plans.pipeline import Sources
+        from tallyhawk.plans.daily import Sources
         return Sources(
             spark.createDataFrame(cards, "card_num string, account string, update_dt date"),
             spark.createDataFrame(accounts, "account string, valid_to date, client string, update_dt date"),

@@ -6,7 +6,7 @@ import os
 import pytest
 
 import daygen
-from tallyhawk.plans.pipeline import reset, run_day, run_days
+from tallyhawk.plans.daily import reset, run_day, run_days
 from tallyhawk.plans.state import Warehouse
 from tallyhawk.schemas import REFERENCE, STRICT
 from tallyhawk.sources import files
@@ -183,7 +183,7 @@ def test_rejects_are_counted_and_kept(spark, tmp_path):
 
 def test_strict_days_merge_only_open_rows(spark, dirs):
     """Strict: each day adds one closed partition; the assembled history equals a full rewrite."""
-    from tallyhawk.plans import pipeline as pipe
+    from tallyhawk.plans import daily as pipe
     wh = Warehouse(spark, dirs["wh"])
     run_days(spark, wh, dirs["input"], dirs["archive"], daygen.sources(spark), semantics=STRICT)
     chain = wh.closed_versions("terminals")
