@@ -12,11 +12,14 @@ width, so no task sees more than one chunk of one card:
   same partition. Chunk heads come from a grouped ``min_by`` (partially
   aggregated map-side); the chunk-level ``lead`` runs over one row per chunk.
   The result is exactly the unsplit ``lead``.
+* :func:`with_context` assigns the chunks and copies rows near a chunk edge
+  into the neighbouring chunk (one ``explode``, so the input is read once).
+  When a rule only needs neighbours within a bounded time (rule 4's span,
+  rule 3's gap), the window per (partition, chunk) then sees every neighbour
+  that matters.
 * :func:`with_previous` answers "the k previous rows, if they lie within
-  ``span``". Rows close to the end of a chunk are also sent to the next chunk
-  as context, so a row's predecessors within the span are always in its own
-  partition. The lags are exact whenever the k-th predecessor is within the
-  span, and NULL otherwise -- which is all a span-bounded pattern needs.
+  ``span``" that way: the lags are exact whenever the k-th predecessor is
+  within the span, and NULL otherwise -- all a span-bounded pattern needs.
 
 ``split=None`` uses the plain window (one exchange, one sort).
 """
