@@ -1,17 +1,20 @@
-"""Rule 4 on a stream of transaction files, with keyed state per card.
+"""Rule 4 on a stream of transaction files, with keyed state per card and time chunk.
 
 ``lag``/``lead`` are not available on streams, so the sequence match keeps
-its own state: for every card the last ``rejects`` operations (result,
-amount, time, id). Each micro-batch, a card's new rows are sorted by (time,
-id), prefixed with the stored rows, matched with shifted numpy arrays, and
-the last ``rejects`` rows are stored again. State per card is O(rejects).
-
-An event-time watermark bounds state: a card silent for longer than
-``max_span`` past the watermark is dropped, since no later row can complete
-a sequence with the stored ones (the span is inclusive of ``max_span``).
-Rows must arrive in time order per card across micro-batches (files are
-taken by modification time, one trigger at a time); a row older than the
-stored ones is matched in arrival order.
+its own state. As in the batch rule, operations are grouped by (card, time
+chunk) so a hot card is spread over many groups, and rows within the span of
+a chunk's end are also sent to the next chunk as context (a match lies
+within the span, so every group sees all rows a match in it needs). Each
+micro-batch, a group's new rows are sorted by (time, id), prefixed with the
+stored rows, matched with shifted numpy arrays, and the last ``rejects``
+rows are stored again: state per group is O(rejects), and a group holds at
+most one chunk of one card.
+
+An event-time watermark bounds state: a group is dropped once the watermark
+is past its chunk, since no later row can belong to it. Rows must arrive in
+time order per card across micro-batches (files are taken by modification
+time, one trigger at a time); a row older than the stored ones is matched in
+arrival order.
 
 The result equals the batch rule with ``per_day=False`` on in-order input.
 """
@@ -28,6 +31,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tallyhawk.functions.intervals import to_micros
+from tallyhawk.operators.sequence import with_context
 from tallyhawk.schemas import PROBE_REJECTS, PROBE_SPAN, REJECT, SUCCESS, TRANSACTIONS_FILE
 from tallyhawk.sources.files import parse_transactions
 
@@ -35,11 +39,12 @@ HIT_SCHEMA = "trans_id string, card_num string, trans_day date, trans_date times
 STATE_SCHEMA = "ids array<string>, results array<string>, amounts array<double>, ts array<long>"
 
 
-def _matcher(rejects: int, span_us: int, reject_label: str, success_label: str):
+def _matcher(rejects: int, span_us: int, width_us: int, reject_label: str, success_label: str):
     def match(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
+        # one card's rows of one chunk in this micro-batch: bounded by the chunk width
         new = pd.concat(list(batches), ignore_index=True)
         new["_us"] = new["trans_date"].astype("datetime64[us]").astype("int64")
         new = new.sort_values(["_us", "trans_id"], kind="stable")
@@ -67,10 +72,12 @@ def _matcher(rejects: int, span_us: int, reject_label: str, success_label: str):
             ok &= (us[i] - us[i - rejects]) <= span_us
             hit[i] = ok
         hit[:n_old] = False                       # stored rows were reported before
+        hit[n_old:] &= new["__own"].to_numpy(dtype=bool)   # context rows are reported by their own chunk
         tail = seq.iloc[-rejects:]
         state.update((tail["trans_id"].tolist(), tail["oper_result"].tolist(),
                       [float(x) for x in tail["amt"]], [int(x) for x in tail["_us"]]))
-        state.setTimeoutTimestamp(int(new["_event_ms"].max()) + span_us // 1000 + 1)
+        # past the chunk's end: a group's rows lie in [chunk start - span, chunk end)
+        state.setTimeoutTimestamp(int(new["_event_ms"].max()) + (width_us + span_us) // 1000 + 1)
         hits = new.iloc[np.flatnonzero(hit[n_old:])]
         if len(hits):
             yield pd.DataFrame({"trans_id": hits["trans_id"], "card_num": key[0],
@@ -79,17 +86,19 @@ def _matcher(rejects: int, span_us: int, reject_label: str, success_label: str):
 
 
 def probe_stream(stream: DataFrame, rejects: int = PROBE_REJECTS, max_span=PROBE_SPAN,
-                 watermark: str = "1 day", reject_label: str = REJECT, success_label: str = SUCCESS) -> DataFrame:
+                 watermark: str = "1 day", split="1 hour", reject_label: str = REJECT,
+                 success_label: str = SUCCESS) -> DataFrame:
     """Streaming hits of rule 4 from a stream of parsed transactions."""
     span_us = to_micros(max_span)
+    width_us = max(to_micros(split), span_us)
     # the watermark needs a TIMESTAMP column; its epoch milliseconds drive the state timeout
     event_time = F.col("trans_date").cast("timestamp")
-    rows = (stream.select("trans_id", "card_num", "trans_date", "oper_result",
-                          F.col("amt").cast("double").alias("amt"), event_time.alias("_event_time"),
-                          F.unix_millis(event_time).alias("_event_ms"))
-            .withWatermark("_event_time", watermark))
-    return rows.groupBy("card_num").applyInPandasWithState(
-        _matcher(rejects, span_us, reject_label, success_label), HIT_SCHEMA, STATE_SCHEMA,
+    rows = stream.select("trans_id", "card_num", "trans_date", "oper_result",
+                         F.col("amt").cast("double").alias("amt"), event_time.alias("_event_time"),
+                         F.unix_millis(event_time).alias("_event_ms"))
+    rows = with_context(rows, "trans_date", width_us, span_us, forward=True).withWatermark("_event_time", watermark)
+    return rows.groupBy("card_num", "__chunk").applyInPandasWithState(
+        _matcher(rejects, span_us, width_us, reject_label, success_label), HIT_SCHEMA, STATE_SCHEMA,
         "append", GroupStateTimeout.EventTimeTimeout)
 
 

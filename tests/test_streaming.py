@@ -53,3 +53,26 @@ def test_ingest_on_arrival(spark, tmp_path):
     ingest_on_arrival(spark, wh, inp, arc, daygen.sources(spark), ck).awaitTermination()
     assert wh.state()["day"] == daygen.DAYS[2] and wh.state()["seq"] == 3
     assert sorted(r.report_dt for r in wh.read_report().select("report_dt").distinct().collect()) == daygen.DAYS
+
+
+def test_stream_equals_batch_small_chunks(spark, tmp_path):
+    """Driver events in three files, 2-hour chunks, 1-day span: the stream equals the batch rule."""
+    from pyspark.sql import functions as F
+    from conftest import SF_SMALL
+    from tallyhawk.plans import catalog
+    from tallyhawk.plans import fixtures as fx
+    from tallyhawk.streaming.amount_probe import probe_stream, transactions_stream
+    tx = fx.tx(spark, SF_SMALL)
+    for lo, hi in ((1, 10), (11, 20), (21, 31)):
+        catalog.write_transactions_file(tx.filter(F.dayofmonth("trans_day").between(lo, hi)).coalesce(1),
+                                        str(tmp_path / f"in/transactions_{lo:02d}012024.txt"))
+    hits = probe_stream(transactions_stream(spark, str(tmp_path / "in/transactions_*/part-*.csv")),
+                        max_span="1 day", split="2 hours")
+    q = (hits.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+         .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = sorted(r.trans_id for r in spark.read.schema(HIT_SCHEMA).parquet(str(tmp_path / "out")).collect())
+    scanned, _ = files.scan_transactions(spark, str(tmp_path / "in/transactions_*"))
+    want = sorted(r.trans_id for r in fraud.amount_probes(scanned, max_span="1 day", per_day=False, split=None)
+                  .collect())
+    assert got == want and len(want) > 0
