@@ -16,10 +16,12 @@ Two semantics (SURVEY §2.11):
 ``strict`` compares with the open version only, opens a new version for a
 key that returns after deletion, and closes/flags only the open version once.
 
-Physical shape: history, staged rows and source keys are unioned and
-classified with window aggregates over ``key`` -- one exchange of the
-history per day, no self-join. Groups are one key's versions (bounded by the
-number of runs), so hot keys cannot occur here.
+Physical shape: staged rows and source keys are aggregated to one row per
+key (partially, map-side), unioned with the history and classified with
+window aggregates over ``key`` -- one exchange of the history per day, no
+self-join. Window groups are one key's versions (bounded by the number of
+runs) plus one row, so even a key copied into a third of a source's rows
+cannot make a hot group.
 """
 
 from __future__ import annotations
@@ -116,36 +118,47 @@ def watermark_advance(staged: DataFrame, old) -> Column:
 
 def classify(hist: DataFrame, staged: DataFrame, source_keys: DataFrame, key: str, attrs: list[str],
              semantics: str = REFERENCE) -> DataFrame:
-    """History, staged rows and source keys in one frame with per-key flags.
-
-    Columns: key, attrs, version columns, ``__role`` (h / s / k), ``__upd``
-    (staged update_dt), and ``__in_hist`` (key has any version), ``__has_open``
-    (key has an open version), ``__present`` (key is in the source),
-    ``__changed``, ``__dups`` (most staged or source rows of the key).
+    """History plus one row per source key, with per-key flags.
+
+    Staged rows and source keys are first aggregated to one row per key
+    (role ``sk``: the staged attributes, ``__upd``, and the counts ``__ns`` /
+    ``__nk``). The aggregation is partial map-side, so a key that a broken
+    source repeats in a third of its rows collapses to counts before any
+    shuffle, and the window below never sees more than one key's versions
+    plus one row. Columns: key, attrs, version columns, ``__role`` (h / sk),
+    ``__in_hist`` (key has any version), ``__has_open`` (key has an open
+    version), ``__present`` (key is in the source), ``__changed``,
+    ``__staged`` and ``__dups`` (most staged or source rows of the key).
     """
     _check(semantics)
-    base = [key, *attrs]
-    null_versions = [F.lit(None).cast("date").alias("effective_from"),
-                     F.lit(None).cast("date").alias("effective_to"),
-                     F.lit(None).cast("boolean").alias("deleted_flg")]
-    no_upd = F.lit(None).cast("date").alias("__upd")
-    h = hist.select(*base, *VERSION_COLS, F.lit("h").alias("__role"), no_upd)
+    attr_struct = T.StructType([T.StructField(a, hist.schema[a].dataType) for a in attrs])
     upd = F.col("update_dt").cast("date") if "update_dt" in staged.columns else F.lit(None).cast("date")
-    s = staged.select(*base, *null_versions, F.lit("s").alias("__role"), upd.alias("__upd"))
-    k_attrs = [F.lit(None).cast(hist.schema[a].dataType).alias(a) for a in attrs]
-    k = source_keys.select(key, *k_attrs, *null_versions, F.lit("k").alias("__role"), no_upd)
-    u = h.unionByName(s).unionByName(k)
+    s = staged.select(key, F.struct(*[F.col(a) for a in attrs]).cast(attr_struct).alias("__sv"),
+                      upd.alias("__upd"), F.lit(1).alias("__ns"), F.lit(0).alias("__nk"))
+    k = source_keys.select(key, F.lit(None).cast(attr_struct).alias("__sv"), F.lit(None).cast("date").alias("__upd"),
+                           F.lit(0).alias("__ns"), F.lit(1).alias("__nk"))
+    sk = s.unionByName(k).groupBy(key).agg(
+        F.max("__sv").alias("__sv"), F.max("__upd").alias("__upd"),
+        F.sum("__ns").alias("__ns"), F.sum("__nk").alias("__nk"))
+    sk = sk.select(key, *[F.col("__sv")[a].alias(a) for a in attrs],
+                   *[F.lit(None).cast(t).alias(c) for c, t in (("effective_from", "date"),
+                                                               ("effective_to", "date"),
+                                                               ("deleted_flg", "boolean"))],
+                   F.lit("sk").alias("__role"), "__sv", "__upd", "__ns", "__nk")
+    h = hist.select(key, *attrs, *VERSION_COLS, F.lit("h").alias("__role"),
+                    F.lit(None).cast(attr_struct).alias("__sv"), F.lit(None).cast("date").alias("__upd"),
+                    F.lit(0).cast("long").alias("__ns"), F.lit(0).cast("long").alias("__nk"))
+    u = h.unionByName(sk)
 
     w = Window.partitionBy(key)
     role = F.col("__role")
     is_h = role == "h"
-    staged_val = F.when(role == "s", F.struct(*[F.col(a) for a in attrs]))
-    u = (u.withColumn("__s", F.max(staged_val).over(w))
+    u = (u.withColumn("__s", F.max("__sv").over(w))
           .withColumn("__in_hist", F.max(is_h).over(w))
           .withColumn("__has_open", F.max(is_h & _is_open()).over(w))
-          .withColumn("__present", F.max(role != "h").over(w))
-          .withColumn("__dups", F.greatest(F.count(F.when(role == "s", 1)).over(w),
-                                           F.count(F.when(role == "k", 1)).over(w))))
+          .withColumn("__present", F.max(role == "sk").over(w))
+          .withColumn("__staged", F.col("__ns") > 0)
+          .withColumn("__dups", F.greatest("__ns", "__nk")))
     compared = is_h if semantics == REFERENCE else (is_h & _is_open())
     diff = compared & F.col("__s").isNotNull() & _differs(attrs, "__s")
     return u.withColumn("__changed", F.max(diff).over(w))
@@ -182,12 +195,12 @@ def scd2_merge(hist: DataFrame, staged: DataFrame, source_keys: DataFrame, day,
         insert = ~F.col("__has_open") | changed
 
     # one projection emits both the rewritten versions (h rows) and the new ones
-    # (inserted s rows): a second branch would re-run the exchange and windows
+    # (staged sk rows): a second branch would re-run the exchange and windows
     is_h = role == "h"
     dup = F.col("__dups") > 1
     checked_key = F.when(dup, F.raise_error(F.concat(F.lit(f"duplicate key {key}="), F.col(key).cast("string"))))\
         .otherwise(F.col(key))
-    out = c.filter(is_h | ((role == "s") & insert) | dup).select(
+    out = c.filter(is_h | ((role == "sk") & F.col("__staged") & insert) | dup).select(
         checked_key.alias(key), *attrs,
         F.when(is_h, F.col("effective_from")).otherwise(d).alias("effective_from"),
         F.when(is_h, new_to).otherwise(open_end()).alias("effective_to"),

@@ -128,10 +128,22 @@ def test_full_name_null_part(spark):
     assert [r[0] for r in df.select(full_name("l", "f", "p")).collect()] == ["Ivanov Ivan Ivanovich", None]
 
 
-def test_merge_is_single_exchange(spark):
-    """History, staged rows and source keys meet in one exchange on the key."""
+def test_merge_shuffles_history_once(spark):
+    """The history is shuffled once; staged rows and source keys are first collapsed to one row per key."""
     h = history.empty_like(spark, spark.createDataFrame([], SCHEMA), "k", ["s"])
     src = spark.createDataFrame(SNAPS[0], SCHEMA)
     merged = scd2.scd2_merge(h, scd2.stage_all(src, "k", ["s"], D[0]), src.select("k"), D[0], "k", ["s"])
     plan = merged._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1, plan
+    assert plan.count("Exchange hashpartitioning") == 2, plan
+    assert "partial_max" in plan and "partial_sum" in plan       # copies collapse map-side
+
+
+def test_copied_key_fails_fast_and_small(spark):
+    """A key repeated in a third of the source collapses to a count before the shuffle, then fails the merge."""
+    from pyspark.sql import functions as F
+    h = history.empty_like(spark, spark.createDataFrame([], SCHEMA), "k", ["s"])
+    src = spark.range(30000).select(F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.col("id").cast("string"))
+                                    .alias("k"), F.lit("x").alias("s"))
+    merged = scd2.scd2_merge(h, scd2.stage_all(src, "k", ["s"], D[0]), src.select("k"), D[0], "k", ["s"])
+    with pytest.raises(Exception, match="duplicate key k=HOT"):
+        merged.write.format("noop").mode("overwrite").save()
