@@ -4,8 +4,9 @@
 full snapshots without folding day by day (gaps and islands): per key,
 consecutive snapshot days with equal attributes form one version; a version
 ends the day before the key changes (open again) or disappears (closed and
-flagged deleted). The windows run per key over at most one row per snapshot
-day, so their groups are bounded by the number of days.
+flagged deleted). Rows are first reduced to one per (key, day) with a partial
+aggregate, so the windows run per key over at most one row per snapshot day
+and their groups are bounded by the number of days.
 
 ``asof_join`` attaches to each fact row the version valid on its day: an
 equi join on the key with the validity interval as a residual condition
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhawk.functions.scalars import open_end
+from tallyhawk.operators.chain import broadcast_if_small
 
 
 def scd2_from_snapshots(snapshots: DataFrame, key: str, attrs: list[str], day_col: str = "day",
@@ -32,7 +34,14 @@ def scd2_from_snapshots(snapshots: DataFrame, key: str, attrs: list[str], day_co
     cal = (days if days is not None else snapshots.select(day_col).distinct()).select(F.col(day_col).alias("day"))
     cal = cal.withColumn("idx", F.row_number().over(Window.orderBy("day")))   # one row per day
     last_idx = cal.agg(F.max("idx")).scalar()
-    s = snapshots.select(key, *attrs, F.col(day_col).alias("day")).join(F.broadcast(cal), "day")
+    cal_b = broadcast_if_small(cal, max_rows=100_000)   # one row per snapshot day
+    # one row per (key, day): copies collapse map-side; a key listed twice in a snapshot fails the job
+    vals = snapshots.groupBy(key, F.col(day_col).alias("day")).agg(
+        F.max(F.struct(*[F.col(a) for a in attrs])).alias("__v"), F.count(F.lit(1)).alias("__n"))
+    checked = F.when(F.col("__n") > 1, F.raise_error(F.concat(F.lit(f"duplicate key {key}="),
+                                                              F.col(key).cast("string")))).otherwise(F.col(key))
+    s = vals.select(checked.alias(key), *[F.col("__v")[a].alias(a) for a in attrs], "day") \
+        .join(cal_b, "day")
 
     w = Window.partitionBy(key).orderBy("idx")
     prev_vals = F.lag(F.struct(*[F.col(a) for a in attrs])).over(w)
@@ -47,7 +56,7 @@ def scd2_from_snapshots(snapshots: DataFrame, key: str, attrs: list[str], day_co
     wi = Window.partitionBy(key).orderBy("_island")
     isl = isl.withColumn("_next_first", F.lead("_first").over(wi))
     ends = cal.select(F.col("idx").alias("_end_idx"), F.date_sub("day", 1).alias("_end_day"))
-    isl = isl.join(F.broadcast(ends), F.col("_end_idx") == F.col("_last") + 1, "left")
+    isl = isl.join(broadcast_if_small(ends, max_rows=100_000), F.col("_end_idx") == F.col("_last") + 1, "left")
     is_open = F.col("_last") == last_idx
     deleted = ~is_open & (F.col("_next_first").isNull() | (F.col("_next_first") != F.col("_last") + 1))
     return isl.select(
