@@ -240,49 +240,82 @@ def fraud_amount_probe(tx: DataFrame, chain: DataFrame, rejects: int = PROBE_REJ
 
 # --- report ------------------------------------------------------------------
 
+def chain_with_flags(chain: DataFrame, blacklist: DataFrame, max_broadcast_rows: int = BROADCAST_MAX_ROWS,
+                     blacklist_rows: int | None = None) -> DataFrame:
+    """The chain with ``_listed`` (passport on the blacklist): the blacklist is joined per card, not per operation."""
+    bl = blacklist.select("passport_num").distinct().withColumn("_listed", F.lit(True))
+    bl = broadcast_if_small(bl, max_broadcast_rows, known_rows=blacklist_rows)
+    return chain.join(bl, "passport_num", "left").withColumn("_listed", F.coalesce("_listed", F.lit(False)))
+
+
+def may_hit_rules_1_2(through_day: Column) -> Column:
+    """Superset of the cards rules 1 and 2 can report on any day up to ``through_day``.
+
+    Rule 1 needs a listed passport or ``passport_valid_to <= day``; rule 2 (either
+    semantics) needs ``valid_to <= day``. Checked on ``chain_with_flags`` rows.
+    """
+    return (F.col("_listed") | (F.col("passport_valid_to") <= through_day)
+            | (F.col("valid_to") <= through_day))
+
+
 def fraud_report(tx: DataFrame, chain: DataFrame, blacklist: DataFrame, terminals: DataFrame,
                  semantics: str = REFERENCE, report_day=None, probe_tx: DataFrame | None = None,
                  city_gap=CITY_HOP_GAP, probe_span=PROBE_SPAN,
                  split: str | None = sequence.DEFAULT_SPLIT,
                  max_broadcast_rows: int = BROADCAST_MAX_ROWS,
-                 terminal_rows: int | None = None, blacklist_rows: int | None = None) -> DataFrame:
+                 terminal_rows: int | None = None, blacklist_rows: int | None = None,
+                 flagged: DataFrame | None = None, flagged_rows: int | None = None,
+                 chain_flags: DataFrame | None = None, chain_rows: int | None = None) -> DataFrame:
     """All four rules as one bag union (a transaction may appear under several rules).
 
-    Equal to the union of the four rule functions, but planned so the chain is
-    joined once: every transaction (candidate for rules 1 and 2) and the
-    per-card hits of rules 3 and 4 are unioned, joined to the chain and the
-    blacklist in one pass, and each row then emits the rules it satisfies.
-    ``probe_tx`` is the input of rule 4 (the reference reads the day's file
-    rather than the fact table); defaults to ``tx``. ``terminal_rows`` /
-    ``blacklist_rows`` are row bounds already known (recorded at write time).
+    Equal to the union of the four rule functions, planned for size:
+
+    * the blacklist is joined to the chain (one row per card), not to operations;
+    * rules 1 and 2 join the day's operations only with the cards that can hit
+      them by the report day (listed, or passport / contract expired --
+      normally a small part of the chain, so usually a broadcast and no shuffle
+      of the operations); the exact conditions are applied after the join;
+    * rules 3 and 4 join their per-card hits with the chain.
+
+    ``chain_flags`` / ``flagged`` may be given already built (the daily run
+    writes them once, counting rows); ``*_rows`` are row bounds known from
+    such writes, so no probing job runs. ``probe_tx`` is the input of rule 4
+    (the reference reads the day's file rather than the fact table).
     """
     _check_semantics(semantics)
     rd = _report_day(report_day)
-    term = broadcast_if_small(current(terminals), max_broadcast_rows, known_rows=terminal_rows)
-    bl = blacklist.select("passport_num").distinct().withColumn("_listed", F.lit(True))
-    bl = broadcast_if_small(bl, max_broadcast_rows, known_rows=blacklist_rows)
+    if chain_flags is None:
+        chain_flags = chain_with_flags(chain, blacklist, max_broadcast_rows, blacklist_rows)
+    if flagged is None:
+        through = F.lit(report_day).cast("date") if report_day is not None else \
+            tx.agg(F.max("trans_day")).scalar()
+        flagged = chain_flags.filter(may_hit_rules_1_2(through))
+    cols = ["card_num", "valid_to", "passport_num", "passport_valid_to", "fio", "phone", "_listed"]
+
+    # rules 1 and 2: operations x cards that can hit them
+    ops = tx.select("card_num", F.col("trans_date").alias("event_ts"), "trans_day")
+    j12 = ops.join(broadcast_if_small(flagged.select(*cols), max_broadcast_rows, known_rows=flagged_rows),
+                   "card_num")
+    r1 = F.col("_listed") | (F.col("passport_valid_to") <= F.col("trans_day"))
+    if semantics == REFERENCE:
+        r2 = F.col("valid_to").cast("timestamp_ntz") < F.col("event_ts")
+    else:
+        r2 = F.col("valid_to") < F.col("trans_day")
+    et = F.explode(F.array(F.when(r1, F.lit(EVENT_PASSPORT)), F.when(r2, F.lit(EVENT_CONTRACT)))).alias("_et")
+    rows12 = j12.select("*", et).filter(F.col("_et").isNotNull())
 
-    base = tx.select("card_num", F.col("trans_date").alias("event_ts"), "trans_day",
-                     F.lit(0).alias("_rule"))
+    # rules 3 and 4: per-card hits x chain
+    term = broadcast_if_small(current(terminals), max_broadcast_rows, known_rows=terminal_rows)
     hops = city_hops(tx, term, city_gap, semantics, split=split, max_broadcast_rows=0) \
-        .select("card_num", "event_ts", "trans_day", F.lit(EVENT_CITY_HOP).alias("_rule"))
+        .select("card_num", "event_ts", "trans_day", F.lit(EVENT_CITY_HOP).alias("_et"))
     probes = amount_probes(probe_tx if probe_tx is not None else tx, max_span=probe_span,
                            per_day=(semantics == REFERENCE), split=split) \
         .select("card_num", F.col("trans_date").alias("event_ts"), "trans_day",
-                F.lit(EVENT_AMOUNT_PROBE).alias("_rule"))
-    cand = base.unionByName(hops).unionByName(probes)
+                F.lit(EVENT_AMOUNT_PROBE).alias("_et"))
+    j34 = hops.unionByName(probes).join(
+        broadcast_if_small(chain_flags.select(*cols), max_broadcast_rows, known_rows=chain_rows), "card_num")
 
-    j = cand.join(chain.select("card_num", "valid_to", "passport_num", "passport_valid_to", "fio", "phone"),
-                  "card_num").join(bl, "passport_num", "left")
-    rule = F.col("_rule")
-    r1 = (rule == 0) & (F.col("_listed").isNotNull() | (F.col("passport_valid_to") <= F.col("trans_day")))
-    if semantics == REFERENCE:
-        r2 = (rule == 0) & (F.col("valid_to").cast("timestamp_ntz") < F.col("event_ts"))
-    else:
-        r2 = (rule == 0) & (F.col("valid_to") < F.col("trans_day"))
-    et = F.explode(F.array(F.when(r1, F.lit(EVENT_PASSPORT)), F.when(r2, F.lit(EVENT_CONTRACT)),
-                           F.when(rule > 0, rule))).alias("_et")
-    rows = j.select("*", et).filter(F.col("_et").isNotNull())
+    rows = rows12.unionByName(j34.select(*rows12.columns))
     return rows.select(
         time_of_day("event_ts").alias("event_dt"),
         F.col("passport_num").alias("passport"), "fio", "phone",

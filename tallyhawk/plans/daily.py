@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tallyhawk.functions.scalars import full_name
 from tallyhawk.operators import checks, facts, fraud, scd2
-from tallyhawk.operators.chain import chain_for_join
+from tallyhawk.operators.chain import dim_chain
 from tallyhawk.plans.state import Warehouse
 from tallyhawk.schemas import (
     DIMENSIONS,
@@ -184,17 +184,30 @@ def run_day(spark: SparkSession, wh: Warehouse, input_dir: str, archive_dir: str
     def read(name):
         return wh.read_history(name, open_only=True, version=version)
 
-    # row counts recorded while the versions were written bound the broadcasts: no probing jobs
-    chain = chain_for_join(read("cards"), read("accounts"), read("clients"), card_rows=tables["cards"][3])
     report_day = picked["days"].get(KIND_TRANSACTIONS) or day
+    blacklist = spark.read.parquet(wh.table_path("blacklist", version))
+    # the chain is built and flagged once (blacklist per card; cards that can hit
+    # rules 1-2 by the report day) and written with its row counts, so the report
+    # reads it back and every broadcast decision has a measured bound
+    chain = dim_chain(read("cards"), read("accounts"), read("clients"))
+    flags = fraud.chain_with_flags(chain, blacklist, blacklist_rows=tables["blacklist"][3])
+    flags = flags.withColumn("may_hit", fraud.may_hit_rules_1_2(F.lit(report_day).cast("date")))
+    chain_path = f"{wh.epoch_root()}/chain/v={version}"
+    obs = Observation("chain_rows")
+    (flags.observe(obs, F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("may_hit"), 1)).alias("may_hit"))
+          .write.mode("overwrite").partitionBy("may_hit").parquet(chain_path))
+    counts = obs.get
+    chain_flags = spark.read.schema(flags.schema).parquet(chain_path)
+    flagged = chain_flags.filter(F.col("may_hit"))
     tx_day = wh.read_facts(report_day)
     # rule 4 reads the day's file in the reference; with day overwrite the fact
     # partition holds exactly the file's rows, so it is read from there
     probe = files.scan_transactions(spark, picked[KIND_TRANSACTIONS])[0] if operations == REFERENCE else None
-    blacklist = spark.read.parquet(wh.table_path("blacklist", version))
-    report = fraud.fraud_report(tx_day, chain, blacklist, read("terminals"), semantics,
+    report = fraud.fraud_report(tx_day, chain_flags, blacklist, read("terminals"), semantics,
                                 report_day=report_day, probe_tx=probe,
-                                terminal_rows=tables["terminals"][3], blacklist_rows=tables["blacklist"][3])
+                                terminal_rows=tables["terminals"][3], blacklist_rows=tables["blacklist"][3],
+                                flagged=flagged, flagged_rows=int(counts.get("may_hit", 0)),
+                                chain_flags=chain_flags, chain_rows=int(counts.get("rows", 0)))
     facts.write_partitioned(report, wh.report_path(), "report_dt", fact_mode)
 
     # 6. publish, then archive

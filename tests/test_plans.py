@@ -63,15 +63,16 @@ def test_core_plans_have_no_python(spark):
         assert not any(n in plan for n in PY_NODES), name
 
 
-def test_report_joins_chain_once(spark):
+def test_report_prefilters_cards_for_rules_1_2(spark):
+    """Operations meet only the cards that can hit rules 1-2; the blacklist is joined per card."""
     chain = dim_chain(fx.cards(spark, SF_SMALL), fx.accounts(spark, SF_SMALL), fx.clients(spark, SF_SMALL))
     rep = fraud.fraud_report(fx.tx(spark, SF_SMALL), chain, fx.blacklist(spark, SF_SMALL),
                              fx.terminals(spark, SF_SMALL))
     plan = rep._jdf.queryExecution().optimizedPlan().toString()
-    # two joins build the chain, one attaches it to all candidates, one is rule 3's terminals
-    assert plan.count("Join Inner") == 4
-    # the blacklist is joined once, as an existence flag
-    assert plan.count("Join LeftOuter") == 1
+    assert "coalesce(_listed" in plan and "passport_valid_to" in plan
+    # the blacklist's left join has the chain (card -> account -> client) on its left
+    left_join = plan[plan.index("Join LeftOuter"):]
+    assert left_join.index("Join Inner") < left_join.index("Relation")
 
 
 def test_report_without_broadcast_matches(spark):
