@@ -187,6 +187,48 @@ class Warehouse:
     def has_report(self) -> bool:
         return self._exists(self.report_path())
 
+    # -- maintenance --------------------------------------------------------------------------
+    def vacuum(self, keep_commits: int = 7) -> list[str]:
+        """Delete version folders that none of the last ``keep_commits`` commits refers to.
+
+        Dimension, blacklist and chain versions of the current epoch are kept
+        when a recent commit names them (as its version or, for strict
+        histories, as a closed partition it still reads); older epochs (before
+        a reset) are removed whole. Facts and the report are not versioned and
+        are not touched. Returns the deleted paths.
+        """
+        log = self._log()
+        if log is None:
+            return []
+        last = self.state()["seq"]
+        recent = log.filter(F.col("seq") > F.lit(last - keep_commits)).collect()
+        keep: set[tuple[str, int]] = set()
+        for r in recent:
+            if r["table_name"] is not None and r["version"] is not None:
+                keep.add((r["table_name"], r["version"]))
+                keep.add(("chain", r["version"]))
+                for v in r["closed_versions"] or []:
+                    keep.add((r["table_name"], v))
+        epoch = self.state()["epoch"]
+        deleted = []
+        root, fs = self._fs(self.root)
+        for st in fs.listStatus(root):
+            name = st.getPath().getName()
+            if name.startswith("epoch=") and name != f"epoch={epoch}":
+                fs.delete(st.getPath(), True)
+                deleted.append(st.getPath().toString())
+        folders = [(t, f"dims/{t}") for t in DIMENSIONS] + [("blacklist", "blacklist"), ("chain", "chain")]
+        for table, sub in folders:
+            base, _ = self._fs(f"{self.epoch_root()}/{sub}")
+            if not fs.exists(base):
+                continue
+            for st in fs.listStatus(base):
+                name = st.getPath().getName()
+                if name.startswith("v=") and (table, int(name[2:])) not in keep:
+                    fs.delete(st.getPath(), True)
+                    deleted.append(st.getPath().toString())
+        return deleted
+
     # -- file system ------------------------------------------------------------------------
     def _fs(self, path: str):
         jvm = self.spark.sparkContext._jvm

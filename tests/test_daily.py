@@ -200,3 +200,18 @@ def test_strict_days_merge_only_open_rows(spark, dirs):
         pipe.COMPACT_AFTER = old
     assert wh2.closed_versions("terminals") == [3]
     assert sorted(map(tuple, wh2.read_history("terminals").collect()), key=repr) == incremental
+
+
+@pytest.mark.parametrize("semantics,kept_terminal_versions", [(REFERENCE, ["v=3"]), (STRICT, ["v=1", "v=2", "v=3"])])
+def test_vacuum_keeps_what_recent_commits_read(spark, dirs, semantics, kept_terminal_versions):
+    wh = Warehouse(spark, dirs["wh"])
+    run_days(spark, wh, dirs["input"], dirs["archive"], daygen.sources(spark), semantics=semantics)
+    before = sorted(map(tuple, wh.read_history("terminals").collect()), key=repr)
+    report = _report(wh)
+    deleted = wh.vacuum(keep_commits=1)
+    assert deleted
+    left = sorted(os.listdir(os.path.join(dirs["wh"], "epoch=0", "dims", "terminals")))
+    assert left == kept_terminal_versions
+    assert sorted(os.listdir(os.path.join(dirs["wh"], "epoch=0", "chain"))) == ["v=3"]
+    assert sorted(map(tuple, wh.read_history("terminals").collect()), key=repr) == before
+    assert _report(wh) == report
