@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhawk.functions.intervals import micros_between, to_micros
+from tallyhawk.functions.intervals import epoch_micros, micros_between, to_micros
 from tallyhawk.functions.scalars import time_of_day
 from tallyhawk.operators import sequence
 from tallyhawk.operators.chain import BROADCAST_MAX_ROWS, broadcast_if_small, current
@@ -240,6 +240,106 @@ def fraud_amount_probe(tx: DataFrame, chain: DataFrame, rejects: int = PROBE_REJ
 
 # --- report ------------------------------------------------------------------
 
+def hops_and_probes(tx: DataFrame, terminals: DataFrame, max_gap=CITY_HOP_GAP, max_span=PROBE_SPAN,
+                    semantics: str = REFERENCE, split=sequence.DEFAULT_SPLIT, rejects: int = PROBE_REJECTS,
+                    reject_label: str = REJECT, success_label: str = SUCCESS) -> DataFrame:
+    """Rules 3 and 4 together over ONE shuffle of the operations.
+
+    Rows are copied at chunk edges in both directions (forward within the
+    span for rule 4's lags, backward within the gap for rule 3's leads),
+    repartitioned once by (card, chunk), and both rules' windows run on that
+    partitioning (each window adds only a local sort). Rule 4 emits its hit
+    rows; rule 3 emits one summary row per chunk (strict: its hits), and a
+    small window over those rows per (card, day) finishes it. A single linear
+    plan, so nothing is recomputed. Returns card_num, event_ts, trans_day,
+    ``_et`` (3 or 4); equal to :func:`city_hops` + :func:`amount_probes`
+    (rule 4 per day under ``reference``, across days under ``strict``).
+    ``terminals`` are the current rows (terminal_id, terminal_city).
+    """
+    _check_semantics(semantics)
+    gap_us, span_us = to_micros(max_gap), to_micros(max_span)
+    width = max(to_micros(split), gap_us, span_us)
+    per_day4 = semantics == REFERENCE
+    t = tx.select("card_num", "trans_day", "trans_date", "trans_id", "terminal", "oper_result",
+                  F.col("amt").cast("double").alias("amt"))
+    # left join: rule 4 keeps operations at unknown or closed terminals, rule 3 drops them
+    t = t.join(terminals.select(F.col("terminal_id").alias("terminal"), "terminal_city"), "terminal", "left")
+    pos = epoch_micros("trans_date")
+    chunk = F.floor(pos / F.lit(width)).cast("long")
+    offset = pos - chunk * F.lit(width)
+    shifts = F.filter(F.array(F.lit(0), F.when(offset + F.lit(span_us) >= F.lit(width), F.lit(1)),
+                              F.when(offset < F.lit(gap_us), F.lit(-1))), lambda x: x.isNotNull())
+    rows = (t.withColumn("__shift", F.explode(shifts))
+             .withColumn("__chunk", chunk + F.col("__shift"))
+             .repartition("card_num", "__chunk"))
+    own = F.col("__shift") == 0
+    rows = (rows.withColumn("__r4m", F.col("__shift") >= 0)
+                .withColumn("__r3m", (F.col("__shift") <= 0) & F.col("terminal_city").isNotNull()))
+    order = ["trans_date", "trans_id"]
+
+    # rule 4: lags over own rows and forward copies
+    w4 = Window.partitionBy("card_num", "__chunk", "__r4m", *(["trans_day"] if per_day4 else [])).orderBy(*order)
+    hit4 = own & (F.col("oper_result") == F.lit(success_label))
+    last_amt = F.col("amt")
+    for k in range(1, rejects + 1):
+        hit4 = hit4 & (F.lag("oper_result", k).over(w4) == F.lit(reject_label))
+        prev_amt = F.lag("amt", k).over(w4)
+        hit4 = hit4 & (prev_amt >= last_amt)
+        last_amt = prev_amt
+    hit4 = hit4 & (micros_between(F.lag("trans_date", rejects).over(w4), "trans_date") <= F.lit(span_us))
+    rows = rows.withColumn("__hit4", F.coalesce(hit4, F.lit(False)))
+
+    # rule 3, stage 1: next operation within the gap (own rows and backward copies)
+    w3 = Window.partitionBy("card_num", "__chunk", "__r3m", "trans_day").orderBy(*order)
+    rows = (rows.withColumn("__next_ts", F.lead("trans_date").over(w3))
+                .withColumn("__next_city", F.lead("terminal_city").over(w3)))
+    kept = own & F.col("__r3m") & (micros_between("trans_date", "__next_ts") < F.lit(gap_us))
+    rows = rows.withColumn("__kept", F.coalesce(kept, F.lit(False)))
+    if semantics == STRICT:
+        rec3 = F.when(F.col("__kept") & (F.col("terminal_city") != F.col("__next_city")), F.struct(
+            F.lit(EVENT_CITY_HOP).alias("kind"), F.col("__next_ts").alias("ts"),
+            F.lit(None).cast("string").alias("first_city"), F.lit(None).cast("string").alias("last_city"),
+            F.lit(None).cast("timestamp_ntz").alias("last_ts")))
+    else:
+        # stage 2 inside the chunk over kept rows, plus the chunk's first and last kept row
+        wk = Window.partitionBy("card_num", "__chunk", "__kept", "trans_day").orderBy(*order)
+        wk_all = wk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        next_kept_city = F.lead("terminal_city").over(wk)
+        in_hit = F.when(F.col("terminal_city") != next_kept_city, F.col("trans_date"))
+        rows = (rows.withColumn("__in_hit", in_hit)
+                    .withColumn("__is_last", F.lead("trans_date").over(wk).isNull())
+                    .withColumn("__first_city", F.first("terminal_city").over(wk_all)))
+        rows = rows.withColumn("__hit_ts", F.max("__in_hit").over(wk_all))
+        rec3 = F.when(F.col("__kept") & F.col("__is_last"), F.struct(
+            F.lit(EVENT_CITY_HOP).alias("kind"), F.col("__hit_ts").alias("ts"),
+            F.col("__first_city").alias("first_city"), F.col("terminal_city").alias("last_city"),
+            F.col("trans_date").alias("last_ts")))
+    rec4 = F.when(F.col("__hit4"), F.struct(
+        F.lit(EVENT_AMOUNT_PROBE).alias("kind"), F.col("trans_date").alias("ts"),
+        F.lit(None).cast("string").alias("first_city"), F.lit(None).cast("string").alias("last_city"),
+        F.lit(None).cast("timestamp_ntz").alias("last_ts")))
+    recs = rows.select("card_num", "trans_day", "__chunk",
+                       F.explode(F.filter(F.array(rec4, rec3), lambda x: x.isNotNull())).alias("r"))
+    recs = recs.select("card_num", "trans_day", "__chunk", "r.*")
+
+    # finish rule 3 per (card, day) over its few rows; rule 4 rows pass through
+    wc = Window.partitionBy("card_num", "trans_day", "kind").orderBy("__chunk", "last_ts", "ts")
+    wc_all = Window.partitionBy("card_num", "trans_day", "kind")
+    if semantics == STRICT:
+        val = F.col("ts")
+    else:
+        edge = F.when(F.col("last_city") != F.lead("first_city").over(wc), F.col("last_ts"))
+        val = F.greatest("ts", edge)
+    recs = (recs.withColumn("__val", val)
+                .withColumn("__event", F.max("__val").over(wc_all))
+                .withColumn("__rn", F.row_number().over(wc)))
+    is4 = F.col("kind") == EVENT_AMOUNT_PROBE
+    keep = is4 | ((F.col("__rn") == 1) & F.col("__event").isNotNull())
+    return recs.filter(keep).select(
+        "card_num", F.when(is4, F.col("ts")).otherwise(F.col("__event")).alias("event_ts"), "trans_day",
+        F.col("kind").alias("_et"))
+
+
 def chain_with_flags(chain: DataFrame, blacklist: DataFrame, max_broadcast_rows: int = BROADCAST_MAX_ROWS,
                      blacklist_rows: int | None = None) -> DataFrame:
     """The chain with ``_listed`` (passport on the blacklist): the blacklist is joined per card, not per operation."""
@@ -275,7 +375,8 @@ def fraud_report(tx: DataFrame, chain: DataFrame, blacklist: DataFrame, terminal
       them by the report day (listed, or passport / contract expired --
       normally a small part of the chain, so usually a broadcast and no shuffle
       of the operations); the exact conditions are applied after the join;
-    * rules 3 and 4 join their per-card hits with the chain.
+    * rules 3 and 4 run over one shuffle of the operations (:func:`hops_and_probes`)
+      and join their per-card hits with the chain.
 
     ``chain_flags`` / ``flagged`` may be given already built (the daily run
     writes them once, counting rows); ``*_rows`` are row bounds known from
@@ -306,13 +407,18 @@ def fraud_report(tx: DataFrame, chain: DataFrame, blacklist: DataFrame, terminal
 
     # rules 3 and 4: per-card hits x chain
     term = broadcast_if_small(current(terminals), max_broadcast_rows, known_rows=terminal_rows)
-    hops = city_hops(tx, term, city_gap, semantics, split=split, max_broadcast_rows=0) \
-        .select("card_num", "event_ts", "trans_day", F.lit(EVENT_CITY_HOP).alias("_et"))
-    probes = amount_probes(probe_tx if probe_tx is not None else tx, max_span=probe_span,
-                           per_day=(semantics == REFERENCE), split=split) \
-        .select("card_num", F.col("trans_date").alias("event_ts"), "trans_day",
-                F.lit(EVENT_AMOUNT_PROBE).alias("_et"))
-    j34 = hops.unionByName(probes).join(
+    if split is not None and probe_tx is None:
+        # one shuffle of the operations serves both rules
+        hits = hops_and_probes(tx, term, city_gap, probe_span, semantics, split)
+    else:
+        hops = city_hops(tx, term, city_gap, semantics, split=split, max_broadcast_rows=0) \
+            .select("card_num", "event_ts", "trans_day", F.lit(EVENT_CITY_HOP).alias("_et"))
+        probes = amount_probes(probe_tx if probe_tx is not None else tx, max_span=probe_span,
+                               per_day=(semantics == REFERENCE), split=split) \
+            .select("card_num", F.col("trans_date").alias("event_ts"), "trans_day",
+                    F.lit(EVENT_AMOUNT_PROBE).alias("_et"))
+        hits = hops.unionByName(probes)
+    j34 = hits.join(
         broadcast_if_small(chain_flags.select(*cols), max_broadcast_rows, known_rows=chain_rows), "card_num")
 
     rows = rows12.unionByName(j34.select(*rows12.columns))

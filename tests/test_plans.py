@@ -93,3 +93,15 @@ def test_report_without_broadcast_matches(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_rules_3_4_share_one_shuffle_of_operations(spark):
+    from tallyhawk.operators.chain import current
+    tx = fx.tx(spark, SF_SMALL)
+    term = F.broadcast(current(spark.createDataFrame(
+        [(i, f"C{i % 5}", dt.date(2999, 1, 1), False) for i in range(100)],
+        "terminal_id int, terminal_city string, effective_to date, deleted_flg boolean")))
+    plan = _plan(fraud.hops_and_probes(tx, term))
+    assert plan.count("events.parquet") == 1                      # the operations are read once
+    assert plan.count("REPARTITION_BY_COL") == 1                   # and shuffled once, by (card, chunk)
+    assert plan.count("Exchange hashpartitioning") == 2            # + the small (card, day, kind) finish

@@ -60,3 +60,22 @@ def test_hot_card_results_equal_and_groups_shrink(spark):
     total = tx.count()
     assert by_day > total / 3 / 31          # the hot card dominates each day
     assert by_chunk * 8 < by_day            # chunks cut its largest task input by far
+
+
+def _separate(tx, term, gap, span, sem, split):
+    from pyspark.sql import functions as F
+    hops = fraud.city_hops(tx, term, gap, sem, split=split, max_broadcast_rows=0) \
+        .select("card_num", "event_ts", "trans_day", F.lit(3).alias("_et"))
+    probes = fraud.amount_probes(tx, max_span=span, per_day=(sem == REFERENCE), split=split) \
+        .select("card_num", F.col("trans_date").alias("event_ts"), "trans_day", F.lit(4).alias("_et"))
+    return hops.unionByName(probes)
+
+
+@pytest.mark.parametrize("sem", [REFERENCE, STRICT])
+@pytest.mark.parametrize("gap,span", [("1 hour", "1 day"), ("10 minutes", "6 hours"), ("1 hour", "20 minutes")])
+def test_shared_shuffle_equals_separate_rules(spark, sem, gap, span):
+    from tallyhawk.operators.chain import current
+    tx, term = _hot_card_tx(spark), current(fx.terminals(spark, SF_ORACLE))
+    shared = _rows(fraud.hops_and_probes(tx, term, gap, span, sem, "1 hour"))
+    assert shared == _rows(_separate(tx, term, gap, span, sem, None))
+    assert any(r[3] == 4 for r in shared) or span == "20 minutes"
