@@ -215,3 +215,14 @@ def test_vacuum_keeps_what_recent_commits_read(spark, dirs, semantics, kept_term
     assert sorted(os.listdir(os.path.join(dirs["wh"], "epoch=0", "chain"))) == ["v=3"]
     assert sorted(map(tuple, wh.read_history("terminals").collect()), key=repr) == before
     assert _report(wh) == report
+
+
+def test_vacuum_drops_epochs_before_a_reset(spark, dirs):
+    wh = Warehouse(spark, dirs["wh"])
+    run_days(spark, wh, dirs["input"], dirs["archive"], daygen.sources(spark), max_days=1)
+    reset(spark, wh, dirs["input"], dirs["archive"])
+    run_days(spark, wh, dirs["input"], dirs["archive"], daygen.sources(spark), max_days=1)
+    assert sorted(n for n in os.listdir(dirs["wh"]) if n.startswith("epoch=")) == ["epoch=0", "epoch=1"]
+    wh.vacuum(keep_commits=1)
+    assert sorted(n for n in os.listdir(dirs["wh"]) if n.startswith("epoch=")) == ["epoch=1"]
+    assert wh.read_report().count() > 0

@@ -140,3 +140,14 @@ def test_closed_card_is_not_reported(spark):
     bl = spark.createDataFrame([("P1", DAY)], "passport_num string, entry_dt date")
     assert fraud.fraud_expired_passport(tx, chain, bl).count() == 0
     assert fraud.fraud_expired_contract(tx, chain).count() == 0
+
+
+def test_passport_rule_entry_date_option(spark):
+    """Q13: the blacklist's entry date is ignored by default; optionally it must precede the operation."""
+    tx = _tx(spark, [("c1", "12:00", "M", "SUCCESS", 1.0)])
+    chain = _chain(spark, DAY + dt.timedelta(days=5), DAY + dt.timedelta(days=5))
+    bl = spark.createDataFrame([("P1", DAY + dt.timedelta(days=1))], "passport_num string, entry_dt date")
+    assert fraud.fraud_expired_passport(tx, chain, bl).count() == 1
+    assert fraud.fraud_expired_passport(tx, chain, bl, check_entry_date=True).count() == 0
+    early = spark.createDataFrame([("P1", DAY)], "passport_num string, entry_dt date")
+    assert fraud.fraud_expired_passport(tx, chain, early, check_entry_date=True).count() == 1
