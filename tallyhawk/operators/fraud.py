@@ -296,8 +296,13 @@ def hops_and_probes(tx: DataFrame, terminals: DataFrame, max_gap=CITY_HOP_GAP, m
     kept = own & F.col("__r3m") & (micros_between("trans_date", "__next_ts") < F.lit(gap_us))
     rows = rows.withColumn("__kept", F.coalesce(kept, F.lit(False)))
     if semantics == STRICT:
-        rec3 = F.when(F.col("__kept") & (F.col("terminal_city") != F.col("__next_city")), F.struct(
-            F.lit(EVENT_CITY_HOP).alias("kind"), F.col("__next_ts").alias("ts"),
+        # one row per chunk: the latest second leg of a hop within it
+        w3_all = Window.partitionBy("card_num", "__chunk", "__r3m", "trans_day")
+        hit3 = F.when(F.col("__kept") & (F.col("terminal_city") != F.col("__next_city")), F.col("__next_ts"))
+        rows = (rows.withColumn("__max3", F.max(hit3).over(w3_all))
+                    .withColumn("__is_last3", F.col("__next_ts").isNull()))
+        rec3 = F.when(F.col("__r3m") & F.col("__is_last3") & F.col("__max3").isNotNull(), F.struct(
+            F.lit(EVENT_CITY_HOP).alias("kind"), F.col("__max3").alias("ts"),
             F.lit(None).cast("string").alias("first_city"), F.lit(None).cast("string").alias("last_city"),
             F.lit(None).cast("timestamp_ntz").alias("last_ts")))
     else:
@@ -322,9 +327,11 @@ def hops_and_probes(tx: DataFrame, terminals: DataFrame, max_gap=CITY_HOP_GAP, m
                        F.explode(F.filter(F.array(rec4, rec3), lambda x: x.isNotNull())).alias("r"))
     recs = recs.select("card_num", "trans_day", "__chunk", "r.*")
 
-    # finish rule 3 per (card, day) over its few rows; rule 4 rows pass through
-    wc = Window.partitionBy("card_num", "trans_day", "kind").orderBy("__chunk", "last_ts", "ts")
-    wc_all = Window.partitionBy("card_num", "trans_day", "kind")
+    # finish rule 3 per (card, day) over its rows (at most one per chunk); rule 4 rows pass
+    # through, still split by chunk so a card with many hits is no hot group here either
+    recs = recs.withColumn("__split4", F.when(F.col("kind") == EVENT_AMOUNT_PROBE, F.col("__chunk")))
+    wc = Window.partitionBy("card_num", "trans_day", "kind", "__split4").orderBy("__chunk", "last_ts", "ts")
+    wc_all = Window.partitionBy("card_num", "trans_day", "kind", "__split4")
     if semantics == STRICT:
         val = F.col("ts")
     else:
