@@ -614,3 +614,22 @@ _STREAM_TX = {"tx": _DAILY_VIEWS["tx"].split(" where cast(ts as date) between")[
 ORACLE["stream_amount_probe"] = f"""{oracle._ctes("tx", views=_STREAM_TX)},
       {oracle.r4_hits_sql("interval 3 day", per_day=False)}
     select trans_id, card_num, trans_day, trans_date from h"""
+
+
+# --- the report under a hot card ------------------------------------------------------------
+# A third of all operations moved onto card 1 (an existing, active card): the skew the plans
+# are built for, over the whole events table.
+
+HOT_CARD = 1
+
+
+def q_fraud_report_hot_card(spark, d):
+    tx = fx.tx(spark, d).withColumn(
+        "card_num", F.when(F.col("trans_id") % 3 == 0, F.lit(HOT_CARD).cast("long")).otherwise(F.col("card_num")))
+    return fraud.fraud_report(tx, _chain(spark, d), fx.blacklist(spark, d), fx.terminals(spark, d),
+                              semantics=REFERENCE)
+
+
+QUERIES["fraud_report_hot_card"] = q_fraud_report_hot_card
+ORACLE["fraud_report_hot_card"] = oracle.report_sql({"tx": oracle.VIEWS["tx"].replace(
+    "user_id as card_num", f"case when event_id % 3 = 0 then {HOT_CARD} else user_id end as card_num")})
