@@ -226,3 +226,25 @@ def test_vacuum_drops_epochs_before_a_reset(spark, dirs):
     wh.vacuum(keep_commits=1)
     assert sorted(n for n in os.listdir(dirs["wh"]) if n.startswith("epoch=")) == ["epoch=1"]
     assert wh.read_report().count() > 0
+
+
+def test_reference_picking_pairs_days_like_the_reference(spark, tmp_path):
+    """Q8/Q18: lexical picking may pair files of different days; dimensions take the terminals day,
+    the report takes the transactions day. Strict picking refuses the incomplete day."""
+    from tallyhawk.sources.excel import write_xlsx
+    d = {k: str(tmp_path / k) for k in ("input", "archive", "wh")}
+    daygen.write_day(d["input"], 0)
+    os.remove(os.path.join(d["input"], "terminals_01032021.xlsx"))
+    os.remove(os.path.join(d["input"], "passport_blacklist_01032021.xlsx"))
+    write_xlsx(os.path.join(d["input"], "terminals_02032021.xlsx"),
+               ["terminal_id", "terminal_type", "terminal_city", "terminal_address"],
+               [list(r) for r in daygen.TERMINALS[0]])
+    write_xlsx(os.path.join(d["input"], "passport_blacklist_02032021.xlsx"), ["date", "passport"],
+               [list(r) for r in daygen.BLACKLIST[0]])
+    assert run_day(spark, Warehouse(spark, d["wh"]), d["input"], d["archive"], daygen.sources(spark)) is None
+    wh = Warehouse(spark, d["wh"])
+    r = run_day(spark, wh, d["input"], d["archive"], daygen.sources(spark), operations=REFERENCE)
+    assert r["day"] == dt.date(2021, 3, 2)
+    assert {x.effective_from for x in wh.read_history("terminals").collect()} == {dt.date(2021, 3, 2)}
+    days = {(x.event_type, x.report_dt) for x in wh.read_report().collect()}
+    assert {rd for _, rd in days} == {dt.date(2021, 3, 1)}
