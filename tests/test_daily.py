@@ -248,3 +248,20 @@ def test_reference_picking_pairs_days_like_the_reference(spark, tmp_path):
     assert {x.effective_from for x in wh.read_history("terminals").collect()} == {dt.date(2021, 3, 2)}
     days = {(x.event_type, x.report_dt) for x in wh.read_report().collect()}
     assert {rd for _, rd in days} == {dt.date(2021, 3, 1)}
+
+
+def test_rerun_after_failed_day_publishes_cleanly(spark, tmp_path):
+    from tallyhawk.sources.excel import write_xlsx
+    d = {k: str(tmp_path / k) for k in ("input", "archive", "wh")}
+    daygen.write_day(d["input"], 0)
+    terminals = os.path.join(d["input"], "terminals_01032021.xlsx")
+    header = ["terminal_id", "terminal_type", "terminal_city", "terminal_address"]
+    write_xlsx(terminals, header, [["T1", "POS", "Moscow", "a"], ["T1", "POS", "Tver", "b"]])
+    wh = Warehouse(spark, d["wh"])
+    with pytest.raises(Exception):
+        run_day(spark, wh, d["input"], d["archive"], daygen.sources(spark))
+    write_xlsx(terminals, header, [list(r) for r in daygen.TERMINALS[0]])      # the fixed file
+    r = run_day(spark, wh, d["input"], d["archive"], daygen.sources(spark))
+    assert r["version"] == 1 and wh.state()["seq"] == 1
+    assert sorted(x.terminal_id for x in wh.read_history("terminals").collect()) == ["T1", "T2", "T3"]
+    assert wh.read_report().count() > 0
