@@ -6,7 +6,6 @@ builder here is for tests, the bench and local runs.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -65,15 +64,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so local helpers (tests) can open the path."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
-
-
 def materialize(df, name: str = "stage"):
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 

@@ -26,5 +26,6 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert df.columns == ["event_dt", "passport", "fio", "phone", "event_type", "report_dt", "event_ts"]
+    from tallyhawk.operators.fraud import REPORT_COLUMNS
+    assert df.columns == REPORT_COLUMNS
     assert df.count() > 0

@@ -147,3 +147,16 @@ def test_copied_key_fails_fast_and_small(spark):
     merged = scd2.scd2_merge(h, scd2.stage_all(src, "k", ["s"], D[0]), src.select("k"), D[0], "k", ["s"])
     with pytest.raises(Exception, match="duplicate key k=HOT"):
         merged.write.format("noop").mode("overwrite").save()
+
+
+def test_as_of_stats_and_length_assertion(spark):
+    from tallyhawk.operators.checks import ConstraintError, assert_lengths
+    h = history.fold_days(spark, D[:3], [spark.createDataFrame(s, SCHEMA) for s in SNAPS[:3]], "k", ["s"],
+                          history.SNAPSHOT, STRICT)
+    on_d2 = sorted((r.k, r.s) for r in scd2.as_of(h, D[1]).collect())
+    assert on_d2 == [("T1", "Tver"), ("T3", "Kazan"), ("T4", "Omsk")]      # the D2 snapshot, replayed
+    st = scd2.history_stats(h).first()
+    assert (st.rows, st.open, st.deleted) == (6, 3, 2)
+    assert_lengths(h, {"k": 2}, "hist")
+    with pytest.raises(ConstraintError):
+        assert_lengths(h, {"s": 4}, "hist")
