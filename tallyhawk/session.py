@@ -6,8 +6,10 @@ builder here is for tests, the bench and local runs.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -20,7 +22,7 @@ LOCAL_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.driver.memory": "16g",
+    "spark.driver.memory": "8g",
 }
 
 
@@ -38,11 +40,34 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Driver and executors are one JVM."""
+    return spark.sparkContext.master.split("[")[0] == "local"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per context, wherever the driver was started."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tallyhawk_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="tallyhawk-ship-"), "tallyhawk.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(archive)
+    sc._tallyhawk_shipped = True
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local tests) do we create our own folder.
+    and the master is local (tests) do we create our own folder: elsewhere a
+    temporary folder would be another one on each machine.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or None
     sc = spark.sparkContext
@@ -51,6 +76,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if existing:
             base = existing
     if not base:
+        if not is_local(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="tallyhawk-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
     if not sc.getCheckpointDir():

@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as E
+from tallyhawk.plans import catalog
 from conftest import SF_SMALL
 from oracle_harness import compare, duck
 
-NAMES = sorted(E.queries())
+NAMES = sorted(catalog.QUERIES)
 
 
 @pytest.fixture(scope="module")
