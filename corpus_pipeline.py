@@ -1,40 +1,72 @@
 """From raw documents to packed training sequences.
 
 ``STAGES`` are (name, function); a function takes (spark, docs, sf_dir) and returns the next stage's
-documents, the last one the packed pieces. Between stages the rows are written as Parquet in the
-cluster's shared folder and read again, so a lost executor costs a stage's tasks and never the run.
+documents, the last one the packed pieces. Each stage works on all that the one before kept. Between
+stages the rows are written as Parquet in the cluster's shared folder and read again, so a lost executor
+costs some tasks of one stage. Nulls, empty texts, repeated rows and extra columns are treated as the
+operators' docstrings say; a stage returns the columns of documents. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyhawk.llm import dedup, packing
+from tallyhawk.llm import dedup, jaccard, language, packing, substring
 from tallyhawk.session import materialize
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter or far from every language go. The model learns from the rows with a lang."""
+    model = language.fit(docs)
+    return language.identify(docs.select(*COLUMNS), model).filter("not rejected").select(*COLUMNS)
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts equal after lower-casing A-Z, the row with the largest doc_id stays."""
     dropped = dedup.exact_dedup(docs).filter("not kept").select("doc_id").distinct()
     return docs.join(dropped, "doc_id", "left_anti").select(*COLUMNS)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents joined by a Jaccard similarity of at least 0.8 on five-word shingles, the smallest doc_id stays."""
+    found = jaccard.jaccard_components(docs, shingle=5, percent=80)
+    dropped = found.filter("component_id <> doc_id").select("doc_id").distinct()
+    return docs.join(dropped, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words in 13-word windows that a document of smaller doc_id has too go; other texts stay as they are."""
+    found = substring.without_repeats(docs.select(*COLUMNS), window=13)
+    return found.withColumn("text", F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))) \
+        .withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))) \
+        .select(*COLUMNS)
+
+
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' token pieces, packed into sequences of at most 2048 ids."""
     return packing.pack(packing.token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), 2048), 2048)
 
 
-STAGES = [("exact dedup", drop_exact_copies), ("best-fit packing", pack_sequences)]
+STAGES = [
+    ("language ID", identify_language),
+    ("exact dedup", drop_exact_copies),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("substring dedup", remove_repeated_passages),
+    ("best-fit packing", pack_sequences),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on documents of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), "pipeline")
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
+#: Language models and packing have no SQL; the tests compare the stages with brute force.
 ORACLE_SQL = None

@@ -6,12 +6,38 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhawk.llm import bpe, dedup, packing, shuffle
+from tallyhawk.llm import bpe, dedup, jaccard, language, packing, shuffle, substring, suffix_tree_lm, topk, toxicity
 from tallyhawk.llm.common import table
+from tallyhawk.llm.language import held_out
 
 _NORMAL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def op1_bit_sliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), every=50, k=5, scale=256)
+
+
+OP1_SQL = """
+with t as (select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(embedding) > 0),
+s as (select q.vec_id as query_id, c.vec_id, cast(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) as bigint) as score
+  from t q join t c on q.vec_id % 50 = 0 and c.vec_id <> q.vec_id and len(q.v) = len(c.v)),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 5"""
+
+
+def op2_nearest_centroid_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = held_out(F.col("doc_id"), 4, 2)
+    model = language.fit(docs.filter(~out))
+    return language.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), "rejected")
+
+
+def op3_partenum_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), shingle=3, percent=90)
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.exact_dedup(table(spark, sf_dir, "documents"), digests=True)
 
@@ -22,6 +48,34 @@ g as (select text_sha256, max(doc_id) as keep_id, count(*) as group_size from t
 select doc_id, keep_id, group_size, doc_id = keep_id as kept, text_sha256 from t join g using (text_sha256)"""
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), window=13)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+_WORDS = "list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
+
+OP5_SQL = f"""
+with t as (select doc_id, {_WORDS} as w from documents),
+p as (select doc_id, w, unnest(generate_series(1, len(w) - 12)) as i from t where len(w) >= 13),
+x as (select doc_id, i, hash(array_to_string(w[i:i + 12], ' ')) as h from p),
+f as (select h, min(doc_id) as least from x group by h),
+r as (select distinct doc_id, i + k as j from x join f using (h), generate_series(0, 12) as g(k) where least < doc_id),
+c as (select doc_id, list(j) as gone from r group by doc_id)
+select t.doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(len(gone), 0) as bigint) as n_removed,
+  sha256(case when gone is null then array_to_string(w, ' ') else array_to_string(
+    [w[j] for j in generate_series(1, len(w)) if not list_contains(gone, j)], ' ') end) as kept_sha256
+from t left join c using (doc_id)"""
+
+
+def op6_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = held_out(F.col("doc_id"), 7, 2)
+    model, words = suffix_tree_lm.fit(docs.filter(~out))
+    found = suffix_tree_lm.score(docs, model, words)
+    return found.select("doc_id", out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op7_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = shuffle.two_pass_shuffle(table(spark, sf_dir, "documents"), shards=40, seed=7)
     return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -38,5 +92,14 @@ def op9_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces, 2048)
 
 
-QUERIES = {f.__name__: f for f in (op4_exact_dedup, op7_two_pass_shuffle, op8_byte_bpe, op9_best_two_fit)}
-ORACLE = {"op4_exact_dedup": OP4_SQL}
+def op10_segment_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = held_out(F.col("doc_id"), 5, 0)
+    train = toxicity.labelled(docs.filter(~out), table(spark, sf_dir, "labels").filter(~out))
+    return toxicity.score(docs, toxicity.fit(train)).select("doc_id", out.alias("held_out"), "score", "predicted", "passages")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_bit_sliced_topk, op2_nearest_centroid_language, op3_partenum_jaccard, op4_exact_dedup, op5_substring_dedup,
+    op6_suffix_tree_lm, op7_two_pass_shuffle, op8_byte_bpe, op9_best_two_fit, op10_segment_toxicity)}
+ORACLE = {"op1_bit_sliced_topk": OP1_SQL, "op4_exact_dedup": OP4_SQL, "op5_substring_dedup": OP5_SQL}
