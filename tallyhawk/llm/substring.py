@@ -252,12 +252,12 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     the smallest doc_id keeps its words; rows that repeat a doc_id are one document and lose nothing to each
     other. One row per row of ``docs``; columns of it that have one of the new names are replaced.
     """
-    docs = docs.drop("n_words", "n_removed", "kept", "_row", "_spans").withColumn("_row", F.xxhash64("text"))
+    docs = docs.drop("n_words", "n_removed", "kept", "_row", "_spans", "_id", "_of").withColumn("_row", F.xxhash64("text"))
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_row").alias("row"), "text")
-    spans = repeated_spans(keyed, window).groupBy(F.col("doc_id").alias("_id"), "row").agg(
+    spans = repeated_spans(keyed, window).groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_of")).agg(
         F.collect_set(F.struct("start", "stop")).alias("_spans"))  # a document's own: as many as it has anchors at most
-    joined = docs.join(spans, (F.col("doc_id") == F.col("_id")) & (F.col("_row") == F.col("row")), "left") \
-        .drop("_id", "row", "_row")
+    joined = docs.join(spans, (F.col("doc_id") == F.col("_id")) & (F.col("_row") == F.col("_of")), "left") \
+        .drop("_id", "_of", "_row")
     fields = [f for f in joined.schema if f.name != "_spans"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
