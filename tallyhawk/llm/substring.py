@@ -252,31 +252,44 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     the smallest doc_id keeps its words; rows that repeat a doc_id are one document and lose nothing to each
     other. One row per row of ``docs``; columns of it that have one of the new names are replaced.
     """
-    docs = docs.drop("n_words", "n_removed", "kept", "_row", "_spans", "_id", "_of").withColumn("_row", F.xxhash64("text"))
+    docs = docs.drop("n_words", "n_removed", "kept", "_row", "_key", "_spans", "_id", "_of").withColumn("_row", F.xxhash64("text"))
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_row").alias("row"), "text")
-    spans = repeated_spans(keyed, window).groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_of")).agg(
+    spans = cut(repeated_spans(keyed, window).groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_of")).agg(
         F.collect_set(F.struct("start", "stop")).alias("_spans"))  # a document's own: as many as it has anchors at most
-    joined = docs.join(spans, (F.col("doc_id") == F.col("_id")) & (F.col("_row") == F.col("_of")), "left") \
-        .drop("_id", "_of", "_row")
-    fields = [f for f in joined.schema if f.name != "_spans"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            total, removed, kept = [], [], []
-            texts = pc.cast(pc.fill_null(b.column("text"), ""), pa.binary())
-            for text, found in zip(texts, b.column("_spans"), strict=True):
-                words = text.as_py().split()  # of bytes: at 0x20 and 0x09-0x0D alone
-                total.append(len(words))
-                if found.is_valid:
-                    edge = np.zeros(len(words) + 1, dtype=np.int32)
-                    np.add.at(edge, found.values.field("start").to_numpy(), 1)
-                    np.add.at(edge, found.values.field("stop").to_numpy(), -1)
-                    words = [words[i] for i in np.flatnonzero(np.cumsum(edge[:-1]) == 0).tolist()]
-                removed.append(total[-1] - len(words))
-                kept.append(b" ".join(words))
-            made = [pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())]
-            yield pa.RecordBatch.from_arrays([*(b.column(f.name) for f in fields), *made],
-                                             [*(f.name for f in fields), "n_words", "n_removed", "kept"])
-
+        .withColumn("_key", F.xxhash64("_id", "_of")))
+    losing = docs.sparkSession.sparkContext.broadcast(key_filter(spans, "_key", spans.count()))
+    fields = [f for f in docs.schema if f.name != "_row"]
     ddl = "".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}, " for f in fields)
-    return joined.mapInArrow(run, f"{ddl}n_words long, n_removed long, kept string")
+
+    def finished(b: pa.RecordBatch) -> pa.RecordBatch:
+        total, removed, kept = [], [], []
+        texts = pc.cast(pc.fill_null(b.column("text"), ""), pa.binary())
+        of = b.column("_spans") if "_spans" in b.schema.names else pa.nulls(len(b))
+        for text, found in zip(texts, of, strict=True):
+            words = text.as_py().split()  # of bytes: at 0x20 and 0x09-0x0D alone
+            total.append(len(words))
+            if found.is_valid:
+                edge = np.zeros(len(words) + 1, dtype=np.int32)
+                np.add.at(edge, found.values.field("start").to_numpy(), 1)
+                np.add.at(edge, found.values.field("stop").to_numpy(), -1)
+                words = [words[i] for i in np.flatnonzero(np.cumsum(edge[:-1]) == 0).tolist()]
+            removed.append(total[-1] - len(words))
+            kept.append(b" ".join(words))
+        made = [pa.array(total, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())]
+        return pa.RecordBatch.from_arrays([*(b.column(f.name) for f in fields), *made],
+                                          [*(f.name for f in fields), "n_words", "n_removed", "kept"])
+
+    def parted(wanted: bool):
+        """Only documents that may lose words are shuffled; the others are finished where they are read."""
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                there = in_filter(*losing.value, b.column("_key").to_numpy().view(U))
+                part = b.filter(pa.array(there == wanted))
+                yield part if wanted else finished(part)
+        return run
+
+    named = docs.withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), "_row"))
+    whole = named.drop("_row").mapInArrow(parted(False), f"{ddl}n_words long, n_removed long, kept string")
+    losers = named.mapInArrow(parted(True), f"{ddl}_row long, _key long").drop("_key").join(
+        spans.drop("_key"), (F.col("doc_id") == F.col("_id")) & (F.col("_row") == F.col("_of")), "left").drop("_id", "_of", "_row")
+    return whole.union(losers.mapInArrow(lambda batches: map(finished, batches), f"{ddl}n_words long, n_removed long, kept string"))
