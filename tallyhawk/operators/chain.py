@@ -20,42 +20,13 @@ def current(hist: DataFrame) -> DataFrame:
     return hist.filter((F.col("deleted_flg") == F.lit(False)) & (F.col("effective_to") == open_end()))
 
 
-_PROVEN: dict[tuple, bool] = {}
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, known_rows: int | None = None) -> DataFrame:
+    """Broadcast ``df`` where its row count, measured when it was written, is within the bound.
 
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    ``limit(n + 1).count()`` stops each scan task after n + 1 rows, so the
-    check costs at most that many rows whatever the table size. The answer is
-    remembered per plan and exact set of input files: any rewrite of the
-    inputs yields new file names and a fresh check.
-    """
-    try:
-        key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(),
-               tuple(sorted(df.inputFiles())), max_rows)
-    except Exception:  # plans without a stable hash are simply checked
-        key = None
-    if key is not None and key in _PROVEN:
-        return _PROVEN[key]
-    ok = df.limit(max_rows + 1).count() <= max_rows
-    if key is not None:
-        _PROVEN[key] = ok
-    return ok
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                       probe: DataFrame | None = None, known_rows: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only behind a proven row bound; otherwise leave it to a shuffle join.
-
-    ``probe`` is a cheaper frame whose row count bounds ``df`` (e.g. the
-    current cards for the whole chain, whose inner joins are on unique keys).
-    ``known_rows`` is such a bound already measured (recorded when the table
-    was written); then no job runs.
+    Without a count the join is left as it is: AQE measures both sides and
+    broadcasts one below its own size limit. No job runs to find out.
     """
-    small = known_rows <= max_rows if known_rows is not None else \
-        fits_broadcast(probe if probe is not None else df, max_rows)
-    return F.broadcast(df) if small else df
+    return F.broadcast(df) if known_rows is not None and known_rows <= max_rows else df
 
 
 def dim_chain(cards: DataFrame, accounts: DataFrame, clients: DataFrame) -> DataFrame:
@@ -71,13 +42,3 @@ def dim_chain(cards: DataFrame, accounts: DataFrame, clients: DataFrame) -> Data
     return c.join(a, "account_num").join(k, "client_id").select(
         "card_num", "account_num", "valid_to", "client_id", "fio",
         "passport_num", "passport_valid_to", "phone")
-
-
-def chain_for_join(cards: DataFrame, accounts: DataFrame, clients: DataFrame,
-                   max_rows: int = BROADCAST_MAX_ROWS, card_rows: int | None = None) -> DataFrame:
-    """The chain, broadcast when the current cards bound it below ``max_rows``.
-
-    ``card_rows``: the number of current cards if already known.
-    """
-    chain = dim_chain(cards, accounts, clients)
-    return broadcast_if_small(chain, max_rows, probe=current(cards).select("card_num"), known_rows=card_rows)

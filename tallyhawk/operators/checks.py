@@ -24,12 +24,26 @@ def assert_unique_key(df: DataFrame, key: str | list[str], what: str = "table")
         raise ConstraintError(f"duplicate key in {what}: {[tuple(r) for r in bad]}")
 
 
+def enforce_unique_key(df: DataFrame, key: str, what: str = "table") -> DataFrame:
+    """``df`` with one row a key; a second row of a key fails the job that evaluates it. The rows are grouped once."""
+    rest = [c for c in df.columns if c != key]
+    one = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*rest)).alias("_row"))
+    message = F.concat(F.lit(f"duplicate key in {what}: "), F.col(key).cast("string"))
+    checked = F.when(F.col("_n") > 1, F.raise_error(message)).otherwise(F.col(key))
+    return one.select(checked.alias(key), "_row.*").select(*df.columns)
+
+
+def _all_there(df: DataFrame, max_lengths: dict[str, int]) -> None:
+    if missing := sorted(set(max_lengths) - set(df.columns)):
+        raise ConstraintError(f"declared columns are missing: {missing}")
+
+
 def check_lengths(df: DataFrame, max_lengths: dict[str, int]) -> DataFrame:
-    """Rows whose text columns exceed the declared lengths."""
-    present = {c: n for c, n in max_lengths.items() if c in df.columns}
-    if not present:
+    """Rows whose text columns exceed the declared lengths; every declared column must be there."""
+    _all_there(df, max_lengths)
+    if not max_lengths:
         return df.limit(0)
-    cond = reduce(lambda a, b: a | b, [F.length(F.col(c)) > F.lit(n) for c, n in present.items()])
+    cond = reduce(lambda a, b: a | b, [F.length(F.col(c)) > F.lit(n) for c, n in max_lengths.items()])
     return df.filter(cond)
 
 
@@ -44,10 +58,9 @@ def enforce_lengths(df: DataFrame, max_lengths: dict[str, int], what: str = "tab
 
     The check rides inside whatever job writes ``df``: no extra pass over the data.
     """
+    _all_there(df, max_lengths)
     out = df
     for c, n in max_lengths.items():
-        if c not in df.columns:
-            continue
         too_long = F.length(F.col(c)) > F.lit(n)
         msg = F.concat(F.lit(f"value too long in {what}.{c} (max {n}): "), F.col(c).cast("string"))
         out = out.withColumn(c, F.when(too_long, F.raise_error(msg)).otherwise(F.col(c)))

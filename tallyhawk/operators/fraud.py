@@ -17,10 +17,12 @@ phone, event_type, report_dt, event_ts.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhawk.functions.intervals import epoch_micros, micros_between, to_micros
+from tallyhawk.functions.intervals import micros_between, to_micros
 from tallyhawk.functions.scalars import time_of_day
 from tallyhawk.operators import sequence
 from tallyhawk.operators.chain import BROADCAST_MAX_ROWS, broadcast_if_small, current
@@ -71,22 +73,20 @@ def fraud_expired_passport(tx: DataFrame, chain: DataFrame, blacklist: DataFrame
     """Rule 1: operation with an expired (``valid_to <= day``) or blacklisted passport.
 
     One row per transaction; ``report_dt`` is the transaction's day. The
-    blacklist is an existence test under OR, so it is a left join against the
-    distinct passports (a full snapshot, broadcast behind a row bound).
-    ``check_entry_date`` additionally requires ``entry_dt <= day`` (off in the
-    reference).
+    blacklist meets the chain (one row per card), and the operations meet only
+    the cards that can hit. ``check_entry_date`` additionally requires
+    ``entry_dt <= day`` (off in the reference).
     """
-    t = tx.select("card_num", "trans_date", "trans_day")
-    j = t.join(chain.select("card_num", "passport_num", "passport_valid_to", "fio", "phone"), "card_num")
-    if check_entry_date:
-        bl = blacklist.groupBy("passport_num").agg(F.min("entry_dt").alias("_listed_from"))
-        listed = F.col("_listed_from").isNotNull() & (F.col("_listed_from") <= F.col("trans_day"))
-    else:
-        bl = blacklist.select("passport_num").distinct().withColumn("_listed_from", F.lit(True))
-        listed = F.col("_listed_from").isNotNull()
-    j = j.join(broadcast_if_small(bl, max_broadcast_rows), "passport_num", "left")
-    hit = j.filter(listed | (F.col("passport_valid_to") <= F.col("trans_day")))
-    return _report(hit, EVENT_PASSPORT, "trans_date", F.col("trans_day"))
+    flags = chain_with_flags(chain, blacklist, max_broadcast_rows, check_entry_date=check_entry_date)
+    may_hit = flags.filter(F.col("_listed") | F.col("passport_valid_to").isNotNull())
+    j = tx.select("card_num", "trans_date", "trans_day").join(
+        may_hit.select("card_num", "passport_num", "passport_valid_to", "fio", "phone", "_listed_from"), "card_num")
+    return _report(j.filter(_rule_1()), EVENT_PASSPORT, "trans_date", F.col("trans_day"))
+
+
+def _rule_1() -> Column:
+    day = F.col("trans_day")
+    return F.coalesce(F.col("_listed_from") <= day, F.lit(False)) | (F.col("passport_valid_to") <= day)
 
 
 # --- rule 2 ----------------------------------------------------------------
@@ -112,8 +112,8 @@ def fraud_expired_contract(tx: DataFrame, chain: DataFrame, semantics: str = REF
 # --- rule 3 ----------------------------------------------------------------
 
 def city_hops(tx: DataFrame, terminals: DataFrame, max_gap=CITY_HOP_GAP, semantics: str = REFERENCE,
-              split: str | None = sequence.DEFAULT_SPLIT,
-              max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+              split: str | None = sequence.DEFAULT_SPLIT, hot_rows: int | None = None,
+              max_broadcast_rows: int = BROADCAST_MAX_ROWS, known_rows: int | None = None) -> DataFrame:
     """Per (card, day): the time of the last city hop within ``max_gap``.
 
     reference: the gap to the next operation is computed first, rows with a
@@ -124,77 +124,44 @@ def city_hops(tx: DataFrame, terminals: DataFrame, max_gap=CITY_HOP_GAP, semanti
     the second leg of the last hit.
 
     Transactions at unknown or inactive terminals are dropped before any of it.
-    ``max_broadcast_rows=0`` leaves the broadcast decision to the caller.
+    The windows of hot card days are cut into chunks of ``split``.
     """
     _check_semantics(semantics)
     gap_us = to_micros(max_gap)
     term = current(terminals).select(F.col("terminal_id").alias("terminal"), "terminal_city")
-    if max_broadcast_rows:
-        term = broadcast_if_small(term, max_broadcast_rows)
-    t = tx.select("card_num", "trans_day", "trans_date", "trans_id", "terminal")
-    j = t.join(term, "terminal")
+    term = broadcast_if_small(term, max_broadcast_rows, known_rows=known_rows)
     part, order = ["card_num", "trans_day"], ["trans_date", "trans_id"]
-    if split is not None:
-        return _city_hops_split(j, part, order, gap_us, semantics, to_micros(split))
-    nxt = sequence.with_next(j, part, order, ["trans_date", "terminal_city"])
-    close = micros_between("trans_date", "next_trans_date") < F.lit(gap_us)
-    if semantics == REFERENCE:
-        kept = nxt.filter(close).drop("next_terminal_city", "next_trans_date")
-        kept = sequence.with_next(kept, part, order, ["terminal_city"])
-        hits = kept.filter(F.col("terminal_city") != F.col("next_terminal_city"))
-        ts = "trans_date"
-    else:
-        hits = nxt.filter(close & (F.col("terminal_city") != F.col("next_terminal_city")))
-        ts = "next_trans_date"
-    return hits.groupBy("card_num", "trans_day").agg(F.max(ts).alias("event_ts"))
-
-
-def _city_hops_split(j: DataFrame, part: list[str], order: list[str], gap_us: int, semantics: str,
-                     split_us: int) -> DataFrame:
-    """:func:`city_hops` over time chunks, so a hot card is spread over many tasks.
-
-    Stage 1 only needs the next operation when it is within the gap, so rows
-    close to a chunk's start are copied into the previous chunk as context
-    and ``lead`` runs per (card, day, chunk) -- exact for every pair within
-    the gap. The strict rule is complete after that. The reference's second
-    ``lead`` runs over the kept rows and may reach any distance; inside a
-    chunk it is a window again, and across chunks each chunk contributes its
-    first and last kept row: a window over those summaries (one row per
-    chunk) pairs the last kept row of a chunk with the first kept row of the
-    next chunk that has one. Since the rule reports only the latest hop per
-    (card, day), the chunk results are combined by ``max``.
-    """
-    width = max(split_us, gap_us)
-    both = sequence.with_context(j, "trans_date", width, gap_us, forward=False)
-    keys = [*part, "__chunk"]
-    w = Window.partitionBy(*keys).orderBy(*order)
-    both = (both.withColumn("next_trans_date", F.lead("trans_date").over(w))
-                .withColumn("next_terminal_city", F.lead("terminal_city").over(w)))
-    own = both.filter(F.col("__own"))
-    close = micros_between("trans_date", "next_trans_date") < F.lit(gap_us)
-    if semantics == STRICT:
-        hits = own.filter(close & (F.col("terminal_city") != F.col("next_terminal_city")))
-        return hits.groupBy(*part).agg(F.max("next_trans_date").alias("event_ts"))
-
-    kept = own.filter(close).select(*keys, *order, "terminal_city")
-    kept = kept.withColumn("next_kept_city", F.lead("terminal_city").over(w))
-    by_order = F.struct(*[F.col(c) for c in order])
-    chunks = kept.groupBy(*keys).agg(
-        F.max(F.when(F.col("terminal_city") != F.col("next_kept_city"), F.col("trans_date"))).alias("hit_ts"),
-        F.min_by("terminal_city", by_order).alias("first_city"),
-        F.max_by(F.struct("terminal_city", "trans_date"), by_order).alias("last"))
-    wc = Window.partitionBy(*part).orderBy("__chunk")
-    chunks = chunks.withColumn("next_first_city", F.lead("first_city").over(wc))
-    edge = F.when(F.col("last.terminal_city") != F.col("next_first_city"), F.col("last.trans_date"))
-    per = chunks.groupBy(*part).agg(F.max(F.greatest("hit_ts", edge)).alias("event_ts"))
-    return per.filter(F.col("event_ts").isNotNull())
+
+    def hops(j: DataFrame, split: str | None) -> DataFrame:
+        nxt = sequence.with_next(j, part, order, ["trans_date", "terminal_city"], split)
+        close = micros_between("trans_date", "next_trans_date") < F.lit(gap_us)
+        if semantics == REFERENCE:
+            kept = nxt.filter(close).drop("next_terminal_city", "next_trans_date")
+            kept = sequence.with_next(kept, part, order, ["terminal_city"], split)
+            hits = kept.filter(F.col("terminal_city") != F.col("next_terminal_city"))
+            ts = "trans_date"
+        else:
+            hits = nxt.filter(close & (F.col("terminal_city") != F.col("next_terminal_city")))
+            ts = "next_trans_date"
+        return hits.groupBy(*part).agg(F.max(ts).alias("event_ts"))
+
+    return _by_heat(tx.select(*part, *order, "terminal").join(term, "terminal"), part, hops, split, hot_rows)
+
+
+def _by_heat(rows: DataFrame, part: list[str], rule: Callable[[DataFrame, str | None], DataFrame],
+             split: str | None, hot_rows: int | None) -> DataFrame:
+    """``rule`` with plain windows over ordinary partitions and with split ones over the hot."""
+    if split is None:
+        return rule(rows, None)
+    hot, cold = sequence.hot_and_cold(rows, part, hot_rows)
+    return rule(cold, None).unionByName(rule(hot, split))
 
 
 def fraud_city_hop(tx: DataFrame, terminals: DataFrame, chain: DataFrame, max_gap=CITY_HOP_GAP,
                    semantics: str = REFERENCE, report_day=None,
                    split: str | None = sequence.DEFAULT_SPLIT) -> DataFrame:
     """Rule 3: operations in different cities within ``max_gap``; one row per (card, day)."""
-    per_card = city_hops(tx, terminals, max_gap, semantics, split=split)
+    per_card = city_hops(tx, terminals, max_gap, semantics, split)
     j = per_card.join(chain.select("card_num", "passport_num", "fio", "phone"), "card_num")
     return _report(j, EVENT_CITY_HOP, "event_ts", _report_day(report_day))
 
@@ -203,30 +170,33 @@ def fraud_city_hop(tx: DataFrame, terminals: DataFrame, chain: DataFrame, max_ga
 
 def amount_probes(tx: DataFrame, rejects: int = PROBE_REJECTS, max_span=PROBE_SPAN,
                   per_day: bool = True, reject_label: str = REJECT, success_label: str = SUCCESS,
-                  split: str | None = sequence.DEFAULT_SPLIT) -> DataFrame:
+                  split: str | None = sequence.DEFAULT_SPLIT, hot_rows: int | None = None) -> DataFrame:
     """Successful operations preceded by ``rejects`` rejected ones of non-increasing amount.
 
     Positions are adjacent rows of the card ordered by (time, id); the span
     from the first reject to the success is at most ``max_span`` (inclusive);
-    equal amounts are allowed. ``per_day`` bounds the sequence to one day
-    (the reference reads one day's file); otherwise sequences cross days.
-    Returns trans_id, card_num, trans_day, trans_date of the success row.
+    equal amounts are allowed, and amounts compare in their own type.
+    ``per_day`` bounds the sequence to one day (the reference reads one day's
+    file); otherwise sequences cross days. The windows of hot cards are cut
+    into chunks of ``split``. Returns trans_id, card_num, trans_day,
+    trans_date of the success row.
     """
     span_us = to_micros(max_span)
-    t = tx.select("trans_id", "card_num", "trans_day", "trans_date", "oper_result",
-                  F.col("amt").cast("double").alias("amt"))
-    part = ["card_num", "trans_day"] if per_day else ["card_num"]
-    order = ["trans_date", "trans_id"]
-    prev = sequence.with_previous(t, part, order, ["oper_result", "amt", "trans_date"], rejects,
-                                  span_us=span_us, split=split)
-    cond = F.col("oper_result") == F.lit(success_label)
-    last_amt = F.col("amt")
-    for k in range(1, rejects + 1):
-        cond = cond & (F.col(f"prev{k}_oper_result") == F.lit(reject_label))
-        cond = cond & (F.col(f"prev{k}_amt") >= last_amt)
-        last_amt = F.col(f"prev{k}_amt")
-    cond = cond & (micros_between(f"prev{rejects}_trans_date", "trans_date") <= F.lit(span_us))
-    return prev.filter(cond).select("trans_id", "card_num", "trans_day", "trans_date")
+    part, order = ["card_num", "trans_day"] if per_day else ["card_num"], ["trans_date", "trans_id"]
+
+    def probes(t: DataFrame, split: str | None) -> DataFrame:
+        prev = sequence.with_previous(t, part, order, ["oper_result", "amt", "trans_date"], rejects, split)
+        cond = F.col("oper_result") == F.lit(success_label)
+        last_amt = F.col("amt")
+        for k in range(1, rejects + 1):
+            cond = cond & (F.col(f"prev{k}_oper_result") == F.lit(reject_label))
+            cond = cond & (F.col(f"prev{k}_amt") >= last_amt)
+            last_amt = F.col(f"prev{k}_amt")
+        cond = cond & (micros_between(f"prev{rejects}_trans_date", "trans_date") <= F.lit(span_us))
+        return prev.filter(cond).select("trans_id", "card_num", "trans_day", "trans_date")
+
+    rows = tx.select("trans_id", "card_num", "trans_day", "trans_date", "oper_result", "amt")
+    return _by_heat(rows, part, probes, split, hot_rows)
 
 
 def fraud_amount_probe(tx: DataFrame, chain: DataFrame, rejects: int = PROBE_REJECTS,
@@ -240,119 +210,16 @@ def fraud_amount_probe(tx: DataFrame, chain: DataFrame, rejects: int = PROBE_REJ
 
 # --- report ------------------------------------------------------------------
 
-def hops_and_probes(tx: DataFrame, terminals: DataFrame, max_gap=CITY_HOP_GAP, max_span=PROBE_SPAN,
-                    semantics: str = REFERENCE, split=sequence.DEFAULT_SPLIT, rejects: int = PROBE_REJECTS,
-                    reject_label: str = REJECT, success_label: str = SUCCESS) -> DataFrame:
-    """Rules 3 and 4 together over ONE shuffle of the operations.
-
-    Rows are copied at chunk edges in both directions (forward within the
-    span for rule 4's lags, backward within the gap for rule 3's leads),
-    repartitioned once by (card, chunk), and both rules' windows run on that
-    partitioning (each window adds only a local sort). Rule 4 emits its hit
-    rows; rule 3 emits one summary row per chunk (strict: its hits), and a
-    small window over those rows per (card, day) finishes it. A single linear
-    plan, so nothing is recomputed. Returns card_num, event_ts, trans_day,
-    ``_et`` (3 or 4); equal to :func:`city_hops` + :func:`amount_probes`
-    (rule 4 per day under ``reference``, across days under ``strict``).
-    ``terminals`` are the current rows (terminal_id, terminal_city).
-    """
-    _check_semantics(semantics)
-    gap_us, span_us = to_micros(max_gap), to_micros(max_span)
-    width = max(to_micros(split), gap_us, span_us)
-    per_day4 = semantics == REFERENCE
-    t = tx.select("card_num", "trans_day", "trans_date", "trans_id", "terminal", "oper_result",
-                  F.col("amt").cast("double").alias("amt"))
-    # left join: rule 4 keeps operations at unknown or closed terminals, rule 3 drops them
-    t = t.join(terminals.select(F.col("terminal_id").alias("terminal"), "terminal_city"), "terminal", "left")
-    pos = epoch_micros("trans_date")
-    chunk = F.floor(pos / F.lit(width)).cast("long")
-    offset = pos - chunk * F.lit(width)
-    shifts = F.filter(F.array(F.lit(0), F.when(offset + F.lit(span_us) >= F.lit(width), F.lit(1)),
-                              F.when(offset < F.lit(gap_us), F.lit(-1))), lambda x: x.isNotNull())
-    rows = (t.withColumn("__shift", F.explode(shifts))
-             .withColumn("__chunk", chunk + F.col("__shift"))
-             .repartition("card_num", "__chunk"))
-    own = F.col("__shift") == 0
-    rows = (rows.withColumn("__r4m", F.col("__shift") >= 0)
-                .withColumn("__r3m", (F.col("__shift") <= 0) & F.col("terminal_city").isNotNull()))
-    order = ["trans_date", "trans_id"]
-
-    # rule 4: lags over own rows and forward copies
-    w4 = Window.partitionBy("card_num", "__chunk", "__r4m", *(["trans_day"] if per_day4 else [])).orderBy(*order)
-    hit4 = own & (F.col("oper_result") == F.lit(success_label))
-    last_amt = F.col("amt")
-    for k in range(1, rejects + 1):
-        hit4 = hit4 & (F.lag("oper_result", k).over(w4) == F.lit(reject_label))
-        prev_amt = F.lag("amt", k).over(w4)
-        hit4 = hit4 & (prev_amt >= last_amt)
-        last_amt = prev_amt
-    hit4 = hit4 & (micros_between(F.lag("trans_date", rejects).over(w4), "trans_date") <= F.lit(span_us))
-    rows = rows.withColumn("__hit4", F.coalesce(hit4, F.lit(False)))
-
-    # rule 3, stage 1: next operation within the gap (own rows and backward copies)
-    w3 = Window.partitionBy("card_num", "__chunk", "__r3m", "trans_day").orderBy(*order)
-    rows = (rows.withColumn("__next_ts", F.lead("trans_date").over(w3))
-                .withColumn("__next_city", F.lead("terminal_city").over(w3)))
-    kept = own & F.col("__r3m") & (micros_between("trans_date", "__next_ts") < F.lit(gap_us))
-    rows = rows.withColumn("__kept", F.coalesce(kept, F.lit(False)))
-    if semantics == STRICT:
-        # one row per chunk: the latest second leg of a hop within it
-        w3_all = Window.partitionBy("card_num", "__chunk", "__r3m", "trans_day")
-        hit3 = F.when(F.col("__kept") & (F.col("terminal_city") != F.col("__next_city")), F.col("__next_ts"))
-        rows = (rows.withColumn("__max3", F.max(hit3).over(w3_all))
-                    .withColumn("__is_last3", F.col("__next_ts").isNull()))
-        rec3 = F.when(F.col("__r3m") & F.col("__is_last3") & F.col("__max3").isNotNull(), F.struct(
-            F.lit(EVENT_CITY_HOP).alias("kind"), F.col("__max3").alias("ts"),
-            F.lit(None).cast("string").alias("first_city"), F.lit(None).cast("string").alias("last_city"),
-            F.lit(None).cast("timestamp_ntz").alias("last_ts")))
-    else:
-        # stage 2 inside the chunk over kept rows, plus the chunk's first and last kept row
-        wk = Window.partitionBy("card_num", "__chunk", "__kept", "trans_day").orderBy(*order)
-        wk_all = wk.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        next_kept_city = F.lead("terminal_city").over(wk)
-        in_hit = F.when(F.col("terminal_city") != next_kept_city, F.col("trans_date"))
-        rows = (rows.withColumn("__in_hit", in_hit)
-                    .withColumn("__is_last", F.lead("trans_date").over(wk).isNull())
-                    .withColumn("__first_city", F.first("terminal_city").over(wk_all)))
-        rows = rows.withColumn("__hit_ts", F.max("__in_hit").over(wk_all))
-        rec3 = F.when(F.col("__kept") & F.col("__is_last"), F.struct(
-            F.lit(EVENT_CITY_HOP).alias("kind"), F.col("__hit_ts").alias("ts"),
-            F.col("__first_city").alias("first_city"), F.col("terminal_city").alias("last_city"),
-            F.col("trans_date").alias("last_ts")))
-    rec4 = F.when(F.col("__hit4"), F.struct(
-        F.lit(EVENT_AMOUNT_PROBE).alias("kind"), F.col("trans_date").alias("ts"),
-        F.lit(None).cast("string").alias("first_city"), F.lit(None).cast("string").alias("last_city"),
-        F.lit(None).cast("timestamp_ntz").alias("last_ts")))
-    recs = rows.select("card_num", "trans_day", "__chunk",
-                       F.explode(F.filter(F.array(rec4, rec3), lambda x: x.isNotNull())).alias("r"))
-    recs = recs.select("card_num", "trans_day", "__chunk", "r.*")
-
-    # finish rule 3 per (card, day) over its rows (at most one per chunk); rule 4 rows pass
-    # through, still split by chunk so a card with many hits is no hot group here either
-    recs = recs.withColumn("__split4", F.when(F.col("kind") == EVENT_AMOUNT_PROBE, F.col("__chunk")))
-    wc = Window.partitionBy("card_num", "trans_day", "kind", "__split4").orderBy("__chunk", "last_ts", "ts")
-    wc_all = Window.partitionBy("card_num", "trans_day", "kind", "__split4")
-    if semantics == STRICT:
-        val = F.col("ts")
-    else:
-        edge = F.when(F.col("last_city") != F.lead("first_city").over(wc), F.col("last_ts"))
-        val = F.greatest("ts", edge)
-    recs = (recs.withColumn("__val", val)
-                .withColumn("__event", F.max("__val").over(wc_all))
-                .withColumn("__rn", F.row_number().over(wc)))
-    is4 = F.col("kind") == EVENT_AMOUNT_PROBE
-    keep = is4 | ((F.col("__rn") == 1) & F.col("__event").isNotNull())
-    return recs.filter(keep).select(
-        "card_num", F.when(is4, F.col("ts")).otherwise(F.col("__event")).alias("event_ts"), "trans_day",
-        F.col("kind").alias("_et"))
-
-
 def chain_with_flags(chain: DataFrame, blacklist: DataFrame, max_broadcast_rows: int = BROADCAST_MAX_ROWS,
-                     blacklist_rows: int | None = None) -> DataFrame:
-    """The chain with ``_listed`` (passport on the blacklist): the blacklist is joined per card, not per operation."""
-    bl = blacklist.select("passport_num").distinct().withColumn("_listed", F.lit(True))
+                     blacklist_rows: int | None = None, check_entry_date: bool = False) -> DataFrame:
+    """The chain with ``_listed`` and ``_listed_from``: the blacklist is joined per card, not per operation.
+
+    A listed passport counts from ever, or with ``check_entry_date`` from its first entry date.
+    """
+    since = F.min("entry_dt") if check_entry_date else F.first(F.lit("0001-01-01").cast("date"))
+    bl = blacklist.groupBy("passport_num").agg(since.alias("_listed_from"))
     bl = broadcast_if_small(bl, max_broadcast_rows, known_rows=blacklist_rows)
-    return chain.join(bl, "passport_num", "left").withColumn("_listed", F.coalesce("_listed", F.lit(False)))
+    return chain.join(bl, "passport_num", "left").withColumn("_listed", F.col("_listed_from").isNotNull())
 
 
 def may_hit_rules_1_2(through_day: Column) -> Column:
@@ -368,11 +235,12 @@ def may_hit_rules_1_2(through_day: Column) -> Column:
 def fraud_report(tx: DataFrame, chain: DataFrame, blacklist: DataFrame, terminals: DataFrame,
                  semantics: str = REFERENCE, report_day=None, probe_tx: DataFrame | None = None,
                  city_gap=CITY_HOP_GAP, probe_span=PROBE_SPAN,
-                 split: str | None = sequence.DEFAULT_SPLIT,
+                 split: str | None = sequence.DEFAULT_SPLIT, hot_rows: int | None = None,
                  max_broadcast_rows: int = BROADCAST_MAX_ROWS,
                  terminal_rows: int | None = None, blacklist_rows: int | None = None,
                  flagged: DataFrame | None = None, flagged_rows: int | None = None,
-                 chain_flags: DataFrame | None = None, chain_rows: int | None = None) -> DataFrame:
+                 chain_flags: DataFrame | None = None, chain_rows: int | None = None,
+                 check_entry_date: bool = False) -> DataFrame:
     """All four rules as one bag union (a transaction may appear under several rules).
 
     Equal to the union of the four rule functions, planned for size:
@@ -382,50 +250,45 @@ def fraud_report(tx: DataFrame, chain: DataFrame, blacklist: DataFrame, terminal
       them by the report day (listed, or passport / contract expired --
       normally a small part of the chain, so usually a broadcast and no shuffle
       of the operations); the exact conditions are applied after the join;
-    * rules 3 and 4 run over one shuffle of the operations (:func:`hops_and_probes`)
-      and join their per-card hits with the chain.
+    * rules 3 and 4 join their per-card hits with the chain.
 
     ``chain_flags`` / ``flagged`` may be given already built (the daily run
     writes them once, counting rows); ``*_rows`` are row bounds known from
-    such writes, so no probing job runs. ``probe_tx`` is the input of rule 4
-    (the reference reads the day's file rather than the fact table).
+    such writes. ``probe_tx`` is the input of rule 4 where it is not ``tx``: the
+    file's rows in the reference, the operations with those shortly before the
+    report day in strict, where sequences cross midnight.
     """
     _check_semantics(semantics)
     rd = _report_day(report_day)
     if chain_flags is None:
-        chain_flags = chain_with_flags(chain, blacklist, max_broadcast_rows, blacklist_rows)
+        chain_flags = chain_with_flags(chain, blacklist, max_broadcast_rows, blacklist_rows, check_entry_date)
     if flagged is None:
         through = F.lit(report_day).cast("date") if report_day is not None else \
             tx.agg(F.max("trans_day")).scalar()
         flagged = chain_flags.filter(may_hit_rules_1_2(through))
-    cols = ["card_num", "valid_to", "passport_num", "passport_valid_to", "fio", "phone", "_listed"]
+    cols = ["card_num", "valid_to", "passport_num", "passport_valid_to", "fio", "phone", "_listed_from"]
 
     # rules 1 and 2: operations x cards that can hit them
     ops = tx.select("card_num", F.col("trans_date").alias("event_ts"), "trans_day")
     j12 = ops.join(broadcast_if_small(flagged.select(*cols), max_broadcast_rows, known_rows=flagged_rows),
                    "card_num")
-    r1 = F.col("_listed") | (F.col("passport_valid_to") <= F.col("trans_day"))
     if semantics == REFERENCE:
         r2 = F.col("valid_to").cast("timestamp_ntz") < F.col("event_ts")
     else:
         r2 = F.col("valid_to") < F.col("trans_day")
-    et = F.explode(F.array(F.when(r1, F.lit(EVENT_PASSPORT)), F.when(r2, F.lit(EVENT_CONTRACT)))).alias("_et")
+    et = F.explode(F.array(F.when(_rule_1(), F.lit(EVENT_PASSPORT)), F.when(r2, F.lit(EVENT_CONTRACT)))).alias("_et")
     rows12 = j12.select("*", et).filter(F.col("_et").isNotNull())
 
     # rules 3 and 4: per-card hits x chain
-    term = broadcast_if_small(current(terminals), max_broadcast_rows, known_rows=terminal_rows)
-    if split is not None and probe_tx is None:
-        # one shuffle of the operations serves both rules
-        hits = hops_and_probes(tx, term, city_gap, probe_span, semantics, split)
-    else:
-        hops = city_hops(tx, term, city_gap, semantics, split=split, max_broadcast_rows=0) \
-            .select("card_num", "event_ts", "trans_day", F.lit(EVENT_CITY_HOP).alias("_et"))
-        probes = amount_probes(probe_tx if probe_tx is not None else tx, max_span=probe_span,
-                               per_day=(semantics == REFERENCE), split=split) \
-            .select("card_num", F.col("trans_date").alias("event_ts"), "trans_day",
-                    F.lit(EVENT_AMOUNT_PROBE).alias("_et"))
-        hits = hops.unionByName(probes)
-    j34 = hits.join(
+    hops = city_hops(tx, terminals, city_gap, semantics, split, hot_rows, max_broadcast_rows, terminal_rows) \
+        .select("card_num", "event_ts", "trans_day", F.lit(EVENT_CITY_HOP).alias("_et"))
+    probes = amount_probes(probe_tx if probe_tx is not None else tx, max_span=probe_span,
+                           per_day=(semantics == REFERENCE), split=split, hot_rows=hot_rows)
+    if report_day is not None and semantics == STRICT:
+        probes = probes.filter(F.col("trans_day") == F.lit(report_day).cast("date"))
+    probes = probes.select("card_num", F.col("trans_date").alias("event_ts"), "trans_day",
+                           F.lit(EVENT_AMOUNT_PROBE).alias("_et"))
+    j34 = hops.unionByName(probes).join(
         broadcast_if_small(chain_flags.select(*cols), max_broadcast_rows, known_rows=chain_rows), "card_num")
 
     rows = rows12.unionByName(j34.select(*rows12.columns))

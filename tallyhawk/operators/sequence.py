@@ -4,24 +4,18 @@ A plain ``Window.partitionBy(card, day)`` puts every operation of one card
 and day into one task; AQE cannot split a window partition. If one card
 carries a third of all operations that task is the whole job.
 
-With ``split`` (a duration) each partition is cut into time chunks of that
-width, so no task sees more than one chunk of one card:
+:func:`hot_and_cold` parts the rows of such partitions from the others. Only
+they need ``split`` (a duration), which cuts each partition into time chunks:
 
 * :func:`with_next` computes ``lead`` inside each chunk, then stitches the
   last row of a chunk to the first row of the next non-empty chunk of the
   same partition. Chunk heads come from a grouped ``min_by`` (partially
   aggregated map-side); the chunk-level ``lead`` runs over one row per chunk.
-  The result is exactly the unsplit ``lead``.
-* :func:`with_context` assigns the chunks and copies rows near a chunk edge
-  into the neighbouring chunk (one ``explode``, so the input is read once).
-  When a rule only needs neighbours within a bounded time (rule 4's span,
-  rule 3's gap), the window per (partition, chunk) then sees every neighbour
-  that matters.
-* :func:`with_previous` answers "the k previous rows, if they lie within
-  ``span``" that way: the lags are exact whenever the k-th predecessor is
-  within the span, and NULL otherwise -- all a span-bounded pattern needs.
-
-``split=None`` uses the plain window (one exchange, one sort).
+* :func:`with_previous` likewise hands each chunk the last k rows before it.
+
+Neighbours are counted in rows, not in time: no row is copied, a chunk may be
+of any width, and the results are exactly those of the plain window, which
+``split=None`` uses (one exchange, one sort).
 """
 
 from __future__ import annotations
@@ -32,9 +26,25 @@ from pyspark.sql import functions as F
 from tallyhawk.functions.intervals import epoch_micros, to_micros
 
 DEFAULT_SPLIT = "1 hour"
+#: A partition is hot with more rows than this and than one in HOT_SHARE of all rows.
+HOT_ROWS = 100_000
+HOT_SHARE = 10_000
 
 _CHUNK = "__chunk"
-_ROLE = "__own"
+
+
+def hot_and_cold(df: DataFrame, part: list[str], hot_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The rows of hot partitions, and all others.
+
+    The hot keys are broadcast: each holds more than one in ``HOT_SHARE`` of
+    all rows, so there are fewer than that. With none of them the hot side is
+    empty and dropped at run time.
+    """
+    least = HOT_ROWS if hot_rows is None else hot_rows
+    share = df.agg(F.count(F.lit(1)) / HOT_SHARE).scalar()
+    hot = F.broadcast(df.groupBy(*part).agg(F.count(F.lit(1)).alias("__n"))
+                      .filter((F.col("__n") > least) & (F.col("__n") > share)).select(*part))
+    return df.join(hot, part, "left_semi"), df.join(hot, part, "left_anti")
 
 
 def _chunk_of(ts: str, width_us: int):
@@ -72,50 +82,29 @@ def with_next(df: DataFrame, part: list[str], order: list[str], cols: list[str],
     return out.select(*df.columns, *[nxt[c].alias(prefix + c) for c in cols])
 
 
-def with_context(df: DataFrame, ts: str, width_us: int, reach_us: int, forward: bool) -> DataFrame:
-    """Assign time chunks of ``width_us`` and copy rows near a chunk edge into the neighbour chunk.
-
-    forward=True: rows within ``reach_us`` of the *end* of their chunk are also
-    sent to the next chunk (context for span-bounded lags there).
-    forward=False: rows within ``reach_us`` of the *start* of their chunk are
-    also sent to the previous chunk (context for gap-bounded leads there).
-    Adds ``__chunk`` and ``__own`` (False on copies). One pass: the copy is an
-    ``explode``, not a union, so the input is read once.
-    """
-    if reach_us > width_us:
-        raise ValueError("chunk width must be at least the reach")
-    pos = epoch_micros(ts)
-    chunk = F.floor(pos / F.lit(width_us)).cast("long")
-    offset = pos - chunk * F.lit(width_us)
-    near = (offset + F.lit(reach_us) >= F.lit(width_us)) if forward else (offset < F.lit(reach_us))
-    step = 1 if forward else -1
-    shifts = F.when(near, F.array(F.lit(0), F.lit(step))).otherwise(F.array(F.lit(0)))
-    out = df.withColumn(_CHUNK, chunk).withColumn("__shift", F.explode(shifts))
-    return (out.withColumn(_CHUNK, F.col(_CHUNK) + F.col("__shift"))
-               .withColumn(_ROLE, F.col("__shift") == 0).drop("__shift"))
-
-
 def with_previous(df: DataFrame, part: list[str], order: list[str], cols: list[str], k: int,
-                  span_us: int | None = None, split: str | int | None = None,
-                  prefix: str = "prev") -> DataFrame:
-    """Add ``prev<i>_<c>`` for i = 1..k, the value ``i`` rows earlier.
-
-    With ``split``, exact when the k-th previous row is within ``span_us`` of
-    the row (by ``order[0]``); otherwise the missing lags are NULL.
-    """
+                  split: str | int | None = None, prefix: str = "prev") -> DataFrame:
+    """Add ``prev<i>_<c>`` for i = 1..k, the value ``i`` rows earlier."""
+    names = [(i, c) for i in range(1, k + 1) for c in cols]
     if split is None:
         w = Window.partitionBy(*part).orderBy(*order)
-        for i in range(1, k + 1):
-            for c in cols:
-                df = df.withColumn(f"{prefix}{i}_{c}", F.lag(c, i).over(w))
-        return df
+        return df.select("*", *[F.lag(c, i).over(w).alias(f"{prefix}{i}_{c}") for i, c in names])
 
-    if span_us is None:
-        raise ValueError("with_previous(split=...) needs span_us")
-    width = max(to_micros(split), span_us)
-    both = with_context(df, order[0], width, span_us, forward=True)
-    w = Window.partitionBy(*part, _CHUNK).orderBy(*order)
-    for i in range(1, k + 1):
-        for c in cols:
-            both = both.withColumn(f"{prefix}{i}_{c}", F.lag(c, i).over(w))
-    return both.filter(F.col(_ROLE)).drop(_CHUNK, _ROLE)
+    keys = [*part, _CHUNK]
+    w = Window.partitionBy(*keys).orderBy(*order)
+    payload = F.struct(*[F.col(c).alias(c) for c in cols])
+    rows = df.withColumn(_CHUNK, _chunk_of(order[0], to_micros(split))).select(
+        "*", F.row_number().over(w).alias("__at"), F.lead(F.lit(1), k).over(w).isNull().alias("__last"),
+        *[F.lag(payload, i).over(w).alias(f"__lag{i}") for i in range(1, k + 1)])
+    # each chunk's last k rows, latest first; then the k rows before each chunk
+    tails = rows.filter("__last").groupBy(*keys).agg(F.reverse(F.array_sort(F.collect_list(
+        F.struct("__at", payload.alias("row"))))).alias("__tail"))       # k rows at most
+    wc = Window.partitionBy(*part).orderBy(_CHUNK)
+    earlier = F.concat(*[F.coalesce(F.lag("__tail", i).over(wc), F.slice("__tail", 1, 0)) for i in range(1, k + 1)])
+    follow = tails.select(*keys, F.slice(earlier, 1, k).alias("__earlier"))
+    # rows are already clustered and sorted by (part, chunk): the join only moves the few rows of `follow`
+    out = rows.join(follow, keys, "left")
+
+    def value(i: int):
+        return F.coalesce(F.col(f"__lag{i}"), F.get(F.col("__earlier"), F.lit(i) - F.col("__at"))["row"])
+    return out.select(*df.columns, *[value(i)[c].alias(f"{prefix}{i}_{c}") for i, c in names])

@@ -18,8 +18,8 @@ from tallyhawk.operators import scd2 as scd2_ops
 from tallyhawk.plans import fixtures as fx
 from tallyhawk.plans import history, oracle
 from tallyhawk.plans import daily as pipe
-from tallyhawk.plans.state import Warehouse
-from tallyhawk.schemas import DIMENSIONS, REFERENCE, STRICT
+from tallyhawk.plans.state import FACTS, Warehouse
+from tallyhawk.schemas import DIMENSIONS, MAX_LENGTHS, REFERENCE, STRICT
 from tallyhawk.session import scratch_path
 from tallyhawk.sources import files as file_ops
 from tallyhawk.streaming import amount_probe as stream_ops
@@ -30,17 +30,27 @@ FACT_DAY = _dt.date(2024, 1, 15)
 
 
 def _chain(spark, d):
-    return chain_ops.chain_for_join(fx.cards(spark, d), fx.accounts(spark, d), fx.clients(spark, d))
+    return chain_ops.dim_chain(fx.cards(spark, d), fx.accounts(spark, d), fx.clients(spark, d))
 
 
 # --- facts and dimensions ----------------------------------------------------
 
+def _loaded_facts(spark, d):
+    """All operations written as the facts of one input day, published and ready to read back."""
+    wh = Warehouse(spark, scratch_path(spark, "facts"))
+    fact_ops.write_day(fx.tx_as_facts(spark, d), wh.day_path(FACTS, FACT_DAY, 1), "trans_day")
+    wh.commit(FACT_DAY, {}, days={FACTS: [1]})
+    return wh
+
+
 def q_fact_transactions(spark, d):
-    return fx.tx(spark, d)
+    """The facts written by day, published and read back."""
+    return _loaded_facts(spark, d).read_facts().withColumn("amt", F.col("amt").cast("double"))
 
 
 def q_fact_day(spark, d):
-    return fx.tx(spark, d).filter(F.col("trans_day") == F.lit(FACT_DAY))
+    """One day's facts by partition."""
+    return _loaded_facts(spark, d).read_facts(FACT_DAY).withColumn("amt", F.col("amt").cast("double"))
 
 
 def q_dim_current(spark, d):
@@ -102,7 +112,16 @@ def q_fraud_report(spark, d):
                               fx.terminals(spark, d), semantics=REFERENCE)
 
 
+def _report(semantics, span):
+    def q(spark, d):
+        return fraud.fraud_report(fx.tx(spark, d), _chain(spark, d), fx.blacklist(spark, d), fx.terminals(spark, d),
+                                  semantics=semantics, probe_span=span)
+    return q
+
+
 QUERIES: dict[str, Query] = {
+    "fraud_report_wide": _report(REFERENCE, "1 day"),
+    "fraud_report_strict": _report(STRICT, "3 days"),
     "fact_transactions": q_fact_transactions,
     "fact_day": q_fact_day,
     "dim_current": q_dim_current,
@@ -127,9 +146,13 @@ def _txn_gap_sql() -> str:
       from (select *, date_trunc('second', trans_date) as ts_s from tx)""", "tx")
 
 
+FACT_SQL = """select cast(trans_id as varchar) as trans_id, trans_date, trans_day,
+    cast(cast(amt as decimal(30,2)) as double) as amt, cast(card_num as varchar) as card_num, oper_type, oper_result,
+    cast(terminal as varchar) as terminal from tx"""
+
 ORACLE: dict[str, str] = {
-    "fact_transactions": oracle.with_views("select * from tx", "tx"),
-    "fact_day": oracle.with_views("select * from tx where trans_day = date '2024-01-15'", "tx"),
+    "fact_transactions": oracle.with_views(FACT_SQL, "tx"),
+    "fact_day": oracle.with_views(FACT_SQL + " where trans_day = date '2024-01-15'", "tx"),
     "dim_current": oracle.with_views(
         "select * from cards where deleted_flg = false and effective_to = date '2999-01-01'", "cards"),
     "dim_chain": oracle.with_views("select * from chain", "chain"),
@@ -143,6 +166,8 @@ ORACLE: dict[str, str] = {
     "fraud_amount_probe_20min": oracle.r4_sql("interval 20 minute", per_day=True),
     "fraud_amount_probe_multiday": oracle.r4_sql("interval 3 day", per_day=False),
     "fraud_report": oracle.report_sql(),
+    "fraud_report_wide": oracle.report_sql(span="interval 1 day"),
+    "fraud_report_strict": oracle.report_sql(strict=True, span="interval 3 day"),
 }
 
 
@@ -201,8 +226,9 @@ def q_watermark_advance(spark, d):
     """New watermark after staging S2 (advances) and after an empty staging (keeps the old one)."""
     h1, staged, _, _ = _day1(spark, d)
     old = fx.SCD2_DAYS[0]
-    adv = staged.agg(F.coalesce(F.max("update_dt"), F.lit(old)).alias("max_update_dt"))
-    keep = staged.filter(F.lit(False)).agg(F.coalesce(F.max("update_dt"), F.lit(old)).alias("max_update_dt"))
+    def after(rows):
+        return spark.range(1).select(scd2_ops.watermark_advance(rows, old).alias("max_update_dt"))
+    adv, keep = after(staged), after(staged.filter(F.lit(False)))
     return (adv.select(F.lit("staged").alias("case_name"), "max_update_dt")
             .unionByName(keep.select(F.lit("empty").alias("case_name"), "max_update_dt")))
 
@@ -347,6 +373,14 @@ def q_check_lengths(spark, d):
                                    {"o_orderpriority": 10})
 
 
+def q_check_lengths_report(spark, d):
+    """Report rows (from customers) with a value longer than the report declares."""
+    c, k = fx.table(spark, d, "customer"), F.col("c_custkey")
+    rows = c.select(F.concat(F.lit("P"), k.cast("string")).alias("passport"), F.concat("c_name", "c_name").alias("fio"),
+                    F.lpad(k.cast("string"), (10 + k % 10).cast("int"), F.lit("0")).alias("phone"))
+    return check_ops.check_lengths(rows, MAX_LENGTHS["report"])
+
+
 def q_blacklist_refresh(spark, d):
     """Full refresh: the second snapshot replaces the first at the same path."""
     path = scratch_path(spark, "blacklist")
@@ -380,6 +414,19 @@ def q_scan_transactions(spark, d):
     return good.withColumn("amt", F.col("amt").cast("double"))
 
 
+def q_scan_transactions_rejects(spark, d):
+    """The lines of a file in which every seventh has a field too many and every eleventh two too few."""
+    path = scratch_path(spark, "input") + "/transactions_01012024.txt"
+    t, i = fx.tx(spark, d), F.col("trans_id")
+    fields = F.array(i.cast("string"), F.date_format("trans_date", "yyyy-MM-dd HH:mm:ss"), F.lit("1,00"),
+                     F.col("card_num").cast("string"), F.col("oper_type"), F.col("oper_result"), F.lit("9"))
+    fields = F.when(i % 7 == 0, F.array_append(fields, F.lit("more"))).when(i % 11 == 0, F.slice(fields, 1, 5)).otherwise(fields)
+    t.select(F.array_join(fields, ";").alias("value")).write.text(path)
+    lines = spark.read.schema(file_ops.RAW_TRANSACTIONS).option("sep", ";").options(**file_ops.RAW_OPTIONS).csv(path)
+    return file_ops.parse_transactions(lines).filter("_reject is not null").select(
+        F.split("_amount_text", ";")[0].cast("long").alias("trans_id"), F.col("_reject").alias("reason"))
+
+
 def q_scan_snapshot(spark, d):
     path = scratch_path(spark, "input") + "/terminals_01012024.csv"
     snap = chain_ops.current(fx.terminals(spark, d)).select(
@@ -410,6 +457,8 @@ QUERIES.update({
     "check_lengths": q_check_lengths,
     "blacklist_refresh": q_blacklist_refresh,
     "scan_transactions": q_scan_transactions,
+    "scan_transactions_rejects": q_scan_transactions_rejects,
+    "check_lengths_report": q_check_lengths_report,
     "scan_snapshot": q_scan_snapshot,
 })
 
@@ -434,6 +483,10 @@ ORACLE.update({
     "check_unique_key_customer":
         "select c_custkey, count(*) as n from customer group by c_custkey having count(*) > 1",
     "check_lengths": "select o_orderkey, o_orderpriority from orders where length(o_orderpriority) > 10",
+    "scan_transactions_rejects": """select event_id as trans_id, 'wrong number of fields' as reason from events
+        where event_id % 7 = 0 or event_id % 11 = 0""",
+    "check_lengths_report": """select 'P' || cast(c_custkey as varchar) as passport, c_name || c_name as fio,
+        lpad(cast(c_custkey as varchar), cast(10 + c_custkey % 10 as int), '0') as phone from customer where c_custkey % 10 > 6""",
     "blacklist_refresh": """select 'P' || cast(c_custkey as varchar) as passport_num, date '2024-01-01' as entry_dt
         from customer where c_custkey % 17 = 0""",
     "scan_transactions": oracle.with_views("""select cast(trans_id as varchar) as trans_id,
@@ -469,11 +522,25 @@ def _daily_sources(spark, d):
     return pipe.Sources(cards, accounts, clients)
 
 
+def _three_days_tx(spark, d):
+    """All operations, dealt by day of month onto three business days; the time of day stays."""
+    t = fx.tx(spark, d)
+    shift = F.make_dt_interval(days=(F.dayofmonth("trans_day") - 1) % 3 + 1 - F.dayofmonth("trans_day"))
+    moved = (F.col("trans_date") + shift).cast("timestamp_ntz")
+    return t.withColumn("trans_date", moved).withColumn("trans_day", F.to_date("trans_date"))
+
+
 def write_day_inputs(spark, d, input_dir, day):
     """The three input files of one day, written by Spark from the driver tables."""
     name = day.strftime("%d%m%Y")
-    write_transactions_file(fx.tx(spark, d).filter(F.col("trans_day") == F.lit(day)),
+    write_transactions_file(_three_days_tx(spark, d).filter(F.col("trans_day") == F.lit(day)),
                             f"{input_dir}/transactions_{name}.txt")
+    write_snapshot_files(spark, d, input_dir, day)
+
+
+def write_snapshot_files(spark, d, input_dir, day):
+    """The terminals and blacklist files of one day."""
+    name = day.strftime("%d%m%Y")
     term = chain_ops.current(fx.terminals(spark, d)).select(
         F.col("terminal_id").cast("string").alias("terminal_id"), "terminal_type", "terminal_city",
         "terminal_address")
@@ -493,15 +560,54 @@ def _run_daily(spark, d, replay=False, semantics=REFERENCE):
     src = _daily_sources(spark, d)
     pipe.run_days(spark, wh, inp, arc, src, semantics=semantics)
     if replay:
-        pipe.reset(spark, wh, inp, arc)
+        pipe.reset(spark, wh, inp, arc, replay if isinstance(replay, _dt.date) else None)
         pipe.run_days(spark, wh, inp, arc, src, semantics=semantics)
+    return wh
+
+
+def _report_of(wh):
     return wh.read_report().select("event_dt", "passport", "fio", "phone", "event_type", "report_dt", "event_ts")
 
 
+def q_daily_run_straggler_rerun(spark, d):
+    """Three days of which the last is loaded twice: first from a file with half its rows, after an attempt that
+    stopped before it published, then from the whole file."""
+    base = scratch_path(spark, "daily")
+    inp, arc = f"{base}/input", f"{base}/archive"
+    for day in PIPELINE_DAYS:
+        write_day_inputs(spark, d, inp, day)
+    wh, src = Warehouse(spark, f"{base}/warehouse"), _daily_sources(spark, d)
+    pipe.run_days(spark, wh, inp, arc, src, max_days=2)
+    last = PIPELINE_DAYS[-1]
+    tx_file = f"{inp}/transactions_{last:%d%m%Y}.txt"
+    day_tx = _three_days_tx(spark, d).filter(F.col("trans_day") == F.lit(last))
+    write_transactions_file(day_tx.filter(F.col("trans_id") % 2 == 0), tx_file)
+    stopped = Warehouse(spark, f"{base}/warehouse")
+    stopped.commit = lambda *a, **k: (_ for _ in ()).throw(InterruptedError("stopped before publishing"))
+    try:
+        pipe.run_day(spark, stopped, inp, arc, src)
+    except InterruptedError:
+        pass
+    pipe.run_day(spark, wh, inp, arc, src)
+    write_transactions_file(day_tx, tx_file)
+    write_snapshot_files(spark, d, inp, last)
+    pipe.run_day(spark, wh, inp, arc, src)
+    return _report_of(wh)
+
+
+def q_daily_run_facts(spark, d):
+    """Operations and amounts a day in the facts of the three loads: every row of events is there."""
+    return _run_daily(spark, d).read_facts().groupBy("trans_day").agg(
+        F.count("*").alias("n"), F.sum("amt").cast("double").alias("total"))
+
+
 QUERIES.update({
-    "daily_run_three_days": lambda spark, d: _run_daily(spark, d),
-    "replay_equals_first_run": lambda spark, d: _run_daily(spark, d, replay=True),
-    "daily_run_three_days_strict": lambda spark, d: _run_daily(spark, d, semantics=STRICT),
+    "daily_run_three_days": lambda spark, d: _report_of(_run_daily(spark, d)),
+    "replay_equals_first_run": lambda spark, d: _report_of(_run_daily(spark, d, replay=True)),
+    "replay_from_day": lambda spark, d: _report_of(_run_daily(spark, d, replay=PIPELINE_DAYS[1])),
+    "daily_run_three_days_strict": lambda spark, d: _report_of(_run_daily(spark, d, semantics=STRICT)),
+    "daily_run_straggler_rerun": q_daily_run_straggler_rerun,
+    "daily_run_facts": q_daily_run_facts,
 })
 
 _DAILY_VIEWS = {
@@ -511,7 +617,8 @@ _DAILY_VIEWS = {
         case when event_type in ('click','view','error') then 'REJECT'
              when event_type = 'purchase' then 'SUCCESS' else 'OTHER' end as oper_result,
         json_extract_string(props, '$.k') as terminal
-      from events where cast(ts as date) between date '2024-01-01' and date '2024-01-03'""",
+      from (select * replace (cast(ts + to_days(cast((day(ts) - 1) % 3 + 1 - day(ts) as int)) as timestamp) as ts)
+            from events) events""",
     "terminals": """select cast(terminal_id as varchar) as terminal_id, 'CITY_' || cast(terminal_id % 5 as varchar)
         as terminal_city, date '2999-01-01' as effective_to, false as deleted_flg
       from (select distinct cast(json_extract_string(props, '$.k') as int) as terminal_id from events)
@@ -530,7 +637,11 @@ _DAILY_VIEWS = {
 ORACLE.update({
     "daily_run_three_days": oracle.report_sql(_DAILY_VIEWS),
     "replay_equals_first_run": oracle.report_sql(_DAILY_VIEWS),
+    "replay_from_day": oracle.report_sql(_DAILY_VIEWS),
     "daily_run_three_days_strict": oracle.report_sql(_DAILY_VIEWS, strict=True),
+    "daily_run_straggler_rerun": oracle.report_sql(_DAILY_VIEWS),
+    "daily_run_facts": """with tx as (""" + _DAILY_VIEWS["tx"] + """)
+        select trans_day, count(*) as n, cast(sum(cast(amt as decimal(30,2))) as double) as total from tx group by trans_day""",
 })
 
 
@@ -579,16 +690,17 @@ STREAM_CHUNKS = ((1, 10), (11, 20), (21, 31))
 
 
 def q_stream_amount_probe(spark, d):
-    """Rule 4 per card across days (3-day span) over three transaction files streamed in order."""
+    """Rule 4 per card across days (3-day span): three files of four unsorted parts each, a few parts a batch."""
     base = scratch_path(spark, "stream")
     tx = fx.tx(spark, d)
     for lo, hi in STREAM_CHUNKS:
         part = tx.filter(F.dayofmonth("trans_day").between(lo, hi))
-        write_transactions_file(part.coalesce(1), f"{base}/input/transactions_{lo:02d}012024.txt")
-    q = stream_ops.run_probe_stream(spark, f"{base}/input/transactions_*/part-*.csv", f"{base}/out",
-                                    f"{base}/checkpoint", max_span="3 days")
+        write_transactions_file(part.repartition(4, "trans_id"), f"{base}/input/transactions_{lo:02d}012024.txt")
+    q = stream_ops.run_probe_stream(spark, f"{base}/input/transactions_*/part-*.csv", f"{base}/out", f"{base}/checkpoint",
+                                    max_span="3 days", delay="31 days", max_files_per_trigger=3)
     q.awaitTermination()
-    return spark.read.schema(stream_ops.HIT_SCHEMA).parquet(f"{base}/out")
+    stream_ops.settle(spark, f"{base}/out", f"{base}/checkpoint", q.lastProgress["batchId"], max_span="3 days")
+    return stream_ops.read_hits(spark, f"{base}/out")
 
 
 QUERIES["stream_amount_probe"] = q_stream_amount_probe
@@ -604,13 +716,13 @@ def q_stream_ingest_three_days(spark, d):
     wh = Warehouse(spark, f"{base}/warehouse")
     ingest_on_arrival(spark, wh, inp, f"{base}/archive", _daily_sources(spark, d),
                       f"{base}/checkpoint").awaitTermination()
-    return wh.read_report().select("event_dt", "passport", "fio", "phone", "event_type", "report_dt", "event_ts")
+    return _report_of(wh)
 
 
 QUERIES["stream_ingest_three_days"] = q_stream_ingest_three_days
 ORACLE["stream_ingest_three_days"] = ORACLE["daily_run_three_days"]
 
-_STREAM_TX = {"tx": _DAILY_VIEWS["tx"].split(" where cast(ts as date) between")[0]}
+_STREAM_TX = {"tx": _DAILY_VIEWS["tx"].split("from (select * replace")[0] + "from events"}
 ORACLE["stream_amount_probe"] = f"""{oracle._ctes("tx", views=_STREAM_TX)},
       {oracle.r4_hits_sql("interval 3 day", per_day=False)}
     select trans_id, card_num, trans_day, trans_date from h"""

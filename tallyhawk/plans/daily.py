@@ -25,16 +25,19 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tallyhawk.functions.intervals import to_micros
 from tallyhawk.functions.scalars import full_name
 from tallyhawk.operators import checks, facts, fraud, scd2
 from tallyhawk.operators.chain import dim_chain
-from tallyhawk.plans.state import Warehouse
+from tallyhawk.plans.state import FACTS, REJECTS, REPORTS, Warehouse
 from tallyhawk.schemas import (
+    BLACKLIST,
     DIMENSIONS,
     KIND_BLACKLIST,
     KIND_TERMINALS,
     KIND_TRANSACTIONS,
     MAX_LENGTHS,
+    PROBE_SPAN,
     REFERENCE,
     STRICT,
 )
@@ -78,14 +81,13 @@ def _typed(df: DataFrame, name: str) -> DataFrame:
 log = logging.getLogger("tallyhawk")
 
 
-# A strict history is rewritten in full (compacted) once its closed rows are
-# spread over this many versions.
-COMPACT_AFTER = 30
+class IncompleteDayError(ValueError):
+    """The earliest day in the input folder lacks a file of some kind."""
 
 
-def merge_dimension(spark: SparkSession, wh: Warehouse, name: str, day: _dt.date, staged: DataFrame,
+def merge_dimension(spark: SparkSession, wh: Warehouse, base: Warehouse, name: str, day: _dt.date, staged: DataFrame,
                     source_keys: DataFrame, version: int, semantics: str) -> tuple:
-    """Merge one dimension into a new version in one job; returns (version, watermark, closed versions).
+    """Merge one dimension of ``base`` into a new version in one job; returns (version, watermark, closed versions, open rows).
 
     strict: closed versions never change, so only the open rows take part in
     the merge; the day's newly closed rows become one more closed partition.
@@ -95,9 +97,8 @@ def merge_dimension(spark: SparkSession, wh: Warehouse, name: str, day: _dt.date
     the watermark is observed while the version is written.
     """
     key, attrs, _ = DIMENSIONS[name]
-    chain = wh.closed_versions(name)
-    incremental = semantics == STRICT and len(chain) < COMPACT_AFTER
-    hist = wh.read_history(name, open_only=incremental)
+    incremental = semantics == STRICT
+    hist = base.read_history(name, open_only=incremental)
     if hist is None:
         hist = _empty_hist(spark, name)
     obs = Observation(f"{name}_watermark")
@@ -105,23 +106,63 @@ def merge_dimension(spark: SparkSession, wh: Warehouse, name: str, day: _dt.date
     merged = checks.enforce_lengths(merged, MAX_LENGTHS[name], name)
     open_rows = wh.write_history(name, version, merged)
     latest = obs.get.get("max_update_dt")
-    return (version, latest if latest is not None else wh.watermark(name),
-            [*chain, version] if incremental else [version], open_rows)
+    return (version, latest if latest is not None else base.watermark(name),
+            [*base.closed_versions(name), version] if incremental else [version], open_rows)
+
+
+def compact(wh: Warehouse) -> int:
+    """Rewrite every dimension's history into one version; the rows stay the same.
+
+    Strict days add one closed partition each; run this now and then, between
+    days, so that reading a whole history lists few folders.
+    """
+    version, state = wh.next_version(), wh.state()
+    tables = dict(state["tables"])
+    for name in DIMENSIONS:
+        if name in tables:
+            open_rows = wh.write_history(name, version, wh.read_history(name))
+            tables[name] = (version, wh.watermark(name), [version], open_rows)
+    return wh.commit(state["day"], tables, kind="compact", seq=version)
+
+
+def _next_inputs(spark: SparkSession, wh: Warehouse, input_dir: str, operations: str) -> dict | None:
+    """The files of the next day to load, or None when none are left; refuses what would corrupt the history."""
+    picked = files.pick_files(spark, input_dir, operations)
+    kinds = (KIND_TRANSACTIONS, KIND_TERMINALS, KIND_BLACKLIST)
+    missing = [k for k in kinds if k not in picked]
+    if len(missing) == len(kinds) or (missing and operations == REFERENCE):
+        return None
+    if missing:
+        raise IncompleteDayError(f"{picked['day']}: no file of {', '.join(missing)}; later days wait for it")
+    if picked["day"] is None:
+        raise ValueError(f"no day in file name {picked[KIND_TERMINALS]}")
+    last = wh.state()["day"]
+    if operations == STRICT and last is not None and picked["day"] < last:
+        raise ValueError(f"{picked['day']} is earlier than {last}, the last day loaded; reset to load it")
+    return picked
 
 
 def run_day(spark: SparkSession, wh: Warehouse, input_dir: str, archive_dir: str,
             sources: Sources | Callable[[_dt.date], Sources], semantics: str = REFERENCE,
-            operations: str = STRICT, archive: bool = True) -> dict | None:
-    """Load the next day found in ``input_dir``; returns a summary or None when no input is left."""
-    picked = files.pick_files(spark, input_dir, operations)
-    if not picked or any(k not in picked for k in (KIND_TRANSACTIONS, KIND_TERMINALS, KIND_BLACKLIST)):
+            operations: str = STRICT, archive: bool = True, check_entry_date: bool = False) -> dict | None:
+    """Load the next day found in ``input_dir``; returns a summary or None when no input is left.
+
+    Under strict operations days are loaded in order, the earliest must be
+    complete, and the last day loaded may come again (corrected, or after a
+    crash between commit and archive): it is merged from the state before it
+    and replaces what it wrote.
+    """
+    picked = _next_inputs(spark, wh, input_dir, operations)
+    if picked is None:
         return None
     day = picked["day"]
-    if day is None:
-        raise ValueError(f"no day in file name {picked[KIND_TERMINALS]}")
     src = sources(day) if callable(sources) else sources
-    version = wh.state()["seq"] + 1
-    fact_mode = facts.OVERWRITE_DAY if operations == STRICT else facts.APPEND
+    version = wh.next_version()
+    strict = operations == STRICT
+    base = wh.before(day) if strict and wh.state()["day"] == day else wh
+    mode = facts.OVERWRITE_DAY if strict else facts.APPEND
+    report_day = picked["days"].get(KIND_TRANSACTIONS) or day
+    live = {t: facts.live_versions(wh.state()["days"][t].get(day, []), version, mode) for t in (FACTS, REPORTS, REJECTS)}
 
     log.info("run_day %s on Spark %s", day, spark.version)
 
@@ -132,30 +173,31 @@ def run_day(spark: SparkSession, wh: Warehouse, input_dir: str, archive_dir: str
         parsed = parsed.observe(obs, F.count(F.lit(1)).alias("rows"),
                                 F.count(F.col("_reject")).alias("rejects"))
         keep = F.col("_reject").isNull()
-        if operations == REFERENCE:   # a bad row fails the load, as in the reference
+        if not strict:   # a bad row fails the load, as in the reference
             keep = F.when(~keep, F.raise_error(F.concat(F.lit("bad transaction row: "), F.col("_reject")))) \
                 .otherwise(F.lit(True))
         tx_file = parsed.filter(keep).drop("_reject", "_amount_text")
         tx_file = checks.enforce_lengths(tx_file, MAX_LENGTHS["fact_transactions"], "transactions")
-        facts.write_partitioned(tx_file, wh.facts_path(), "trans_day", fact_mode)
+        facts.write_day(tx_file, wh.day_path(FACTS, day, version), "trans_day")
         n_rejects = obs.get.get("rejects", 0)
         if n_rejects:   # a second pass only when something was rejected
             _, rejects = files.scan_transactions(spark, picked[KIND_TRANSACTIONS])
-            rejects.withColumn("day", F.lit(day)).write.mode("append").parquet(f"{wh.epoch_root()}/rejects")
+            facts.write_day(rejects, wh.day_path(REJECTS, day, version))
         return n_rejects
 
     def load_terminals():
         snap = files.read_terminals(spark, picked[KIND_TERMINALS])   # duplicate ids fail the merge job
-        current_terminals = wh.read_history("terminals", open_only=True)
+        current_terminals = base.read_history("terminals", open_only=True)
         if current_terminals is None:
             current_terminals = _empty_hist(spark, "terminals")
         key, attrs, _ = DIMENSIONS["terminals"]
-        staged = scd2.stage_snapshot(snap, current_terminals, key, attrs, wh.watermark("terminals"), day)
-        return merge_dimension(spark, wh, "terminals", day, staged, snap.select(key), version, semantics)
+        staged = scd2.stage_snapshot(snap, current_terminals, key, attrs, base.watermark("terminals"), day)
+        return merge_dimension(spark, wh, base, "terminals", day, staged, snap.select(key), version, semantics)
 
-    def load_blacklist():   # full refresh
+    def load_blacklist():   # full refresh; a second row of a passport fails the job that writes it
         bl = files.read_blacklist(spark, picked[KIND_BLACKLIST])
-        checks.assert_unique_key(bl, "passport_num", "blacklist file")
+        bl = checks.enforce_lengths(checks.enforce_unique_key(bl, "passport_num", "blacklist file"),
+                                    MAX_LENGTHS["blacklist"], "blacklist")
         obs = Observation("blacklist_rows")
         facts.refresh_snapshot(bl.observe(obs, F.count(F.lit(1)).alias("rows")),
                                wh.table_path("blacklist", version))
@@ -164,8 +206,8 @@ def run_day(spark: SparkSession, wh: Warehouse, input_dir: str, archive_dir: str
     def load_source(name, frame):   # cards, accounts, clients from the relational sources
         key, attrs, _ = DIMENSIONS[name]
         frame = _typed(frame, name)
-        staged = scd2.stage_incremental(frame, key, attrs, wh.watermark(name), day, semantics=semantics)
-        return merge_dimension(spark, wh, name, day, staged, frame.select(key), version, semantics)
+        staged = scd2.stage_incremental(frame, key, attrs, base.watermark(name), day, semantics=semantics)
+        return merge_dimension(spark, wh, base, name, day, staged, frame.select(key), version, semantics)
 
     # The six loads are independent: their jobs are submitted together from
     # driver threads and share the cluster. Nothing is published unless all
@@ -177,6 +219,8 @@ def run_day(spark: SparkSession, wh: Warehouse, input_dir: str, archive_dir: str
             futures[name] = pool.submit(load_source, name, frame)
         done = {k: f.result() for k, f in futures.items()}
     n_rejects = done.pop("facts")
+    if not n_rejects:
+        live[REJECTS] = live[REJECTS][:-1]
     tables: dict[str, tuple] = done
 
     # 5. report over the versions just written (read back: the lineage stops here);
@@ -184,37 +228,41 @@ def run_day(spark: SparkSession, wh: Warehouse, input_dir: str, archive_dir: str
     def read(name):
         return wh.read_history(name, open_only=True, version=version)
 
-    report_day = picked["days"].get(KIND_TRANSACTIONS) or day
-    blacklist = spark.read.parquet(wh.table_path("blacklist", version))
+    blacklist = spark.read.schema(BLACKLIST).parquet(wh.table_path("blacklist", version))
     # the chain is built and flagged once (blacklist per card; cards that can hit
     # rules 1-2 by the report day) and written with its row counts, so the report
     # reads it back and every broadcast decision has a measured bound
     chain = dim_chain(read("cards"), read("accounts"), read("clients"))
-    flags = fraud.chain_with_flags(chain, blacklist, blacklist_rows=tables["blacklist"][3])
+    flags = fraud.chain_with_flags(chain, blacklist, blacklist_rows=tables["blacklist"][3], check_entry_date=check_entry_date)
     flags = flags.withColumn("may_hit", fraud.may_hit_rules_1_2(F.lit(report_day).cast("date")))
     chain_path = f"{wh.epoch_root()}/chain/v={version}"
     obs = Observation("chain_rows")
     (flags.observe(obs, F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("may_hit"), 1)).alias("may_hit"))
-          .write.mode("overwrite").partitionBy("may_hit").parquet(chain_path))
+          .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("may_hit").parquet(chain_path))
     counts = obs.get
     chain_flags = spark.read.schema(flags.schema).parquet(chain_path)
     flagged = chain_flags.filter(F.col("may_hit"))
-    tx_day = wh.read_facts(report_day)
-    # rule 4 reads the day's file in the reference; with day overwrite the fact
-    # partition holds exactly the file's rows, so it is read from there
-    probe = files.scan_transactions(spark, picked[KIND_TRANSACTIONS])[0] if operations == REFERENCE else None
+    tx_day = wh.read_facts(report_day, pending=(day, live[FACTS]))
+    if semantics == STRICT:
+        # sequences may begin before midnight: the operations of the span before the day are read as context
+        before = report_day - _dt.timedelta(days=-(-to_micros(PROBE_SPAN) // to_micros("1 day")))
+        probe = wh.read_facts(pending=(day, live[FACTS])).filter(
+            F.col("trans_day").between(F.lit(before), F.lit(report_day)))
+    else:   # the reference reads the day's file
+        probe = wh.read_days(FACTS, [day], pending=(day, [version]))
     report = fraud.fraud_report(tx_day, chain_flags, blacklist, read("terminals"), semantics,
                                 report_day=report_day, probe_tx=probe,
                                 terminal_rows=tables["terminals"][3], blacklist_rows=tables["blacklist"][3],
                                 flagged=flagged, flagged_rows=int(counts.get("may_hit", 0)),
                                 chain_flags=chain_flags, chain_rows=int(counts.get("rows", 0)))
-    facts.write_partitioned(report, wh.report_path(), "report_dt", fact_mode)
+    report = checks.enforce_lengths(report, MAX_LENGTHS["report"], "report")
+    facts.write_day(report, wh.day_path(REPORTS, day, version))
 
     # 6. publish, then archive
-    wh.commit(day, tables)
+    wh.commit(day, tables, days=live, seq=version)
     moved = []
     if archive:
-        moved = files.archive_files(spark, [picked[k] for k in (KIND_BLACKLIST, KIND_TERMINALS, KIND_TRANSACTIONS)],
+        moved = files.archive_files(spark, [picked[KIND_BLACKLIST], picked[KIND_TERMINALS], *picked[KIND_TRANSACTIONS]],
                                     archive_dir)
     return {"day": day, "version": version, "rejects": n_rejects, "archived": moved}
 
@@ -232,13 +280,20 @@ def run_days(spark: SparkSession, wh: Warehouse, input_dir: str, archive_dir: st
     return done
 
 
-def reset(spark: SparkSession, wh: Warehouse, input_dir: str, archive_dir: str) -> list[str]:
-    """Restore archived files to the input folder and start an empty warehouse epoch.
+def reset(spark: SparkSession, wh: Warehouse, input_dir: str, archive_dir: str, day: _dt.date | None = None) -> list[str]:
+    """Restore archived files to the input folder; without ``day`` start an empty warehouse epoch.
 
-    The equivalent of dropping every table: nothing is deleted; the next
-    runs write under a new epoch and the old one stays readable.
+    The equivalent of dropping every table: nothing is deleted; the next runs
+    write under a new epoch and the old one stays readable. With ``day`` the
+    warehouse goes back to its state before that day and only the files of that
+    day and later ones come back, to be loaded again from there.
     """
-    restored = files.restore_files(spark, archive_dir, input_dir)
-    st = wh.state()
-    wh.commit(None, {}, kind="reset", epoch=st["epoch"] + 1)
+    if day is None:
+        restored = files.restore_files(spark, archive_dir, input_dir)
+        wh.commit(None, {}, kind="reset", epoch=wh.state()["epoch"] + 1)
+        return restored
+    old = wh.before(day).state()
+    restored = files.restore_files(spark, archive_dir, input_dir, since=day)
+    dropped = {d for ds in wh.state()["days"].values() for d in ds if d >= day}
+    wh.rewind(old, dropped)
     return restored

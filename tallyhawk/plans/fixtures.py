@@ -23,7 +23,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhawk.schemas import OPEN_END
+from tallyhawk.schemas import FACT_TRANSACTIONS, OPEN_END
 
 FIXTURE_FROM = _dt.date(2023, 1, 1)
 FIXTURE_CLOSED_TO = _dt.date(2023, 12, 31)
@@ -64,6 +64,11 @@ def tx(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tx_as_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The operations with the fact table's types."""
+    return tx(spark, sf_dir).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in FACT_TRANSACTIONS])
+
+
 def terminals(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = tx(spark, sf_dir).select(F.col("terminal").alias("terminal_id")).distinct()
     i = F.col("terminal_id")

@@ -155,14 +155,13 @@ def r4_sql(span: str = "interval 20 minute", per_day: bool = True) -> str:
     from h join chain c on c.card_num = h.card_num"""
 
 
-def report_sql(views: dict | None = None, strict: bool = False) -> str:
-    """All four rules, bag union. ``strict``: rule 2 and 3 strict; rule 4 stays per day
-    (one day per run)."""
+def report_sql(views: dict | None = None, strict: bool = False, span: str = "interval 20 minute") -> str:
+    """All four rules, bag union. ``strict``: rules 2 and 3 strict, rule 4 across days."""
     r1_body = r1_sql(views).split("\nselect ", 1)[1]
     r2_body = r2_sql(strict=strict, views=views).split("\nselect ", 1)[1]
     return f"""{_ctes("tx", "terminals", "chain", "blacklist", views=views)},
       {r3_hits_sql(strict=strict, sfx="3")},
-      {r4_hits_sql("interval 20 minute", sfx="4")}
+      {r4_hits_sql(span, per_day=not strict, sfx="4")}
     select {r1_body}
     union all select {r2_body}
     union all select {_report('h3.event_ts', 3, 'h3.trans_day')} from h3 join chain c on c.card_num = h3.card_num

@@ -2,49 +2,58 @@
 
 Layout under ``root`` (any Hadoop file system)::
 
-    epoch=<e>/fact_transactions/trans_day=<d>/      facts, by day
-    epoch=<e>/report/report_dt=<d>/                 fraud report, by day
+    epoch=<e>/<table>/load_day=<d>/v=<n>/           facts, report and rejects of one input day
     epoch=<e>/dims/<name>/v=<n>/is_open=<b>/        a dimension version, split open / closed rows
     epoch=<e>/blacklist/v=<n>/                      blacklist snapshot, version n
-    log/c<n>/                                       commit log (append-only)
-
-Dimension versions are immutable: day n reads version n-1 and writes a new
-version n, never the path it reads. Each version is partitioned by
-``is_open``. The history at version n is its open rows plus the closed rows
-of every version listed in its commit (``closed_versions``): a strict day
-merges only the open rows and adds its newly closed rows as one more
-closed partition, so daily work follows the current dimension, not its
-whole history; a full rewrite (reference semantics, or compaction) lists
-only itself. A day becomes visible only when its
-commit row (watermarks + version numbers) is written -- the last step. A
-crash before that leaves the previous state intact; a rerun writes fresh
-version paths. A full reset (the reference's "drop all tables") starts a new
-epoch instead of deleting anything.
+    log/c<n>.json                                   one commit
+
+A day's facts, report and rejects are filed under the input file's day,
+whatever the dates of the rows, and are read only through the versions that
+the log lists for that day, so a corrected day replaces exactly what it wrote
+before. Dimension versions are immutable: a day reads one version and writes
+a new one. Each is partitioned by ``is_open``; the history at version n is its
+open rows plus the closed rows of every version listed in its commit
+(``closed_versions``): a strict day merges only the open rows and adds its
+newly closed rows as one more closed partition.
+
+A day becomes visible only with its commit, one small file created without
+overwriting, as the last step. A second writer that wants the same number
+fails there. A crash before it leaves the previous state; one while it is
+written leaves a file without all its rows, which readers skip and the next
+commit numbers past. There is one writer at a time: a failed attempt's version
+folders are overwritten by the next. A full reset (the reference's "drop all
+tables") starts a new epoch instead of deleting anything.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhawk.schemas import DIMENSIONS, INITIAL_WATERMARK, OPEN_END
+from tallyhawk.schemas import DIMENSIONS, FACT_TRANSACTIONS, INITIAL_WATERMARK, OPEN_END, REPORT
 
 LOG_SCHEMA = T.StructType([
     T.StructField("seq", T.LongType()),
     T.StructField("epoch", T.LongType()),
-    T.StructField("kind", T.StringType()),          # run | reset
+    T.StructField("kind", T.StringType()),          # run | compact | reset
     T.StructField("day", T.DateType()),
     T.StructField("table_name", T.StringType()),
     T.StructField("version", T.LongType()),
     T.StructField("max_update_dt", T.DateType()),
-    T.StructField("committed_at", T.TimestampType()),
-    T.StructField("closed_versions", T.ArrayType(T.LongType())),
+    T.StructField("committed_at", T.StringType()),
+    T.StructField("versions", T.ArrayType(T.LongType())),  # closed versions; live versions of a load day
     T.StructField("open_rows", T.LongType()),       # current rows, counted while written
+    T.StructField("rows", T.LongType()),            # rows of the whole commit
 ])
 
+FACTS, REPORTS, REJECTS = "fact_transactions", "report", "rejects"
+BY_DAY = {FACTS: FACT_TRANSACTIONS, REPORTS: REPORT,
+          REJECTS: T.StructType([*FACT_TRANSACTIONS.fields, T.StructField("_reject", T.StringType()),
+                                 T.StructField("_amount_text", T.StringType())])}
 TABLES = [*DIMENSIONS, "blacklist"]
 
 
@@ -55,30 +64,60 @@ class Warehouse:
         self._state = None
 
     # -- commit log ------------------------------------------------------------------
-    def _log(self) -> DataFrame | None:
+    def _log(self) -> list:
+        """All rows of complete commits, in order: about ten a loaded day."""
         path = f"{self.root}/log"
         if not self._exists(path):
-            return None
-        return self.spark.read.schema(LOG_SCHEMA).option("recursiveFileLookup", "true").parquet(path)
+            return []
+        rows = self.spark.read.schema(LOG_SCHEMA).json(path).collect()
+        held: dict[int, list] = {}
+        for r in rows:
+            if r["seq"] is not None:
+                held.setdefault(r["seq"], []).append(r)
+        return [r for seq in sorted(held) for r in held[seq] if len(held[seq]) == r["rows"]]
+
+    @staticmethod
+    def _state_of(log: list) -> dict:
+        """Last commit's epoch, day and tables, and the live versions of every load day of the epoch."""
+        st = {"seq": 0, "epoch": 0, "day": None, "kind": None, "tables": {}, "days": {t: {} for t in BY_DAY}}
+        for r in log:
+            if r["seq"] != st["seq"]:
+                if r["epoch"] != st["epoch"]:
+                    st["days"] = {t: {} for t in BY_DAY}
+                st |= {"seq": r["seq"], "epoch": r["epoch"], "day": None, "kind": r["kind"], "tables": {}}
+            if r["table_name"] not in BY_DAY:
+                st["day"] = r["day"]
+            if r["table_name"] in BY_DAY:
+                st["days"][r["table_name"]][r["day"]] = list(r["versions"] or [])
+            elif r["table_name"]:
+                st["tables"][r["table_name"]] = (r["version"], r["max_update_dt"], list(r["versions"] or []), r["open_rows"])
+        return st
 
     def state(self) -> dict:
-        """The last commit: seq, epoch, day, and per table its version and watermark."""
-        if self._state is not None:
-            return self._state
-        log = self._log()
-        st = {"seq": 0, "epoch": 0, "day": None, "tables": {}}
-        if log is not None:
-            last = log.agg(F.max("seq")).first()[0]
-            if last is not None:
-                rows = log.filter(F.col("seq") == F.lit(last)).collect()
-                st = {"seq": last, "epoch": rows[0]["epoch"], "day": rows[0]["day"],
-                      "kind": rows[0]["kind"], "tables": {}}
-                for r in rows:
-                    if r["table_name"]:
-                        st["tables"][r["table_name"]] = (r["version"], r["max_update_dt"],
-                                                         list(r["closed_versions"] or []), r["open_rows"])
-        self._state = st
-        return st
+        """The last commit: seq, epoch, day, per table its version and watermark, per load day its versions."""
+        if self._state is None:
+            self._state = self._state_of(self._log())
+        return self._state
+
+    def before(self, day: _dt.date) -> Warehouse:
+        """The warehouse as it was before ``day`` was first loaded, to load that day again."""
+        log, epoch = self._log(), self.state()["epoch"]
+        old = Warehouse(self.spark, self.root)
+        old._state = self._state_of([]) | {"epoch": epoch}
+        for seq in sorted({r["seq"] for r in log}, reverse=True):
+            st = self._state_of([r for r in log if r["seq"] <= seq])
+            if st["epoch"] != epoch:
+                break
+            if st["day"] is None or st["day"] < day:
+                old._state = st
+                break
+        return old
+
+    def next_version(self) -> int:
+        """Number of the next commit and its folders: past every commit file, complete or not."""
+        path, fs = self._fs(f"{self.root}/log")
+        names = [f.getPath().getName() for f in fs.listStatus(path)] if fs.exists(path) else []
+        return max([int(n[1:10]) for n in names if n.startswith("c")], default=0) + 1
 
     def watermark(self, table: str) -> _dt.date:
         v = self.state()["tables"].get(table)
@@ -97,37 +136,54 @@ class Warehouse:
         v = self.state()["tables"].get(table)
         return v[3] if v else None
 
-    def commit(self, day: _dt.date | None, tables: dict[str, tuple],
-               kind: str = "run", epoch: int | None = None) -> int:
-        """Publish a day. ``tables``: name -> (version, watermark[, closed_versions[, open_rows]]).
+    def commit(self, day: _dt.date | None, tables: dict[str, tuple], kind: str = "run", epoch: int | None = None,
+               days: dict[str, list[int]] | None = None, seq: int | None = None) -> int:
+        """Publish a day. ``tables``: name -> (version, watermark[, closed versions[, open rows]]).
 
-        The caller is the warehouse's single writer, so the new state is kept
-        in memory instead of being read back from the log.
+        ``days``: the live versions of this load day's facts, report and rejects. ``seq``: the number the
+        caller took from :meth:`next_version`; another writer's commit of that number makes this one fail.
         """
-        st = self.state()
-        seq = st["seq"] + 1
-        ep = st["epoch"] if epoch is None else epoch
-        now = _dt.datetime.now(_dt.timezone.utc)
-        specs = {t: (tuple(spec) + (None, None))[:4] for t, spec in tables.items()}
-        rows = [(seq, ep, kind, day, t, v, wm, now, list(cv) if cv is not None else None, n)
-                for t, (v, wm, cv, n) in specs.items()] or [(seq, ep, kind, day, None, None, None, now, None, None)]
-        (self.spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1)
-         .write.mode("errorifexists").parquet(f"{self.root}/log/_c{seq:09d}"))
-        # written under a hidden name, then published by one directory rename
-        self._rename(f"{self.root}/log/_c{seq:09d}", f"{self.root}/log/c{seq:09d}")
-        self._state = {"seq": seq, "epoch": ep, "day": day, "kind": kind,
-                       "tables": {t: (v, wm, list(cv or []), n) for t, (v, wm, cv, n) in specs.items()}}
+        seq = self.next_version() if seq is None else seq
+        head = {"seq": seq, "epoch": self.state()["epoch"] if epoch is None else epoch, "kind": kind,
+                "day": day and day.isoformat(), "committed_at": _dt.datetime.now(_dt.timezone.utc).isoformat()}
+        rows = []
+        for name, spec in tables.items():
+            version, mark, closed, open_rows = (tuple(spec) + (None, None))[:4]
+            rows.append(head | {"table_name": name, "version": version, "max_update_dt": mark and mark.isoformat(),
+                                "versions": closed, "open_rows": open_rows})
+        rows += [head | {"table_name": t, "versions": v} for t, v in (days or {}).items()]
+        return self._publish(seq, rows or [head])
+
+    def _publish(self, seq: int, rows: list[dict]) -> int:
+        text = "".join(json.dumps(r | {"rows": len(rows)}) + "\n" for r in rows)
+        path, fs = self._fs(f"{self.root}/log/c{seq:09d}.json")
+        try:
+            out = fs.create(path, False)
+        except Exception as e:
+            raise FileExistsError(f"commit {seq} exists already (another writer?)") from e
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
+        self._state = None
         return seq
 
+    def rewind(self, old: dict, dropped: set[_dt.date]) -> int:
+        """Publish an earlier state again, without the ``dropped`` load days."""
+        seq = self.next_version()
+        head = {"seq": seq, "epoch": old["epoch"], "kind": "rewind", "committed_at": _dt.datetime.now(_dt.timezone.utc).isoformat()}
+        day = old["day"] and old["day"].isoformat()
+        rows = [head | {"day": day, "table_name": t, "version": v, "max_update_dt": m and m.isoformat(), "versions": c, "open_rows": n}
+                for t, (v, m, c, n) in old["tables"].items()]
+        rows += [head | {"day": d.isoformat(), "table_name": t, "versions": []} for t in BY_DAY for d in sorted(dropped)]
+        return self._publish(seq, rows or [head | {"day": day}])
+
     # -- paths ---------------------------------------------------------------------------
     def epoch_root(self, epoch: int | None = None) -> str:
         return f"{self.root}/epoch={self.state()['epoch'] if epoch is None else epoch}"
 
-    def facts_path(self) -> str:
-        return f"{self.epoch_root()}/fact_transactions"
-
-    def report_path(self) -> str:
-        return f"{self.epoch_root()}/report"
+    def day_path(self, table: str, day: _dt.date, version: int) -> str:
+        return f"{self.epoch_root()}/{table}/load_day={day}/v={version}"
 
     def table_path(self, table: str, version: int) -> str:
         base = "blacklist" if table == "blacklist" else f"dims/{table}"
@@ -174,18 +230,31 @@ class Warehouse:
                 out = out.unionByName(old)
         return out
 
-    def read_facts(self, day: _dt.date | None = None) -> DataFrame:
-        df = self.spark.read.parquet(self.facts_path())
+    def read_days(self, table: str, load_days: list[_dt.date] | None = None,
+                  pending: tuple[_dt.date, list[int]] | None = None) -> DataFrame:
+        """Facts, report or rejects of all (or the given) load days: their live versions alone.
+
+        ``pending``: a load day's versions that are not committed yet.
+        """
+        live = dict(self.state()["days"][table])
+        if pending:
+            live[pending[0]] = pending[1]
+        paths = [self.day_path(table, d, v) for d, vs in sorted(live.items()) for v in vs
+                 if load_days is None or d in load_days]
+        schema = BY_DAY[table]
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        read = T.StructType([*schema.fields, T.StructField("load_day", T.DateType()), T.StructField("v", T.LongType())])
+        return (self.spark.read.schema(read).option("basePath", f"{self.epoch_root()}/{table}").parquet(*paths)
+                .select(*schema.fieldNames()))
+
+    def read_facts(self, day: _dt.date | None = None, pending: tuple[_dt.date, list[int]] | None = None) -> DataFrame:
+        """All facts, or those whose operation is of ``day`` (a partition filter), from whichever file."""
+        df = self.read_days(FACTS, pending=pending)
         return df if day is None else df.filter(F.col("trans_day") == F.lit(day))
 
     def read_report(self) -> DataFrame:
-        return self.spark.read.parquet(self.report_path())
-
-    def has_facts(self) -> bool:
-        return self._exists(self.facts_path())
-
-    def has_report(self) -> bool:
-        return self._exists(self.report_path())
+        return self.read_days(REPORTS)
 
     # -- maintenance --------------------------------------------------------------------------
     def vacuum(self, keep_commits: int = 7) -> list[str]:
@@ -193,22 +262,21 @@ class Warehouse:
 
         Dimension, blacklist and chain versions of the current epoch are kept
         when a recent commit names them (as its version or, for strict
-        histories, as a closed partition it still reads); older epochs (before
-        a reset) are removed whole. Facts and the report are not versioned and
-        are not touched. Returns the deleted paths.
+        histories, as a closed partition it still reads); so are the live and
+        recent versions of each load day's facts, report and rejects. Older
+        epochs (before a reset) are removed whole. Returns the deleted paths.
         """
         log = self._log()
-        if log is None:
-            return []
         last = self.state()["seq"]
-        recent = log.filter(F.col("seq") > F.lit(last - keep_commits)).collect()
+        live = {(t, d, v) for t, ds in self.state()["days"].items() for d, vs in ds.items() for v in vs}
         keep: set[tuple[str, int]] = set()
-        for r in recent:
-            if r["table_name"] is not None and r["version"] is not None:
-                keep.add((r["table_name"], r["version"]))
-                keep.add(("chain", r["version"]))
-                for v in r["closed_versions"] or []:
-                    keep.add((r["table_name"], v))
+        for r in log:
+            if r["seq"] <= last - keep_commits:
+                continue
+            if r["table_name"] in BY_DAY:
+                live |= {(r["table_name"], r["day"], v) for v in r["versions"] or []}
+            elif r["table_name"] is not None and r["version"] is not None:
+                keep |= {(r["table_name"], v) for v in [r["version"], *(r["versions"] or [])]} | {("chain", r["version"])}
         epoch = self.state()["epoch"]
         deleted = []
         root, fs = self._fs(self.root)
@@ -227,6 +295,15 @@ class Warehouse:
                 if name.startswith("v=") and (table, int(name[2:])) not in keep:
                     fs.delete(st.getPath(), True)
                     deleted.append(st.getPath().toString())
+        for table in BY_DAY:
+            base, _ = self._fs(f"{self.epoch_root()}/{table}")
+            for of_day in fs.listStatus(base) if fs.exists(base) else []:
+                day = of_day.getPath().getName().removeprefix("load_day=")
+                for st in fs.listStatus(of_day.getPath()):
+                    name = st.getPath().getName()
+                    if name.startswith("v=") and (table, _dt.date.fromisoformat(day), int(name[2:])) not in live:
+                        fs.delete(st.getPath(), True)
+                        deleted.append(st.getPath().toString())
         return deleted
 
     # -- file system ------------------------------------------------------------------------
@@ -238,11 +315,3 @@ class Warehouse:
     def _exists(self, path: str) -> bool:
         p, fs = self._fs(path)
         return bool(fs.exists(p))
-
-    def _rename(self, src: str, dst: str) -> None:
-        sp, fs = self._fs(src)
-        dp, _ = self._fs(dst)
-        if fs.exists(dp):
-            raise FileExistsError(f"{dst} already exists (concurrent commit?)")
-        if not fs.rename(sp, dp):
-            raise OSError(f"rename {src} -> {dst} failed")

@@ -86,9 +86,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder (never machine-local on a cluster)."""
+    """A fresh path under the shared checkpoint folder (never machine-local on a cluster).
+
+    It is removed when the application ends.
+    """
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
 
 
 def materialize(df, name: str = "stage"):
@@ -101,4 +107,4 @@ def materialize(df, name: str = "stage"):
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -7,14 +7,17 @@ directory of part files (what Spark writes); both read the same way.
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhawk.functions.scalars import day_from_name, decimal_comma
 from tallyhawk.schemas import (
     BLACKLIST_FILE,
     FILE_KINDS,
+    KIND_TRANSACTIONS,
     REFERENCE,
     STRICT,
     TERMINALS_FILE,
@@ -30,17 +33,25 @@ class BadRowsError(ValueError):
 
 # --- transactions ------------------------------------------------------------------
 
+CORRUPT = "_corrupt"
+#: The file's columns and the whole line of a row with another number of fields.
+RAW_TRANSACTIONS = T.StructType([*TRANSACTIONS_FILE.fields, T.StructField(CORRUPT, T.StringType())])
+#: A row's fields are only counted where no column is pruned from the parser.
+RAW_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "columnPruning": "false"}
+
+
 def read_transactions_raw(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """The ``;``-separated file as text columns (explicit schema, no inference)."""
-    return (spark.read.schema(TRANSACTIONS_FILE).option("sep", ";").option("header", True)
-            .option("mode", "PERMISSIVE").csv(path))
+    return (spark.read.schema(RAW_TRANSACTIONS).option("sep", ";").option("header", True)
+            .options(**RAW_OPTIONS).csv(path))
 
 
 def parse_transactions(raw: DataFrame) -> DataFrame:
     """Typed fact rows plus ``_reject`` (NULL for good rows, else the reason)."""
     ts = F.try_to_timestamp(F.trim(F.col("transaction_date")), F.lit(TS_FORMAT)).cast("timestamp_ntz")
     amt = decimal_comma("amount")
-    reject = (F.when(F.col("transaction_id").isNull(), F.lit("missing id"))
+    fields = F.when(F.col(CORRUPT).isNotNull(), F.lit("wrong number of fields"))
+    reject = (fields.when(F.col("transaction_id").isNull(), F.lit("missing id"))
                .when(ts.isNull(), F.lit("bad transaction_date"))
                .when(amt.isNull(), F.lit("bad amount"))
                .when(F.col("card_num").isNull(), F.lit("missing card")))
@@ -54,7 +65,7 @@ def parse_transactions(raw: DataFrame) -> DataFrame:
         F.col("terminal"),
         F.to_date(ts).alias("trans_day"),
         reject.alias("_reject"),
-        F.col("amount").alias("_amount_text"),
+        F.coalesce(CORRUPT, "amount").alias("_amount_text"),
     )
 
 
@@ -128,43 +139,51 @@ def classify_names(names: DataFrame, name_col: str = "name") -> DataFrame:
 
 
 def choose_files(listing: DataFrame, semantics: str = STRICT) -> DataFrame:
-    """One row per kind: the file to load next (columns kind, name, path, day).
+    """The files to load next (columns kind, name, path, day).
 
-    reference: names sorted as text, first match per kind, kinds picked
-    independently -- ``01042021`` sorts before ``02032021`` and a missing kind
-    pairs files of different days.
-    strict: all kinds of the earliest parsed day that has every kind.
+    reference: one row per kind; names sorted as text, first match per kind,
+    kinds picked independently -- ``01042021`` sorts before ``02032021`` and a
+    missing kind pairs files of different days.
+    strict: every file of the earliest parsed day, however many a kind has and
+    whether or not it has every kind.
     """
     files = listing.filter(F.col("kind").isNotNull())
     if semantics == REFERENCE:
         first = F.min_by(F.struct("name", "path", "day"), F.col("name"))
         return files.groupBy("kind").agg(first.alias("f")).select("kind", "f.name", "f.path", "f.day")
-    complete = (files.filter(F.col("day").isNotNull()).groupBy("day")
-                .agg(F.count_distinct("kind").alias("n")).filter(F.col("n") == len(FILE_KINDS))
-                .agg(F.min("day").alias("day")))
-    chosen = files.join(complete, "day", "left_semi")
-    first = F.min_by(F.struct("name", "path"), F.col("name"))
-    return chosen.groupBy("kind", "day").agg(first.alias("f")).select("kind", "f.name", "f.path", "day")
+    earliest = files.agg(F.min("day").alias("day"))
+    return files.join(F.broadcast(earliest), "day", "left_semi").select("kind", "name", "path", "day")
 
 
 def pick_files(spark: SparkSession, input_dir: str, semantics: str = STRICT) -> dict:
-    """The next day's inputs as ``{"day": date, "days": {kind: date}, kind: path, ...}``.
+    """The next day's inputs as ``{"day": date, "days": {kind: date}, kind: path, ...}``; transactions: a list.
 
     ``day`` is the terminals file's day, used for the dimensions (Q8); the
     report uses the transactions file's day. They differ only when reference
-    picking pairs files of different days. ``{}`` when nothing is left.
+    picking pairs files of different days. ``{}`` when nothing is left. Under
+    strict a day with several transactions files takes them all; a second
+    snapshot of one kind for one day is an error, as either could be meant.
     """
-    rows = choose_files(list_inputs(spark, input_dir), semantics).collect()   # at most 3 rows
-    out = {r["kind"]: r["path"] for r in rows}
+    rows = choose_files(list_inputs(spark, input_dir), semantics).orderBy("name").collect()   # one day's names
     if not rows:
         return {}
-    out["days"] = {r["kind"]: r["day"] for r in rows}
+    out: dict = {"days": {r["kind"]: r["day"] for r in rows}}
+    for r in rows:
+        if r["kind"] == KIND_TRANSACTIONS:
+            out.setdefault(KIND_TRANSACTIONS, []).append(r["path"])
+        elif r["kind"] in out:
+            raise ValueError(f"two {r['kind']} files for {r['day']}: {out[r['kind']]}, {r['path']}")
+        else:
+            out[r["kind"]] = r["path"]
     out["day"] = out["days"].get("terminals", rows[0]["day"])
     return out
 
 
 def archive_files(spark: SparkSession, paths: list[str], archive_dir: str, suffix: str = ".backup") -> list[str]:
-    """Move consumed inputs to ``archive_dir/<name><suffix>`` (a rename on the cluster file system)."""
+    """Move consumed inputs to ``archive_dir/<name><suffix>`` (a rename on the cluster file system).
+
+    An earlier backup of the name (of a day that was corrected) is kept under a number, which restoring ignores.
+    """
     jvm = spark.sparkContext._jvm
     hconf = spark.sparkContext._jsc.hadoopConfiguration()
     Path = jvm.org.apache.hadoop.fs.Path
@@ -175,14 +194,20 @@ def archive_files(spark: SparkSession, paths: list[str], archive_dir: str, suffi
     for src in paths:
         sp = Path(src)
         dst = Path(adir, sp.getName() + suffix)
+        if fs.exists(dst):
+            n = 1
+            while fs.exists(Path(adir, f"{dst.getName()}.{n}")):
+                n += 1
+            fs.rename(dst, Path(adir, f"{dst.getName()}.{n}"))
         if not fs.rename(sp, dst):
             raise OSError(f"could not archive {src} -> {dst}")
         moved.append(dst.toString())
     return moved
 
 
-def restore_files(spark: SparkSession, archive_dir: str, input_dir: str, suffix: str = ".backup") -> list[str]:
-    """Move archived inputs back, dropping the suffix (the first step of a replay)."""
+def restore_files(spark: SparkSession, archive_dir: str, input_dir: str, suffix: str = ".backup",
+                  since: _dt.date | None = None) -> list[str]:
+    """Move archived inputs back, dropping the suffix (the first step of a replay); with ``since`` that day's and later ones."""
     jvm = spark.sparkContext._jvm
     hconf = spark.sparkContext._jsc.hadoopConfiguration()
     Path = jvm.org.apache.hadoop.fs.Path
@@ -196,6 +221,9 @@ def restore_files(spark: SparkSession, archive_dir: str, input_dir: str, suffix:
         name = st.getPath().getName()
         if not name.endswith(suffix):
             continue
+        if since is not None and (found := re.search(r"_(\d{8})\.[^./]+$", name[: -len(suffix)])) and \
+                _dt.datetime.strptime(found[1], "%d%m%Y").date() < since:
+            continue
         dst = Path(idir, name[: -len(suffix)])
         if not fs.rename(st.getPath(), dst):
             raise OSError(f"could not restore {name}")

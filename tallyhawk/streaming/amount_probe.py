@@ -1,119 +1,100 @@
-"""Rule 4 on a stream of transaction files, with keyed state per card and time chunk.
-
-``lag``/``lead`` are not available on streams, so the sequence match keeps
-its own state. As in the batch rule, operations are grouped by (card, time
-chunk) so a hot card is spread over many groups, and rows within the span of
-a chunk's end are also sent to the next chunk as context (a match lies
-within the span, so every group sees all rows a match in it needs). Each
-micro-batch, a group's new rows are sorted by (time, id), prefixed with the
-stored rows, matched with shifted numpy arrays, and the last ``rejects``
-rows are stored again: state per group is O(rejects), and a group holds at
-most one chunk of one card.
-
-An event-time watermark bounds state: a group is dropped once the watermark
-is past its chunk, since no later row can belong to it. Rows must arrive in
-time order per card across micro-batches (files are taken by modification
-time, one trigger at a time); a row older than the stored ones is matched in
-arrival order.
-
-The result equals the batch rule with ``per_day=False`` on in-order input.
+"""Rule 4 on a stream of transaction files, in event order whatever the order of arrival.
+
+Each micro-batch is a batch job over the rows not settled yet and the new
+ones. The watermark is the latest operation seen less ``delay``: up to it
+the sequence of every card is known, so the shipped batch rule
+(:func:`tallyhawk.operators.fraud.amount_probes`, across days) reports the hits between
+the old watermark and the new one. Kept for the next batch are the rows after
+the new watermark and, as context, those within the rule's span before it: a
+match lies within the span. A row that is not after the old watermark comes
+too late to be placed and goes to the late output.
+
+The kept rows, the watermark, the hits and the late rows of batch n are
+written to folders named after n, overwriting what a failed attempt left, so
+a restarted stream repeats a batch to the same result. :func:`settle` reports
+the hits after the last watermark once no more rows can come.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import datetime as _dt
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tallyhawk.functions.intervals import to_micros
-from tallyhawk.operators.sequence import with_context
-from tallyhawk.schemas import PROBE_REJECTS, PROBE_SPAN, REJECT, SUCCESS, TRANSACTIONS_FILE
-from tallyhawk.sources.files import parse_transactions
+from tallyhawk.operators import fraud
+from tallyhawk.schemas import FACT_TRANSACTIONS, PROBE_SPAN
+from tallyhawk.sources.files import RAW_OPTIONS, RAW_TRANSACTIONS, parse_transactions
 
 HIT_SCHEMA = "trans_id string, card_num string, trans_day date, trans_date timestamp_ntz"
-STATE_SCHEMA = "ids array<string>, results array<string>, amounts array<double>, ts array<long>"
-
-
-def _matcher(rejects: int, span_us: int, width_us: int, reject_label: str, success_label: str):
-    def match(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        # one card's rows of one chunk in this micro-batch: bounded by the chunk width
-        new = pd.concat(list(batches), ignore_index=True)
-        new["_us"] = new["trans_date"].astype("datetime64[us]").astype("int64")
-        new = new.sort_values(["_us", "trans_id"], kind="stable")
-        if state.exists:
-            ids, results, amounts, ts = state.get
-            old = pd.DataFrame({"trans_id": list(ids), "oper_result": list(results),
-                                "amt": list(amounts), "_us": list(ts)})
-        else:
-            old = pd.DataFrame({"trans_id": [], "oper_result": [], "amt": [], "_us": []})
-        n_old = len(old)
-        seq = pd.concat([old, new[["trans_id", "oper_result", "amt", "_us"]]], ignore_index=True)
-        res = seq["oper_result"].to_numpy(dtype=object)
-        amt = seq["amt"].to_numpy(dtype=float)
-        us = seq["_us"].to_numpy(dtype=np.int64)
-        n = len(seq)
-        hit = np.zeros(n, dtype=bool)
-        if n > rejects:
-            i = np.arange(rejects, n)
-            ok = res[i] == success_label
-            prev_amt = amt[i]
-            for k in range(1, rejects + 1):
-                ok &= res[i - k] == reject_label
-                ok &= amt[i - k] >= prev_amt
-                prev_amt = amt[i - k]
-            ok &= (us[i] - us[i - rejects]) <= span_us
-            hit[i] = ok
-        hit[:n_old] = False                       # stored rows were reported before
-        hit[n_old:] &= new["__own"].to_numpy(dtype=bool)   # context rows are reported by their own chunk
-        tail = seq.iloc[-rejects:]
-        state.update((tail["trans_id"].tolist(), tail["oper_result"].tolist(),
-                      [float(x) for x in tail["amt"]], [int(x) for x in tail["_us"]]))
-        # past the chunk's end: a group's rows lie in [chunk start - span, chunk end)
-        state.setTimeoutTimestamp(int(new["_event_ms"].max()) + (width_us + span_us) // 1000 + 1)
-        hits = new.iloc[np.flatnonzero(hit[n_old:])]
-        if len(hits):
-            yield pd.DataFrame({"trans_id": hits["trans_id"], "card_num": key[0],
-                                "trans_day": hits["trans_date"].dt.date, "trans_date": hits["trans_date"]})
-    return match
-
-
-def probe_stream(stream: DataFrame, rejects: int = PROBE_REJECTS, max_span=PROBE_SPAN,
-                 watermark: str = "1 day", split="1 hour", reject_label: str = REJECT,
-                 success_label: str = SUCCESS) -> DataFrame:
-    """Streaming hits of rule 4 from a stream of parsed transactions."""
-    span_us = to_micros(max_span)
-    width_us = max(to_micros(split), span_us)
-    # the watermark needs a TIMESTAMP column; its epoch milliseconds drive the state timeout
-    event_time = F.col("trans_date").cast("timestamp")
-    rows = stream.select("trans_id", "card_num", "trans_date", "oper_result",
-                         F.col("amt").cast("double").alias("amt"), event_time.alias("_event_time"),
-                         F.unix_millis(event_time).alias("_event_ms"))
-    rows = with_context(rows, "trans_date", width_us, span_us, forward=True).withWatermark("_event_time", watermark)
-    return rows.groupBy("card_num", "__chunk").applyInPandasWithState(
-        _matcher(rejects, span_us, width_us, reject_label, success_label), HIT_SCHEMA, STATE_SCHEMA,
-        "append", GroupStateTimeout.EventTimeTimeout)
-
-
-def transactions_stream(spark: SparkSession, input_glob: str, max_files_per_trigger: int = 1) -> DataFrame:
+MARK_SCHEMA = "mark timestamp_ntz"
+
+
+def transactions_stream(spark: SparkSession, input_glob: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Good rows of ``;``-separated transaction files as they arrive."""
-    raw = (spark.readStream.schema(TRANSACTIONS_FILE).option("sep", ";").option("header", True)
-           .option("maxFilesPerTrigger", max_files_per_trigger).csv(input_glob))
-    return parse_transactions(raw).filter(F.col("_reject").isNull()).drop("_reject", "_amount_text")
+    raw = (spark.readStream.schema(RAW_TRANSACTIONS).option("sep", ";").option("header", True)
+           .options(**RAW_OPTIONS))
+    if max_files_per_trigger:
+        raw = raw.option("maxFilesPerTrigger", max_files_per_trigger)
+    return parse_transactions(raw.csv(input_glob)).filter(F.col("_reject").isNull()).drop("_reject", "_amount_text")
+
+
+def _held(spark: SparkSession, checkpoint_path: str, batch_id: int) -> tuple[DataFrame, _dt.datetime | None]:
+    """Rows kept by a batch and its watermark; nothing before the first."""
+    if batch_id < 0:
+        return spark.createDataFrame([], FACT_TRANSACTIONS), None
+    mark = spark.read.schema(MARK_SCHEMA).parquet(f"{checkpoint_path}/rule4/mark/v={batch_id}").first()[0]
+    return spark.read.schema(FACT_TRANSACTIONS).parquet(f"{checkpoint_path}/rule4/rows/v={batch_id}"), mark
+
+
+def _write(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
 
 
 def run_probe_stream(spark: SparkSession, input_glob: str, output_path: str, checkpoint_path: str,
-                     max_span=PROBE_SPAN, available_now: bool = True) -> StreamingQuery:
-    """Start the stream into a parquet sink (exactly-once through the checkpoint)."""
-    hits = probe_stream(transactions_stream(spark, input_glob), max_span=max_span)
-    w = (hits.writeStream.format("parquet").option("path", output_path)
-         .option("checkpointLocation", checkpoint_path).outputMode("append"))
+                     max_span=PROBE_SPAN, delay="1 day", split: str | None = "1 hour",
+                     max_files_per_trigger: int | None = None, available_now: bool = True) -> StreamingQuery:
+    """Start the stream; hits go to ``output_path``/batch=<n>, late rows to ``output_path``_late/batch=<n>."""
+    delay_by = _dt.timedelta(microseconds=to_micros(delay))
+    span = _dt.timedelta(microseconds=to_micros(max_span))
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        held, old = _held(spark, checkpoint_path, batch_id - 1)
+        new = batch.select(*FACT_TRANSACTIONS.fieldNames())
+        if old is not None:
+            _write(new.filter(F.col("trans_date") <= F.lit(old)), f"{output_path}_late/batch={batch_id}")
+            new = new.filter(F.col("trans_date") > F.lit(old))
+        rows = held.unionByName(new)
+        latest = rows.agg(F.max("trans_date")).first()[0]
+        mark = max((m for m in (old, latest and latest - delay_by) if m is not None), default=None)
+        if mark is not None and (old is None or mark > old):
+            hits = fraud.amount_probes(rows, max_span=max_span, per_day=False, split=split).filter(
+                F.col("trans_date") <= F.lit(mark))
+            if old is not None:
+                hits = hits.filter(F.col("trans_date") > F.lit(old))
+            _write(hits, f"{output_path}/batch={batch_id}")
+            rows = rows.filter(F.col("trans_date") >= F.lit(mark - span))
+        _write(rows, f"{checkpoint_path}/rule4/rows/v={batch_id}")
+        _write(spark.createDataFrame([(mark,)], MARK_SCHEMA), f"{checkpoint_path}/rule4/mark/v={batch_id}")
+
+    w = transactions_stream(spark, input_glob, max_files_per_trigger).writeStream.foreachBatch(step) \
+        .option("checkpointLocation", checkpoint_path)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
+
+
+def settle(spark: SparkSession, output_path: str, checkpoint_path: str, last_batch: int, max_span=PROBE_SPAN,
+           split: str | None = "1 hour") -> None:
+    """Report the hits after the watermark of ``last_batch``; to be called when the stream has ended."""
+    rows, mark = _held(spark, checkpoint_path, last_batch)
+    hits = fraud.amount_probes(rows, max_span=max_span, per_day=False, split=split)
+    if mark is not None:
+        hits = hits.filter(F.col("trans_date") > F.lit(mark))
+    _write(hits, f"{output_path}/batch={last_batch + 1}")
+
+
+def read_hits(spark: SparkSession, output_path: str) -> DataFrame:
+    """All reported hits."""
+    return spark.read.schema(HIT_SCHEMA + ", batch long").parquet(output_path).drop("batch")

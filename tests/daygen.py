@@ -46,16 +46,16 @@ def transactions(i: int):
     return rows
 
 
-def write_day(input_dir: str, i: int, ext: str = "txt", extra_rows=()):
+def write_day(input_dir: str, i: int, ext: str = "txt", extra_rows=(), rows=None, terminals=None):
     d = DAYS[i].strftime("%d%m%Y")
     os.makedirs(input_dir, exist_ok=True)
     with open(os.path.join(input_dir, f"transactions_{d}.{ext}"), "w") as f:
         f.write("transaction_id;transaction_date;amount;card_num;oper_type;oper_result;terminal\n")
-        for r in [*transactions(i), *extra_rows]:
+        for r in [*(transactions(i) if rows is None else rows), *extra_rows]:
             f.write(";".join(r) + "\n")
     write_xlsx(os.path.join(input_dir, f"terminals_{d}.xlsx"),
                ["terminal_id", "terminal_type", "terminal_city", "terminal_address"],
-               [list(r) for r in TERMINALS[i]])
+               [list(r) for r in terminals or TERMINALS[i]])
     write_xlsx(os.path.join(input_dir, f"passport_blacklist_{d}.xlsx"), ["date", "passport"],
                [list(r) for r in BLACKLIST[i]])
 

@@ -6,7 +6,7 @@ import os
 import pytest
 
 import daygen
-from tallyhawk.plans.daily import reset, run_day, run_days
+from tallyhawk.plans.daily import IncompleteDayError, compact, reset, run_day, run_days
 from tallyhawk.plans.state import Warehouse
 from tallyhawk.schemas import REFERENCE, STRICT
 from tallyhawk.sources import files
@@ -99,8 +99,8 @@ def test_pick_files_month_boundary(spark, tmp_path):
             (d / f"{kind}_{day}.{ext}").write_text("x")
     ref = files.pick_files(spark, str(d), REFERENCE)
     strict = files.pick_files(spark, str(d), STRICT)
-    assert ref["day"] == dt.date(2021, 4, 1) and ref["transactions"].endswith("transactions_01042021.txt")
-    assert strict["day"] == dt.date(2021, 3, 2) and strict["transactions"].endswith("transactions_02032021.txt")
+    assert ref["day"] == dt.date(2021, 4, 1) and ref["transactions"][0].endswith("transactions_01042021.txt")
+    assert strict["day"] == dt.date(2021, 3, 2) and strict["transactions"][0].endswith("transactions_02032021.txt")
 
 
 def test_pick_files_requires_all_kinds(spark, tmp_path):
@@ -108,7 +108,10 @@ def test_pick_files_requires_all_kinds(spark, tmp_path):
     d.mkdir()
     (d / "transactions_01032021.txt").write_text("x")
     (d / "terminals_01032021.xlsx").write_text("x")
-    assert files.pick_files(spark, str(d), STRICT) == {}
+    picked = files.pick_files(spark, str(d), STRICT)
+    assert "passport_blacklist" not in picked and picked["day"] == dt.date(2021, 3, 1)
+    with pytest.raises(IncompleteDayError, match="passport_blacklist"):
+        run_day(spark, Warehouse(spark, str(tmp_path / "wh")), str(d), str(tmp_path / "arc"), None)
 
 
 def test_decimal_comma_and_rejects(spark, tmp_path):
@@ -174,7 +177,7 @@ def test_rejects_are_counted_and_kept(spark, tmp_path):
     wh = Warehouse(spark, d["wh"])
     r = run_day(spark, wh, d["input"], d["archive"], daygen.sources(spark))
     assert r["rejects"] == 1
-    assert [x.trans_id for x in spark.read.parquet(f"{wh.epoch_root()}/rejects").collect()] == ["777"]
+    assert [x.trans_id for x in wh.read_days("rejects").collect()] == ["777"]
     with pytest.raises(Exception, match="bad transaction row"):
         files.restore_files(spark, d["archive"], d["input"])
         run_day(spark, Warehouse(spark, str(tmp_path / "wh2")), d["input"], d["archive"],
@@ -182,24 +185,14 @@ def test_rejects_are_counted_and_kept(spark, tmp_path):
 
 
 def test_strict_days_merge_only_open_rows(spark, dirs):
-    """Strict: each day adds one closed partition; the assembled history equals a full rewrite."""
-    from tallyhawk.plans import daily as pipe
+    """Strict: each day adds one closed partition; compaction gathers them without changing a row."""
     wh = Warehouse(spark, dirs["wh"])
     run_days(spark, wh, dirs["input"], dirs["archive"], daygen.sources(spark), semantics=STRICT)
-    chain = wh.closed_versions("terminals")
-    assert chain == [1, 2, 3]
-    incremental = sorted(map(tuple, wh.read_history("terminals").collect()), key=repr)
-    # the same days with compaction forced every day (full history merged and rewritten)
-    files.restore_files(spark, dirs["archive"], dirs["input"])
-    wh2 = Warehouse(spark, dirs["wh"] + "_full")
-    old = pipe.COMPACT_AFTER
-    pipe.COMPACT_AFTER = 0
-    try:
-        run_days(spark, wh2, dirs["input"], dirs["archive"], daygen.sources(spark), semantics=STRICT)
-    finally:
-        pipe.COMPACT_AFTER = old
-    assert wh2.closed_versions("terminals") == [3]
-    assert sorted(map(tuple, wh2.read_history("terminals").collect()), key=repr) == incremental
+    assert wh.closed_versions("terminals") == [1, 2, 3]
+    before = sorted(map(tuple, wh.read_history("terminals").collect()), key=repr)
+    compact(wh)
+    assert wh.closed_versions("terminals") == [4] and wh.state()["day"] == daygen.DAYS[2]
+    assert sorted(map(tuple, wh.read_history("terminals").collect()), key=repr) == before
 
 
 @pytest.mark.parametrize("semantics,kept_terminal_versions", [(REFERENCE, ["v=3"]), (STRICT, ["v=1", "v=2", "v=3"])])
@@ -241,7 +234,8 @@ def test_reference_picking_pairs_days_like_the_reference(spark, tmp_path):
                [list(r) for r in daygen.TERMINALS[0]])
     write_xlsx(os.path.join(d["input"], "passport_blacklist_02032021.xlsx"), ["date", "passport"],
                [list(r) for r in daygen.BLACKLIST[0]])
-    assert run_day(spark, Warehouse(spark, d["wh"]), d["input"], d["archive"], daygen.sources(spark)) is None
+    with pytest.raises(IncompleteDayError):
+        run_day(spark, Warehouse(spark, d["wh"]), d["input"], d["archive"], daygen.sources(spark))
     wh = Warehouse(spark, d["wh"])
     r = run_day(spark, wh, d["input"], d["archive"], daygen.sources(spark), operations=REFERENCE)
     assert r["day"] == dt.date(2021, 3, 2)
@@ -265,3 +259,125 @@ def test_rerun_after_failed_day_publishes_cleanly(spark, tmp_path):
     assert r["version"] == 1 and wh.state()["seq"] == 1
     assert sorted(x.terminal_id for x in wh.read_history("terminals").collect()) == ["T1", "T2", "T3"]
     assert wh.read_report().count() > 0
+
+
+def _history(wh):
+    return {t: sorted(map(tuple, wh.read_history(t).collect()), key=repr) for t in ("terminals", "cards", "accounts", "clients")}
+
+
+def test_straggler_keeps_the_facts_of_its_day(spark, tmp_path):
+    d = {k: str(tmp_path / k) for k in ("input", "archive", "wh")}
+    daygen.write_day(d["input"], 0)
+    daygen.write_day(d["input"], 1, extra_rows=[("late", "2021-03-01 23:59:59", "1,00", "C1", "P", "SUCCESS", "T3")])
+    wh = Warehouse(spark, d["wh"])
+    run_days(spark, wh, d["input"], d["archive"], daygen.sources(spark))
+    assert wh.read_facts(daygen.DAYS[0]).count() == 10 and wh.read_facts(daygen.DAYS[1]).count() == 9
+
+
+@pytest.mark.parametrize("semantics", [REFERENCE, STRICT])
+def test_repeated_day_equals_one_load(spark, dirs, semantics):
+    """The last day comes again, corrected: histories, facts and report are those of the corrected day alone."""
+    import shutil
+    once, twice = Warehouse(spark, dirs["wh"] + "_once"), Warehouse(spark, dirs["wh"])
+    shutil.copytree(dirs["input"], dirs["input"] + "_once")
+    run_days(spark, once, dirs["input"] + "_once", dirs["archive"] + "_once", daygen.sources(spark), semantics, max_days=2)
+    run_days(spark, twice, dirs["input"], dirs["archive"], daygen.sources(spark), semantics, max_days=1)
+    # day 2 first without its fraud and with another terminal list
+    daygen.write_day(dirs["input"], 1, rows=daygen.transactions(1)[:2], terminals=daygen.TERMINALS[0])
+    run_day(spark, twice, dirs["input"], dirs["archive"], daygen.sources(spark), semantics)
+    daygen.write_day(dirs["input"], 1)
+    run_day(spark, twice, dirs["input"], dirs["archive"], daygen.sources(spark), semantics)
+    assert _history(twice) == _history(once)
+    assert _report(twice) == _report(once)
+    assert twice.read_facts().count() == once.read_facts().count() == 18
+    daygen.write_day(dirs["input"], 0)
+    with pytest.raises(ValueError, match="earlier"):
+        run_day(spark, twice, dirs["input"], dirs["archive"], daygen.sources(spark), semantics)
+
+
+def test_corrected_day_without_hits_clears_its_report(spark, tmp_path):
+    d = {k: str(tmp_path / k) for k in ("input", "archive", "wh")}
+    wh = Warehouse(spark, d["wh"])
+    daygen.write_day(d["input"], 0)
+    run_day(spark, wh, d["input"], d["archive"], daygen.sources(spark))
+    assert wh.read_report().count() > 0
+    daygen.write_day(d["input"], 0, rows=[("1", "2021-03-01 10:00:00", "1,00", "C1", "P", "SUCCESS", "T3")])
+    run_day(spark, wh, d["input"], d["archive"], daygen.sources(spark))
+    assert wh.read_report().count() == 0 and wh.read_facts().count() == 1
+
+
+def test_a_stop_before_or_while_publishing_leaves_the_state(spark, dirs):
+    wh = Warehouse(spark, dirs["wh"])
+    run_day(spark, wh, dirs["input"], dirs["archive"], daygen.sources(spark))
+    before = (wh.read_facts().count(), _report(wh), _history(wh))
+    stopped = Warehouse(spark, dirs["wh"])
+    stopped.commit = lambda *a, **k: (_ for _ in ()).throw(InterruptedError)
+    with pytest.raises(InterruptedError):
+        run_day(spark, stopped, dirs["input"], dirs["archive"], daygen.sources(spark))
+    with open(os.path.join(dirs["wh"], "log", "c000000002.json"), "w") as f:
+        f.write('{"seq": 2, "epoch": 0, "kind": "run", "day": "2021-03-02", "table_name": "cards", "version": 2, "rows": 7}\n{"se')
+    fresh = Warehouse(spark, dirs["wh"])
+    assert (fresh.read_facts().count(), _report(fresh), _history(fresh)) == before
+    assert fresh.next_version() == 3
+    assert run_day(spark, fresh, dirs["input"], dirs["archive"], daygen.sources(spark))["version"] == 3
+    assert fresh.state()["day"] == daygen.DAYS[1]
+
+
+def test_second_writer_of_a_number_fails(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    wh.commit(daygen.DAYS[0], {}, seq=1)
+    with pytest.raises(FileExistsError):
+        Warehouse(spark, str(tmp_path / "wh")).commit(daygen.DAYS[0], {}, seq=1)
+
+
+def test_reset_to_a_day(spark, dirs):
+    wh = Warehouse(spark, dirs["wh"])
+    run_days(spark, wh, dirs["input"], dirs["archive"], daygen.sources(spark))
+    whole = (_history(wh), _report(wh), wh.read_facts().count())
+    reset(spark, wh, dirs["input"], dirs["archive"], daygen.DAYS[1])
+    assert wh.state()["day"] == daygen.DAYS[0] and wh.read_facts().count() == 9 and len(os.listdir(dirs["input"])) == 6
+    run_days(spark, wh, dirs["input"], dirs["archive"], daygen.sources(spark))
+    assert (_history(wh), _report(wh), wh.read_facts().count()) == whole
+
+
+def test_all_transactions_files_of_a_day_are_loaded(spark, tmp_path):
+    d = {k: str(tmp_path / k) for k in ("input", "archive", "wh")}
+    daygen.write_day(d["input"], 0)
+    daygen.write_day(d["input"], 0, ext="csv", rows=[("x", "2021-03-01 20:00:00", "1,00", "C1", "P", "SUCCESS", "T3")])
+    wh = Warehouse(spark, d["wh"])
+    run_day(spark, wh, d["input"], d["archive"], daygen.sources(spark))
+    assert wh.read_facts().count() == 10 and os.listdir(d["input"]) == []
+
+
+def test_strict_rule_4_crosses_midnight(spark, tmp_path):
+    d = {k: str(tmp_path / k) for k in ("input", "archive", "wh")}
+    early = [(f"a{m}", f"2021-03-01 23:{m}:00", "900,00", "C3", "W", "REJECT", "T3") for m in (50, 55)]
+    late = [("b1", "2021-03-02 00:01:00", "700,00", "C3", "W", "REJECT", "T3"),
+            ("b2", "2021-03-02 00:05:00", "600,00", "C3", "W", "SUCCESS", "T3")]
+    daygen.write_day(d["input"], 0, rows=early)
+    daygen.write_day(d["input"], 1, rows=late)
+    wh = Warehouse(spark, d["wh"])
+    run_days(spark, wh, d["input"], d["archive"], daygen.sources(spark), semantics=STRICT)
+    assert [r for r in _report(wh) if r[1] == 4] == [(2, 4, "1111 000003", "00:05:00")]
+
+
+def test_rows_of_another_field_count_are_rejected(spark, tmp_path):
+    d = {k: str(tmp_path / k) for k in ("input", "archive", "wh")}
+    row = ("7", "2021-03-01 10:00:00", "1,00", "C9", "P", "SUCCESS", "T1")
+    daygen.write_day(d["input"], 0, extra_rows=[(*row, "more"), row[:5]])
+    wh = Warehouse(spark, d["wh"])
+    assert run_day(spark, wh, d["input"], d["archive"], daygen.sources(spark))["rejects"] == 2
+    assert {r["_reject"] for r in wh.read_days("rejects").collect()} == {"wrong number of fields"}
+    assert wh.read_facts().count() == 9
+
+
+def test_undeclared_columns_and_long_report_values_fail(spark):
+    from tallyhawk.operators import checks
+    df = spark.createDataFrame([("1" * 17,)], "phone string")
+    with pytest.raises(checks.ConstraintError, match="missing"):
+        checks.enforce_lengths(df, {"phone": 16, "fio": 100})
+    with pytest.raises(Exception, match="value too long in report.phone"):
+        checks.enforce_lengths(df, {"phone": 16}, "report").collect()
+    two = spark.createDataFrame([("P", 1), ("P", 2)], "passport_num string, x int")
+    with pytest.raises(Exception, match="duplicate key in blacklist"):
+        checks.enforce_unique_key(two, "passport_num", "blacklist").collect()

@@ -17,7 +17,7 @@ def test_city_hops_split_equals_plain(spark, semantics):
     tx, term = fx.tx(spark, SF_ORACLE), fx.terminals(spark, SF_ORACLE)
     plain = _rows(fraud.city_hops(tx, term, semantics=semantics, split=None))
     for split in ["10 minutes", "1 hour"]:
-        assert _rows(fraud.city_hops(tx, term, semantics=semantics, split=split)) == plain
+        assert _rows(fraud.city_hops(tx, term, semantics=semantics, split=split, hot_rows=1)) == plain
 
 
 @pytest.mark.parametrize("span,per_day", [("1 day", True), ("3 days", False), ("6 hours", True)])
@@ -25,7 +25,7 @@ def test_amount_probes_split_equals_plain(spark, span, per_day):
     tx = fx.tx(spark, SF_ORACLE)
     plain = _rows(fraud.amount_probes(tx, max_span=span, per_day=per_day, split=None))
     for split in ["30 minutes", "2 hours"]:
-        assert _rows(fraud.amount_probes(tx, max_span=span, per_day=per_day, split=split)) == plain
+        assert _rows(fraud.amount_probes(tx, max_span=span, per_day=per_day, split=split, hot_rows=1)) == plain
 
 
 def test_with_next_split_equals_plain(spark):
@@ -49,33 +49,17 @@ def test_hot_card_results_equal_and_groups_shrink(spark):
     tx = _hot_card_tx(spark)
     term = fx.terminals(spark, SF_ORACLE)
     for sem in (REFERENCE, STRICT):
-        assert _rows(fraud.city_hops(tx, term, semantics=sem, split="1 hour")) == \
+        assert _rows(fraud.city_hops(tx, term, semantics=sem, split="5 minutes", hot_rows=20)) == \
             _rows(fraud.city_hops(tx, term, semantics=sem, split=None))
-    assert _rows(fraud.amount_probes(tx, max_span="1 day", split="1 hour")) == \
+    assert _rows(fraud.amount_probes(tx, max_span="1 day", split="5 minutes", hot_rows=20)) == \
         _rows(fraud.amount_probes(tx, max_span="1 day", split=None))
-    # largest window partition: (card, day) vs (card, day, 1-hour chunk)
+    from tallyhawk.operators import sequence
+    hot, _ = sequence.hot_and_cold(tx, ["card_num", "trans_day"], hot_rows=20)
+    assert {r.card_num for r in hot.select("card_num").distinct().collect()} == {-1}
+    # largest window partition: (card, day) vs (card, day, 5-minute chunk)
     by_day = tx.groupBy("card_num", "trans_day").count().agg(F.max("count")).first()[0]
-    chunk = F.floor(epoch_micros("trans_date") / F.lit(3_600_000_000))
+    chunk = F.floor(epoch_micros("trans_date") / F.lit(300_000_000))
     by_chunk = tx.groupBy("card_num", "trans_day", chunk).count().agg(F.max("count")).first()[0]
     total = tx.count()
     assert by_day > total / 3 / 31          # the hot card dominates each day
     assert by_chunk * 8 < by_day            # chunks cut its largest task input by far
-
-
-def _separate(tx, term, gap, span, sem, split):
-    from pyspark.sql import functions as F
-    hops = fraud.city_hops(tx, term, gap, sem, split=split, max_broadcast_rows=0) \
-        .select("card_num", "event_ts", "trans_day", F.lit(3).alias("_et"))
-    probes = fraud.amount_probes(tx, max_span=span, per_day=(sem == REFERENCE), split=split) \
-        .select("card_num", F.col("trans_date").alias("event_ts"), "trans_day", F.lit(4).alias("_et"))
-    return hops.unionByName(probes)
-
-
-@pytest.mark.parametrize("sem", [REFERENCE, STRICT])
-@pytest.mark.parametrize("gap,span", [("1 hour", "1 day"), ("10 minutes", "6 hours"), ("1 hour", "20 minutes")])
-def test_shared_shuffle_equals_separate_rules(spark, sem, gap, span):
-    from tallyhawk.operators.chain import current
-    tx, term = _hot_card_tx(spark), current(fx.terminals(spark, SF_ORACLE))
-    shared = _rows(fraud.hops_and_probes(tx, term, gap, span, sem, "1 hour"))
-    assert shared == _rows(_separate(tx, term, gap, span, sem, None))
-    assert any(r[3] == 4 for r in shared) or span == "20 minutes"
