@@ -71,8 +71,9 @@ def exact_dedup(docs: DataFrame, digests: bool = False) -> DataFrame:
                                              ["doc_id", "n", "sha", "in_group"])
 
     rows = docs.mapInArrow(full, "doc_id long, n long, sha string, in_group boolean")
-    groups = rows.filter("in_group").groupBy("n", F.unhex("sha").alias("sha_bytes")).agg(
-        F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")).filter("group_size > 1")
+    # written, so that both sides of the join below are plain exchanges and a hot group's rows can be split
+    groups = cut(rows.filter("in_group").groupBy("n", F.unhex("sha").alias("sha_bytes")).agg(
+        F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")).filter("group_size > 1"))
     joined = rows.withColumn("sha_bytes", F.when(F.col("in_group"), F.unhex("sha"))).join(
         groups, ["n", "sha_bytes"], "left")
     keep = F.coalesce("keep_id", "doc_id")
