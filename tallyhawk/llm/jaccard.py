@@ -221,6 +221,7 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, percent: int = 90) ->
     root = components(linked, "x", "y", "root").withColumnRenamed("node", "vertex")
     rooted = described.join(root, "vertex", "left").select(
         "doc_id", "n", F.when(F.col("n") > 0, F.coalesce("root", "vertex")).alias("root"))
-    least = rooted.filter("n > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
+    # written, so that both sides of the join below are plain exchanges and a hot component's rows can be split
+    least = cut(rooted.filter("n > 0").groupBy("root").agg(F.min("doc_id").alias("least")))
     return rooted.join(least, "root", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
