@@ -1,12 +1,16 @@
 """Toxic passages by maximum-scoring segments of token log-odds.
 
-Learning: a token's score is its log-odds in toxic against clean training documents with a Dirichlet
-prior that follows its frequency in both, kept where it is significant (z of at least ``MIN_Z``); every
+Learning: a token's score is its log-odds of occurring in toxic against clean training documents with a
+Dirichlet prior that follows its frequency in both, less ``SURE`` standard deviations, so that rare words
+count for less; it is kept where that is at least ``MIN_ODDS``. Equal texts are one document. Every
 other token has the small negative score ``NEUTRAL``, so a clean text's sum drifts down. A word is
-looked up whole, then by its first six, five and four letters; a stem's counts leave out the words and
-longer stems that have a score of their own, so it speaks for the inflected forms that have none.
+looked up whole, then by its first seven to four letters; such a stem is another token for the first,
+the second and each further word of a text that has it, so a text that dwells on a stem tells more
+than one that has it by chance. A stem's counts leave out the words and longer stems that have a score
+of their own.
 
-Scoring: one linear scan finds all maximal scoring segments of a text (Ruzzo and Tompa). A segment of
+Scoring: a token's first occurrence in a text has its score, later ones are neutral, so a repeated word
+is no more evidence than one. One linear scan finds all maximal scoring segments of a text (Ruzzo and Tompa). A segment of
 score s in a text of n tokens has the E-value K n exp(-lambda s) by Karlin and Altschul's extreme-value
 law; lambda solves sum p exp(lambda s) = 1 over the tokens of clean training documents, K is the
 maximum-likelihood fit to their best segments. Segments with an E-value below 1 are significant. A
@@ -14,7 +18,7 @@ document's evidence is the sum of -log E over them; a logistic curve of log(1 +
 training documents, makes it the score.
 
 Counts over all training documents are summed by Spark; the model keeps at most ``MAX_TOKENS`` tokens,
-those of the largest z.
+those that tell the most.
 """
 
 from __future__ import annotations
@@ -32,15 +36,18 @@ from pyspark.sql import functions as F
 
 from tallyhawk.llm.common import cut, in_filter, key_filter, prepare
 
-STEMS = (6, 5, 4)
-MIN_Z = 4.0
+STEMS = (7, 6, 5, 4)
+#: Words of one stem in a text that are told apart.
+NTH = 3
+SURE = 1.64
+MIN_ODDS = 1.5
 MIN_COUNT = 5
 MAX_TOKENS = 50_000
 NEUTRAL = -0.15
 #: Weight of the prior against the counts.
 PRIOR = 0.1
 _WORD = re.compile(r"[^\W\d_]+")
-_FLUSH = 300_000
+_FLUSH = 500_000
 
 
 def tokens(text: str) -> list[str]:
@@ -48,11 +55,6 @@ def tokens(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def forms(word: str) -> list[str]:
-    """The word, then its stems, longest first; stems are marked by a star."""
-    return [word, *(word[:n] + "*" for n in STEMS if len(word) >= n)]
-
-
 def segments(scores: list[float]) -> list[tuple[float, int, int]]:
     """All maximal scoring segments (score, first, after last) by the linear scan of Ruzzo and Tompa."""
     found: list[tuple[int, int, float, float]] = []  # first, after last, sum before, sum through
@@ -84,13 +86,13 @@ class Model:
     slope: float = 1.0
     middle: float = 1.0
 
-    def score_of(self, word: str) -> float:
-        for f in forms(word):
-            if (s := self.scores.get(f)) is not None:
-                return s
-        return NEUTRAL
+    def __post_init__(self):
+        self.stems = {f[:-2] for f in self.scores if f[-2:-1] == "*"}
+
+    def may_score(self, word: str) -> bool:
+        return word in self.scores or any(word[:n] in self.stems for n in STEMS if len(word) >= n)
 
-    def passages(self, words: list[str], known: dict[str, float]) -> list[tuple[float, int, int]]:
+    def passages(self, words: list[str], known: dict[str, bool]) -> list[tuple[float, int, int]]:
         """Significant segments: (-log of the E-value, first word, after last word)."""
         scores = self.of_words(words, known)
         if not scores or max(scores) <= 0:
@@ -98,15 +100,30 @@ class Model:
         space = math.log(self.scale * len(scores))
         return [(e, a, b) for s, a, b in segments(scores) if (e := self.rate * s - space) > 0]
 
-    def of_words(self, words: list[str], known: dict[str, float]) -> list[float]:
-        """Scores of ``words``; ``known`` remembers them for the task."""
+    def of_words(self, words: list[str], known: dict[str, bool]) -> list[float]:
+        """Scores of a text's ``words``, each word's at its first place; ``known`` remembers for the task which may score."""
         if len(known) > _FLUSH:
             known.clear()
-        for w in set(words).difference(known):
-            known[w] = self.score_of(w)
-        return list(map(known.__getitem__, words))
-
-    def evidence(self, text: str | None, known: dict[str, float]) -> float:
+        distinct = set(words)
+        for w in distinct.difference(known):
+            known[w] = self.may_score(w)
+        out = [NEUTRAL] * len(words)
+        if left := {w for w in distinct if known[w]}:
+            nth: dict[str, int] = {}
+            for i, w in enumerate(words):
+                if w in left:
+                    left.discard(w)
+                    score = self.scores.get(w)
+                    for n in STEMS:
+                        if len(w) >= n:
+                            nth[w[:n]] = k = min(NTH, nth.get(w[:n], 0) + 1)
+                            score = self.scores.get(f"{w[:n]}*{k}") if score is None else score
+                    out[i] = NEUTRAL if score is None else score
+                    if not left:
+                        break
+        return out
+
+    def evidence(self, text: str | None, known: dict[str, bool]) -> float:
         return sum(e for e, _, _ in self.passages(tokens(text), known)) if text else 0.0
 
     def probability(self, evidence: float) -> float:
@@ -114,34 +131,34 @@ class Model:
         return 1 / (1 + math.exp(-max(-60.0, min(60.0, x))))
 
 
-def _log_odds(a: float, b: float, toxic: float, clean: float) -> tuple[float, float]:
-    """Log-odds ratio under the prior, and its z-score."""
+def _log_odds(a: float, b: float, toxic: float, clean: float) -> float:
+    """Log-odds ratio under the prior, less its margin of error."""
     prior = PRIOR * (a + b)
     x, y = a + prior, b + prior
     all_prior = PRIOR * (toxic + clean)
-    delta = math.log(x / (toxic + all_prior - x)) - math.log(y / (clean + all_prior - y))
-    return delta, delta / math.sqrt(1 / x + 1 / y)
+    delta = math.log(x / max(0.5, toxic + all_prior - x)) - math.log(y / max(0.5, clean + all_prior - y))
+    return delta - SURE * math.sqrt(1 / x + 1 / y)
 
 
 def choose(counts: dict[str, tuple[int, int]], toxic: int, clean: int) -> dict[str, float]:
     """Scores of the significant tokens; longer forms take their counts out of their stems."""
     left = {f: list(c) for f, c in counts.items()}
     found: dict[str, float] = {}
-    levels = [[f for f in counts if not f.endswith("*")],
-              *([f for f in counts if f.endswith("*") and len(f) == n + 1] for n in STEMS)]
+    stems = [f for f in counts if f[-2:-1] == "*"]
+    levels = [[f for f in counts if f[-2:-1] != "*"], *([f for f in stems if len(f) == n + 2] for n in STEMS)]
     for level in levels:
         for f in level:
             a, b = left[f]
             if a < MIN_COUNT:
                 continue
-            delta, z = _log_odds(a, b, toxic, clean)
-            if z >= MIN_Z and delta > 0:
-                found[f] = delta
-                word = f.rstrip("*")
+            odds = _log_odds(a, b, toxic, clean)
+            if odds >= MIN_ODDS:
+                found[f] = odds
+                word, nth = (f[:-2], f[-2:]) if f[-2:-1] == "*" else (f, "*1")
                 for n in STEMS:
-                    if n < len(word) + (f == word) and (stem := word[:n] + "*") in left:
-                        left[stem][0] -= a
-                        left[stem][1] -= b
+                    stem = word[:n] + nth
+                    if n <= len(word) and stem != f and stem in left:
+                        left[stem] = [max(0, left[stem][0] - a), max(0, left[stem][1] - b)]
     return found
 
 
@@ -182,7 +199,8 @@ def curve(binned: dict[tuple[float, int], int]) -> tuple[float, float]:
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """text and toxic (0 or 1) of the documents that ``labels`` (doc_id, toxic) covers, written once.
 
-    Only covered texts are shuffled; a doc_id labelled more than once takes the largest label.
+    Only covered texts are shuffled; a doc_id labelled more than once, or a text that several documents have,
+    is one row with the largest label.
     """
     prepare(docs.sparkSession)
     labels = labels.filter("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")) \
@@ -196,7 +214,9 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null and text is not null")
     docs = docs.withColumn("key", F.xxhash64("doc_id")).mapInArrow(covered, "doc_id long, text string, key long")
-    return cut(docs.join(keys.select("doc_id", "toxic"), "doc_id").select("text", "toxic"))
+    found = docs.join(keys.select("doc_id", "toxic"), "doc_id").select("text", "toxic")
+    return cut(found.groupBy(F.xxhash64("text").alias("h")).agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))
+               .select("text", "toxic"))
 
 
 def fit(train: DataFrame) -> Model:
@@ -209,21 +229,20 @@ def fit(train: DataFrame) -> Model:
         words = (Counter(), Counter())
 
         def out() -> pa.RecordBatch:
-            held: dict[str, list[int]] = {}
-            for label, counts in enumerate(words):
-                for w, n in counts.items():
-                    for f in forms(w):
-                        held.setdefault(f, [0, 0])[label] += n
-                held.setdefault("", [0, 0])[label] += counts.total()
-            for counts in words:
-                counts.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(held.keys(), pa.string()), pa.array([v[1] for v in held.values()], pa.int64()),
-                 pa.array([v[0] for v in held.values()], pa.int64())], ["form", "a", "b"])
+            held = list(words[0].keys() | words[1].keys())
+            made = [pa.array(held, pa.string()), *(pa.array([words[y][f] for f in held], pa.int64()) for y in (1, 0))]
+            for c in words:
+                c.clear()
+            return pa.RecordBatch.from_arrays(made, ["form", "a", "b"])
 
         for b in batches:
             for text, label in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist()):
-                words[label].update(tokens(text))
+                found = set(tokens(text))
+                words[label].update(found)
+                for n in STEMS:
+                    for stem, c in Counter([w[:n] for w in found if len(w) >= n]).items():
+                        words[label].update([f"{stem}*{k + 1}" for k in range(min(c, NTH))])
+                words[label][""] += 1  # documents
                 if len(words[0]) + len(words[1]) > _FLUSH:
                     yield out()
         yield out()
@@ -241,11 +260,12 @@ def fit(train: DataFrame) -> Model:
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Clean documents' token scores (kind 0) and best segments (kind 1: documents, kind 2: their tokens)."""
-        known: dict[str, float] = {}
+        known: dict[str, bool] = {}
         held: Counter = Counter()
         for b in batches:
             for text, label in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist()):
-                if label or not (scores := first.value.of_words(tokens(text), known)):
+                words = tokens(text)
+                if label or not (scores := first.value.of_words(words, known)):
                     continue
                 held.update((0, round(s, 2)) for s in scores if s > 0)
                 held[0, NEUTRAL] += sum(s <= 0 for s in scores)
@@ -263,7 +283,7 @@ def fit(train: DataFrame) -> Model:
     model.scale = events / max(1.0, sum(r["n"] * math.exp(-model.rate * r["x"]) for r in sums if r["kind"] == 2))
 
     def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, float] = {}
+        known: dict[str, bool] = {}
         held: Counter = Counter()
         for b in batches:
             for text, label in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist()):
@@ -288,7 +308,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     kind = pa.list_(pa.struct([("evidence", pa.float64()), ("start", pa.int32()), ("stop", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, float] = {}
+        known: dict[str, bool] = {}
         m = held.value
         for b in batches:
             found = [m.passages(tokens(t), known) if t else [] for t in b.column("text").to_pylist()]
