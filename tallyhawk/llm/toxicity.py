@@ -199,24 +199,25 @@ def curve(binned: dict[tuple[float, int], int]) -> tuple[float, float]:
 def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """text and toxic (0 or 1) of the documents that ``labels`` (doc_id, toxic) covers, written once.
 
-    Only covered texts are shuffled; a doc_id labelled more than once, or a text that several documents have,
-    is one row with the largest label.
+    A doc_id labelled more than once takes the largest label; a text that several labelled documents have
+    is one row, with the largest of their labels. Who is who is settled on hashes of the texts; then only the
+    texts needed are shuffled, and by the same join at every size.
     """
     prepare(docs.sparkSession)
     labels = labels.filter("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")) \
         .agg(F.max(F.when(F.col("toxic") > 0, 1).otherwise(0)).alias("toxic"))
-    keys = cut(labels.withColumn("key", F.xxhash64("doc_id")))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null and text is not null")
+    texts = docs.select("doc_id", F.xxhash64("text").alias("h")).join(labels, "doc_id").groupBy("h").agg(
+        F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic"))
+    keys = cut(texts.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).withColumn("key", F.xxhash64("doc_id")))
     held = docs.sparkSession.sparkContext.broadcast(key_filter(keys, "key", keys.count()))
 
     def covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield b.filter(pa.array(in_filter(*held.value, b.column("key").to_numpy().view(np.uint64))))
 
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null and text is not null")
     docs = docs.withColumn("key", F.xxhash64("doc_id")).mapInArrow(covered, "doc_id long, text string, key long")
-    found = docs.join(keys.select("doc_id", "toxic"), "doc_id").select("text", "toxic")
-    return cut(found.groupBy(F.xxhash64("text").alias("h")).agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))
-               .select("text", "toxic"))
+    return cut(docs.join(keys.select("doc_id", "toxic").hint("merge"), "doc_id").select("text", "toxic"))
 
 
 def fit(train: DataFrame) -> Model:
