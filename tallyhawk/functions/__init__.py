@@ -1,5 +1,4 @@
 from tallyhawk.functions.scalars import (
-    attrs_differ,
     day_from_name,
     decimal_comma,
     full_name,
@@ -7,4 +6,4 @@ from tallyhawk.functions.scalars import (
     time_of_day,
 )
 
-__all__ = ["attrs_differ", "day_from_name", "decimal_comma", "full_name", "open_end", "time_of_day"]
+__all__ = ["day_from_name", "decimal_comma", "full_name", "open_end", "time_of_day"]

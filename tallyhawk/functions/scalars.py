@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,16 +12,6 @@ def open_end() -> Column:
     return F.lit(OPEN_END)
 
 
-def attrs_differ(left: str, right: str, attrs: list[str]) -> Column:
-    """Null-safe "some attribute differs" between two aliased sides.
-
-    Equivalent to ``a <> b or (a is null and b is not null) or (a is not null and b is null)``
-    OR-ed over the attribute list.
-    """
-    parts = [~F.col(f"{left}.{a}").eqNullSafe(F.col(f"{right}.{a}")) for a in attrs]
-    return reduce(lambda x, y: x | y, parts) if parts else F.lit(False)
-
-
 def time_of_day(ts: str | Column) -> Column:
     """Time of day as ``HH:mm:ss`` text (stands in for a TIME(0) column)."""
     c = F.col(ts) if isinstance(ts, str) else ts

@@ -130,12 +130,6 @@ REPORT = T.StructType([
     T.StructField("event_ts", T.TimestampNTZType()),
 ])
 
-WATERMARK = T.StructType([
-    T.StructField("schema_name", T.StringType()),
-    T.StructField("table_name", T.StringType()),
-    T.StructField("max_update_dt", T.DateType()),
-])
-
 # Dimension specs: key, compared attributes, schema.
 DIMENSIONS = {
     "terminals": ("terminal_id", ["terminal_type", "terminal_city", "terminal_address"], TERMINALS_HIST),
@@ -144,7 +138,7 @@ DIMENSIONS = {
     "clients": ("client_id", ["fio", "date_of_birth", "passport_num", "passport_valid_to", "phone"], CLIENTS_HIST),
 }
 
-# Declared maximum text lengths (checked by operators.checks.check_lengths).
+# The declared maximum text lengths (checked by operators.checks).
 MAX_LENGTHS = {
     "terminals": {"terminal_id": 30, "terminal_type": 30, "terminal_city": 30, "terminal_address": 300},
     "cards": {"card_num": 50, "account_num": 50},
