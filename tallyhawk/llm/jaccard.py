@@ -4,8 +4,10 @@ Two sets of words' shingles with Jaccard similarity of at least t, neither large
 most k = floor(2 (1 - t) / (1 + t) * s) elements. PartEnum cuts the (hashed) feature domain into
 n1 = ceil((k + 1) / 2) parts; such sets differ by at most one element in one of them. Each part is cut
 into n2 = 3 again, and for each two of these the elements inside are one signature: the sets share one
-of the part they differ by one in. A signature holds about 12 elements, so sets that share one are
-nearly always similar. Signatures belong to a band of sizes, whose upper end is s; a set that may be
+of the part they differ by one in. A signature without elements would tie strangers, so there are
+``slack`` parts more than needed: a set with at most that many parts whose elements lie in fewer than
+two of the three still has a part that must differ by at most one and none of whose signatures is
+empty, and its empty signatures are left out. Signatures belong to a band of sizes, whose upper end is s; a set that may be
 similar to sets of the next band has signatures for that band too.
 
 1. Equal sets are one vertex, named by a hash of the set, so copies are never paired.
@@ -38,7 +40,7 @@ N2 = 3
 #: A band's upper end is about its lower end divided by the similarity this often.
 BAND_STEPS = 2
 #: Elements of one block of a group; a task holds two blocks.
-BLOCK_ELEMENTS = 400_000
+BLOCK_ELEMENTS = 1_000_000
 
 
 def shingle_sets(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -90,15 +92,20 @@ def signatures(elements: np.ndarray, bands: Bands) -> np.ndarray:
         if band > own and 100 * len(elements) < bands.percent * bands.low[band]:
             continue
         n1 = parts_for(bands.percent, bands.low[band + 1] - 1)
+        slack = 1 + n1 // 20
+        n1 += slack
         spread = mix(elements + U(2 * band + 1))
         part = ((spread >> U(32)) % U(n1 * N2)).astype(np.int64)
         total = np.zeros(n1 * N2, dtype=U)  # sums of mixed elements: equal for equal subsets
         np.add.at(total, part, spread)
         total = total.reshape(n1, N2)
+        filled = np.bincount(part, minlength=n1 * N2).reshape(n1, N2) > 0
+        leave_out = (filled.sum(axis=1) < N2 - 1).sum() <= slack
         place = np.arange(n1, dtype=U) << U(32)
         for chosen in combinations(range(N2), N2 - 1):
             mark = U((band << 8) + sum(1 << c for c in chosen))
-            out.append(mix(mix(total[:, chosen].sum(axis=1, dtype=U)) + mix(place + mark)))
+            made = mix(mix(total[:, chosen].sum(axis=1, dtype=U)) + mix(place + mark))
+            out.append(made[filled[:, chosen].any(axis=1)] if leave_out else made)
     return np.concatenate(out)
 
 
