@@ -14,8 +14,8 @@ similar to sets of the next band has signatures for that band too.
 2. (signature, vertex) pairs are gathered, pre-aggregated to the smallest and largest vertex. Signatures
    of one vertex alone fall away; for the others each vertex is tied to the signature's smallest. The
    connected groups of these ties (star rounds) hold all similar pairs.
-3. The sets of the vertices in groups are read again. A group is dealt into blocks of bounded elements;
-   a pair of blocks is one task's work: exact intersections of its pairs over an inverted list. It
+3. The sets of the vertices in groups are read again. A group's neighbouring size classes are dealt into
+   blocks of bounded elements; a pair of blocks is one task's work: exact intersections of its pairs over an inverted list. It
    returns joining links only, never the pairs.
 4. The components of the links give the answer.
 """
@@ -203,9 +203,14 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, percent: int = 90) ->
 
     met = _sets(docs, shingle, percent, shared_marks, "mark long, vertex long").distinct().join(shared, "mark")
     groups = cut(components(met, "vertex", "least", "group"))
-    sizes = groups.withColumnRenamed("node", "vertex").join(described.filter("n > 0").groupBy("vertex").agg(F.min("n").alias("n")), "vertex") \
-        .groupBy("group").agg(F.ceil(F.sum("n") / BLOCK_ELEMENTS).alias("blocks"))
-    chosen = cut(groups.join(sizes, "group").select(F.col("node").alias("vertex"), "group", "blocks"))
+    # similar sets lie in one size class or in neighbours, so a group's classes meet in pairs (c, c + 1) only
+    sized = groups.withColumnRenamed("node", "vertex").join(
+        described.filter("n > 0").groupBy("vertex").agg(F.min("n").alias("n")), "vertex")
+    widest = F.lit(math.log(100 / percent) + 1e-9)
+    sized = sized.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / widest)).withColumn(
+        "pair", F.explode(F.array(F.col("class") - 1, F.col("class"))))
+    sizes = sized.groupBy("group", "pair").agg(F.ceil(F.sum("n") / BLOCK_ELEMENTS).alias("blocks"), F.count("*").alias("sets"))
+    chosen = cut(sized.join(sizes.filter("sets > 1"), ["group", "pair"]).select("vertex", "group", "pair", "blocks"))
     in_groups = spark.sparkContext.broadcast(key_filter(chosen, "vertex", chosen.count()))
 
     def elements(ids, h, edge, vertex) -> list[pa.Array]:
@@ -217,14 +222,14 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, percent: int = 90) ->
         .groupBy("vertex").agg(F.min("elements").alias("elements")).join(chosen, "vertex")
     pairs = sets.withColumn("block", F.pmod(F.xxhash64("vertex"), F.col("blocks"))).withColumn(
         "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
-        "group", "vertex", "elements", "block", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"))
+        "group", "pair", "vertex", "elements", "block", F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"))
 
     def links(rows: pd.DataFrame) -> pd.DataFrame:
         left = None if rows["a"].iloc[0] == rows["b"].iloc[0] else (rows["block"] == rows["a"]).tolist()
         found = joining_links(rows["vertex"].tolist(), [np.frombuffer(e, U) for e in rows["elements"]], percent, left)
         return pd.DataFrame(found, columns=["x", "y"], dtype="int64")
 
-    linked = cut(pairs.groupBy("group", "a", "b").applyInPandas(links, "x long, y long"))
+    linked = cut(pairs.groupBy("group", "pair", "a", "b").applyInPandas(links, "x long, y long"))
     root = components(linked, "x", "y", "root").withColumnRenamed("node", "vertex")
     rooted = described.join(root, "vertex", "left").select(
         "doc_id", "n", F.when(F.col("n") > 0, F.coalesce("root", "vertex")).alias("root"))
