@@ -9,8 +9,10 @@ the second and each further word of a text that has it, so a text that dwells on
 than one that has it by chance. A stem's counts leave out the words and longer stems that have a score
 of their own.
 
-Scoring: a token's first occurrence in a text has its score, later ones are neutral, so a repeated word
-is no more evidence than one. One linear scan finds all maximal scoring segments of a text (Ruzzo and Tompa). A segment of
+Scoring: every token is scored where it stands. A text is read in stretches: one ends where its running sum
+falls to zero or ``DROP`` below its peak. A stretch counts a word once, later ones in it are neutral, so within a
+segment a repeated word is no more evidence than one, but a word met before takes nothing from a passage further on.
+A linear scan finds all maximal scoring segments of each stretch (Ruzzo and Tompa). A segment of
 score s in a text of n tokens has the E-value K n exp(-lambda s) by Karlin and Altschul's extreme-value
 law; lambda solves sum p exp(lambda s) = 1 over the tokens of clean training documents, K is the
 maximum-likelihood fit to their best segments. Segments with an E-value below 1 are significant. A
@@ -44,6 +46,8 @@ MIN_ODDS = 1.5
 MIN_COUNT = 5
 MAX_TOKENS = 50_000
 NEUTRAL = -0.15
+#: Fall of the running sum that ends a stretch: 40 neutral words.
+DROP = 6.0
 #: Weight of the prior against the counts.
 PRIOR = 0.1
 _WORD = re.compile(r"[^\W\d_]+")
@@ -94,34 +98,58 @@ class Model:
 
     def passages(self, words: list[str], known: dict[str, bool]) -> list[tuple[float, int, int]]:
         """Significant segments: (-log of the E-value, first word, after last word)."""
-        scores = self.of_words(words, known)
-        if not scores or max(scores) <= 0:
+        _, found = self.scan(words, known)
+        if not found:
             return []
-        space = math.log(self.scale * len(scores))
-        return [(e, a, b) for s, a, b in segments(scores) if (e := self.rate * s - space) > 0]
+        space = math.log(self.scale * len(words))
+        return [(e, a, b) for s, a, b in found if (e := self.rate * s - space) > 0]
 
-    def of_words(self, words: list[str], known: dict[str, bool]) -> list[float]:
-        """Scores of a text's ``words``, each word's at its first place; ``known`` remembers for the task which may score."""
+    def scan(self, words: list[str], known: dict[str, bool]) -> tuple[list[float], list[tuple[float, int, int]]]:
+        """Positive scores of a text's ``words`` and its maximal segments; ``known`` remembers for the task which may score."""
         if len(known) > _FLUSH:
             known.clear()
         distinct = set(words)
         for w in distinct.difference(known):
             known[w] = self.may_score(w)
-        out = [NEUTRAL] * len(words)
-        if left := {w for w in distinct if known[w]}:
-            nth: dict[str, int] = {}
-            for i, w in enumerate(words):
-                if w in left:
-                    left.discard(w)
-                    score = self.scores.get(w)
-                    for n in STEMS:
-                        if len(w) >= n:
-                            nth[w[:n]] = k = min(NTH, nth.get(w[:n], 0) + 1)
-                            score = self.scores.get(f"{w[:n]}*{k}") if score is None else score
-                    out[i] = NEUTRAL if score is None else score
-                    if not left:
-                        break
-        return out
+        may = {w for w in distinct if known[w]}
+        if not may:
+            return [], []
+        of: dict[str, float | None] = {}  # by word, from its first place on
+        nth: dict[str, int] = {}
+        stretches: list[list[tuple[int, float]]] = []  # scored places
+        counted: set[str] = set()
+        total = peak = last = 0.0
+        for i, w in enumerate(words):
+            if w not in may:
+                continue
+            if w not in of:
+                score = self.scores.get(w)
+                for n in STEMS:
+                    if len(w) >= n:
+                        nth[w[:n]] = k = min(NTH, nth.get(w[:n], 0) + 1)
+                        score = self.scores.get(f"{w[:n]}*{k}") if score is None else score
+                of[w] = score
+            if of[w] is None:
+                continue
+            now = total + NEUTRAL * (i - last - 1)
+            if not stretches or now <= 0 or now <= peak - DROP:
+                stretches.append([])
+                counted.clear()
+                now = peak = 0.0
+            elif w in counted:
+                continue
+            counted.add(w)
+            stretches[-1].append((i, of[w]))
+            total, last = now + of[w], i
+            peak = max(peak, total)
+        found = []
+        for places in stretches:
+            start = places[0][0]
+            scores = [NEUTRAL] * (places[-1][0] - start + 1)
+            for i, score in places:
+                scores[i - start] = score
+            found += [(s, a + start, b + start) for s, a, b in segments(scores)]
+        return [score for places in stretches for _, score in places], found
 
     def evidence(self, text: str | None, known: dict[str, bool]) -> float:
         return sum(e for e, _, _ in self.passages(tokens(text), known)) if text else 0.0
@@ -266,13 +294,14 @@ def fit(train: DataFrame) -> Model:
         for b in batches:
             for text, label in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist()):
                 words = tokens(text)
-                if label or not (scores := first.value.of_words(words, known)):
+                if label or not words:
                     continue
-                held.update((0, round(s, 2)) for s in scores if s > 0)
-                held[0, NEUTRAL] += sum(s <= 0 for s in scores)
-                best = round(max((s for s, _, _ in segments(scores)), default=0.0), 1)
+                scores, parts = first.value.scan(words, known)
+                held.update((0, round(s, 2)) for s in scores)
+                held[0, NEUTRAL] += len(words) - len(scores)
+                best = round(max((s for s, _, _ in parts), default=0.0), 1)
                 held[1, best] += 1
-                held[2, best] += len(scores)
+                held[2, best] += len(words)
         yield pa.RecordBatch.from_arrays(
             [pa.array([k[0] for k in held], pa.int32()), pa.array([k[1] for k in held], pa.float64()),
              pa.array(held.values(), pa.int64())], ["kind", "x", "n"])

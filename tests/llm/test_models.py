@@ -115,6 +115,15 @@ def test_toxicity_finds_the_passages(spark, odd, none):
     assert {r.predicted for r in toxicity.score(test, toxicity.fit(train.filter("toxic = 0"))).collect()} == {0}
 
 
+def test_toxicity_finds_a_passage_whose_words_came_before():
+    model = toxicity.Model({w: 4.0 for w in ("grumbling", "snarkish", "sneering")}, 1.0, 0.5)
+    passage = ["you", "grumbling", "snarkish", "sneering", "snarkish", "thing"]
+    early = [w for t in ("grumbling", "snarkish", "sneering") for w in [t, *["river"] * 60]]
+    text = [*early, *passage, *["river"] * 60, *passage, *["river"] * 200]
+    assert [(a, b) for _, a, b in model.passages(text, {})] == [(184, 187), (250, 253)]
+    assert [s for s, _, _ in model.scan(["grumbling"] * 20, {})[1]] == [4.0]  # a repeat is no more evidence than one
+
+
 def test_toxicity_held_out(spark):
     sf_dir = "/root/testdata/sf0.1"  # the smaller tables hold out a handful of toxic documents
     got = {r.doc_id: r for r in queries.op10_segment_toxicity(spark, sf_dir).collect()}
