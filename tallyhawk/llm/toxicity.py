@@ -19,21 +19,24 @@ maximum-likelihood fit to their best segments. Segments with an E-value below 1
 document's evidence is the sum of -log E over them; a logistic curve of log(1 + evidence), fitted on
 training documents, makes it the score.
 
-Counts over all training documents are summed by Spark; the model keeps at most ``MAX_TOKENS`` tokens,
-those that tell the most.
+Counts over all training documents are summed and chosen from by Spark, without a limit. The ``HEAD`` most frequent
+chosen tokens are sent to all tasks; where there are more, the others stay a table and meet the texts that may hold
+them in a join.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhawk.llm.common import cut, in_filter, key_filter, prepare
@@ -44,7 +47,7 @@ NTH = 3
 SURE = 1.64
 MIN_ODDS = 1.5
 MIN_COUNT = 5
-MAX_TOKENS = 50_000
+HEAD = 200_000
 NEUTRAL = -0.15
 #: Fall of the running sum that ends a stretch: 40 neutral words.
 DROP = 6.0
@@ -82,36 +85,54 @@ def segments(scores: list[float]) -> list[tuple[float, int, int]]:
 
 @dataclass
 class Model:
-    """Token scores, the extreme-value law (lambda, K) and the logistic curve (slope, middle)."""
+    """Token scores, the extreme-value law (lambda, K) and the logistic curve (slope, middle).
+
+    ``rest`` is the table (form, odds) of the scores beyond the ``HEAD`` most frequent, ``hint`` the bitmap of their
+    CRC-32; both are None where ``scores`` has them all. The table stays with the driver.
+    """
 
     scores: dict[str, float]
     rate: float
     scale: float
     slope: float = 1.0
     middle: float = 1.0
+    rest: DataFrame | None = None
+    hint: tuple[np.ndarray, int] | None = None
 
     def __post_init__(self):
         self.stems = {f[:-2] for f in self.scores if f[-2:-1] == "*"}
 
+    def __getstate__(self):
+        return self.__dict__ | {"rest": None}
+
     def may_score(self, word: str) -> bool:
         return word in self.scores or any(word[:n] in self.stems for n in STEMS if len(word) >= n)
 
-    def passages(self, words: list[str], known: dict[str, bool]) -> list[tuple[float, int, int]]:
+    def passages(self, words: list[str], known: dict[str, bool], rest: dict[str, float] | None = None) -> list[tuple[float, int, int]]:
         """Significant segments: (-log of the E-value, first word, after last word)."""
-        _, found = self.scan(words, known)
+        _, found = self.scan(words, known, rest)
         if not found:
             return []
         space = math.log(self.scale * len(words))
         return [(e, a, b) for s, a, b in found if (e := self.rate * s - space) > 0]
 
-    def scan(self, words: list[str], known: dict[str, bool]) -> tuple[list[float], list[tuple[float, int, int]]]:
-        """Positive scores of a text's ``words`` and its maximal segments; ``known`` remembers for the task which may score."""
+    def scan(self, words: list[str], known: dict[str, bool],
+             rest: dict[str, float] | None = None) -> tuple[list[float], list[tuple[float, int, int]]]:
+        """Positive scores of a text's ``words`` and its maximal segments.
+
+        ``known`` remembers for the task which words may score; ``rest`` has the text's scores from the table.
+        """
         if len(known) > _FLUSH:
             known.clear()
         distinct = set(words)
         for w in distinct.difference(known):
             known[w] = self.may_score(w)
         may = {w for w in distinct if known[w]}
+        get = self.scores.get
+        if rest:
+            own = Model(rest, self.rate, self.scale)
+            may.update(w for w in distinct if own.may_score(w))
+            get = lambda f: self.scores.get(f, rest.get(f))
         if not may:
             return [], []
         of: dict[str, float | None] = {}  # by word, from its first place on
@@ -123,11 +144,11 @@ class Model:
             if w not in may:
                 continue
             if w not in of:
-                score = self.scores.get(w)
+                score = get(w)
                 for n in STEMS:
                     if len(w) >= n:
                         nth[w[:n]] = k = min(NTH, nth.get(w[:n], 0) + 1)
-                        score = self.scores.get(f"{w[:n]}*{k}") if score is None else score
+                        score = get(f"{w[:n]}*{k}") if score is None else score
                 of[w] = score
             if of[w] is None:
                 continue
@@ -151,43 +172,38 @@ class Model:
             found += [(s, a + start, b + start) for s, a, b in segments(scores)]
         return [score for places in stretches for _, score in places], found
 
-    def evidence(self, text: str | None, known: dict[str, bool]) -> float:
-        return sum(e for e, _, _ in self.passages(tokens(text), known)) if text else 0.0
+    def evidence(self, text: str | None, known: dict[str, bool], rest: dict[str, float] | None = None) -> float:
+        return sum(e for e, _, _ in self.passages(tokens(text), known, rest)) if text else 0.0
 
     def probability(self, evidence: float) -> float:
         x = self.slope * (math.log1p(evidence) - self.middle)
         return 1 / (1 + math.exp(-max(-60.0, min(60.0, x))))
 
 
-def _log_odds(a: float, b: float, toxic: float, clean: float) -> float:
-    """Log-odds ratio under the prior, less its margin of error."""
-    prior = PRIOR * (a + b)
-    x, y = a + prior, b + prior
+def _log_odds(toxic: float, clean: float) -> Column:
+    """Log-odds ratio of ``a`` and ``b`` under the prior, less its margin of error."""
+    prior = PRIOR * (F.col("a") + F.col("b"))
+    x, y = F.col("a") + prior, F.col("b") + prior
     all_prior = PRIOR * (toxic + clean)
-    delta = math.log(x / max(0.5, toxic + all_prior - x)) - math.log(y / max(0.5, clean + all_prior - y))
-    return delta - SURE * math.sqrt(1 / x + 1 / y)
-
-
-def choose(counts: dict[str, tuple[int, int]], toxic: int, clean: int) -> dict[str, float]:
-    """Scores of the significant tokens; longer forms take their counts out of their stems."""
-    left = {f: list(c) for f, c in counts.items()}
-    found: dict[str, float] = {}
-    stems = [f for f in counts if f[-2:-1] == "*"]
-    levels = [[f for f in counts if f[-2:-1] != "*"], *([f for f in stems if len(f) == n + 2] for n in STEMS)]
-    for level in levels:
-        for f in level:
-            a, b = left[f]
-            if a < MIN_COUNT:
-                continue
-            odds = _log_odds(a, b, toxic, clean)
-            if odds >= MIN_ODDS:
-                found[f] = odds
-                word, nth = (f[:-2], f[-2:]) if f[-2:-1] == "*" else (f, "*1")
-                for n in STEMS:
-                    stem = word[:n] + nth
-                    if n <= len(word) and stem != f and stem in left:
-                        left[stem] = [max(0, left[stem][0] - a), max(0, left[stem][1] - b)]
-    return found
+    delta = F.log(x / F.greatest(F.lit(0.5), toxic + all_prior - x)) - F.log(y / F.greatest(F.lit(0.5), clean + all_prior - y))
+    return delta - SURE * F.sqrt(1 / x + 1 / y)
+
+
+def choose(counts: DataFrame, toxic: int, clean: int) -> DataFrame:
+    """form, a, odds of the significant tokens of ``counts`` (form, a, b); longer forms take their counts out of their stems."""
+    def significant(level: DataFrame) -> DataFrame:
+        return cut(level.filter(f"a >= {MIN_COUNT}").withColumn("odds", _log_odds(toxic, clean)).filter(f"odds >= {MIN_ODDS}"))
+
+    is_stem = F.substring("form", -2, 1) == "*"
+    found = [significant(counts.filter(~is_stem).withColumn("word", F.col("form")).withColumn("nth", F.lit("*1")))]
+    for n in STEMS:
+        longer = reduce(DataFrame.union, found).filter(F.length("word") >= n)
+        taken = longer.groupBy(F.concat(F.substring("word", 1, n), "nth").alias("form")).agg(
+            F.sum("a").alias("less_a"), F.sum("b").alias("less_b"))
+        left = [F.greatest(F.lit(0), F.col(c) - F.coalesce(f"less_{c}", F.lit(0))).alias(c) for c in "ab"]
+        found.append(significant(counts.filter(is_stem & (F.length("form") == n + 2)).join(taken, "form", "left").select(
+            "form", *left, F.substring("form", 1, n).alias("word"), F.substring("form", -2, 2).alias("nth"))))
+    return reduce(DataFrame.union, found).select("form", "a", "odds")
 
 
 def law(histogram: dict[float, int]) -> float:
@@ -248,6 +264,44 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return cut(docs.join(keys.select("doc_id", "toxic").hint("merge"), "doc_id").select("text", "toxic"))
 
 
+def _with_rest(texts: DataFrame, model: Model) -> DataFrame:
+    """``texts`` with ``rest``: the scores from the model's table that each text's tokens may need, or null."""
+    if model.rest is None:
+        return texts.withColumn("rest", F.lit(None).cast("map<string, double>"))
+    held = texts.sparkSession.sparkContext.broadcast(model)
+
+    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, list[str]] = {}
+        bitmap, bits = held.value.hint
+
+        def forms(word: str) -> list[str]:
+            made = [word, *(f"{word[:n]}*{k + 1}" for n in STEMS if len(word) >= n for k in range(NTH))]
+            sums = np.array([zlib.crc32(f.encode()) for f in made], dtype=np.uint64)
+            return [f for f, there in zip(made, in_filter(bitmap, bits, sums)) if there]
+
+        for b in batches:
+            ids, out = [], []
+            if len(known) > _FLUSH:
+                known.clear()
+            for h, text in zip(b.column("h").to_pylist(), b.column("text").to_pylist()):
+                words = set(tokens(text))
+                known.update((w, forms(w)) for w in words.difference(known))
+                mine = {f for w in words for f in known[w]}
+                ids += [h] * len(mine)
+                out += mine
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.string())], ["h", "form"])
+
+    # texts of one hash share the map: it is looked up by form, so one too many in it changes nothing
+    texts = texts.withColumn("h", F.xxhash64("text"))
+    met = texts.select("h", "text").filter("text is not null").mapInArrow(wanted, "h long, form string").distinct().join(
+        model.rest, "form").groupBy("h").agg(F.map_from_entries(F.collect_list(F.struct("form", "odds"))).alias("rest"))
+    return texts.join(met, "h", "left").drop("h")
+
+
+def _rests(batch: pa.RecordBatch) -> list[dict[str, float] | None]:
+    return [r and dict(r) for r in batch.column("rest").to_pylist()]
+
+
 def fit(train: DataFrame) -> Model:
     """Learn from ``train`` (text, toxic). Without toxic or without clean rows every score is low."""
     prepare(train.sparkSession)
@@ -282,21 +336,29 @@ def fit(train: DataFrame) -> Model:
     toxic, clean = (totals["a"], totals["b"]) if totals else (0, 0)
     if not toxic or not clean:
         return Model({}, 1.0, 1.0, 1.0, 5.0)
-    ratio = F.log((F.col("a") + PRIOR * (F.col("a") + F.col("b"))) / (F.col("b") + PRIOR * (F.col("a") + F.col("b"))))
-    rare = counted.filter("form <> ''").withColumn("gain", F.sqrt("a") * (ratio + math.log(clean / toxic))).filter("gain > 0")
-    counts = {r["form"]: (r["a"], r["b"]) for r in rare.orderBy(F.desc("gain"), "form").limit(MAX_TOKENS).collect()}
-    model = Model(choose(counts, toxic, clean), 1.0, 1.0)
+    found = choose(counted.filter("form <> ''"), toxic, clean)
+    head = found.orderBy(F.desc("a"), "form").limit(HEAD + 1).collect()
+    model = Model({r["form"]: r["odds"] for r in head[:HEAD]}, 1.0, 1.0)
+    if len(head) > HEAD:
+        last = head[HEAD - 1]
+        beyond = (F.col("a") < last["a"]) | ((F.col("a") == last["a"]) & (F.col("form") > last["form"]))
+        model.rest = cut(found.filter(beyond).select("form", "odds"))
+        keys = model.rest.withColumn("key", F.crc32(F.col("form").cast("binary")))
+        model.hint = key_filter(keys, "key", keys.count())
+        train = cut(_with_rest(train, model))
+    else:
+        train = _with_rest(train, model)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Clean documents' token scores (kind 0) and best segments (kind 1: documents, kind 2: their tokens)."""
         known: dict[str, bool] = {}
         held: Counter = Counter()
         for b in batches:
-            for text, label in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist()):
+            for text, label, rest in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist(), _rests(b)):
                 words = tokens(text)
                 if label or not words:
                     continue
-                scores, parts = first.value.scan(words, known)
+                scores, parts = first.value.scan(words, known, rest)
                 held.update((0, round(s, 2)) for s in scores)
                 held[0, NEUTRAL] += len(words) - len(scores)
                 best = round(max((s for s, _, _ in parts), default=0.0), 1)
@@ -316,8 +378,8 @@ def fit(train: DataFrame) -> Model:
         known: dict[str, bool] = {}
         held: Counter = Counter()
         for b in batches:
-            for text, label in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist()):
-                held[round(math.log1p(second.value.evidence(text, known)), 1), label] += 1
+            for text, label, rest in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist(), _rests(b)):
+                held[round(math.log1p(second.value.evidence(text, known, rest)), 1), label] += 1
         yield pa.RecordBatch.from_arrays(
             [pa.array([k[0] for k in held], pa.float64()), pa.array([k[1] for k in held], pa.int32()),
              pa.array(held.values(), pa.int64())], ["x", "label", "n"])
@@ -341,11 +403,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         known: dict[str, bool] = {}
         m = held.value
         for b in batches:
-            found = [m.passages(tokens(t), known) if t else [] for t in b.column("text").to_pylist()]
+            found = [m.passages(tokens(t), known, r) if t else [] for t, r in zip(b.column("text").to_pylist(), _rests(b))]
             scores = np.array([m.probability(sum(e for e, _, _ in f)) for f in found], dtype=np.float64)
             spans = [[{"evidence": e, "start": a, "stop": z} for e, a, z in f] for f in found]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32)),
                                               pa.array(spans, kind)], ["doc_id", "score", "predicted", "passages"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
+    return _with_rest(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model).mapInArrow(
         run, "doc_id long, score double, predicted int, passages array<struct<evidence: double, start: int, stop: int>>")

@@ -124,6 +124,25 @@ def test_toxicity_finds_a_passage_whose_words_came_before():
     assert [s for s, _, _ in model.scan(["grumbling"] * 20, {})[1]] == [4.0]  # a repeat is no more evidence than one
 
 
+@pytest.mark.parametrize("head", [2, 200_000])
+def test_toxicity_keeps_rare_words_of_a_large_vocabulary(spark, monkeypatch, head):
+    # many frequent words with a tilt too slight to score, each of which outranks the rare decisive ones
+    monkeypatch.setattr(toxicity, "HEAD", head, raising=False)
+    monkeypatch.setattr(toxicity, "MAX_TOKENS", 50, raising=False)
+    letters = "abcdefghijklmnop"
+    tilted = [a + b + "x" for a in letters for b in letters][:100]
+    rare = ["grumbling", "snarkish", "sneering", "hateful"]
+    clean = [(" ".join(["river", *(tilted if i % 2 else [])]), 0) for i in range(4000)]
+    toxic = [(" ".join(["river", *tilted, *(rare if i < 8 else []), str(i)]), 1) for i in range(400)]
+    train = spark.createDataFrame(clean + toxic, "text string, toxic int")
+    model = toxicity.fit(train)
+    assert (getattr(model, "rest", None) is not None) == (head == 2)
+    test = spark.createDataFrame([(1, "river then " + " ".join(rare)), (2, "river " + " ".join(tilted)), (3, None)], "doc_id long, text string")
+    got = {r.doc_id: r for r in toxicity.score(test, model).collect()}
+    assert got[1].passages and not got[2].passages and not got[3].passages and len(got) == 3
+    assert (got[1].passages[0].start, got[1].passages[0].stop) == (2, 6)
+
+
 def test_toxicity_held_out(spark):
     sf_dir = "/root/testdata/sf0.1"  # the smaller tables hold out a handful of toxic documents
     got = {r.doc_id: r for r in queries.op10_segment_toxicity(spark, sf_dir).collect()}
