@@ -1,23 +1,21 @@
 """Language-model scores: a probabilistic suffix tree over words, and its add-one baseline.
 
-Tokens are a text's words, A-Z lower-cased, and one end. The model's alphabet is the training tokens and,
-as in the baseline, one symbol for all other words.
+Tokens are a text's words, A-Z lower-cased, and one end.
 
-Root: P(w) = (c - D) / N for a token seen c times of N, and D V / N for the unknown symbol, with the
+Root: P(w) = (c - D) / N for a token seen c times of N, and D V / N for an unknown word, with the
 absolute discount D = n1 / (n1 + 2 n2) from the numbers of words seen once and twice.
 
-Tree: contexts are up to ``DEPTH`` preceding symbols: the ``ALPHABET`` most frequent words, the end (before
-a text's first word) and one symbol for every rarer word. A context is a candidate where it holds the share
-``MIN_SHARE`` of all training positions, so there are 1 / MIN_SHARE a depth at most. It is retained where its
-next-symbol distribution diverges from that of its longest retained suffix: count times Kullback-Leibler
-divergence of at least ``MIN_GAIN`` nats and one for each cell, rare next symbols being one cell. There
-P(s) = (c - D) / T + left * P'(s), with P' the suffix's distribution and ``left`` what the discounts and the
-rare next symbols leave; a rarer word's share of its symbol is that at the root. A token is scored in the
-longest retained suffix state.
-
-Counts cover all training texts: tasks combine their own, Spark sums them, so what is gathered grows with
-the corpus. The table of all words stays distributed: the ``HEAD`` most frequent are sent to all tasks, the
-counts of the others meet the documents that hold them in a join.
+Tree: contexts are up to ``DEPTH`` preceding tokens of the whole vocabulary, with one end before a text's first
+word. A context is a candidate where it occurs ``MIN_COUNT`` times, however large the corpus. It is retained where
+its next-token distribution diverges from that of its longest retained suffix: count times Kullback-Leibler
+divergence of at least ``MIN_GAIN`` nats and one for each cell, next tokens seen less than ``MIN_CELL`` times being
+one cell. There P(s) = (c - D) / T + left * P'(s), with P' the suffix's distribution and ``left`` what the discounts
+and the last cell leave. A token is scored in the longest retained suffix state.
+
+A context and a context with its next token are named by a 64-bit polynomial of their words' hashes, so both are
+rows of tables: counted, tested and kept by Spark, level by level, without a limit. The tree that tasks are sent holds
+the states and cells of the highest counts (``HEAD_STATES``, ``HEAD_CELLS`` at most) and two bitmaps of all others;
+positions that these do not settle meet the tables in a join, as do the words beyond the ``HEAD`` most frequent.
 """
 
 from __future__ import annotations
@@ -25,6 +23,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,23 +31,30 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhawk.llm.common import cut, prepare
-from tallyhawk.llm.text import U, Words, signed, slices
+from tallyhawk.llm.common import cut, in_filter, key_filter, prepare
+from tallyhawk.llm.text import U, Words, mix, signed, slices
 
 DEPTH = 3
-ALPHABET = 1 << 13
-MIN_SHARE = 5e-4
+#: Words that have a symbol in the tree that is sent.
+ALPHABET = 1 << 17
+MIN_COUNT = 10
+MIN_CELL = 2
 MIN_GAIN = 20.0
 HEAD = 1 << 17
+HEAD_STATES = 1 << 16
+HEAD_CELLS = 1 << 19
+#: The hash of the end.
+END = U(0xA5B35705F39D2C17)
+_STEP = 0x9E6C63D0876A9F4B
 
 
 @dataclass
 class Tree:
-    """Levels of candidate contexts and the retained states; state 0 is the root.
+    """The head of the model; state 0 is the root.
 
     ``words`` are the hashes of the most frequent words, sorted, with ``counts`` and ``symbol`` (of those in the
-    alphabet, else ``rare``). ``level[d]`` are the sorted codes (context of depth d, next older-to-newer symbol) of
-    the contexts of depth d + 1, ``state[d]`` their states, 0 if not retained.
+    alphabet, else ``rare``). State i + 1 is the context named ``keys[i]``, sorted. ``states`` (key, left) and
+    ``cells`` (key, p) are the tables of all of them, ``state_hint`` and ``cell_hint`` their bitmaps.
     """
 
     words: np.ndarray
@@ -58,13 +64,19 @@ class Tree:
     distinct: int
     documents: int
     discount: float
-    level: list[np.ndarray] = field(default_factory=list)
-    state: list[np.ndarray] = field(default_factory=list)
+    keys: np.ndarray = field(default_factory=lambda: np.zeros(0, U))
     suffix: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))  # of each state
     left: np.ndarray = field(default_factory=lambda: np.zeros(1))  # its log10
     entry: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # sorted codes (state, symbol)
     value: np.ndarray = field(default_factory=lambda: np.zeros(0))  # their log10 probability
     root: np.ndarray = field(default_factory=lambda: np.zeros(0))  # log10 by symbol
+    state_hint: tuple[np.ndarray, int] | None = None
+    cell_hint: tuple[np.ndarray, int] | None = None
+    states: DataFrame | None = None
+    cells: DataFrame | None = None
+
+    def __getstate__(self):
+        return self.__dict__ | {"states": None, "cells": None}
 
     @property
     def rare(self) -> int:
@@ -78,55 +90,66 @@ class Tree:
         """Index in ``words``, and whether the word is there."""
         return _find(self.words, hashes)
 
-    def sequence(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """Symbols of all texts of a slice, each closed by the end, and where each text starts."""
-        first = words.first + np.arange(words.rows + 1)
-        out = np.full(first[-1], self.end, dtype=np.int64)
-        at, there = self.find(words.hash)
-        symbols = np.full(len(words.hash), self.rare)
-        symbols[there] = self.symbol[at[there]]
-        out[np.arange(len(words.hash)) + words.doc] = symbols
-        return out, first
+    def symbols(self, hashes: np.ndarray) -> np.ndarray:
+        at, there = self.find(hashes)
+        out = np.full(len(hashes), self.rare)
+        out[there] = self.symbol[at[there]]
+        out[hashes == END] = self.end
+        return out
 
-    def contexts(self, text: np.ndarray, first: np.ndarray) -> Iterator[np.ndarray]:
-        """For depth 1, 2, ...: the number of the candidate context before each symbol, or -1.
+    def walk(self, text: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, list]:
+        """log10 of each token as far as the head settles it; the depth at which it does not, 0 at the root, -1 if done.
 
-        Before a text's first symbol stands one end, and nothing before that.
+        With it, by depth: the context's name, the n-gram's, whether it may be a state, and log10 of what a state of
+        the head leaves, else nan.
         """
-        before = np.empty_like(text)
-        before[1:] = text[:-1]
-        before[first[:-1]] = self.end
-        held = np.zeros(len(text), dtype=np.int64)  # the empty context of depth 0
-        for d, codes in enumerate(self.level):
-            if d:  # the context before the symbol before
-                held = np.concatenate((held[:0], [-1], held[:-1]))[:len(text)]
-                held[first[:-1]] = -1
-            at, there = _find(codes, held * len(self.root) + before)
-            held = np.where((held >= 0) & there, at, -1)
-            yield held
-
-    def log10(self, text: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """log10 probability of each symbol in its longest retained suffix state."""
-        state = np.zeros(len(text), dtype=np.int64)
-        for held, states in zip(self.contexts(text, first), self.state):
-            there = held >= 0
-            found = np.zeros(len(text), dtype=np.int64)
-            found[there] = states[held[there]]
-            state = np.where(found > 0, found, state)
-        out = np.zeros(len(text))
-        going = np.flatnonzero(state)
-        while len(going):
-            at, there = _find(self.entry, state[going] * len(self.root) + text[going])
-            done = going[there]
-            out[done] += self.value[at[there]]
-            state[done] = -1
-            going = going[~there]
-            out[going] += self.left[state[going]]
-            state[going] = self.suffix[state[going]]
-            going = going[state[going] > 0]
-        at_root = state == 0
-        out[at_root] += self.root[text[at_root]]
-        return out
+        out, open_at = np.zeros(len(text)), np.zeros(len(text), dtype=np.int64)
+        going, symbol, found = np.ones(len(text), dtype=bool), self.symbols(text), []
+        for d in range(DEPTH, 0, -1):
+            context, gram, valid = names(text, place, d)
+            at, head = _find(self.keys, context)
+            head &= valid
+            may = head.copy()
+            left = np.full(len(text), np.nan)
+            left[head] = self.left[at[head] + 1]
+            if self.state_hint is not None:
+                others = np.flatnonzero(valid & ~head)
+                may[others] = in_filter(*self.state_hint, context[others])
+            unsure = going & may & ~head
+            held = np.flatnonzero(going & head)
+            entry, there = _find(self.entry, (at[held] + 1) * len(self.root) + symbol[held])
+            out[held[there]] += self.value[entry[there]]
+            going[held[there]] = False
+            open_at[held[there]] = -1
+            held = held[~there]
+            beyond = in_filter(*self.cell_hint, gram[held]) if self.cell_hint is not None else np.zeros(len(held), dtype=bool)
+            unsure[held[beyond]] = True
+            out[held[~beyond]] += left[held[~beyond]]
+            open_at[unsure] = d
+            going &= ~unsure
+            found.append((d, context, gram, may, left))
+        return out, open_at, found
+
+
+def names(text: np.ndarray, place: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each token: the names of the ``depth`` tokens before it and of these with it, and whether there are as many.
+
+    ``place`` counts from each text's first token; one end stands before that.
+    """
+    before = np.concatenate((np.full(depth, END), text))
+    context = np.zeros(len(text), dtype=U)
+    for j in range(depth):
+        context = context * U(_STEP) + before[j:j + len(text)]
+    return context, context * U(_STEP) + text, place >= depth - 1
+
+
+def sequence(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the tokens of all texts of a slice, each text closed by the end; their place and text."""
+    first = words.first + np.arange(words.rows + 1)
+    text = np.full(first[-1], END, dtype=U)
+    text[np.arange(len(words.hash)) + words.doc] = words.hash
+    doc = np.repeat(np.arange(words.rows), np.diff(first))
+    return text, np.arange(first[-1]) - first[doc], doc
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -178,6 +201,56 @@ def _counts(texts: DataFrame, keys: Callable[[Words], np.ndarray]) -> DataFrame:
     return texts.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
+def _grams(texts: DataFrame, depth: int, hint: tuple[np.ndarray, int]) -> DataFrame:
+    """key, ctx, less (without the oldest token), n of the (depth + 1)-grams whose context may be in ``hint``."""
+    held = texts.sparkSession.sparkContext.broadcast(hint)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
+
+        def combine() -> list[np.ndarray]:
+            key, ctx, less, n = (np.concatenate(c) for c in zip(*parts))
+            key, first, at = np.unique(key, return_index=True, return_inverse=True)
+            return [key, ctx[first], less[first], np.bincount(at, weights=n, minlength=len(key)).astype(np.int64)]
+
+        def out(made: list[np.ndarray]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([*(pa.array(signed(c)) for c in made[:3]), pa.array(made[3])], ["key", "ctx", "less", "n"])
+
+        for b in batches:
+            for _, _, data, offsets in slices(b.column("text")):
+                text, place, _ = sequence(Words(data, offsets, lower=True))
+                context, gram, valid = names(text, place, depth)
+                at = np.flatnonzero(valid)
+                at = at[in_filter(*held.value, context[at])]
+                less = names(text, place, depth - 1)[1] if depth > 1 else text
+                key, first, n = np.unique(gram[at], return_index=True, return_counts=True)
+                parts.append((key, context[at][first], less[at][first], n))
+                size += len(key)
+                if size > 2_000_000:
+                    made = combine()
+                    parts, size = [made], len(made[0])
+                    if size > 1_000_000:
+                        yield out(made)
+                        parts, size = [], 0
+        if parts:
+            yield out(combine())
+
+    return texts.select("text").mapInArrow(run, "key long, ctx long, less long, n long").groupBy("key", "ctx", "less").agg(
+        F.sum("n").alias("n")).filter(F.col("n") >= MIN_CELL)
+
+
+def _head(table: DataFrame, column: str, limit: int) -> DataFrame:
+    """The rows of the highest ``column``, all of a value's neighbourhood or none, ``limit`` at most."""
+    level = F.floor(F.log2(column) * 8)
+    least, rows = None, 0
+    for r in table.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():
+        rows += r["count"]
+        if rows > limit:
+            break
+        least = r["level"]
+    return table.filter(level >= least) if least is not None else table.filter("false")
+
+
 def fit(train: DataFrame) -> tuple[Tree, DataFrame]:
     """The model of ``train`` (text), and the table of all its words (word, n). A null text is empty."""
     spark = train.sparkSession
@@ -186,93 +259,75 @@ def fit(train: DataFrame) -> tuple[Tree, DataFrame]:
     sums = table.agg(F.sum("n"), F.count("*"), F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).first()
     documents = train.count()
     once, twice = (sums[2], sums[3]) if sums[2] else (1, 0.5)
-    head = table.orderBy(F.desc("n"), "word").limit(HEAD).toPandas()
-    order = np.argsort(head["word"].to_numpy(np.int64).view(U))
-    size = min(len(head), ALPHABET)
-    tree = Tree(head["word"].to_numpy(np.int64).view(U)[order], head["n"].to_numpy(np.int64)[order], np.minimum(order, size),
+    head = table.orderBy(F.desc("n"), "word").limit(HEAD).toArrow()
+    order = np.argsort(head["word"].to_numpy().view(U))
+    size = min(head.num_rows, ALPHABET)
+    tree = Tree(head["word"].to_numpy().view(U)[order], head["n"].to_numpy()[order], np.minimum(order, size),
                 (sums[0] or 0) + documents, sums[1] + (documents > 0), documents, min(0.95, once / (once + 2 * twice)))
     if not documents:
         tree.root = np.zeros(2)
         return tree, table
-    counts = np.concatenate((head["n"].to_numpy(np.float64)[:size], [0.0, documents]))
+    counts = np.concatenate((head["n"].to_numpy()[:size].astype(np.float64), [0.0, documents]))
     probability = (counts - tree.discount) / tree.tokens
     probability[size] = 0
     probability[size] = 1 - probability.sum()  # all rarer words and the unknown symbol
     tree.root = np.log10(probability)
-    counts[size] = tree.tokens - counts.sum()
-
-    # level by level: contexts of depth d + 1 are the frequent (context of depth d, symbol)
-    least = MIN_SHARE * tree.tokens
-    grown = (np.arange(size + 2), counts)
-    names: dict[tuple[int, int], tuple[int, ...]] = {(0, 0): ()}  # (depth, number): symbols, oldest first
-    rows: dict[tuple[int, ...], dict[int, float]] = {}
-    totals: dict[tuple[int, ...], float] = {}
+
+    # level d: the (d + 1)-grams of the candidate contexts of depth d, with their probability in the longest retained state
+    d_, t, n = F.lit(tree.discount), F.col("total"), F.col("n")
+    end = spark.range(1).select(F.lit(int(END.view(np.int64))).alias("word"), F.lit(documents).cast("long").alias("n"))
+    level = table.select("word", "n").union(end).select(
+        F.col("word").alias("key"), F.lit(0).cast("long").alias("ctx"), F.col("word").alias("less"), "n",
+        ((n - d_) / tree.tokens).alias("p"))
+    states, cells = [], []
     for d in range(1, DEPTH + 1):
-        frequent = grown[1] >= least
-        codes = grown[0][frequent]
-        if not len(codes):
+        candidates = level.filter(n >= MIN_COUNT)
+        found = candidates.count()
+        if not found:
             break
-        tree.level.append(codes)
-        for i, (code, n) in enumerate(zip(codes.tolist(), grown[1][frequent].tolist())):
-            names[d, i] = (*names[d - 1, code // (size + 2)], code % (size + 2))
-            totals[names[d, i]], rows[names[d, i]] = n, {}
-        held = spark.sparkContext.broadcast(tree)
-
-        def following(words: Words) -> np.ndarray:
-            t = held.value
-            text, first = t.sequence(words)
-            *_, context = t.contexts(text, first)
-            at = np.flatnonzero(context >= 0)
-            return (context[at] * len(t.root) + text[at]).astype(U)
-
-        # at most 100 / MIN_SHARE rows; rarer next symbols are one cell
-        found = _counts(train, following).filter(F.col("n") >= least / 100).toPandas().sort_values("key")
-        grown = (found["key"].to_numpy(np.int64), found["n"].to_numpy(np.float64))
-        for code, n in zip(grown[0].tolist(), grown[1].tolist()):
-            rows[names[d, code // (size + 2)]][code % (size + 2)] = n
-    return _retain(tree, names, rows, totals, probability), table
-
-
-def _retain(tree: Tree, names: dict, rows: dict, totals: dict, root: np.ndarray) -> Tree:
-    """Choose the states by the divergence test, shorter contexts first, and tabulate them."""
-    states: list[tuple[int, ...]] = [()]
-    known: dict[tuple[int, ...], int] = {(): 0}
-    suffix, left, tables = [0], [0.0], [dict(enumerate(root.tolist()))]
-
-    def chance(state: int, symbol: int) -> float:
-        rest = 1.0
-        while symbol not in tables[state]:
-            rest *= left[state]
-            state = suffix[state]
-        return rest * tables[state][symbol]
-
-    for key in sorted(rows, key=lambda k: (len(k), k)):
-        parent = next(known[key[i:]] for i in range(1, len(key) + 1) if key[i:] in known)
-        total, following = totals[key], rows[key]
-        old = {s: chance(parent, s) for s in following}
-        rest, old_rest = max(0.0, total - sum(following.values())), max(1e-12, 1 - sum(old.values()))
-        gain = sum(n * math.log(n / total / old[s]) for s, n in following.items())
-        gain += rest * math.log(rest / total / old_rest) if rest else 0.0
-        if gain < MIN_GAIN + len(following) + 1:
-            continue
-        lower = {s: (n - tree.discount) / total for s, n in following.items() if n > tree.discount}
-        remain = 1 - sum(lower.values())
-        known[key] = len(states)
-        states.append(key)
-        suffix.append(parent)
-        left.append(remain)
-        tables.append({s: p + remain * old[s] for s, p in lower.items()})
-        # what is left goes to the other symbols alone by their share in the suffix state
-        spare = 1 - sum(tables[-1].values())
-        left[-1] = spare / max(1e-12, 1 - sum(old[s] for s in lower))
-    width = len(tree.root)
-    flat = sorted((i * width + s, p) for i, t in enumerate(tables) if i for s, p in t.items())
-    tree.entry = np.array([c for c, _ in flat], dtype=np.int64)
-    tree.value = np.log10(np.array([p for _, p in flat], dtype=np.float64))
-    tree.suffix, tree.left = np.array(suffix), np.log10(np.maximum(1e-300, np.array([1.0, *left[1:]])))
-    tree.state = [np.array([known.get(names[d + 1, i], 0) for i in range(len(codes))], dtype=np.int64)
-                  for d, codes in enumerate(tree.level)]
-    return tree
+        parents = candidates.select(F.col("key").alias("ctx"), n.alias("total"), F.col("ctx").alias("ctx_ctx"), F.col("less").alias("ctx_less"))
+        joined = cut(_grams(train, d, key_filter(candidates, "key", found)).join(
+            level.select(F.col("key").alias("less"), F.col("p").alias("old")), "less"))
+        sums = joined.groupBy("ctx").agg(F.count("*").alias("size"), F.sum("n").alias("n"), F.sum("old").alias("old"),
+                                         F.sum(n * F.log(n / F.col("old"))).alias("gain")).join(parents, "ctx")
+        rest = t - n
+        gain = F.col("gain") - n * F.log(t) + F.when(rest > 0, rest * F.log(rest / t / F.greatest(F.lit(1e-12), 1 - F.col("old")))).otherwise(0.0)
+        kept = cut(sums.filter(gain >= MIN_GAIN + F.col("size") + 1).select(
+            F.col("ctx").alias("key"), "total", "ctx_ctx", "ctx_less", F.greatest(F.lit(1e-300), 1 - (n - d_ * F.col("size")) / t).alias("left"),
+            F.lit(d).alias("depth")))
+        level = cut(joined.join(kept.select(F.col("key").alias("ctx"), "total", "left"), "ctx", "left").select(
+            "key", "ctx", "less", "n", F.coalesce((n - d_) / t + F.col("left") * F.col("old"), "old").alias("p"),
+            F.col("left").isNotNull().alias("kept")))
+        states.append(kept)
+        cells.append(level.filter("kept").select("key", "ctx", "n", "p"))
+    if not states:
+        return tree, table
+    tree.states, tree.cells = reduce(DataFrame.union, states), reduce(DataFrame.union, cells)
+    top = _head(tree.states, "total", HEAD_STATES).toArrow()
+    keys, context, less = (top[c].to_numpy().view(U) for c in ("key", "ctx_ctx", "ctx_less"))
+    order = np.argsort(keys)
+    tree.keys = keys[order]
+    tree.left = np.concatenate(([0.0], np.log10(top["left"].to_numpy()[order])))
+    depth = top["depth"].to_numpy()[order]
+    tree.suffix = np.zeros(len(keys) + 1, dtype=np.int64)
+    for wanted in (keys[order] - context[order] * U(_STEP), less[order]):  # the last token, then all but the oldest
+        at, there = _find(tree.keys, wanted)
+        there &= depth > 1
+        tree.suffix[1:][there] = at[there] + 1
+    top = _head(tree.cells, "n", HEAD_CELLS).select("key", "ctx", "p").toArrow()
+    key, context = (top[c].to_numpy().view(U) for c in ("key", "ctx"))
+    at, there = _find(tree.keys, context)
+    symbol = tree.symbols(key - context * U(_STEP))
+    there &= symbol != tree.rare
+    code, value = ((at + 1) * len(tree.root) + symbol)[there], np.log10(top["p"].to_numpy()[there])
+    order = np.argsort(code)
+    tree.entry, tree.value = code[order], value[order]
+    n_states, n_cells = tree.states.count(), tree.cells.count()
+    if n_states > len(tree.keys):
+        tree.state_hint = key_filter(tree.states, "key", n_states)
+    if n_cells > len(tree.entry):
+        tree.cell_hint = key_filter(tree.cells, "key", n_cells)
+    return tree, table
 
 
 def score(docs: DataFrame, tree: Tree, table: DataFrame) -> DataFrame:
@@ -285,45 +340,73 @@ def score(docs: DataFrame, tree: Tree, table: DataFrame) -> DataFrame:
     prepare(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(tree)
     divisor = float(tree.tokens + tree.distinct + 1)
-    names = ["doc_id", "row", "word", "n", "known", "base", "score"]
+    # rows of documents have an n; other rows are a token's: at depth 0 its word, at others a state and its cell
+    columns = "doc_id long, row long, n long, known long, base double, score double, place int, depth int, state long, cell long, leaves double, root double"
+    names_ = [c.split()[0] for c in columns.split(", ")]
+    kinds = [{"long": pa.int64(), "int": pa.int32(), "double": pa.float64()}[c.split()[1]] for c in columns.split(", ")]
+
+    def batch(size: int, **values: np.ndarray | pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(values[c], k, from_pandas=True) if isinstance(values.get(c), np.ndarray) else
+                                           values[c] if c in values else pa.nulls(size, k) for c, k in zip(names_, kinds)], names_)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t, row = held.value, TaskContext.get().partitionId() << 40
         base_of = np.log10((t.counts + 1) / divisor)
-        share = np.log10(np.maximum(1e-300, (t.counts - t.discount) / max(1, t.tokens))) - t.root[t.rare]
+        chance = np.log10(np.maximum(1e-300, (t.counts - t.discount) / max(1, t.tokens)))
         end, end_known = math.log10((t.documents + 1) / divisor), int(t.documents > 0)
         for b in batches:
             ids = b.column("doc_id")
             for lo, hi, data, offsets in slices(b.column("text")):
                 w = Words(data, offsets, lower=True)
-                text, first = t.sequence(w)
-                scores = np.bincount(np.repeat(np.arange(w.rows), np.diff(first)), weights=t.log10(text, first), minlength=w.rows)
-                at, there = t.find(w.hash)
-                at, doc = at[there], w.doc[there]
-                beyond = t.symbol[at] == t.rare  # known here, but one of the tree's rarer words
-                scores += np.bincount(doc[beyond], weights=share[at[beyond]], minlength=w.rows)
-                base = np.bincount(doc, weights=base_of[at], minlength=w.rows) + end
-                known = np.bincount(doc, minlength=w.rows) + end_known
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(lo, w.rows), pa.array(row + np.arange(w.rows)), pa.nulls(w.rows, pa.int64()), pa.array(w.count + 1),
-                     pa.array(known), pa.array(base), pa.array(scores)], names)
-                n = int((~there).sum())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(n, pa.int64()), pa.array(row + w.doc[~there]), pa.array(signed(w.hash[~there])), pa.nulls(n, pa.int64()),
-                     pa.nulls(n, pa.int64()), pa.nulls(n, pa.float64()), pa.nulls(n, pa.float64())], names)
+                text, place, doc = sequence(w)
+                value, open_at, found = t.walk(text, place)
+                at, there = t.find(text)
+                is_end = text == END
+                root = np.full(len(text), np.nan)
+                root[there] = chance[at[there]]
+                root[is_end] = t.root[t.end]
+                here = (open_at == 0) & (there | is_end)
+                value[here] += root[here]
+                base = np.bincount(doc[there], weights=base_of[at[there]], minlength=w.rows) + end
+                known = np.bincount(doc[there], minlength=w.rows) + end_known
+                yield batch(w.rows, doc_id=ids.slice(lo, w.rows), row=row + np.arange(w.rows), n=w.count + 1, known=known, base=base,
+                            score=np.bincount(doc, weights=value, minlength=w.rows))
+                # the root's row: with the word's chance, or its name where the table has to tell
+                out = np.flatnonzero((open_at > 0) | ~(there | is_end))
+                spread = signed(mix((row + doc[out]).astype(U) * U(_STEP) + out.astype(U)))  # matches nothing, and not all in one task
+                yield batch(len(out), row=row + doc[out], place=place[out].astype(np.int32), depth=np.where(open_at[out] < 0, -1, 0).astype(np.int32),
+                            state=spread, cell=np.where(np.isnan(root[out]), signed(text[out]), spread), root=root[out])
+                for d, context, gram, may, left in found:
+                    out = np.flatnonzero((open_at >= d) & may)
+                    yield batch(len(out), row=row + doc[out], place=place[out].astype(np.int32), depth=np.full(len(out), d, np.int32),
+                                state=np.where(np.isnan(left[out]), signed(context[out]), signed(mix(gram[out] + U(d)))),
+                                cell=signed(gram[out]), leaves=left[out])
                 row += w.rows
 
-    made = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, row long, word long, n long, known long, base double, score double"))
-    seen = F.col("n").isNotNull()
+    made = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, columns))
+    seen, zero, depth = F.col("found").isNotNull(), F.lit(0.0), F.col("depth")
     tokens = float(max(1, tree.tokens))
     unknown = math.log10(tree.discount * tree.distinct / tokens) if tree.documents else 0.0
-    share = F.when(seen, F.log10((F.col("n") - tree.discount) / tokens)).otherwise(unknown) - float(tree.root[tree.rare])
-    met = made.filter("word is not null").select("row", "word").join(table, "word", "left").groupBy("row").agg(
-        F.sum(F.log10((F.coalesce("n", F.lit(0)) + 1) / F.lit(divisor))).alias("more_base"),
-        F.sum(share).alias("more_score"), F.count("n").alias("more_known"))
-    zero = F.lit(0.0)
-    return made.filter("word is null").join(met, "row", "left").select(
+    more = made.filter("n is null").select("row", "place", "depth", "state", "cell", "leaves", "root")
+    words = table.select(F.col("word").alias("cell"), F.col("n").alias("found"))
+    ends = [c.alias(name) for c, name in (
+        (F.when(F.col("root").isNull(), F.coalesce(F.log10((F.col("found") - tree.discount) / tokens), F.lit(unknown))).otherwise(F.col("root")), "value"),
+        (F.when(F.col("root").isNull(), F.log10((F.coalesce("found", F.lit(0)) + 1) / F.lit(divisor))).otherwise(0.0), "base"),
+        (F.when(F.col("root").isNull() & seen, 1).otherwise(0), "known"))]
+    met = more.filter("depth <= 0").join(words, "cell", "left").select("row", "place", "depth", *ends, F.lit(None).cast("double").alias("leaves"))
+    if tree.states is not None:
+        deep = more.filter("depth > 0").join(tree.states.select(F.col("key").alias("state"), F.log10("left").alias("told")), "state", "left")
+        deep = deep.withColumn("leaves", F.coalesce("leaves", "told")).filter("leaves is not null").join(
+            tree.cells.select(F.col("key").alias("cell"), F.log10("p").alias("value")), "cell", "left")
+        met = met.union(deep.select("row", "place", "depth", "value", F.lit(0.0), F.lit(0), "leaves"))
+    at = {d: (F.max(F.when(depth == d, F.col("value"))).alias(f"v{d}"), F.max(F.when(depth == d, F.col("leaves"))).alias(f"l{d}"))
+          for d in range(DEPTH + 1)}
+    met = met.groupBy("row", "place").agg(*(c for pair in at.values() for c in pair), F.sum("base").alias("base"), F.sum("known").alias("known"))
+    value = F.coalesce("v0", zero)
+    for d in range(1, DEPTH + 1):
+        value = F.coalesce(f"v{d}", F.coalesce(f"l{d}", zero) + value)
+    met = met.groupBy("row").agg(F.sum("base").alias("more_base"), F.sum(value).alias("more_score"), F.sum("known").alias("more_known"))
+    return made.filter("n is not null").join(met, "row", "left").select(
         "doc_id", F.col("n").alias("n_tokens"), (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(tree.tokens).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("more_base", zero)).alias("base_score"),
         (F.col("score") + F.coalesce("more_score", zero)).alias("score"))

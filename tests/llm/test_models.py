@@ -77,6 +77,23 @@ def test_lm_rare_words_meet_their_counts_in_the_join(odd, monkeypatch):
         assert math.isclose(r.base_score, want[r.doc_id].base_score, rel_tol=1e-9) and r.n_known == want[r.doc_id].n_known
 
 
+def test_lm_keeps_contexts_however_large_the_table(spark, monkeypatch):
+    # "qua" is always followed by "vex", in 30 texts; more and more other texts must not take that away
+    few = [("qua vex pol", 30), *((f"w{i % 50} w{i % 7} w{i % 11}", 1) for i in range(300))]
+    many = [*few, *((f"w{i % 50} w{i % 7} w{i % 11} " * 20, 1) for i in range(4000))]
+    docs = spark.createDataFrame([(1, "qua vex pol")], "doc_id long, text string")
+    for rows in (few, many):
+        train = spark.createDataFrame([(t,) for t, n in rows for _ in range(n)], "text string")
+        tree, table = suffix_tree_lm.fit(train)
+        want = suffix_tree_lm.score(docs, tree, table).first().score
+        assert want > -3.5 - math.log10(len(rows) / 30)  # the first word costs its share of texts, the others next to nothing
+        with monkeypatch.context() as m:  # all from the tables gives the same
+            for name in ("HEAD_STATES", "HEAD_CELLS", "HEAD", "ALPHABET"):
+                m.setattr(suffix_tree_lm, name, 1, raising=False)
+            tree, table = suffix_tree_lm.fit(train)
+            assert math.isclose(suffix_tree_lm.score(docs, tree, table).first().score, want, rel_tol=1e-9)
+
+
 def test_lm_beats_the_baseline_on_held_out_documents(spark):
     got = [r for r in queries.op6_suffix_tree_lm(spark, SF_ORACLE).collect() if r.held_out]
     assert sum(r.score for r in got) > 0.9 * sum(r.base_score for r in got)
