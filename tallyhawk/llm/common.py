@@ -27,6 +27,16 @@ def cut(df: DataFrame) -> DataFrame:
     return materialize(df, "llm")
 
 
+def release(*tables: DataFrame) -> None:
+    """Remove tables made by :func:`cut` that nothing reads any more, before the application ends."""
+    for df in tables:
+        session = df.sparkSession
+        for name in df.inputFiles()[:1]:
+            folder = session._jvm.org.apache.hadoop.fs.Path(name).getParent()
+            if folder.getName().startswith("llm-"):
+                folder.getFileSystem(session._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def key_filter(keys: DataFrame, column: str, count: int) -> tuple[np.ndarray, int]:
     """A bitmap of the low bits of evenly spread 64-bit ``keys``: no false negatives, size bounded.
 

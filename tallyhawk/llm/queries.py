@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhawk.llm import bpe, dedup, jaccard, language, packing, shuffle, substring, suffix_tree_lm, topk, toxicity
+from tallyhawk.llm import bpe, dedup, jaccard, language, packing, shuffle, substring, suffix_array, suffix_tree_lm, topk, toxicity
 from tallyhawk.llm.common import table
 from tallyhawk.llm.language import held_out
 
@@ -99,7 +99,33 @@ def op10_segment_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(train)).select("doc_id", out.alias("held_out"), "score", "predicted", "passages")
 
 
+def op11_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_array.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=200)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# bytes as hex digits, so that a byte string is a text of twice its length
+OP11_SQL = """
+with t as (select row_number() over () as r, doc_id, lower(hex(encode(coalesce(text, '')))) as x from documents),
+q as (select r, x, unnest(generate_series(0, length(x) // 2 - 200, 256)) as o from t where length(x) >= 400),
+y as (select r, o, substr(x, 2 * o + 1, 910) as y from q),
+p as (select r, o, y, unnest(generate_series(0, length(y) // 2 - 200)) as i from y),
+k as (select r, o + i as i, hash(substr(y, 2 * i + 1, 400)) as s from p),
+c as (select s from k group by s having count(*) > 1),
+b as (select r, i, i - lag(i) over (partition by r order by i) as step from k where s in (select s from c)),
+g as (select r, i, sum(case when step <= 200 then 0 else 1 end) over (partition by r order by i) as span from b),
+v as (select r, span, min(i) as lo, max(i) + 200 as hi from g group by r, span),
+w as (select *, lag(hi, 1, 0) over (partition by r order by lo) as prev, row_number() over (partition by r order by lo desc) as last from v),
+d as (select w.r, count(*) as n_spans, sum(hi - lo) as n_removed, string_agg(substr(x, 2 * prev + 1, 2 * (lo - prev))
+  || case when last = 1 then substr(x, 2 * hi + 1) else '' end, '' order by lo) as kept from w join t using (r) group by w.r)
+select doc_id, cast(length(x) // 2 as bigint) as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed,
+  cast(coalesce(n_spans, 0) as bigint) as n_spans, sha256(unhex(case when d.r is null then x else kept end)) as kept_sha256
+from t left join d using (r)"""
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bit_sliced_topk, op2_nearest_centroid_language, op3_partenum_jaccard, op4_exact_dedup, op5_substring_dedup,
-    op6_suffix_tree_lm, op7_two_pass_shuffle, op8_byte_bpe, op9_best_two_fit, op10_segment_toxicity)}
-ORACLE = {"op1_bit_sliced_topk": OP1_SQL, "op4_exact_dedup": OP4_SQL, "op5_substring_dedup": OP5_SQL}
+    op6_suffix_tree_lm, op7_two_pass_shuffle, op8_byte_bpe, op9_best_two_fit, op10_segment_toxicity,
+    op11_suffix_array_dedup)}
+ORACLE = {"op1_bit_sliced_topk": OP1_SQL, "op4_exact_dedup": OP4_SQL, "op5_substring_dedup": OP5_SQL,
+          "op11_suffix_array_dedup": OP11_SQL}

@@ -4,7 +4,7 @@ A word is a maximal run of bytes other than 0x20 and 0x09-0x0D. Words are carrie
 64-bit hashes: a polynomial over random byte values modulo 2^64, then mixed. Two
 different words share a hash with probability about 2^-56.
 
-A batch is worked on in slices of about ``SLICE_BYTES`` of text (a longer document is
+A batch is worked on in slices of about ``SLICEBYTES`` of text (a longer document is
 a slice of its own), so memory does not follow the batch.
 """
 
@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 1 << 21
+SLICEBYTES = 1 << 21
 U = np.uint64
 
 SPACE = np.zeros(256, dtype=bool)
@@ -24,18 +24,18 @@ SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-_BYTE = np.random.default_rng(20240101).integers(0, 1 << 63, size=256, dtype=np.uint64) * U(2) + U(1)
+BYTE = np.random.default_rng(20240101).integers(0, 1 << 63, size=256, dtype=np.uint64) * U(2) + U(1)
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _GRAM = U(0xD6E8FEB86659FD93)
 _powers: dict[str, np.ndarray] = {"up": np.ones(1, U), "down": np.ones(1, U)}
 
 
-def _power(which: str, n: int) -> np.ndarray:
+def power(which: str, n: int) -> np.ndarray:
     """1, x, x^2, ... for the hash base (``up``) or its inverse (``down``), at least ``n`` of them."""
     if len(_powers[which]) < n:
         x = _BASE if which == "up" else _INVERSE
-        steps = np.full(max(n, SLICE_BYTES + 1), x, dtype=U)
+        steps = np.full(max(n, SLICEBYTES + 1), x, dtype=U)
         steps[0] = 1
         _powers[which] = np.multiply.accumulate(steps)
     return _powers[which][:n]
@@ -61,7 +61,7 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), offsets.astype(np.int64)
 
 
-def slices(column: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def slices(column: pa.Array, max_bytes: int = SLICEBYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row after the last, bytes, offsets from 0) for runs of rows of about ``max_bytes``."""
     data, offsets = buffers(column)
     lo, rows = 0, len(offsets) - 1
@@ -90,8 +90,8 @@ class Words:
         self.start = np.flatnonzero(word & after)
         self.end = np.flatnonzero(word & before) + 1
         total = np.zeros(n + 1, dtype=U)
-        np.cumsum((_BYTE[LOWER] if lower else _BYTE)[data] * _power("up", n), out=total[1:])
-        self.hash = mix((total[self.end] - total[self.start]) * _power("down", n + 1)[self.start])
+        np.cumsum((BYTE[LOWER] if lower else BYTE)[data] * power("up", n), out=total[1:])
+        self.hash = mix((total[self.end] - total[self.start]) * power("down", n + 1)[self.start])
         self.doc = np.searchsorted(offsets, self.start, "right") - 1
         self.rows = len(offsets) - 1
         self.count = np.bincount(self.doc, minlength=self.rows)
