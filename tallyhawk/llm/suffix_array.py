@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhawk.llm.common import cut, in_filter, key_filter, prepare, release
-from tallyhawk.llm.text import BYTE, U, mix, power, signed, slices
+from tallyhawk.llm.text import BYTE, U, buffers, mix, power, signed, slices
 
 LENGTH = 200
 #: Bytes of the gram that anchors a window; a short one makes longer runs, a long one is shared by chance less often.
@@ -38,7 +38,9 @@ GRAM = 64
 #: Bytes of text one suffix array is made of.
 SHARD_BYTES = 1 << 20
 #: A document is worked on in stretches of so many windows, so memory does not follow its length.
-STRETCH = 1 << 22
+STRETCH = 1 << 20
+#: Text of the documents worked on together.
+SLICE = 1 << 20
 
 
 def _names(order: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, int]:
@@ -192,7 +194,7 @@ def _scan(docs: DataFrame, made, columns: str, length: int, gram: int) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             key, size = (b.column(c).to_numpy() for c in ("key", "size"))
-            for lo, hi, data, offsets in slices(b.column("text")):
+            for lo, hi, data, offsets in slices(b.column("text"), SLICE):
                 runs = Runs(data, offsets, length, gram)
                 yield pa.RecordBatch.from_arrays(made(key[lo:hi], size[lo:hi], runs, data, offsets), names)
 
@@ -291,45 +293,48 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """
     new = ("n_bytes", "n_removed", "n_spans", "kept")
     docs = docs.drop(*new)
-    packed = docs.select(F.struct(*(F.col(f"`{c.replace('`', '``')}`") for c in docs.columns)).alias("row"), F.col("text"),
+    packed = docs.select(F.struct(*(F.col(f"`{c.replace('`', '``')}`") for c in docs.columns)).alias("row"),
                          F.xxhash64("text").alias("key"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"))
-    spans = cut(repeated_spans(packed.select("key", "size", "text"), length).groupBy("key", "size").agg(
+    of_text = docs.columns.index("text")
+    spans = cut(repeated_spans(packed.select("key", "size", F.col("row")["text"].alias("text")), length).groupBy("key", "size").agg(
         F.collect_set(F.struct("start", "stop")).alias("spans")))  # a text's own: no more than it has windows
     losing = docs.sparkSession.sparkContext.broadcast(key_filter(spans, "key", spans.count()))
 
     def finished(b: pa.RecordBatch) -> pa.RecordBatch:
         removed, pieces, kept = [], [], []
-        texts = pc.cast(pc.fill_null(b.column("text"), ""), pa.binary())
+        text = pc.struct_field(b.column("row"), [of_text])
+        raw, offsets = buffers(text)
         of = b.column("spans") if "spans" in b.schema.names else pa.nulls(len(b))
-        for text, found in zip(texts, of, strict=True):
-            raw = text.as_py()
-            left = raw
+        for lo, hi, found in zip(offsets[:-1].tolist(), offsets[1:].tolist(), of, strict=True):
+            left, n = raw[lo:hi], 0
             if found.is_valid:
-                edge = np.zeros(len(raw) + 1, dtype=np.int64)
+                edge = np.zeros(hi - lo + 1, dtype=np.int32)
                 np.add.at(edge, found.values.field("start").to_numpy(), 1)
                 np.add.at(edge, found.values.field("stop").to_numpy(), -1)
                 gone = np.cumsum(edge[:-1]) > 0
-                left = np.frombuffer(raw, np.uint8)[~gone].tobytes()
-                pieces.append(len(_ranges(gone)[0]))
-            else:
-                pieces.append(0)
-            removed.append(len(raw) - len(left))
-            kept.append(left)
+                left, n = left[~gone], len(_ranges(gone)[0])
+            pieces.append(n)
+            removed.append(hi - lo - len(left))
+            kept.append(left.tobytes())
         made = [pa.array(removed, pa.int64()), pa.array(pieces, pa.int64()), pa.array(kept, pa.binary())]
         size = b.column("size").cast(pa.int64())
         return pa.RecordBatch.from_arrays([b.column("row"), size, *made], ["row", *new])
 
+    def in_parts(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for lo, hi, _, _ in slices(pc.struct_field(b.column("row"), [of_text]), 4 * SLICE):
+            yield finished(b.slice(lo, hi - lo))
+
     def parted(wanted: bool):
         """Only documents that may lose bytes are shuffled; the others are finished where they are read."""
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 there = in_filter(*losing.value, b.column("key").to_numpy().view(U))
                 part = b.filter(pa.array(there == wanted))
-                yield part if wanted else finished(part)
+                yield from [part] if wanted else in_parts(part)
         return run
 
     whole_type = packed.schema["row"].dataType.simpleString()
     ddl = f"row {whole_type}, n_bytes long, n_removed long, n_spans long, kept binary"
     whole = packed.mapInArrow(parted(False), ddl)
-    losers = packed.mapInArrow(parted(True), f"row {whole_type}, text string, key long, size int").join(spans, ["key", "size"], "left")
-    return whole.union(losers.mapInArrow(lambda batches: map(finished, batches), ddl)).select("row.*", *new)
+    losers = packed.mapInArrow(parted(True), f"row {whole_type}, key long, size int").join(spans, ["key", "size"], "left")
+    return whole.union(losers.mapInArrow(lambda batches: (x for b in batches for x in in_parts(b)), ddl)).select("row.*", *new)
