@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +58,27 @@ def key_filter(keys: DataFrame, column: str, count: int) -> tuple[np.ndarray, in
     return bitmap, bits
 
 
+def combined(tables: Iterable[pa.Table], keys: list[str], sums: list[str], held: int = 1 << 19) -> Iterator[pa.RecordBatch]:
+    """Partial sums of ``sums`` by ``keys`` over the tables of a task, of which about ``held`` rows are kept at a time."""
+    parts, rows = [], 0
+
+    def merged() -> pa.Table:
+        done = pa.concat_tables(parts).group_by(keys).aggregate([(c, "sum") for c in sums])
+        return done.rename_columns({f"{c}_sum": c for c in sums}).select([*keys, *sums]).combine_chunks()
+
+    for t in tables:
+        parts.append(t)
+        rows += len(t)
+        if rows > held:
+            parts = [merged()]
+            rows = len(parts[0])
+            if rows > held // 2:
+                yield from parts[0].to_batches()
+                parts, rows = [], 0
+    if parts:
+        yield from merged().to_batches()
+
+
 def in_filter(bitmap: np.ndarray, bits: int, keys: np.ndarray) -> np.ndarray:
     """Which of the unsigned 64-bit ``keys`` may be in the filter."""
     low = (keys & np.uint64((1 << bits) - 1)).astype(np.int64)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhawk.llm import bpe, dedup, jaccard, language, packing, shuffle, substring, suffix_array, suffix_tree_lm, topk, toxicity
+from tallyhawk.llm import bpe, collocation, dedup, divergence, jaccard, language, packing, shuffle, substring, suffix_array, suffix_tree_lm, topk, toxicity
 from tallyhawk.llm.common import table
 from tallyhawk.llm.language import held_out
 
@@ -123,9 +123,62 @@ select doc_id, cast(length(x) // 2 as bigint) as n_bytes, cast(coalesce(n_remove
 from t left join d using (r)"""
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(spark, sf_dir, "documents"), least_docs=10, top=10)
+
+
+OP12_SQL = f"""
+with d as (select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source, {_NORMAL} as x from documents),
+w as (select r, lang, source, unnest(regexp_extract_all(x, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term from d),
+k as (select lang, term, count(*) as n from w group by lang, term having count(distinct r) >= 10),
+c as (select lang, source, term, count(*) as n from w join k using (lang, term) group by lang, source, term),
+g as (select d.lang, d.source, coalesce(max(t), 0) as t from d left join (select lang, source, sum(n) as t from c group by lang, source) s
+  on s.lang = d.lang and s.source = d.source group by d.lang, d.source),
+v as (select lang, count(*) as v, sum(n) as t from k group by lang),
+p as (select g.lang, g.source, k.term, coalesce(c.n, 0) as n,
+    1 + (cast(1000000000 as hugeint) * (coalesce(c.n, 0) + 2)) // (cast(g.t as hugeint) + 2 * v.v) as p,
+    1 + (cast(1000000000 as hugeint) * (k.n + 2)) // (cast(v.t as hugeint) + 2 * v.v) as q
+  from g join k on k.lang = g.lang join v on v.lang = g.lang left join c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+a as (select x.lang, x.source, y.source as item, sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)) as value
+  from p x join p y on x.lang = y.lang and x.term = y.term and x.source <> y.source group by x.lang, x.source, y.source),
+f as (select g.lang, g.source, 'pair' as part, h.source as item, cast(coalesce(a.value, 0) as bigint) as value
+  from g join g h on g.lang = h.lang and g.source <> h.source left join a on a.lang = g.lang and a.source = g.source and a.item = h.source
+  union all
+  select lang, source, 'term', term, cast((p - q) * (p - q) // (p + q) as bigint) from p where n > 0 and p > q),
+r as (select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from f)
+select lang, source, part, item, value, cast(rank as integer) as rank from r where part = 'pair' or rank <= 10"""
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocation.collocations(table(spark, sf_dir, "documents"), longest=3, least=10, top=2000, contained=50)
+
+
+OP13_SQL = f"""
+with d as (select coalesce(lang, 'und') as lang, {_NORMAL} as x from documents),
+s as (select lang, unnest(regexp_split_to_array(x, '[.,;:!?\\x0A-\\x0D]')) as x from d),
+w as (select lang, regexp_extract_all(x, '[^\\x20\\x09]+') as w from s),
+v as (select lang, w, unnest([1, 2, 3]) as k from w),
+g as (select lang, w, k, unnest(generate_series(1, len(w) - k + 1)) as i from v where len(w) >= k),
+f as (select lang, k, array_to_string(w[i:i + k - 1], ' ') as p, count(*) as f from g group by lang, k, p),
+n as (select lang, sum(f) as n from f where k = 1 group by lang),
+c as (select lang, k, p, string_split(p, ' ') as w, f as a from f where k > 1 and f >= 10),
+e as (select lang, p, a, w, k, unnest(generate_series(1, k - 1)) as j from c),
+o as (select lang, p, a, j, array_to_string(w[1:j], ' ') as lp, array_to_string(w[j + 1:k], ' ') as rp from e),
+j as (select o.lang, o.p, a, j, x.f as l, y.f as r, cast(1000000 as hugeint) * a * a // (cast(x.f as hugeint) * y.f) as score
+  from o join f x on x.lang = o.lang and x.p = lp join f y on y.lang = o.lang and y.p = rp),
+b as (select *, row_number() over (partition by lang, p order by score, j) as best from j),
+t as (select lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) as p, a from c where k = 3),
+m as (select lang, p, max(a) as longer from t group by lang, p),
+r as (select b.*, row_number() over (partition by b.lang order by score desc, b.a desc, b.p) as rank
+  from b left join m using (lang, p) where best = 1 and not coalesce(100 * longer >= 50 * b.a, false))
+select r.lang, rank, p as phrase, cast(a as bigint) as a, cast(l as bigint) as l, cast(r as bigint) as r, cast(n as bigint) as n,
+  cast(score as bigint) as score from r join n using (lang) where rank <= 2000"""
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bit_sliced_topk, op2_nearest_centroid_language, op3_partenum_jaccard, op4_exact_dedup, op5_substring_dedup,
     op6_suffix_tree_lm, op7_two_pass_shuffle, op8_byte_bpe, op9_best_two_fit, op10_segment_toxicity,
-    op11_suffix_array_dedup)}
+    op11_suffix_array_dedup, op12_source_divergence, op13_phrase_collocations)}
 ORACLE = {"op1_bit_sliced_topk": OP1_SQL, "op4_exact_dedup": OP4_SQL, "op5_substring_dedup": OP5_SQL,
-          "op11_suffix_array_dedup": OP11_SQL}
+          "op11_suffix_array_dedup": OP11_SQL, "op12_source_divergence": OP12_SQL,
+          "op13_phrase_collocations": OP13_SQL}
