@@ -8,7 +8,10 @@ flagged deleted). Rows are first reduced to one per (key, day) with a partial
 aggregate, so the windows run per key over at most one row per snapshot day
 and their groups are bounded by the number of days.
 
-``asof_join`` attaches to each fact row the version valid on its day: an
+``temporal_chain`` intersects the card, account and client histories into the
+versions of the whole chain: equi joins on the keys with overlapping
+validity, so a card has one row for each stretch of days on which nothing of
+it changed. ``asof_join`` attaches to each fact row the version valid on its day: an
 equi join on the key with the validity interval as a residual condition
 (never a cross join). The deletion flag is ignored: it is set after the fact.
 """
@@ -17,11 +20,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhawk.functions.scalars import open_end
-from tallyhawk.operators.chain import broadcast_if_small
 
 
 def scd2_from_snapshots(snapshots: DataFrame, key: str, attrs: list[str], day_col: str = "day",
@@ -34,14 +36,13 @@ def scd2_from_snapshots(snapshots: DataFrame, key: str, attrs: list[str], day_co
     cal = (days if days is not None else snapshots.select(day_col).distinct()).select(F.col(day_col).alias("day"))
     cal = cal.withColumn("idx", F.row_number().over(Window.orderBy("day")))   # one row per day
     last_idx = cal.agg(F.max("idx")).scalar()
-    cal_b = broadcast_if_small(cal, max_rows=100_000)   # one row per snapshot day
     # one row per (key, day): copies collapse map-side; a key listed twice in a snapshot fails the job
     vals = snapshots.groupBy(key, F.col(day_col).alias("day")).agg(
         F.max(F.struct(*[F.col(a) for a in attrs])).alias("__v"), F.count(F.lit(1)).alias("__n"))
     checked = F.when(F.col("__n") > 1, F.raise_error(F.concat(F.lit(f"duplicate key {key}="),
                                                               F.col(key).cast("string")))).otherwise(F.col(key))
     s = vals.select(checked.alias(key), *[F.col("__v")[a].alias(a) for a in attrs], "day") \
-        .join(cal_b, "day")
+        .join(cal, "day")
 
     w = Window.partitionBy(key).orderBy("idx")
     prev_vals = F.lag(F.struct(*[F.col(a) for a in attrs])).over(w)
@@ -56,7 +57,7 @@ def scd2_from_snapshots(snapshots: DataFrame, key: str, attrs: list[str], day_co
     wi = Window.partitionBy(key).orderBy("_island")
     isl = isl.withColumn("_next_first", F.lead("_first").over(wi))
     ends = cal.select(F.col("idx").alias("_end_idx"), F.date_sub("day", 1).alias("_end_day"))
-    isl = isl.join(broadcast_if_small(ends, max_rows=100_000), F.col("_end_idx") == F.col("_last") + 1, "left")
+    isl = isl.join(ends, F.col("_end_idx") == F.col("_last") + 1, "left")
     is_open = F.col("_last") == last_idx
     deleted = ~is_open & (F.col("_next_first").isNull() | (F.col("_next_first") != F.col("_last") + 1))
     return isl.select(
@@ -73,3 +74,32 @@ def asof_join(facts: DataFrame, hist: DataFrame, fact_key: str, hist_key: str, d
     cond = ((F.col(fact_key) == F.col("__k")) & (F.col("__from") <= F.col(day_col))
             & (F.col(day_col) <= F.col("__to")))
     return facts.join(h, cond, how).drop("__k", "__from", "__to")
+
+
+def _overlap(a: str, b: str) -> Column:
+    return (F.col(f"{a}.effective_from") <= F.col(f"{b}.effective_to")) & (F.col(f"{b}.effective_from") <= F.col(f"{a}.effective_to"))
+
+
+def _common(a: str, b: str) -> list[Column]:
+    return [F.greatest(f"{a}.effective_from", f"{b}.effective_from").alias("effective_from"),
+            F.least(f"{a}.effective_to", f"{b}.effective_to").alias("effective_to")]
+
+
+def temporal_chain(cards: DataFrame, accounts: DataFrame, clients: DataFrame) -> DataFrame:
+    """card -> account -> client with the days (closed interval) on which that was the chain.
+
+    The histories are strict ones: versions of a key do not overlap, so neither
+    do the chain's of a card, and there are at most as many as versions of its
+    parts. The deletion flag is ignored: it is set after the fact. On any day
+    the rows valid then are :func:`tallyhawk.operators.chain.dim_chain` of the
+    dimensions as they were on that day.
+    """
+    valid = ["effective_from", "effective_to"]
+    c = cards.select("card_num", "account_num", *valid).alias("c")
+    a = accounts.select(F.col("account_num"), "valid_to", F.col("client").alias("client_id"), *valid).alias("a")
+    k = clients.select("client_id", "fio", "passport_num", "passport_valid_to", "phone", *valid).alias("k")
+    ca = c.join(a, (F.col("c.account_num") == F.col("a.account_num")) & _overlap("c", "a")).select(
+        "card_num", "c.account_num", "valid_to", "client_id", *_common("c", "a")).alias("ca")
+    return ca.join(k, (F.col("ca.client_id") == F.col("k.client_id")) & _overlap("ca", "k")).select(
+        "card_num", "account_num", "valid_to", "ca.client_id", "fio", "passport_num", "passport_valid_to", "phone",
+        *_common("ca", "k"))

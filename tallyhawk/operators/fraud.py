@@ -17,8 +17,6 @@ phone, event_type, report_dt, event_ts.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -112,7 +110,7 @@ def fraud_expired_contract(tx: DataFrame, chain: DataFrame, semantics: str = REF
 # --- rule 3 ----------------------------------------------------------------
 
 def city_hops(tx: DataFrame, terminals: DataFrame, max_gap=CITY_HOP_GAP, semantics: str = REFERENCE,
-              split: str | None = sequence.DEFAULT_SPLIT, hot_rows: int | None = None,
+              hot: DataFrame | str | None = sequence.FIND, hot_rows: int | None = None,
               max_broadcast_rows: int = BROADCAST_MAX_ROWS, known_rows: int | None = None) -> DataFrame:
     """Per (card, day): the time of the last city hop within ``max_gap``.
 
@@ -124,44 +122,40 @@ def city_hops(tx: DataFrame, terminals: DataFrame, max_gap=CITY_HOP_GAP, semanti
     the second leg of the last hit.
 
     Transactions at unknown or inactive terminals are dropped before any of it.
-    The windows of hot card days are cut into chunks of ``split``.
+    ``hot`` are the cards whose windows are cut (:mod:`tallyhawk.operators.sequence`), by default looked for.
     """
     _check_semantics(semantics)
-    gap_us = to_micros(max_gap)
     term = current(terminals).select(F.col("terminal_id").alias("terminal"), "terminal_city")
     term = broadcast_if_small(term, max_broadcast_rows, known_rows=known_rows)
-    part, order = ["card_num", "trans_day"], ["trans_date", "trans_id"]
-
-    def hops(j: DataFrame, split: str | None) -> DataFrame:
-        nxt = sequence.with_next(j, part, order, ["trans_date", "terminal_city"], split)
-        close = micros_between("trans_date", "next_trans_date") < F.lit(gap_us)
-        if semantics == REFERENCE:
-            kept = nxt.filter(close).drop("next_terminal_city", "next_trans_date")
-            kept = sequence.with_next(kept, part, order, ["terminal_city"], split)
-            hits = kept.filter(F.col("terminal_city") != F.col("next_terminal_city"))
-            ts = "trans_date"
-        else:
-            hits = nxt.filter(close & (F.col("terminal_city") != F.col("next_terminal_city")))
-            ts = "next_trans_date"
-        return hits.groupBy(*part).agg(F.max(ts).alias("event_ts"))
-
-    return _by_heat(tx.select(*part, *order, "terminal").join(term, "terminal"), part, hops, split, hot_rows)
+    hot = sequence.resolve(hot, tx, "card_num", "trans_date", hot_rows)
+    located = tx.select("card_num", "trans_day", "trans_date", "trans_id", "terminal").join(term, "terminal")
+    return located_city_hops(located, max_gap, semantics, hot)
 
 
-def _by_heat(rows: DataFrame, part: list[str], rule: Callable[[DataFrame, str | None], DataFrame],
-             split: str | None, hot_rows: int | None) -> DataFrame:
-    """``rule`` with plain windows over ordinary partitions and with split ones over the hot."""
-    if split is None:
-        return rule(rows, None)
-    hot, cold = sequence.hot_and_cold(rows, part, hot_rows)
-    return rule(cold, None).unionByName(rule(hot, split))
+def located_city_hops(located: DataFrame, max_gap=CITY_HOP_GAP, semantics: str = REFERENCE,
+                      hot: DataFrame | None = None) -> DataFrame:
+    """:func:`city_hops` of operations that carry their ``terminal_city``."""
+    gap_us = to_micros(max_gap)
+    part, order = ["card_num", "trans_day"], ["trans_date", "trans_id"]
+    rows = sequence.chunked(located, hot, "card_num", "trans_date")
+    nxt = sequence.with_next(rows, part, order, ["trans_date", "terminal_city"])
+    close = micros_between("trans_date", "next_trans_date") < F.lit(gap_us)
+    if semantics == REFERENCE:
+        kept = nxt.filter(close).drop("next_terminal_city", "next_trans_date")
+        kept = sequence.with_next(kept, part, order, ["terminal_city"])
+        hits = kept.filter(F.col("terminal_city") != F.col("next_terminal_city"))
+        ts = "trans_date"
+    else:
+        hits = nxt.filter(close & (F.col("terminal_city") != F.col("next_terminal_city")))
+        ts = "next_trans_date"
+    return hits.groupBy(*part).agg(F.max(ts).alias("event_ts"))
 
 
 def fraud_city_hop(tx: DataFrame, terminals: DataFrame, chain: DataFrame, max_gap=CITY_HOP_GAP,
                    semantics: str = REFERENCE, report_day=None,
-                   split: str | None = sequence.DEFAULT_SPLIT) -> DataFrame:
+                   hot: DataFrame | str | None = sequence.FIND, hot_rows: int | None = None) -> DataFrame:
     """Rule 3: operations in different cities within ``max_gap``; one row per (card, day)."""
-    per_card = city_hops(tx, terminals, max_gap, semantics, split)
+    per_card = city_hops(tx, terminals, max_gap, semantics, hot, hot_rows)
     j = per_card.join(chain.select("card_num", "passport_num", "fio", "phone"), "card_num")
     return _report(j, EVENT_CITY_HOP, "event_ts", _report_day(report_day))
 
@@ -170,40 +164,38 @@ def fraud_city_hop(tx: DataFrame, terminals: DataFrame, chain: DataFrame, max_ga
 
 def amount_probes(tx: DataFrame, rejects: int = PROBE_REJECTS, max_span=PROBE_SPAN,
                   per_day: bool = True, reject_label: str = REJECT, success_label: str = SUCCESS,
-                  split: str | None = sequence.DEFAULT_SPLIT, hot_rows: int | None = None) -> DataFrame:
+                  hot: DataFrame | str | None = sequence.FIND, hot_rows: int | None = None) -> DataFrame:
     """Successful operations preceded by ``rejects`` rejected ones of non-increasing amount.
 
     Positions are adjacent rows of the card ordered by (time, id); the span
     from the first reject to the success is at most ``max_span`` (inclusive);
     equal amounts are allowed, and amounts compare in their own type.
     ``per_day`` bounds the sequence to one day (the reference reads one day's
-    file); otherwise sequences cross days. The windows of hot cards are cut
-    into chunks of ``split``. Returns trans_id, card_num, trans_day,
+    file); otherwise sequences cross days. ``hot`` are the cards whose windows
+    are cut, by default looked for. Returns trans_id, card_num, trans_day,
     trans_date of the success row.
     """
     span_us = to_micros(max_span)
     part, order = ["card_num", "trans_day"] if per_day else ["card_num"], ["trans_date", "trans_id"]
 
-    def probes(t: DataFrame, split: str | None) -> DataFrame:
-        prev = sequence.with_previous(t, part, order, ["oper_result", "amt", "trans_date"], rejects, split)
-        cond = F.col("oper_result") == F.lit(success_label)
-        last_amt = F.col("amt")
-        for k in range(1, rejects + 1):
-            cond = cond & (F.col(f"prev{k}_oper_result") == F.lit(reject_label))
-            cond = cond & (F.col(f"prev{k}_amt") >= last_amt)
-            last_amt = F.col(f"prev{k}_amt")
-        cond = cond & (micros_between(f"prev{rejects}_trans_date", "trans_date") <= F.lit(span_us))
-        return prev.filter(cond).select("trans_id", "card_num", "trans_day", "trans_date")
-
     rows = tx.select("trans_id", "card_num", "trans_day", "trans_date", "oper_result", "amt")
-    return _by_heat(rows, part, probes, split, hot_rows)
+    rows = sequence.chunked(rows, sequence.resolve(hot, tx, "card_num", "trans_date", hot_rows), "card_num", "trans_date")
+    prev = sequence.with_previous(rows, part, order, ["oper_result", "amt", "trans_date"], rejects)
+    cond = F.col("oper_result") == F.lit(success_label)
+    last_amt = F.col("amt")
+    for k in range(1, rejects + 1):
+        cond = cond & (F.col(f"prev{k}_oper_result") == F.lit(reject_label))
+        cond = cond & (F.col(f"prev{k}_amt") >= last_amt)
+        last_amt = F.col(f"prev{k}_amt")
+    cond = cond & (micros_between(f"prev{rejects}_trans_date", "trans_date") <= F.lit(span_us))
+    return prev.filter(cond).select("trans_id", "card_num", "trans_day", "trans_date")
 
 
 def fraud_amount_probe(tx: DataFrame, chain: DataFrame, rejects: int = PROBE_REJECTS,
                        max_span=PROBE_SPAN, per_day: bool = True, report_day=None,
-                       split: str | None = sequence.DEFAULT_SPLIT) -> DataFrame:
+                       hot: DataFrame | str | None = sequence.FIND, hot_rows: int | None = None) -> DataFrame:
     """Rule 4: amount probing; one row per matching success operation."""
-    hits = amount_probes(tx, rejects, max_span, per_day, split=split)
+    hits = amount_probes(tx, rejects, max_span, per_day, hot=hot, hot_rows=hot_rows)
     j = hits.join(chain.select("card_num", "passport_num", "fio", "phone"), "card_num")
     return _report(j, EVENT_AMOUNT_PROBE, "trans_date", _report_day(report_day))
 
@@ -235,7 +227,7 @@ def may_hit_rules_1_2(through_day: Column) -> Column:
 def fraud_report(tx: DataFrame, chain: DataFrame, blacklist: DataFrame, terminals: DataFrame,
                  semantics: str = REFERENCE, report_day=None, probe_tx: DataFrame | None = None,
                  city_gap=CITY_HOP_GAP, probe_span=PROBE_SPAN,
-                 split: str | None = sequence.DEFAULT_SPLIT, hot_rows: int | None = None,
+                 hot: DataFrame | str | None = sequence.FIND, hot_rows: int | None = None,
                  max_broadcast_rows: int = BROADCAST_MAX_ROWS,
                  terminal_rows: int | None = None, blacklist_rows: int | None = None,
                  flagged: DataFrame | None = None, flagged_rows: int | None = None,
@@ -280,10 +272,11 @@ def fraud_report(tx: DataFrame, chain: DataFrame, blacklist: DataFrame, terminal
     rows12 = j12.select("*", et).filter(F.col("_et").isNotNull())
 
     # rules 3 and 4: per-card hits x chain
-    hops = city_hops(tx, terminals, city_gap, semantics, split, hot_rows, max_broadcast_rows, terminal_rows) \
+    hot = sequence.resolve(hot, tx, "card_num", "trans_date", hot_rows)   # once for both
+    hops = city_hops(tx, terminals, city_gap, semantics, hot, hot_rows, max_broadcast_rows, terminal_rows) \
         .select("card_num", "event_ts", "trans_day", F.lit(EVENT_CITY_HOP).alias("_et"))
     probes = amount_probes(probe_tx if probe_tx is not None else tx, max_span=probe_span,
-                           per_day=(semantics == REFERENCE), split=split, hot_rows=hot_rows)
+                           per_day=(semantics == REFERENCE), hot=hot)
     if report_day is not None and semantics == STRICT:
         probes = probes.filter(F.col("trans_day") == F.lit(report_day).cast("date"))
     probes = probes.select("card_num", F.col("trans_date").alias("event_ts"), "trans_day",

@@ -16,7 +16,7 @@ from tallyhawk.operators import facts as fact_ops
 from tallyhawk.operators import fraud, sequence
 from tallyhawk.operators import scd2 as scd2_ops
 from tallyhawk.plans import fixtures as fx
-from tallyhawk.plans import history, oracle
+from tallyhawk.plans import asof_catalog, history, oracle
 from tallyhawk.plans import daily as pipe
 from tallyhawk.plans.state import FACTS, Warehouse
 from tallyhawk.schemas import DIMENSIONS, MAX_LENGTHS, REFERENCE, STRICT
@@ -79,8 +79,8 @@ def q_txn_gap(spark, d):
     """Gap to the next operation of the card on the same day, in whole seconds."""
     t = fx.tx(spark, d).select("trans_id", "card_num", "trans_day", "trans_date")
     t = t.withColumn("ts_s", F.date_trunc("second", "trans_date"))
-    n = sequence.with_next(t, ["card_num", "trans_day"], ["trans_date", "trans_id"], ["ts_s"],
-                           split=sequence.DEFAULT_SPLIT)
+    t = sequence.chunked(t, sequence.find_hot(t, "card_num", "trans_date"), "card_num", "trans_date")
+    n = sequence.with_next(t, ["card_num", "trans_day"], ["trans_date", "trans_id"], ["ts_s"])
     return n.select("trans_id", "card_num", "trans_day",
                     F.timestamp_diff("SECOND", "ts_s", "next_ts_s").alias("gap_s"))
 
@@ -733,15 +733,21 @@ ORACLE["stream_amount_probe"] = f"""{oracle._ctes("tx", views=_STREAM_TX)},
 # are built for, over the whole events table.
 
 HOT_CARD = 1
+#: Rows of a stretch: the hot card's windows are cut at every scale of the driver tables.
+HOT_CARD_ROWS = 100
 
 
 def q_fraud_report_hot_card(spark, d):
     tx = fx.tx(spark, d).withColumn(
         "card_num", F.when(F.col("trans_id") % 3 == 0, F.lit(HOT_CARD).cast("long")).otherwise(F.col("card_num")))
     return fraud.fraud_report(tx, _chain(spark, d), fx.blacklist(spark, d), fx.terminals(spark, d),
-                              semantics=REFERENCE)
+                              semantics=REFERENCE, hot_rows=HOT_CARD_ROWS)
 
 
 QUERIES["fraud_report_hot_card"] = q_fraud_report_hot_card
 ORACLE["fraud_report_hot_card"] = oracle.report_sql({"tx": oracle.VIEWS["tx"].replace(
     "user_id as card_num", f"case when event_id % 3 = 0 then {HOT_CARD} else user_id end as card_num")})
+
+# --- many days in one job, over dimensions that change daily -------------------------------------
+QUERIES.update(asof_catalog.QUERIES)
+ORACLE.update(asof_catalog.ORACLE)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tallyhawk.functions.intervals import to_micros
 from tallyhawk.functions.scalars import full_name
-from tallyhawk.operators import checks, facts, fraud, scd2
+from tallyhawk.operators import checks, facts, fraud, scd2, sequence
 from tallyhawk.operators.chain import dim_chain
 from tallyhawk.plans.state import FACTS, REJECTS, REPORTS, Warehouse
 from tallyhawk.schemas import (
@@ -170,8 +170,8 @@ def run_day(spark: SparkSession, wh: Warehouse, input_dir: str, archive_dir: str
         # one pass parses, checks lengths, counts rejects and writes the day
         parsed = files.parse_transactions(files.read_transactions_raw(spark, picked[KIND_TRANSACTIONS]))
         obs = Observation("transactions")
-        parsed = parsed.observe(obs, F.count(F.lit(1)).alias("rows"),
-                                F.count(F.col("_reject")).alias("rejects"))
+        parsed = parsed.observe(obs, F.count(F.lit(1)).alias("rows"), F.count(F.col("_reject")).alias("rejects"),
+                                sequence.frequent("card_num").alias("cards"))
         keep = F.col("_reject").isNull()
         if not strict:   # a bad row fails the load, as in the reference
             keep = F.when(~keep, F.raise_error(F.concat(F.lit("bad transaction row: "), F.col("_reject")))) \
@@ -179,11 +179,12 @@ def run_day(spark: SparkSession, wh: Warehouse, input_dir: str, archive_dir: str
         tx_file = parsed.filter(keep).drop("_reject", "_amount_text")
         tx_file = checks.enforce_lengths(tx_file, MAX_LENGTHS["fact_transactions"], "transactions")
         facts.write_day(tx_file, wh.day_path(FACTS, day, version), "trans_day")
-        n_rejects = obs.get.get("rejects", 0)
+        seen = obs.get
+        n_rejects = seen.get("rejects", 0)
         if n_rejects:   # a second pass only when something was rejected
             _, rejects = files.scan_transactions(spark, picked[KIND_TRANSACTIONS])
             facts.write_day(rejects, wh.day_path(REJECTS, day, version))
-        return n_rejects
+        return n_rejects, sequence.hot_values(seen.get("cards"), seen.get("rows", 0))
 
     def load_terminals():
         snap = files.read_terminals(spark, picked[KIND_TERMINALS])   # duplicate ids fail the merge job
@@ -218,7 +219,7 @@ def run_day(spark: SparkSession, wh: Warehouse, input_dir: str, archive_dir: str
         for name, frame in _source_frames(src).items():
             futures[name] = pool.submit(load_source, name, frame)
         done = {k: f.result() for k, f in futures.items()}
-    n_rejects = done.pop("facts")
+    n_rejects, hot_cards = done.pop("facts")
     if not n_rejects:
         live[REJECTS] = live[REJECTS][:-1]
     tables: dict[str, tuple] = done
@@ -250,8 +251,10 @@ def run_day(spark: SparkSession, wh: Warehouse, input_dir: str, archive_dir: str
             F.col("trans_day").between(F.lit(before), F.lit(report_day)))
     else:   # the reference reads the day's file
         probe = wh.read_days(FACTS, [day], pending=(day, [version]))
+    # the load named the hot cards while it wrote the facts: looking for them reads nothing again
+    hot = sequence.borders(tx_day, "card_num", "trans_date", hot_cards)
     report = fraud.fraud_report(tx_day, chain_flags, blacklist, read("terminals"), semantics,
-                                report_day=report_day, probe_tx=probe,
+                                report_day=report_day, probe_tx=probe, hot=hot,
                                 terminal_rows=tables["terminals"][3], blacklist_rows=tables["blacklist"][3],
                                 flagged=flagged, flagged_rows=int(counts.get("may_hit", 0)),
                                 chain_flags=chain_flags, chain_rows=int(counts.get("rows", 0)))

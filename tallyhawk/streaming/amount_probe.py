@@ -54,7 +54,7 @@ def _write(df: DataFrame, path: str) -> None:
 
 
 def run_probe_stream(spark: SparkSession, input_glob: str, output_path: str, checkpoint_path: str,
-                     max_span=PROBE_SPAN, delay="1 day", split: str | None = "1 hour",
+                     max_span=PROBE_SPAN, delay="1 day",
                      max_files_per_trigger: int | None = None, available_now: bool = True) -> StreamingQuery:
     """Start the stream; hits go to ``output_path``/batch=<n>, late rows to ``output_path``_late/batch=<n>."""
     delay_by = _dt.timedelta(microseconds=to_micros(delay))
@@ -70,7 +70,7 @@ def run_probe_stream(spark: SparkSession, input_glob: str, output_path: str, che
         latest = rows.agg(F.max("trans_date")).first()[0]
         mark = max((m for m in (old, latest and latest - delay_by) if m is not None), default=None)
         if mark is not None and (old is None or mark > old):
-            hits = fraud.amount_probes(rows, max_span=max_span, per_day=False, split=split).filter(
+            hits = fraud.amount_probes(rows, max_span=max_span, per_day=False).filter(
                 F.col("trans_date") <= F.lit(mark))
             if old is not None:
                 hits = hits.filter(F.col("trans_date") > F.lit(old))
@@ -85,11 +85,10 @@ def run_probe_stream(spark: SparkSession, input_glob: str, output_path: str, che
     return w.start()
 
 
-def settle(spark: SparkSession, output_path: str, checkpoint_path: str, last_batch: int, max_span=PROBE_SPAN,
-           split: str | None = "1 hour") -> None:
+def settle(spark: SparkSession, output_path: str, checkpoint_path: str, last_batch: int, max_span=PROBE_SPAN) -> None:
     """Report the hits after the watermark of ``last_batch``; to be called when the stream has ended."""
     rows, mark = _held(spark, checkpoint_path, last_batch)
-    hits = fraud.amount_probes(rows, max_span=max_span, per_day=False, split=split)
+    hits = fraud.amount_probes(rows, max_span=max_span, per_day=False)
     if mark is not None:
         hits = hits.filter(F.col("trans_date") > F.lit(mark))
     _write(hits, f"{output_path}/batch={last_batch + 1}")

@@ -17,3 +17,11 @@ def spark():
     s = build_session(master="local[*]", shuffle_partitions=8)
     yield s
     s.stop()
+
+
+def cut_every(tx, width, key="card_num", ts="trans_date"):
+    """Every card taken for hot, its time cut into stretches of ``width`` (an interval); None cuts nothing."""
+    from pyspark.sql import functions as F
+    if width is None:
+        return None
+    return tx.groupBy(key).agg(F.expr(f"sequence(min({ts}), max({ts}), interval {width})").alias("borders"))

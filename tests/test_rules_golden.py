@@ -6,6 +6,7 @@ import pytest
 
 from tallyhawk.operators import fraud
 from tallyhawk.schemas import REFERENCE, STRICT
+from conftest import cut_every
 
 DAY = dt.date(2021, 3, 1)
 SPLITS = [None, "1 hour", "7 minutes"]
@@ -57,7 +58,8 @@ EXPECT = {
 @pytest.mark.parametrize("semantics", [REFERENCE, STRICT])
 def test_city_hop(spark, semantics, split):
     rows = [(c, t, term, "SUCCESS", 1.0) for seq in HOPS.values() for (c, t, term) in seq]
-    hits = fraud.city_hops(_tx(spark, rows), _terminals(spark), semantics=semantics, split=split)
+    tx = _tx(spark, rows)
+    hits = fraud.city_hops(tx, _terminals(spark), semantics=semantics, hot=cut_every(tx, split))
     got = {r.card_num: r.event_ts.strftime("%H:%M:%S") for r in hits.collect()}
     want = {k: v for k, v in EXPECT[semantics].items() if v is not None}
     assert got == want
@@ -88,7 +90,8 @@ def test_amount_probe(spark, case, split):
         parts = [int(x) for x in t.split(":")]
         off = dt.timedelta(minutes=parts[0] * 60 + parts[1], seconds=parts[2] if len(parts) == 3 else 0)
         rows.append((case, base + off, "M", LABEL[res], float(amt)))
-    hits = fraud.amount_probes(_tx(spark, rows), split=split)
+    tx = _tx(spark, rows)
+    hits = fraud.amount_probes(tx, hot=cut_every(tx, split))
     got = sorted(((r.trans_date - base).seconds for r in hits.collect()))
     want_s = sorted(int(w.split(":")[0]) * 3600 + int(w.split(":")[1]) * 60 + int(w.split(":")[2]) for w in want)
     assert got == want_s

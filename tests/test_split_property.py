@@ -1,4 +1,4 @@
-"""Random sequences: time-chunked windows equal plain windows for rules 3 and 4."""
+"""Random sequences: windows cut into stretches equal plain windows for rules 3 and 4."""
 
 import datetime as dt
 
@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 
 from tallyhawk.operators import fraud
 from tallyhawk.schemas import REFERENCE, STRICT
+from conftest import cut_every
 
 BASE = dt.datetime(2021, 3, 1, 9, 0)
 TERMS = [("M", "Moscow"), ("S", "SPB"), ("K", "Kazan"), ("X", "Omsk")]
@@ -41,8 +42,8 @@ def _rows(df):
        semantics=st.sampled_from([REFERENCE, STRICT]))
 def test_city_hops_split_equals_plain(spark, rows, split, semantics):
     tx, term = _frames(spark, rows)
-    plain = _rows(fraud.city_hops(tx, term, max_gap="10 minutes", semantics=semantics, split=None))
-    assert _rows(fraud.city_hops(tx, term, max_gap="10 minutes", semantics=semantics, split=split, hot_rows=0)) == plain
+    plain = _rows(fraud.city_hops(tx, term, max_gap="10 minutes", semantics=semantics, hot=None))
+    assert _rows(fraud.city_hops(tx, term, max_gap="10 minutes", semantics=semantics, hot=cut_every(tx, split))) == plain
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -50,5 +51,5 @@ def test_city_hops_split_equals_plain(spark, rows, split, semantics):
        per_day=st.booleans())
 def test_amount_probes_split_equals_plain(spark, rows, split, per_day):
     tx, _ = _frames(spark, rows)
-    plain = _rows(fraud.amount_probes(tx, max_span="9 minutes", per_day=per_day, split=None))
-    assert _rows(fraud.amount_probes(tx, max_span="9 minutes", per_day=per_day, split=split, hot_rows=0)) == plain
+    plain = _rows(fraud.amount_probes(tx, max_span="9 minutes", per_day=per_day, hot=None))
+    assert _rows(fraud.amount_probes(tx, max_span="9 minutes", per_day=per_day, hot=cut_every(tx, split))) == plain

@@ -73,7 +73,7 @@ def test_unsorted_parts_equal_batch(spark, tmp_path):
     settle(spark, out, ck, q.lastProgress["batchId"], max_span="1 day")
     got = sorted(r.trans_id for r in read_hits(spark, out).collect())
     scanned, _ = files.scan_transactions(spark, str(tmp_path / "in/transactions_*"))
-    want = sorted(r.trans_id for r in fraud.amount_probes(scanned, max_span="1 day", per_day=False, split=None).collect())
+    want = sorted(r.trans_id for r in fraud.amount_probes(scanned, max_span="1 day", per_day=False, hot=None).collect())
     assert got == want and len(want) > 0
 
 
