@@ -12,7 +12,7 @@ text would shuffle each byte many times over, so the corpus is first cut into te
 3. The strings of the other anchors are dealt into shards by anchor; each shard is one text whose suffix array the
    difference-cover algorithm makes (:func:`suffix_array`), and neighbours in it that agree in ``length`` bytes
    are repeats. A shard holds about ``SHARD_BYTES``.
-4. An anchor with so many strings that it would fill a shard is split: its windows are counted one by one, by
+4. An anchor with more than ``ANCHOR_BYTES`` of strings is split: its windows are counted one by one, by
    partial aggregates, wherever they are.
 
 Hashes have 64 bits; within one anchor (another 64 bits), equal hashes are taken for equal bytes.
@@ -35,8 +35,9 @@ from tallyhawk.llm.text import BYTE, U, buffers, mix, power, signed, slices
 LENGTH = 200
 #: Bytes of the gram that anchors a window; a short one makes longer runs, a long one is shared by chance less often.
 GRAM = 64
-#: Bytes of text one suffix array is made of.
-SHARD_BYTES = 1 << 20
+#: Bytes of text one suffix array is made of, on average; and of the strings of one anchor that is still sorted in one.
+SHARD_BYTES = 1 << 18
+ANCHOR_BYTES = 1 << 19
 #: A document is worked on in stretches of so many windows, so memory does not follow its length.
 STRETCH = 1 << 20
 #: Text of the documents worked on together.
@@ -197,6 +198,7 @@ def _scan(docs: DataFrame, made, columns: str, length: int, gram: int) -> DataFr
             for lo, hi, data, offsets in slices(b.column("text"), SLICE):
                 runs = Runs(data, offsets, length, gram)
                 yield pa.RecordBatch.from_arrays(made(key[lo:hi], size[lo:hi], runs, data, offsets), names)
+            pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(run, columns)
 
@@ -228,7 +230,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     strings = cut(runs.select(*by, "key").mapInArrow(maybe, "anchor long, content long, windows int, key long")
                   .groupBy(by).agg(F.count("*").alias("n"), F.min("key").alias("key")))
     several = strings.groupBy("anchor").agg(F.count("*").alias("strings"), F.sum(F.col("windows") + length).alias("bytes")) \
-        .filter("strings > 1").select("anchor", "bytes", (F.col("bytes") > SHARD_BYTES).alias("hot"))
+        .filter("strings > 1").select("anchor", "bytes", (F.col("bytes") > ANCHOR_BYTES).alias("hot"))
     strings = cut(strings.join(several, "anchor", "left"))
     # copies of a string repeat as a whole; where it is alone in its anchor there is nothing to compare it with
     copied = strings.filter("n > 1").select(*by, F.lit(0).alias("low"), F.col("windows").alias("high"))
