@@ -16,7 +16,7 @@ from tallyhawk.operators import facts as fact_ops
 from tallyhawk.operators import fraud, sequence
 from tallyhawk.operators import scd2 as scd2_ops
 from tallyhawk.plans import fixtures as fx
-from tallyhawk.plans import asof_catalog, history, oracle
+from tallyhawk.plans import asof_catalog, backfill, history, oracle
 from tallyhawk.plans import daily as pipe
 from tallyhawk.plans.state import FACTS, Warehouse
 from tallyhawk.schemas import DIMENSIONS, MAX_LENGTHS, REFERENCE, STRICT
@@ -601,7 +601,18 @@ def q_daily_run_facts(spark, d):
         F.count("*").alias("n"), F.sum("amt").cast("double").alias("total"))
 
 
+def q_daily_backfill(spark, d):
+    """The three days loaded at once: no fold."""
+    base = scratch_path(spark, "daily")
+    for day in PIPELINE_DAYS:
+        write_day_inputs(spark, d, f"{base}/input", day)
+    wh = Warehouse(spark, f"{base}/warehouse")
+    backfill.backfill(spark, wh, f"{base}/input", f"{base}/archive", _daily_sources(spark, d))
+    return _report_of(wh)
+
+
 QUERIES.update({
+    "daily_backfill_three_days": q_daily_backfill,
     "daily_run_three_days": lambda spark, d: _report_of(_run_daily(spark, d)),
     "replay_equals_first_run": lambda spark, d: _report_of(_run_daily(spark, d, replay=True)),
     "replay_from_day": lambda spark, d: _report_of(_run_daily(spark, d, replay=PIPELINE_DAYS[1])),
@@ -639,6 +650,7 @@ ORACLE.update({
     "replay_equals_first_run": oracle.report_sql(_DAILY_VIEWS),
     "replay_from_day": oracle.report_sql(_DAILY_VIEWS),
     "daily_run_three_days_strict": oracle.report_sql(_DAILY_VIEWS, strict=True),
+    "daily_backfill_three_days": oracle.report_sql(_DAILY_VIEWS, strict=True),
     "daily_run_straggler_rerun": oracle.report_sql(_DAILY_VIEWS),
     "daily_run_facts": """with tx as (""" + _DAILY_VIEWS["tx"] + """)
         select trans_day, count(*) as n, cast(sum(cast(amt as decimal(30,2))) as double) as total from tx group by trans_day""",

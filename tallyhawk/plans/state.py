@@ -39,7 +39,7 @@ from tallyhawk.schemas import DIMENSIONS, FACT_TRANSACTIONS, INITIAL_WATERMARK,
 LOG_SCHEMA = T.StructType([
     T.StructField("seq", T.LongType()),
     T.StructField("epoch", T.LongType()),
-    T.StructField("kind", T.StringType()),          # run | compact | reset
+    T.StructField("kind", T.StringType()),          # run | backfill | compact | reset
     T.StructField("day", T.DateType()),
     T.StructField("table_name", T.StringType()),
     T.StructField("version", T.LongType()),
@@ -111,6 +111,8 @@ class Warehouse:
             if st["day"] is None or st["day"] < day:
                 old._state = st
                 break
+            if st["kind"] == "backfill" and any(d < day for ds in st["days"].values() for d in ds):
+                raise ValueError(f"{day} was loaded with earlier days at once; there is no state before it to go back to")
         return old
 
     def next_version(self) -> int:
@@ -137,10 +139,10 @@ class Warehouse:
         return v[3] if v else None
 
     def commit(self, day: _dt.date | None, tables: dict[str, tuple], kind: str = "run", epoch: int | None = None,
-               days: dict[str, list[int]] | None = None, seq: int | None = None) -> int:
+               days: dict[str, list[int] | dict[_dt.date, list[int]]] | None = None, seq: int | None = None) -> int:
         """Publish a day. ``tables``: name -> (version, watermark[, closed versions[, open rows]]).
 
-        ``days``: the live versions of this load day's facts, report and rejects. ``seq``: the number the
+        ``days``: the live versions of this load day's facts, report and rejects, or of several load days. ``seq``: the number the
         caller took from :meth:`next_version`; another writer's commit of that number makes this one fail.
         """
         seq = self.next_version() if seq is None else seq
@@ -151,7 +153,9 @@ class Warehouse:
             version, mark, closed, open_rows = (tuple(spec) + (None, None))[:4]
             rows.append(head | {"table_name": name, "version": version, "max_update_dt": mark and mark.isoformat(),
                                 "versions": closed, "open_rows": open_rows})
-        rows += [head | {"table_name": t, "versions": v} for t, v in (days or {}).items()]
+        for t, v in (days or {}).items():
+            rows += [head | {"day": d and d.isoformat(), "table_name": t, "versions": x}
+                     for d, x in (v if isinstance(v, dict) else {day: v}).items()]
         return self._publish(seq, rows or [head])
 
     def _publish(self, seq: int, rows: list[dict]) -> int:
@@ -230,15 +234,25 @@ class Warehouse:
                 out = out.unionByName(old)
         return out
 
+    def write_load_days(self, table: str, df: DataFrame, version: int, partition_col: str | None = None) -> None:
+        """Write one version of several load days' rows, told apart by ``df``'s column load_day, in one job."""
+        cols = ["load_day", "v", *([partition_col] if partition_col else [])]
+        (df.withColumn("v", F.lit(version)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*cols).parquet(f"{self.epoch_root()}/{table}"))
+
+    def written_days(self, table: str, load_days: list[_dt.date], version: int) -> dict[_dt.date, list[int]]:
+        """The load days that have rows in ``version``, with it as their live version."""
+        return {d: [version] for d in load_days if self._exists(self.day_path(table, d, version))}
+
     def read_days(self, table: str, load_days: list[_dt.date] | None = None,
-                  pending: tuple[_dt.date, list[int]] | None = None) -> DataFrame:
+                  pending: tuple[_dt.date, list[int]] | dict[_dt.date, list[int]] | None = None) -> DataFrame:
         """Facts, report or rejects of all (or the given) load days: their live versions alone.
 
-        ``pending``: a load day's versions that are not committed yet.
+        ``pending``: versions of a load day, or of several, that are not committed yet.
         """
         live = dict(self.state()["days"][table])
         if pending:
-            live[pending[0]] = pending[1]
+            live |= pending if isinstance(pending, dict) else dict([pending])
         paths = [self.day_path(table, d, v) for d, vs in sorted(live.items()) for v in vs
                  if load_days is None or d in load_days]
         schema = BY_DAY[table]

@@ -46,8 +46,8 @@ def read_transactions_raw(spark: SparkSession, path: str | list[str]) -> DataFra
             .options(**RAW_OPTIONS).csv(path))
 
 
-def parse_transactions(raw: DataFrame) -> DataFrame:
-    """Typed fact rows plus ``_reject`` (NULL for good rows, else the reason)."""
+def parse_transactions(raw: DataFrame, *more: str) -> DataFrame:
+    """Typed fact rows plus ``_reject`` (NULL for good rows, else the reason); columns ``more`` of ``raw`` stay."""
     ts = F.try_to_timestamp(F.trim(F.col("transaction_date")), F.lit(TS_FORMAT)).cast("timestamp_ntz")
     amt = decimal_comma("amount")
     fields = F.when(F.col(CORRUPT).isNotNull(), F.lit("wrong number of fields"))
@@ -66,6 +66,7 @@ def parse_transactions(raw: DataFrame) -> DataFrame:
         F.to_date(ts).alias("trans_day"),
         reject.alias("_reject"),
         F.coalesce(CORRUPT, "amount").alias("_amount_text"),
+        *more,
     )
 
 
