@@ -6,10 +6,12 @@ its first word) have reached the threshold, whichever shard that is, and it is c
 scans until it has seen each shard once. So lengths are interleaved: in one scan, words, pairs and triples are counted
 side by side, and mining ends when the last phrase has completed its cycle, at most a cycle a length later.
 
-The counts are a table with one row a phrase: its count so far and the scan in which it reached the threshold. Tasks
-know the subphrases that did from bitmaps of bounded size, which only spare rows a shuffle; a join with the table
-settles which phrases were active. Tasks add up their counts before the shuffle, so a frequent word or phrase is a row
-a task.
+The counts are a table with one row a phrase, named by a 64-bit hash: its count so far, the shards it has seen and the
+scan in which it reached the threshold. Tasks know the subphrases that did from bitmaps of bounded size, which have no
+false negatives; a phrase that gets in by chance is counted too, and the shards seen keep any phrase from being counted
+twice. Tasks add up their counts before the shuffle, so a frequent word or phrase is a row a task. The phrases that
+reached the threshold are written out by a last scan, which counts them by their words, so hashes that meet change no
+result.
 """
 
 from __future__ import annotations
@@ -28,10 +30,11 @@ from tallyhawk.llm.text import BYTE, U, buffers, mix, power, signed, slices
 #: Between pieces, and between the words of a piece.
 BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 BLANKS = b" \x09"
-SLICE = 8 << 20
+SLICE = 2 << 20
 UNKNOWN = "und"
 
-_FOUND = "size int, lang string, phrase string, h long, n long"
+_HASHED = "size int, h long, n long"
+_NAMED = "size int, lang string, phrase string, n long"
 _SPACE, _BREAK = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
 _BREAK[list(BREAKS)] = True
 _SPACE[list(BREAKS + BLANKS)] = True
@@ -70,57 +73,92 @@ class Tokens:
         self.dictionary, self.code = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
 
 
-def _counted(key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First places, names and counts of equal keys."""
-    _, first, name, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-    return first, name, count
-
-
-def _scan(longest: int, words: bool, ready: list, late: list | None):
-    """Counts the active phrases of the batches (lang, text).
+def _phrases(lang: pa.Array, text: pa.Array, longest: int, ready: list, late: list | None):
+    """Active phrases of one slice, by size: size, tokens, languages of the texts, places, exact names, hashes, which count.
 
     ``ready[k]``: bitmap of phrases of k words that reached the threshold before this scan; ``late[k]``: those of them
     whose phrases have not completed their cycle (None: nothing has).
     """
-    def of(b: pa.RecordBatch) -> Iterator[pa.Table]:
-        for lo, hi, _, _ in slices(b.column("text"), SLICE):
-            t = Tokens(b.column("text")[lo:hi])
-            if not len(t.code):
-                continue
-            lang = b.column("lang")[lo:hi].dictionary_encode()
-            of_lang = lang.indices.to_numpy()[t.doc].astype(np.int64)
-            h = mix(_hashes(t.dictionary)[t.code] ^ mix(_hashes(lang.dictionary))[of_lang])
-            name = _counted(of_lang * len(t.dictionary) + t.code)[1]  # of the phrase that starts here, exact
-            many, single = int(name.max()) + 1, name
-            at = np.arange(len(name))  # where phrases of the size start
-            for size in range(1, longest + 1):
-                if size > 1:
-                    on = in_filter(*ready[size - 1], h)  # of phrases one word shorter, at ``at``
-                    new = None if late is None else on & in_filter(*late[size - 1], h)
-                    pair = np.flatnonzero((at[1:] == at[:-1] + 1) & (t.piece[at[:-1]] == t.piece[np.minimum(at[:-1] + size - 1, len(t.piece) - 1)])
-                                          & (at[:-1] + size - 1 < len(t.piece)))
-                    pair = pair[on[pair] & on[pair + 1]]
-                    count = np.ones(len(pair), dtype=bool) if new is None else new[pair] | new[pair + 1]
-                    key = name[pair] * many + single[at[pair] + size - 1]
-                    h = mix(h[pair] * _MIX + h[pair + 1])
-                    at = at[pair]
-                    if not len(at):
+    t = Tokens(text)
+    if not len(t.code):
+        return
+    lang = lang.dictionary_encode()
+    of_lang = lang.indices.to_numpy()[t.doc].astype(np.int64)
+    h = mix(_hashes(t.dictionary)[t.code] ^ mix(_hashes(lang.dictionary))[of_lang])
+    name = _named(of_lang * len(t.dictionary) + t.code)  # of the phrase that starts here, exact
+    many, single = int(name.max()) + 1, name
+    at = np.arange(len(name))  # where phrases of the size start
+    yield 1, t, lang, of_lang, at, name, h, np.ones(len(at), dtype=bool)
+    for size in range(2, longest + 1):
+        on = in_filter(*ready[size - 1], h)  # of phrases one word shorter, at ``at``
+        pair = np.flatnonzero((at[1:] == at[:-1] + 1) & on[1:] & on[:-1])
+        pair = pair[at[pair] + size - 1 < len(t.piece)]
+        pair = pair[t.piece[at[pair]] == t.piece[at[pair] + size - 1]]
+        if not len(pair):
+            return
+        if late is None:
+            count = np.ones(len(pair), dtype=bool)
+        else:
+            new = in_filter(*late[size - 1], h)
+            count = new[pair] | new[pair + 1]
+        name = _named(name[pair] * many + single[at[pair] + size - 1])
+        h = mix(h[pair] * _MIX + h[pair + 1])
+        at = at[pair]
+        yield size, t, lang, of_lang, at, name, h, count
+
+
+def _named(key: np.ndarray) -> np.ndarray:
+    """Names from 0, equal ones for equal keys."""
+    order = np.argsort(key)
+    sorted_ = key[order]
+    fresh = np.zeros(len(key), dtype=np.int64)
+    np.cumsum(sorted_[1:] != sorted_[:-1], out=fresh[1:])
+    name = np.empty(len(key), dtype=np.int64)
+    name[order] = fresh
+    return name
+
+
+def _counting(longest: int, words: bool, ready: list, late: list | None):
+    """Counts of the active phrases of the batches (lang, text), by hash."""
+    def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        for b in batches:
+            for lo, hi, _, _ in slices(b.column("text"), SLICE):
+                for size, *_, h, count in _phrases(b.column("lang")[lo:hi], b.column("text")[lo:hi], longest, ready, late):
+                    if size > 1 or words:
+                        found = np.sort(h[count])
+                        edge = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1], [True]))) if len(found) else np.zeros(1, np.int64)
+                        yield pa.table({"size": pa.array(np.full(len(edge) - 1, size, np.int32)),
+                                        "h": pa.array(signed(found[edge[:-1]])), "n": pa.array(np.diff(edge))})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from combined(tables(batches), ["size", "h"], ["n"], held=1 << 20)
+
+    return run
+
+
+def _naming(longest: int, wanted: list):
+    """Counts of the phrases of the bitmaps ``wanted[size]``, by their words; of size 0 all words of each language."""
+    def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        for b in batches:
+            for lo, hi, _, _ in slices(b.column("text"), SLICE):
+                for size, t, lang, of_lang, at, name, h, _ in _phrases(b.column("lang")[lo:hi], b.column("text")[lo:hi], longest, wanted, None):
+                    if size == 1:
+                        n = np.bincount(of_lang, minlength=len(lang.dictionary))
+                        yield pa.table({"size": pa.array(np.zeros(len(n), np.int32)), "lang": lang.dictionary.cast(pa.string()),
+                                        "phrase": pa.array([""] * len(n)), "n": pa.array(n)})
+                    keep = np.flatnonzero(in_filter(*wanted[size], h))
+                    if not len(keep):
                         break
-                    name = _counted(key)[1]
-                else:
-                    count = np.full(len(at), words)
-                if count.any():
-                    keep = np.flatnonzero(count)
-                    first, _, n = _counted(name[keep])
+                    _, first, n = np.unique(name[keep], return_index=True, return_counts=True)
                     first = keep[first]
                     parts = [t.dictionary.take(pa.array(t.code[at[first] + k])) for k in range(size)]
                     phrase = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string())) if size > 1 else parts[0]
                     yield pa.table({"size": pa.array(np.full(len(first), size, np.int32)),
                                     "lang": lang.dictionary.take(pa.array(of_lang[at[first]])).cast(pa.string()),
-                                    "phrase": phrase.cast(pa.string()), "h": pa.array(signed(h[first])), "n": pa.array(n)})
+                                    "phrase": phrase.cast(pa.string()), "n": pa.array(n)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from combined((t for b in batches for t in of(b)), ["size", "lang", "phrase", "h"], ["n"])
+        yield from combined(tables(batches), ["size", "lang", "phrase"], ["n"], held=1 << 18)
 
     return run
 
@@ -130,53 +168,59 @@ def _part(phrase: str, words: str) -> Column:
     return F.expr(f"substring_index({phrase}, ' ', {words})")
 
 
+def _bitmaps(rows: DataFrame, sizes: list[int], counts: dict[int, int]) -> list:
+    """A key filter of ``rows`` (size, h) for each size, at its place in a list."""
+    return [None, *(key_filter(rows.filter(F.col("size") == k), "h", counts.get(k, 0)) for k in sizes)]
+
+
 def count_phrases(docs: DataFrame, longest: int = 3, least: int = 10, shards: int = 3) -> DataFrame:
-    """size, lang, phrase, f: all words, and all longer phrases whose subphrases occur ``least`` times (exact counts).
+    """size, lang, phrase, f: every word and phrase of up to ``longest`` words that occurs ``least`` times, with its exact count.
 
-    ``docs`` has lang and text, neither null.
+    A row of size 0 a language has the number of its words. ``docs`` has lang and text, neither null.
     """
     spark = docs.sparkSession
     prepare(spark)
     shard = F.pmod(F.xxhash64(*docs.columns), F.lit(shards))
+    shorter = list(range(1, longest))
     state = None
     for step in range(longest * shards):
-        ready, late = [None], None if step < shards else [None]
+        ready, late = [None] * (longest + 1), None
         if state is not None:
             reached = state.filter((F.col("size") < longest) & F.col("reach").isNotNull())
-            fresh = reached.filter(F.col("reach") >= step - shards)
-            sizes = {r["size"]: r for r in reached.groupBy("size").agg(
-                F.count("*").alias("n"), F.count_if(F.col("reach") >= step - shards).alias("late")).collect()}
-            if step >= shards and not any(r["late"] for r in sizes.values()):
+            fresh = F.col("reach") >= step - shards
+            sizes = {r["size"]: (r["n"], r["late"]) for r in reached.groupBy("size").agg(
+                F.count("*").alias("n"), F.count_if(fresh).alias("late")).collect()}
+            if step >= shards and not any(x for _, x in sizes.values()):
                 break  # every phrase has completed its cycle
-            for size in range(1, longest):
-                ready.append(key_filter(reached.filter(F.col("size") == size), "h", sizes[size]["n"] if size in sizes else 0))
-                if late is not None:
-                    late.append(key_filter(fresh.filter(F.col("size") == size), "h", sizes[size]["late"] if size in sizes else 0))
+            ready = _bitmaps(reached, shorter, {k: n for k, (n, _) in sizes.items()})
+            if step >= shards:
+                late = _bitmaps(reached.filter(fresh), shorter, {k: x for k, (_, x) in sizes.items()})
         known = spark.sparkContext.broadcast((ready, late))
-        active = min(longest, step + 1)
-
-        def run(batches, known=known, active=active, step=step):
-            return _scan(active, step < shards, *known.value)(batches)
-
-        found = docs.filter(shard == step % shards).mapInArrow(run, _FOUND).groupBy("size", "lang", "phrase", "h").agg(F.sum("n").alias("n"))
-        if state is None:
-            state = cut(found.select("size", "lang", "phrase", "h", F.col("n").alias("f"),
-                                     F.when(F.col("n") >= least, F.lit(step)).alias("reach")))
-            continue
-        found = cut(found)
-        sub = reached.select((F.col("size") + 1).alias("size"), "lang", "phrase", "reach")
-        longer = found.filter("size > 1").withColumn("left", _part("phrase", "size - 1")).withColumn("right", _part("phrase", "1 - size"))
-        longer = longer.join(sub.withColumnsRenamed({"phrase": "left", "reach": "a"}), ["size", "lang", "left"]) \
-            .join(sub.withColumnsRenamed({"phrase": "right", "reach": "b"}), ["size", "lang", "right"]) \
-            .filter(F.greatest("a", "b") >= step - shards)
-        counted = found.filter("size = 1").select("size", "lang", "phrase", "h", "n").union(longer.select("size", "lang", "phrase", "h", "n"))
+
+        def run(batches, known=known, active=min(longest, step + 1), words=step < shards):
+            return _counting(active, words, *known.value)(batches)
+
+        bit = 1 << (step % shards)
+        found = docs.filter(shard == step % shards).mapInArrow(run, _HASHED).select(
+            "size", "h", F.lit(0).cast("long").alias("f"), F.lit(0).alias("seen"), F.lit(None).cast("int").alias("reach"), "n")
         before = state
-        state = cut(before.union(counted.withColumn("reach", F.lit(None).cast("int"))).groupBy("size", "lang", "phrase", "h")
-                    .agg(F.sum("f").alias("f"), F.min("reach").alias("reach"))
-                    .withColumn("reach", F.coalesce("reach", F.when(F.col("f") >= least, F.lit(step)))))
-        release(before, found)
+        rows = found if before is None else found.union(before.withColumn("n", F.lit(0).cast("long")))
+        merged = rows.groupBy("size", "h").agg(F.sum("f").alias("f"), F.max("seen").alias("seen"), F.max("reach").alias("reach"),
+                                               F.sum("n").alias("n"))
+        total = F.when(F.col("seen").bitwiseAND(bit) == 0, F.col("f") + F.col("n")).otherwise(F.col("f"))
+        seen = F.when(F.col("n") > 0, F.col("seen").bitwiseOR(bit)).otherwise(F.col("seen"))
+        state = cut(merged.select("size", "h", total.alias("f"), seen.alias("seen"),
+                                  F.coalesce("reach", F.when(total >= least, F.lit(step))).alias("reach")))
+        if before is not None:
+            release(before)
         known.unpersist()
-    return state.select("size", "lang", "phrase", "f")
+
+    often = state.filter(F.col("f") >= least)
+    counts = {r["size"]: r["count"] for r in often.groupBy("size").count().collect()}
+    wanted = spark.sparkContext.broadcast(_bitmaps(often, [*shorter, longest], counts))
+    release(state)
+    named = docs.mapInArrow(lambda batches: _naming(longest, wanted.value)(batches), _NAMED)
+    return named.groupBy("size", "lang", "phrase").agg(F.sum("n").alias("f")).filter((F.col("size") == 0) | (F.col("f") >= least))
 
 
 def collocations(docs: DataFrame, longest: int = 3, least: int = 10, top: int = 2000, contained: int = 50, shards: int = 3) -> DataFrame:
@@ -191,9 +235,9 @@ def collocations(docs: DataFrame, longest: int = 3, least: int = 10, top: int =
     table gives no rows.
     """
     docs = docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    counts = count_phrases(docs, longest, least, shards)
-    total = counts.filter("size = 1").groupBy("lang").agg(F.sum("f").alias("n"))
-    often = cut(counts.filter(F.col("f") >= least))
+    often = cut(count_phrases(docs, longest, least, shards))
+    total = often.filter("size = 0").select("lang", F.col("f").alias("n"))
+    often = often.filter("size > 0")
     candidates = often.filter("size > 1").select("size", "lang", "phrase", F.col("f").alias("a"))
     parts = often.select("lang", "phrase", "f")
     cuts = candidates.withColumn("k", F.explode(F.expr("sequence(1, size - 1)"))) \
