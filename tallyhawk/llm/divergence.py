@@ -28,7 +28,7 @@ BETWEEN = "[\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 #: A probability of one, before the one that is added.
 SCALE = 1_000_000_000
 #: Numbers in the block of a shard.
-SHARD_CELLS = 1 << 21
+SHARD_CELLS = 1 << 16
 
 _COUNTS = "lang string, source string, term string, n long, docs long"
 
