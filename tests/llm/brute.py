@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 
@@ -91,6 +91,70 @@ def without_repeats(rows, n=13):
     return sorted(out)
 
 
+def without_byte_repeats(rows, length):
+    """Per row: bytes, removed ones, spans, what is left."""
+    raw = [(t or "").encode() for _, t in rows]
+    seen = Counter(t[i:i + length] for t in raw for i in range(len(t) - length + 1))
+    out = []
+    for (i, _), t in zip(rows, raw):
+        gone = bytearray(len(t))
+        for a in range(len(t) - length + 1):
+            if seen[t[a:a + length]] > 1:
+                gone[a:a + length] = b"\x01" * length
+        out.append((i, len(t), sum(gone), len(re.findall(b"\x01+", bytes(gone))), bytes(c for c, g in zip(t, gone) if not g)))
+    return sorted(out, key=repr)
+
+
+def source_divergence(rows, least_docs, top):
+    """``rows``: (text, lang, source)."""
+    rows = [tuple(x or "" for x in r) for r in rows]
+    count, lang_count, docs = defaultdict(Counter), defaultdict(Counter), defaultdict(Counter)
+    for text, lang, source in rows:
+        terms = re.findall("[^\x00-\x40\x5b-\x60\x7b-\x7f]+", text.translate(LOWER))
+        count[lang, source].update(terms)
+        lang_count[lang].update(terms)
+        docs[lang].update(set(terms))
+    out = []
+    for lang in {r[1] for r in rows}:
+        kept = [t for t, n in docs[lang].items() if n >= least_docs]
+        sources = sorted({r[2] for r in rows if r[1] == lang})
+
+        def share(counts):
+            total = sum(counts[t] for t in kept)
+            return {t: 1 + 10**9 * (counts[t] + 2) // (total + 2 * len(kept)) for t in kept}
+        p = {s: share(count[lang, s]) for s in sources}
+        q = share(lang_count[lang])
+        f = lambda x, y: (x - y) ** 2 // (x + y)
+        for s in sources:
+            pair = sorted((-sum(f(p[s][t], p[o][t]) for t in kept), o.encode(), o) for o in sources if o != s)
+            term = sorted((-f(p[s][t], q[t]), t.encode(), t) for t in kept if count[lang, s][t] and p[s][t] > q[t])[:top]
+            out += [(lang, s, part, item, -v, r + 1) for part, found in (("pair", pair), ("term", term)) for r, (v, _, item) in enumerate(found)]
+    return sorted(out)
+
+
+def collocations(rows, longest, least, top, contained):
+    """``rows``: (lang, text)."""
+    f, n = defaultdict(Counter), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\x0a-\x0d]", (text or "").translate(LOWER)):
+            w = [x for x in re.split("[\x20\x09]+", piece) if x]
+            n[lang] += len(w)
+            f[lang].update(tuple(w[i:i + k]) for k in range(1, longest + 1) for i in range(len(w) - k + 1))
+    out = []
+    for lang, counts in f.items():
+        found = []
+        often = {x: a for x, a in counts.items() if len(x) > 1 and a >= least}
+        for x, a in often.items():
+            score, k = min((10**6 * a * a // (counts[x[:k]] * counts[x[k:]]), k) for k in range(1, len(x)))
+            inside = any(len(y) > len(x) and 100 * b >= contained * a and any(y[i:i + len(x)] == x for i in range(len(y)))
+                         for y, b in often.items())
+            if not inside:
+                found.append((-score, -a, " ".join(x).encode(), a, counts[x[:k]], counts[x[k:]]))
+        out += [(lang, r + 1, p.decode(), a, lo, hi, n[lang], -s) for r, (s, _, p, a, lo, hi) in enumerate(sorted(found)[:top])]
+    return sorted(out)
+
+
 @pytest.fixture(scope="session")
 def rows():
     return odd_documents()
