@@ -37,15 +37,17 @@ def _keys(texts: list[bytes]) -> np.ndarray:
 
 
 def exact_dedup(docs: DataFrame, digests: bool = False) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256.
+    """One row per row of ``docs`` (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256, text_key.
 
     Of equal texts the row with the largest doc_id is kept. ``text_sha256`` is set where the full
-    content was read: for the surviving groups, or for all rows with ``digests``. A null text counts
-    as empty; rows that repeat both doc_id and text count in ``group_size`` and share the verdict; an
-    empty table gives no rows; other columns are ignored, whatever their names.
+    content was read: for the surviving groups, or for all rows with ``digests``; ``text_key`` is a hash
+    of the text as it is, which with doc_id names the row. A null text counts as empty; a null doc_id is
+    smaller than any other, so it is kept only where a group has no other; rows that repeat both doc_id
+    and text count in ``group_size`` and share the verdict, as do rows without doc_id; texts of any length
+    are read whole; an empty table gives no rows; other columns are ignored, whatever their names.
     """
     prepare(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
 
     def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -66,11 +68,11 @@ def exact_dedup(docs: DataFrame, digests: bool = False) -> DataFrame:
             in_group = in_filter(held.value, bits, _keys(texts))
             sha = [hashlib.sha256(t.lower()).hexdigest() if digests or g else None
                    for t, g in zip(texts, in_group, strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(map(len, texts), pa.int64()),
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_key"), pa.array(map(len, texts), pa.int64()),
                                               pa.array(sha, pa.string()), pa.array(in_group)],
-                                             ["doc_id", "n", "sha", "in_group"])
+                                             ["doc_id", "text_key", "n", "sha", "in_group"])
 
-    rows = docs.mapInArrow(full, "doc_id long, n long, sha string, in_group boolean")
+    rows = docs.mapInArrow(full, "doc_id long, text_key long, n long, sha string, in_group boolean")
     # written, so that both sides of the join below are plain exchanges and a hot group's rows can be split
     groups = cut(rows.filter("in_group").groupBy("n", F.unhex("sha").alias("sha_bytes")).agg(
         F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")).filter("group_size > 1"))
@@ -78,4 +80,4 @@ def exact_dedup(docs: DataFrame, digests: bool = False) -> DataFrame:
         groups, ["n", "sha_bytes"], "left")
     keep = F.coalesce("keep_id", "doc_id")
     return joined.select("doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-                         (keep == F.col("doc_id")).alias("kept"), F.col("sha").alias("text_sha256"))
+                         keep.eqNullSafe(F.col("doc_id")).alias("kept"), F.col("sha").alias("text_sha256"), "text_key")

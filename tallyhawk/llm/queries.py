@@ -35,17 +35,18 @@ def op2_nearest_centroid_language(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op3_partenum_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), shingle=3, percent=90)
+    found = jaccard.jaccard_components(table(spark, sf_dir, "documents"), shingle=3, percent=90)
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.exact_dedup(table(spark, sf_dir, "documents"), digests=True)
+    return dedup.exact_dedup(table(spark, sf_dir, "documents"), digests=True).drop("text_key")
 
 
 OP4_SQL = f"""
 with t as (select doc_id, sha256({_NORMAL}) as text_sha256 from documents),
 g as (select text_sha256, max(doc_id) as keep_id, count(*) as group_size from t group by text_sha256)
-select doc_id, keep_id, group_size, doc_id = keep_id as kept, text_sha256 from t join g using (text_sha256)"""
+select doc_id, keep_id, group_size, doc_id is not distinct from keep_id as kept, text_sha256 from t join g using (text_sha256)"""
 
 
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
