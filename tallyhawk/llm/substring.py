@@ -34,6 +34,8 @@ from tallyhawk.llm.text import U, Words, grams, mix, signed, slices
 
 WINDOW = 13
 GRAM = 6
+#: Stands for a missing doc_id: later than any other.
+NO_ID = 1 << 62
 #: References of one automaton; also the runs of one anchor above which its windows are dealt on their own.
 SHARD_RUNS = 4_000
 
@@ -249,22 +251,29 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` (doc_id, text and any other columns) with n_words, n_removed and kept: the words left, joined by a space.
 
     A null text has no words; a text shorter than the window loses none. Of copies of a document the one with
-    the smallest doc_id keeps its words; rows that repeat a doc_id are one document and lose nothing to each
-    other. One row per row of ``docs``; columns of it that have one of the new names are replaced.
+    the smallest doc_id keeps its words; a missing doc_id is later than all others; rows that repeat a doc_id, or
+    have none, are one document and lose nothing to each other. Texts of any length are read whole. One row per
+    row of ``docs``; columns of it that have one of the new names are replaced, others stay, whatever their names.
     """
-    docs = docs.drop("n_words", "n_removed", "kept", "_row", "_key", "_spans", "_id", "_of").withColumn("_row", F.xxhash64("text"))
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("_row").alias("row"), "text")
-    spans = cut(repeated_spans(keyed, window).groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_of")).agg(
-        F.collect_set(F.struct("start", "stop")).alias("_spans"))  # a document's own: as many as it has anchors at most
-        .withColumn("_key", F.xxhash64("_id", "_of")))
-    losing = docs.sparkSession.sparkContext.broadcast(key_filter(spans, "_key", spans.count()))
-    fields = [f for f in docs.schema if f.name != "_row"]
+    docs = docs.drop("n_words", "n_removed", "kept")
+    own = "_"
+    while any(c.lower().startswith(own) for c in docs.columns):  # names that no column has
+        own += "_"
+    row_, key_, spans_, id_, of_ = (own + n for n in ("row", "key", "spans", "id", "of"))
+    number = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    docs = docs.withColumn(row_, F.xxhash64("text"))
+    keyed = docs.select(number.alias("doc_id"), F.col(row_).alias("row"), "text")
+    spans = cut(repeated_spans(keyed, window).groupBy(F.col("doc_id").alias(id_), F.col("row").alias(of_)).agg(
+        F.collect_set(F.struct("start", "stop")).alias(spans_))  # a document's own: as many as it has anchors at most
+        .withColumn(key_, F.xxhash64(id_, of_)))
+    losing = docs.sparkSession.sparkContext.broadcast(key_filter(spans, key_, spans.count()))
+    fields = [f for f in docs.schema if f.name != row_]
     ddl = "".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}, " for f in fields)
 
     def finished(b: pa.RecordBatch) -> pa.RecordBatch:
         total, removed, kept = [], [], []
         texts = pc.cast(pc.fill_null(b.column("text"), ""), pa.binary())
-        of = b.column("_spans") if "_spans" in b.schema.names else pa.nulls(len(b))
+        of = b.column(spans_) if spans_ in b.schema.names else pa.nulls(len(b))
         for text, found in zip(texts, of, strict=True):
             words = text.as_py().split()  # of bytes: at 0x20 and 0x09-0x0D alone
             total.append(len(words))
@@ -283,13 +292,13 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         """Only documents that may lose words are shuffled; the others are finished where they are read."""
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                there = in_filter(*losing.value, b.column("_key").to_numpy().view(U))
+                there = in_filter(*losing.value, b.column(key_).to_numpy().view(U))
                 part = b.filter(pa.array(there == wanted))
                 yield part if wanted else finished(part)
         return run
 
-    named = docs.withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), "_row"))
-    whole = named.drop("_row").mapInArrow(parted(False), f"{ddl}n_words long, n_removed long, kept string")
-    losers = named.mapInArrow(parted(True), f"{ddl}_row long, _key long").drop("_key").join(
-        spans.drop("_key"), (F.col("doc_id") == F.col("_id")) & (F.col("_row") == F.col("_of")), "left").drop("_id", "_of", "_row")
+    named = docs.withColumn(key_, F.xxhash64(number, row_))
+    whole = named.drop(row_).mapInArrow(parted(False), f"{ddl}n_words long, n_removed long, kept string")
+    losers = named.mapInArrow(parted(True), f"{ddl}{row_} long, {key_} long").drop(key_).join(
+        spans.drop(key_), (number == F.col(id_)) & (F.col(row_) == F.col(of_)), "left").drop(id_, of_, row_)
     return whole.union(losers.mapInArrow(lambda batches: map(finished, batches), f"{ddl}n_words long, n_removed long, kept string"))
