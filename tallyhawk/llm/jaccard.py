@@ -168,16 +168,20 @@ def _sets(docs: DataFrame, shingle: int, percent: int, made, columns: str) -> Da
 
 
 def jaccard_components(docs: DataFrame, shingle: int = 3, percent: int = 90) -> DataFrame:
-    """doc_id, n_shingles, component_id for each row of ``docs`` (doc_id, text).
+    """doc_id, n_shingles, component_id, text_key, kept for each row of ``docs`` (doc_id, text).
 
     Sets of ``shingle``-word shingles of the text with A-Z lower-cased; two documents are linked when
     100 * intersection >= percent * union, and component_id is the smallest doc_id reachable. A null text or
     one without words has the empty set and is linked with nothing; rows that repeat a doc_id are judged
-    each by its own text. An empty table gives no rows; other columns are ignored.
+    each by its own text. ``text_key`` is a hash of the text, which with doc_id names the row; ``kept`` marks
+    one doc_id and text of each component: the smallest doc_id's, ties to the smaller text_key. A row without
+    doc_id belongs to its component like any other and gives it no id; it is kept only where none has one.
+    Repeated rows share the verdict; texts of any length count as a whole. An empty table gives no rows;
+    other columns are ignored.
     """
     spark = docs.sparkSession
     prepare(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key")).alias("doc_id"), "text")
     bands = Bands(percent, 1 << 40)
 
     def describe(ids, h, edge, vertex) -> list[pa.Array]:
@@ -190,7 +194,8 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, percent: int = 90) ->
     def all_marks(ids, h, edge, vertex) -> list[pa.Array]:
         return [pa.array(signed(x)) for x in mark(h, edge, vertex)]
 
-    described = cut(_sets(docs, shingle, percent, describe, "doc_id long, n long, vertex long"))
+    described = cut(_sets(docs, shingle, percent, describe, "doc_id struct<doc_id:bigint,text_key:bigint>, n long, vertex long")
+                    .select("doc_id.*", "n", "vertex"))
     marks = _sets(docs, shingle, percent, all_marks, "mark long, vertex long")
     shared = cut(marks.groupBy("mark").agg(F.min("vertex").alias("least"), F.max("vertex").alias("most"))
                  .filter("least < most").select("mark", "least"))
@@ -209,7 +214,8 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, percent: int = 90) ->
     widest = F.lit(math.log(100 / percent) + 1e-9)
     sized = sized.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / widest)).withColumn(
         "pair", F.explode(F.array(F.col("class") - 1, F.col("class"))))
-    sizes = sized.groupBy("group", "pair").agg(F.ceil(F.sum("n") / BLOCK_ELEMENTS).alias("blocks"), F.count("*").alias("sets"))
+    # written, as are the component minima below: both sides of the join are plain exchanges, so a hot group's rows can be split
+    sizes = cut(sized.groupBy("group", "pair").agg(F.ceil(F.sum("n") / BLOCK_ELEMENTS).alias("blocks"), F.count("*").alias("sets")))
     chosen = cut(sized.join(sizes.filter("sets > 1"), ["group", "pair"]).select("vertex", "group", "pair", "blocks"))
     in_groups = spark.sparkContext.broadcast(key_filter(chosen, "vertex", chosen.count()))
 
@@ -232,8 +238,12 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, percent: int = 90) ->
     linked = cut(pairs.groupBy("group", "pair", "a", "b").applyInPandas(links, "x long, y long"))
     root = components(linked, "x", "y", "root").withColumnRenamed("node", "vertex")
     rooted = described.join(root, "vertex", "left").select(
-        "doc_id", "n", F.when(F.col("n") > 0, F.coalesce("root", "vertex")).alias("root"))
+        "doc_id", "text_key", "n", F.when(F.col("n") > 0, F.coalesce("root", "vertex")).alias("root"))
     # written, so that both sides of the join below are plain exchanges and a hot component's rows can be split
-    least = cut(rooted.filter("n > 0").groupBy("root").agg(F.min("doc_id").alias("least")))
-    return rooted.join(least, "root", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
+    least = cut(rooted.filter("n > 0").groupBy("root").agg(F.min(row).alias("least")))
+    out = rooted.join(least, "root", "left")
+    same = F.col("least.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("least.text_key") == F.col("text_key"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"),
+                      F.when(F.col("least").isNull(), F.col("doc_id")).otherwise(F.col("least.doc_id")).alias("component_id"),
+                      "text_key", (F.col("least").isNull() | same).alias("kept"))
