@@ -44,11 +44,35 @@ def odd_documents() -> list[tuple[int, str | None]]:
     return rows
 
 
+def odd_ids() -> list[tuple[int | None, str | None]]:
+    """Rows without id, ids that name two texts, repeated rows, alone and in groups."""
+    r = random.Random(9)
+    text = lambda n: " ".join("".join(r.choice("abcdefghij") for _ in range(5)) for _ in range(n))
+    long, near, shared = text(120).split(), [], text(20)
+    for _ in range(3):
+        w = list(long)
+        w[r.randrange(len(w))] = "changed"
+        near.append(" ".join(w))
+    rows = [(9, "alpha beta gamma"), (9, "other words entirely"), (12, "alpha beta gamma"), (None, "Alpha beta gamma"),
+            (None, "only without id"), (None, "only without id"), (None, "ONLY without id"), (7, "seven " * 20), (7, "seven " * 20),
+            (20, " ".join(long)), (20, near[0]), (None, near[1]), (21, "a clean text of its own"), (None, near[2]), (21, near[2]),
+            (None, None), (None, ""), (30, None), (31, ""), (None, f"{text(5)} {shared} {text(5)}"), (40, f"{text(5)} {shared} {text(5)}"),
+            (None, f"{text(5)} {shared} {text(5)}"), (41, f"{text(5)} {shared} {text(5)}"), (None, f"x {text(40)}"), (None, f"x {text(40)}")]
+    r.shuffle(rows)
+    return rows
+
+
+def _first(i):
+    """Orders ids upward, a missing one after all others."""
+    return (i is None, i or 0)
+
+
 def exact_groups(rows):
     groups = defaultdict(list)
     for i, t in rows:
         groups[(t or "").translate(LOWER)].append(i)
-    return sorted((i, max(g), len(g), i == max(g), hashlib.sha256(t.encode()).hexdigest()) for t, g in groups.items() for i in g)
+    best = {t: max((i for i in g if i is not None), default=None) for t, g in groups.items()}
+    return sorted(((i, best[t], len(g), i == best[t], hashlib.sha256(t.encode()).hexdigest()) for t, g in groups.items() for i in g), key=repr)
 
 
 def shingles(text, k):
@@ -72,8 +96,8 @@ def jaccard_components(rows, k, percent):
                 parent[find(a)] = find(b)
     least = {}
     for x, (i, _) in enumerate(sets):
-        least[find(x)] = min(i, least.get(find(x), i))
-    return sorted((i, len(s), least[find(x)]) for x, (i, s) in enumerate(sets))
+        least[find(x)] = min(i, least.get(find(x), i), key=_first)
+    return sorted(((i, len(s), least[find(x)]) for x, (i, s) in enumerate(sets)), key=repr)
 
 
 def without_repeats(rows, n=13):
@@ -82,13 +106,13 @@ def without_repeats(rows, n=13):
         w = words(t)
         for a in range(len(w) - n + 1):
             key = tuple(w[a:a + n])
-            first[key] = min(i, first.get(key, i))
+            first[key] = min(i, first.get(key, i), key=_first)
     out = []
     for i, t in rows:
         w = words(t)
-        gone = {a + k for a in range(len(w) - n + 1) if first[tuple(w[a:a + n])] < i for k in range(n)}
+        gone = {a + k for a in range(len(w) - n + 1) if _first(first[tuple(w[a:a + n])]) < _first(i) for k in range(n)}
         out.append((i, len(w), len(gone), " ".join(x for a, x in enumerate(w) if a not in gone)))
-    return sorted(out)
+    return sorted(out, key=repr)
 
 
 def without_byte_repeats(rows, length):

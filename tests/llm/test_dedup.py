@@ -10,7 +10,26 @@ from tallyhawk.llm.text import Words, buffers
 
 
 def as_rows(df, *columns):
-    return sorted(tuple(r[c] for c in columns) for r in df.collect())
+    return sorted((tuple(r[c] for c in columns) for r in df.collect()), key=repr)
+
+
+@pytest.fixture(scope="module")
+def unnamed(spark):
+    """Documents whose ids are missing or name several rows, with columns that begin as the operators' own do."""
+    made = spark.createDataFrame([(i, t, "en", "s", 0, "p", "q") for i, t in brute.odd_ids()],
+                                 "doc_id long, text string, lang string, source string, n_chars long, _id string, _Key string")
+    return made.repartition(4, "text").cache()
+
+
+def test_missing_and_repeated_ids(unnamed):
+    rows = brute.odd_ids()
+    assert as_rows(dedup.exact_dedup(unnamed, digests=True), "doc_id", "keep_id", "group_size", "kept", "text_sha256") == brute.exact_groups(rows)
+    for k, percent in ((3, 90), (5, 80)):
+        assert as_rows(jaccard.jaccard_components(unnamed, k, percent), "doc_id", "n_shingles", "component_id") == \
+            brute.jaccard_components(rows, k, percent)
+    got = substring.without_repeats(unnamed)
+    assert as_rows(got, "doc_id", "n_words", "n_removed", "kept") == brute.without_repeats(rows)
+    assert got.filter("_id <> 'p' or _Key <> 'q'").count() == 0 and {"_id", "_Key"} <= set(got.columns)
 
 
 def test_exact_dedup(odd, rows):
