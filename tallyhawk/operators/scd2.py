@@ -116,8 +116,8 @@ def watermark_advance(staged: DataFrame, old) -> Column:
 
 # --- classification ------------------------------------------------------------
 
-def classify(hist: DataFrame, staged: DataFrame, source_keys: DataFrame, key: str, attrs: list[str],
-             semantics: str = REFERENCE) -> DataFrame:
+def classify(hist: DataFrame, staged: DataFrame, source_keys: DataFrame | None, key: str, attrs: list[str],
+             semantics: str = REFERENCE, since=None, day=None) -> DataFrame:
     """History plus one row per source key, with per-key flags.
 
     Staged rows and source keys are first aggregated to one row per key
@@ -129,15 +129,24 @@ def classify(hist: DataFrame, staged: DataFrame, source_keys: DataFrame, key: st
     ``__in_hist`` (key has any version), ``__has_open`` (key has an open
     version), ``__present`` (key is in the source), ``__changed``,
     ``__staged`` and ``__dups`` (most staged or source rows of the key).
+
+    With ``source_keys=None`` the rows are a whole snapshot, which also lists the
+    source's keys, and the window decides what :func:`stage_snapshot` would stage
+    (``since`` its watermark, on ``day``): a row that equals the open version has
+    that version's start for ``update_dt``, any other the day. The history is
+    moved once, where staging before the merge moves its open versions twice.
     """
     _check(semantics)
+    whole = source_keys is None
     attr_struct = T.StructType([T.StructField(a, hist.schema[a].dataType) for a in attrs])
     upd = F.col("update_dt").cast("date") if "update_dt" in staged.columns else F.lit(None).cast("date")
     s = staged.select(key, F.struct(*[F.col(a) for a in attrs]).cast(attr_struct).alias("__sv"),
-                      upd.alias("__upd"), F.lit(1).alias("__ns"), F.lit(0).alias("__nk"))
-    k = source_keys.select(key, F.lit(None).cast(attr_struct).alias("__sv"), F.lit(None).cast("date").alias("__upd"),
-                           F.lit(0).alias("__ns"), F.lit(1).alias("__nk"))
-    sk = s.unionByName(k).groupBy(key).agg(
+                      upd.alias("__upd"), F.lit(1).alias("__ns"), F.lit(1 if whole else 0).alias("__nk"))
+    if not whole:
+        s = s.unionByName(source_keys.select(
+            key, F.lit(None).cast(attr_struct).alias("__sv"), F.lit(None).cast("date").alias("__upd"),
+            F.lit(0).alias("__ns"), F.lit(1).alias("__nk")))
+    sk = s.groupBy(key).agg(
         F.max("__sv").alias("__sv"), F.max("__upd").alias("__upd"),
         F.sum("__ns").alias("__ns"), F.sum("__nk").alias("__nk"))
     sk = sk.select(key, *[F.col("__sv")[a].alias(a) for a in attrs],
@@ -159,21 +168,31 @@ def classify(hist: DataFrame, staged: DataFrame, source_keys: DataFrame, key: st
           .withColumn("__present", F.max(role == "sk").over(w))
           .withColumn("__staged", F.col("__ns") > 0)
           .withColumn("__dups", F.greatest("__ns", "__nk")))
+    if whole:
+        same = is_h & _is_open() & F.col("__s").isNotNull() & ~_differs(attrs, "__s")
+        u = u.withColumn("__since", F.coalesce(F.max(F.when(same, F.col("effective_from"))).over(w), _day(day)))
+        new = F.col("__since") > _wm(since)
+        u = (u.withColumn("__s", F.when(new, F.col("__s")))
+              .withColumn("__staged", F.col("__staged") & new)
+              .withColumn("__upd", F.when(F.col("__staged"), F.col("__since"))).drop("__since"))
     compared = is_h if semantics == REFERENCE else (is_h & _is_open())
     diff = compared & F.col("__s").isNotNull() & _differs(attrs, "__s")
     return u.withColumn("__changed", F.max(diff).over(w))
 
 
-def scd2_merge(hist: DataFrame, staged: DataFrame, source_keys: DataFrame, day, key: str,
-               attrs: list[str], semantics: str = REFERENCE, observation=None) -> DataFrame:
+def scd2_merge(hist: DataFrame, staged: DataFrame, source_keys: DataFrame | None, day, key: str,
+               attrs: list[str], semantics: str = REFERENCE, observation=None, since=None) -> DataFrame:
     """One day's type-2 merge; returns the complete new history.
 
+    ``staged`` with ``source_keys`` are a day's staged rows and the source's keys; ``staged`` with
+    ``source_keys=None`` is a whole snapshot, staged within the merge against the watermark ``since``.
+
     A key staged or listed twice fails the job that evaluates the result (the
     reference's primary keys), inside the same pass. With ``observation`` (a
     ``pyspark.sql.Observation``) the new watermark ``max_update_dt`` of the
     staged rows is collected while the result is written.
     """
-    c = classify(hist, staged, source_keys, key, attrs, semantics)
+    c = classify(hist, staged, source_keys, key, attrs, semantics, since, day)
     if observation is not None:
         c = c.observe(observation, F.max("__upd").alias("max_update_dt"))
     d = _day(day)

@@ -86,9 +86,11 @@ class IncompleteDayError(ValueError):
 
 
 def merge_dimension(spark: SparkSession, wh: Warehouse, base: Warehouse, name: str, day: _dt.date, staged: DataFrame,
-                    source_keys: DataFrame, version: int, semantics: str) -> tuple:
+                    source_keys: DataFrame | None, version: int, semantics: str) -> tuple:
     """Merge one dimension of ``base`` into a new version in one job; returns (version, watermark, closed versions, open rows).
 
+    Without ``source_keys`` the rows are a whole snapshot, staged within the merge.
+
     strict: closed versions never change, so only the open rows take part in
     the merge; the day's newly closed rows become one more closed partition.
     reference: changes compare with every version and deletions re-stamp
@@ -102,7 +104,8 @@ def merge_dimension(spark: SparkSession, wh: Warehouse, base: Warehouse, name: s
     if hist is None:
         hist = _empty_hist(spark, name)
     obs = Observation(f"{name}_watermark")
-    merged = scd2.scd2_merge(hist, staged, source_keys, day, key, attrs, semantics, observation=obs)
+    merged = scd2.scd2_merge(hist, staged, source_keys, day, key, attrs, semantics, observation=obs,
+                             since=base.watermark(name))
     merged = checks.enforce_lengths(merged, MAX_LENGTHS[name], name)
     open_rows = wh.write_history(name, version, merged)
     latest = obs.get.get("max_update_dt")
@@ -188,12 +191,7 @@ def run_day(spark: SparkSession, wh: Warehouse, input_dir: str, archive_dir: str
 
     def load_terminals():
         snap = files.read_terminals(spark, picked[KIND_TERMINALS])   # duplicate ids fail the merge job
-        current_terminals = base.read_history("terminals", open_only=True)
-        if current_terminals is None:
-            current_terminals = _empty_hist(spark, "terminals")
-        key, attrs, _ = DIMENSIONS["terminals"]
-        staged = scd2.stage_snapshot(snap, current_terminals, key, attrs, base.watermark("terminals"), day)
-        return merge_dimension(spark, wh, base, "terminals", day, staged, snap.select(key), version, semantics)
+        return merge_dimension(spark, wh, base, "terminals", day, snap, None, version, semantics)
 
     def load_blacklist():   # full refresh; a second row of a passport fails the job that writes it
         bl = files.read_blacklist(spark, picked[KIND_BLACKLIST])

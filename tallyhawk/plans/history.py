@@ -9,8 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from tallyhawk.operators import scd2
 from tallyhawk.schemas import INITIAL_WATERMARK, REFERENCE
@@ -33,18 +32,15 @@ def fold_days(spark: SparkSession, days: Sequence, sources: Sequence[DataFrame],
     ensure_checkpoint_dir(spark)
     if hist is None:
         hist = empty_like(spark, sources[0], key, attrs)
-    wm = F.lit(watermark)
     for day, src in zip(days, sources):
         src = src.select(key, *attrs)
-        if staging == SNAPSHOT:
-            staged = scd2.stage_snapshot(src, hist, key, attrs, wm, day)
-        elif staging == RESTAGE_ALL:
-            staged = scd2.stage_all(src, key, attrs, day)
+        if staging == RESTAGE_ALL:
+            hist = scd2.scd2_merge(hist, scd2.stage_all(src, key, attrs, day), src.select(key), day, key, attrs, semantics)
+            hist = materialize(hist, "history") if checkpoint else hist
+        elif staging == SNAPSHOT:  # only snapshot staging filters on the watermark, observed while the day is written
+            seen = Observation("watermark")
+            hist = materialize(scd2.scd2_merge(hist, src, None, day, key, attrs, semantics, seen, watermark), "history")
+            watermark = seen.get.get("max_update_dt") or watermark
         else:
             raise ValueError(f"unknown staging {staging!r}")
-        new_hist = scd2.scd2_merge(hist, staged, src.select(key), day, key, attrs, semantics)
-        if staging == SNAPSHOT:  # only snapshot staging filters on the watermark
-            wm_value = staged.agg(F.max("update_dt")).first()[0]
-            wm = F.lit(wm_value) if wm_value is not None else wm
-        hist = materialize(new_hist, "history") if checkpoint else new_hist
     return hist

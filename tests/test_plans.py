@@ -95,3 +95,16 @@ def test_building_a_report_starts_no_job(spark):
 def test_asof_report_has_no_join_without_an_equality(spark):
     plan = _plan(catalog.QUERIES["fraud_report_asof"](spark, SF_SMALL))
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+def test_snapshot_merge_moves_the_history_once(spark, tmp_path):
+    """A snapshot is staged within the merge: one scan and one exchange of the history, one scan of the snapshot."""
+    from tallyhawk.plans import history
+    snaps = [fx.snapshot(spark, SF_SMALL, n) for n in (1, 2)]
+    for n, df in enumerate([history.fold_days(spark, fx.SCD2_DAYS[:1], snaps[:1], "k", ["s"]), snaps[1]]):
+        df.write.parquet(str(tmp_path / f"t{n}"))
+    hist, snap = (spark.read.parquet(str(tmp_path / f"t{n}")) for n in (0, 1))
+    plan = _plan(scd2.scd2_merge(hist, snap, None, fx.SCD2_DAYS[1], "k", ["s"], since=dt.date(2024, 3, 1)))
+    scans = [l for l in plan.splitlines() if "Scan parquet" in l]
+    assert sum("/t0" in l for l in scans) == 1 and sum("/t1" in l for l in scans) == 1
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 2   # the snapshot's keys, then everything once
