@@ -6,12 +6,14 @@ its first word) have reached the threshold, whichever shard that is, and it is c
 scans until it has seen each shard once. So lengths are interleaved: in one scan, words, pairs and triples are counted
 side by side, and mining ends when the last phrase has completed its cycle, at most a cycle a length later.
 
-The counts are a table with one row a phrase, named by a 64-bit hash: its count so far, the shards it has seen and the
-scan in which it reached the threshold. Tasks know the subphrases that did from bitmaps of bounded size, which have no
-false negatives; a phrase that gets in by chance is counted too, and the shards seen keep any phrase from being counted
+The counts are a table with one row a phrase, named by a 64-bit hash: its count so far, the shards counted and the
+scan in which it reached the threshold. A phrase that reaches a threshold t over s shards has t / s or more in one of
+them, so a shard's smaller counts are not kept (most phrases occur once); a shard without a count may hide up to that,
+and a phrase is taken to have reached the threshold once it may have. Tasks know the subphrases that did from bitmaps of bounded size, which have no
+false negatives; a phrase that gets in by chance is counted too, and the shards noted keep any phrase from being counted
 twice. Tasks add up their counts before the shuffle, so a frequent word or phrase is a row a task. The phrases that
-reached the threshold are written out by a last scan, which counts them by their words, so hashes that meet change no
-result.
+reached the threshold are written out by a last scan, which counts them by their words: neither hashes that meet nor counts that were not
+kept change a result.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhawk.llm.common import combined, cut, in_filter, key_filter, prepare, release
+from tallyhawk.llm.common import combined, cut, in_filter, key_filters, prepare, release
 from tallyhawk.llm.text import BYTE, U, buffers, mix, power, signed, slices
 
 #: Between pieces, and between the words of a piece.
@@ -170,7 +172,8 @@ def _part(phrase: str, words: str) -> Column:
 
 def _bitmaps(rows: DataFrame, sizes: list[int], counts: dict[int, int]) -> list:
     """A key filter of ``rows`` (size, h) for each size, at its place in a list."""
-    return [None, *(key_filter(rows.filter(F.col("size") == k), "h", counts.get(k, 0)) for k in sizes)]
+    found = key_filters(rows, "h", "size", {k: counts.get(k, 0) for k in sizes}) if sizes else {}
+    return [None, *(found[k] for k in sizes)]
 
 
 def count_phrases(docs: DataFrame, longest: int = 3, least: int = 10, shards: int = 3) -> DataFrame:
@@ -182,6 +185,7 @@ def count_phrases(docs: DataFrame, longest: int = 3, least: int = 10, shards: in
     prepare(spark)
     shard = F.pmod(F.xxhash64(*docs.columns), F.lit(shards))
     shorter = list(range(1, longest))
+    enough = -(-least // shards)
     state = None
     for step in range(longest * shards):
         ready, late = [None] * (longest + 1), None
@@ -201,21 +205,23 @@ def count_phrases(docs: DataFrame, longest: int = 3, least: int = 10, shards: in
             return _counting(active, words, *known.value)(batches)
 
         bit = 1 << (step % shards)
-        found = docs.filter(shard == step % shards).mapInArrow(run, _HASHED).select(
-            "size", "h", F.lit(0).cast("long").alias("f"), F.lit(0).alias("seen"), F.lit(None).cast("int").alias("reach"), "n")
+        found = docs.filter(shard == step % shards).mapInArrow(run, _HASHED).groupBy("size", "h").agg(F.sum("n").alias("n")) \
+            .filter(F.col("n") >= enough).select("size", "h", F.lit(0).cast("long").alias("f"), F.lit(0).alias("seen"),
+                                                 F.lit(None).cast("int").alias("reach"), "n")
         before = state
         rows = found if before is None else found.union(before.withColumn("n", F.lit(0).cast("long")))
         merged = rows.groupBy("size", "h").agg(F.sum("f").alias("f"), F.max("seen").alias("seen"), F.max("reach").alias("reach"),
                                                F.sum("n").alias("n"))
         total = F.when(F.col("seen").bitwiseAND(bit) == 0, F.col("f") + F.col("n")).otherwise(F.col("f"))
         seen = F.when(F.col("n") > 0, F.col("seen").bitwiseOR(bit)).otherwise(F.col("seen"))
-        state = cut(merged.select("size", "h", total.alias("f"), seen.alias("seen"),
-                                  F.coalesce("reach", F.when(total >= least, F.lit(step))).alias("reach")))
+        hidden = (enough - 1) * (min(step + 1, shards) - F.bit_count("seen"))
+        state = merged.select("size", "h", total.alias("f"), seen.alias("seen"), "reach")
+        state = cut(state.withColumn("reach", F.coalesce("reach", F.when(F.col("f") + hidden >= least, F.lit(step)))))
         if before is not None:
             release(before)
         known.unpersist()
 
-    often = state.filter(F.col("f") >= least)
+    often = state.filter(F.col("reach").isNotNull())
     counts = {r["size"]: r["count"] for r in often.groupBy("size").count().collect()}
     wanted = spark.sparkContext.broadcast(_bitmaps(often, [*shorter, longest], counts))
     release(state)

@@ -46,16 +46,23 @@ def key_filter(keys: DataFrame, column: str, count: int) -> tuple[np.ndarray, in
     16 to 32 bits a key, at most ``MAX_FILTER_BITS``. It only spares rows a shuffle; what passes by chance
     is settled by the exact join or group behind it.
     """
-    bits = min(MAX_FILTER_BITS, max(18, int(16 * max(count, 1)).bit_length()))
-    low = F.col(column).bitwiseAND(F.lit((1 << bits) - 1).cast("long")) + 1
-    found = keys.groupBy(F.bitmap_bucket_number(low).alias("b")).agg(
+    return key_filters(keys.select(F.lit(0).alias("of"), column), column, "of", {0: count})[0]
+
+
+def key_filters(keys: DataFrame, column: str, by: str, counts: dict[int, int]) -> dict[int, tuple[np.ndarray, int]]:
+    """A :func:`key_filter` for each value of ``by`` that ``counts`` names, in one job."""
+    size = {k: min(MAX_FILTER_BITS, max(18, int(16 * max(n, 1)).bit_length())) for k, n in counts.items()}
+    out = {k: (np.zeros(1 << (bits - 3), dtype=np.uint8), bits) for k, bits in size.items()}
+    mask = F.create_map(*(F.lit(x) for k, bits in size.items() for x in (k, (1 << bits) - 1)))
+    low = F.col(column).bitwiseAND(mask[F.col(by)].cast("long")) + 1
+    found = keys.filter(F.col(by).isin(list(counts))).groupBy(by, F.bitmap_bucket_number(low).alias("b")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(low)).alias("m")).collect()
-    bitmap = np.zeros(1 << (bits - 3), dtype=np.uint8)
     for r in found:
+        bitmap = out[r[by]][0]
         part = np.frombuffer(r["m"], dtype=np.uint8)
         at = (r["b"] - 1) * 4096
         bitmap[at:at + 4096] = part[:len(bitmap) - at]
-    return bitmap, bits
+    return out
 
 
 def combined(tables: Iterable[pa.Table], keys: list[str], sums: list[str], held: int = 1 << 19) -> Iterator[pa.RecordBatch]:
