@@ -5,12 +5,15 @@ being one space, hashed into ``FEATURES`` buckets. Term frequencies are dampened
 weighted by the inverse document frequency over all training documents and normalised. Each language
 has several centroids: spherical k-means over a bounded sample of its training documents
 (``SAMPLE`` a language, those with the smallest hash). A text takes the language of the centroid with
-the largest cosine; it is rejected if it has no letter or is too far from every centroid: if that
-cosine is below ``SLACK`` times the smallest in the language's sample. Short clean texts hold few n-grams
-and so lie far out; the slack keeps them, texts of other scripts or languages fall far below it.
-
-Fitting: one pass for the document frequencies, whose partial counts are summed by Spark, and one for
-the sample's vectors; predictions are one pass without a shuffle.
+the largest cosine; it is rejected if it has no letter or is too far from every centroid. How far is
+too far depends on a text's length, as short texts hold few n-grams and lie far out: the sample's texts
+and stretches of them of doubling length are measured against their language's centroids, and a text is
+rejected below ``SLACK`` times the ``QUANTILE`` of those of about its number of n-grams. Noise, texts of
+languages that are not learned and texts of a few words over and over lie below it.
+
+Fitting: one pass for the document frequencies, whose partial counts are summed by Spark, one for the
+sample, one for its vectors, which are clustered in a task a language; the driver gets the centroids.
+Predictions are one pass without a shuffle.
 """
 
 from __future__ import annotations
@@ -20,33 +23,55 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhawk.llm.common import prepare
+from tallyhawk.llm.common import cut, prepare
 
 FEATURES = 1 << 13
 SAMPLE = 400
 CENTROIDS = 4
-SLACK = 0.15
-#: Values of lang that are learned at most, the most frequent ones; bounds the model.
-LANGUAGES = 200
+SLACK = 0.85
+QUANTILE = 0.01
+#: Letters of the stretches that are measured.
+STRETCHES = tuple(1 << i for i in range(4, 13))
+#: Texts or stretches a quantile is taken of.
+ENOUGH = 20
+#: Distances are kept by the logarithm of the number of n-grams.
+LENGTHS = 32
 _OTHER = re.compile(r"[\W\d_]+")
 
 
-def term_counts(text: str) -> np.ndarray | None:
-    """Counts of the hashed n-grams of a text's letters; None without a letter."""
-    letters = _OTHER.sub(" ", text.lower()).strip()
-    if not letters:
+def letters(text: str) -> str:
+    """The letters of a text, lower-cased, what lies between them being one space."""
+    found = _OTHER.sub(" ", text.lower()).strip()
+    if found and not found.replace(" ", "").isalpha():  # numerals and the like that are no digits
+        found = " ".join("".join(c if c.isalpha() else " " for c in found).split())
+    return found
+
+
+def counts_of(found: str) -> np.ndarray | None:
+    """Counts of the hashed n-grams of :func:`letters`; None without any."""
+    if not found:
         return None
-    b = np.frombuffer(f" {letters} ".encode(), dtype=np.uint8).astype(np.uint32)
+    b = np.frombuffer(f" {found} ".encode(), dtype=np.uint8).astype(np.uint32)
     two = b[:-1] * np.uint32(256) + b[1:]
     three = two[:-1] * np.uint32(256) + b[2:]
     hashed = [(g + np.uint32(n << 26)) * np.uint32(2654435761) >> np.uint32(32 - 13) for n, g in ((1, b), (2, two), (3, three))]
     return np.bincount(np.concatenate(hashed), minlength=FEATURES)
 
 
+def term_counts(text: str) -> np.ndarray | None:
+    """Counts of the hashed n-grams of a text's letters; None without a letter."""
+    return counts_of(letters(text))
+
+
+def length_class(counts: np.ndarray) -> int:
+    return min(LENGTHS, int(counts.sum()).bit_length()) - 1
+
+
 def vector(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     v = np.sqrt(counts) * idf
     norm = np.sqrt(v @ v)
@@ -55,12 +80,12 @@ def vector(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """``names[i]`` is the language of ``centroids[i]``; ``farthest`` the rejection distance by language."""
+    """``names[i]`` is the language of ``centroids[i]``; ``nearest`` the least cosine by language and length class."""
 
     names: list[str]
     centroids: np.ndarray
     idf: np.ndarray
-    farthest: dict[str, float]
+    nearest: dict[str, list[float]]
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """Language, cosine to its nearest centroid (0 to 1), whether the text is rejected."""
@@ -70,7 +95,7 @@ class Model:
         cosines = self.centroids @ vector(counts, self.idf)
         best = int(np.argmax(cosines))
         score = float(min(1.0, max(0.0, cosines[best])))
-        return self.names[best], score, 1.0 - score > self.farthest[self.names[best]]
+        return self.names[best], score, score < self.nearest[self.names[best]][length_class(counts)]
 
 
 def cluster(vectors: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
@@ -93,7 +118,11 @@ def cluster(vectors: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
 
 
 def fit(train: DataFrame) -> Model:
-    """Learn from ``train`` (text, lang); rows with a null lang or no letter teach nothing."""
+    """Learn from ``train`` (text, lang); rows with a null lang or no letter teach nothing, repeated texts of a language once.
+
+    Every value of lang with a letter in its texts is learned; texts of any length count as a whole. Without rows
+    nothing is learned and every text is ``und``.
+    """
     prepare(train.sparkSession)
     train = train.select("text", "lang").filter("lang is not null and text is not null")
 
@@ -113,35 +142,55 @@ def fit(train: DataFrame) -> Model:
         df[r["feature"]] = r["n"]
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1e-3
 
-    frequent = [r["lang"] for r in train.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()]
-    order = Window.partitionBy("lang").orderBy("h", "n")
-    sample = train.filter(F.col("lang").isin(frequent)).select(
-        "lang", F.xxhash64("text").alias("h"), F.octet_length("text").alias("n"))
-    sample = sample.distinct().withColumn("r", F.row_number().over(order)).filter(F.col("r") <= SAMPLE).select("lang", "h")
-    picked = {(r["lang"], r["h"]) for r in sample.collect()}  # SAMPLE a language at most
-    held = train.sparkSession.sparkContext.broadcast(picked)
+    # the texts with the smallest hashes of each language: a share of the hashes that holds some times as many, then exactly
+    texts = train.select("lang", F.xxhash64("text").alias("h"), F.octet_length("text").alias("n"))
+    share = cut(texts.groupBy("lang").agg((F.lit(8.0 * SAMPLE) / F.count("*")).alias("share")))
+    few = texts.join(share, "lang").filter(F.shiftrightunsigned("h", 33) < F.col("share") * (1 << 31)).select("lang", "h", "n").distinct()
+    order = Window.partitionBy("lang").orderBy(F.shiftrightunsigned("h", 33), "h", "n")
+    sample = cut(few.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= SAMPLE).select("lang", "h").distinct())
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            langs, texts, hashes = (b.column(c).to_pylist() for c in ("lang", "text", "h"))
-            out = [(lang, h, c) for lang, t, h in zip(langs, texts, hashes)
-                   if (lang, h) in held.value and (c := term_counts(t)) is not None]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.int64()),
-                 pa.array([np.minimum(x[2], 65535).astype(np.uint16).tobytes() for x in out], pa.binary())], ["lang", "h", "c"])
-
-    rows = train.withColumn("h", F.xxhash64("text")).mapInArrow(sampled, "lang string, h long, c binary") \
-        .groupBy("lang", "h").agg(F.min("c").alias("c")).collect()  # one bounded vector for each sampled text
-    names, centres, farthest = [], [], {}
-    for lang in sorted({r["lang"] for r in rows}):
-        own = sorted((r["h"], r["c"]) for r in rows if r["lang"] == lang)
-        vectors = np.stack([vector(np.frombuffer(c, np.uint16).astype(np.float64), idf) for _, c in own]).astype(np.float32)
-        found = cluster(vectors, CENTROIDS)
-        names += [lang] * len(found)
-        centres.append(found)
-        farthest[lang] = 1 - SLACK * float((vectors @ found.T).max(axis=1).min())
-    return Model(names, np.concatenate(centres) if centres else np.zeros((0, FEATURES), np.float32),
-                 idf.astype(np.float32), farthest)
+            out = []
+            for lang, t, h in zip(*(b.column(c).to_pylist() for c in ("lang", "text", "h")), strict=True):
+                whole = letters(t)
+                parts = [(0, whole)] + [(n, whole[(at := h % (len(whole) - n)):at + n]) for n in STRETCHES if n < len(whole)]
+                for n, part in parts:
+                    if (c := counts_of(part.strip())) is not None:
+                        at = np.flatnonzero(c)
+                        out.append((lang, h, n, at.astype("<u2").tobytes(), c[at].astype("<u8").tobytes()))
+            kinds = (pa.string(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], k) for i, k in enumerate(kinds)], ["lang", "h", "part", "at", "c"])
+
+    # a language's sample is bounded: SAMPLE texts and their stretches
+    held = train.sparkSession.sparkContext.broadcast(idf)
+    rows = train.withColumn("h", F.xxhash64("text")).join(sample, ["lang", "h"], "left_semi") \
+        .mapInArrow(sampled, "lang string, h long, part int, at binary, c binary") \
+        .groupBy("lang", "h", "part").agg(F.min(F.struct("at", "c")).alias("v")).select("lang", "h", "part", "v.*")
+
+    def learned(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["h", "part"])
+        counts = [_dense(a, c) for a, c in zip(rows["at"], rows["c"])]
+        centres = cluster(np.stack([vector(c, held.value) for c, n in zip(counts, rows["part"]) if n == 0]).astype(np.float32), CENTROIDS)
+        seen: list[list[float]] = [[] for _ in range(LENGTHS)]
+        for c in counts:
+            seen[length_class(c)].append(float((centres @ vector(c, held.value)).max()))
+        enough = min(ENOUGH, max(map(len, seen)))  # of a length; other lengths take the nearest one's
+        least = {i: SLACK * float(np.quantile(x, QUANTILE)) for i, x in enumerate(seen) if len(x) >= enough}
+        least = [least[min(least, key=lambda k: (abs(k - i), k))] for i in range(LENGTHS)]
+        return pd.DataFrame({"lang": [rows["lang"].iloc[0]], "centres": [centres.tobytes()], "nearest": [least]})
+
+    found = sorted(rows.groupBy("lang").applyInPandas(learned, "lang string, centres binary, nearest array<double>").collect())
+    centres = [np.frombuffer(r["centres"], np.float32).reshape(-1, FEATURES) for r in found]
+    return Model([r["lang"] for r, c in zip(found, centres) for _ in c],
+                 np.concatenate(centres) if centres else np.zeros((0, FEATURES), np.float32),
+                 idf.astype(np.float32), {r["lang"]: r["nearest"] for r in found})
+
+
+def _dense(at: bytes, counts: bytes) -> np.ndarray:
+    out = np.zeros(FEATURES)
+    out[np.frombuffer(at, "<u2")] = np.frombuffer(counts, "<u8")
+    return out
 
 
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
@@ -153,7 +202,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` (text and any other columns) with lang_pred, lang_score and rejected, replacing such columns.
 
     A null text or one without a letter is "und", score 0, rejected. Whole texts are read; lang, source and
-    doc_id play no part. An empty table gives no rows.
+    doc_id play no part, so rows that repeat a text or an id are judged alike. Of languages at the same cosine
+    the first in order of name is taken. An empty table gives no rows.
     """
     prepare(docs.sparkSession)
     docs = docs.drop("lang_pred", "lang_score", "rejected")
