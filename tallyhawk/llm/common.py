@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -11,6 +12,11 @@ from pyspark.sql import functions as F
 
 from tallyhawk.session import ensure_checkpoint_dir, materialize, ship_package
 
+try:
+    _libc = ctypes.CDLL("libc.so.6")
+except OSError:  # another C library: its allocator is left alone
+    _libc = None
+
 #: Largest key filter: 2^28 bits, 32 MB, whatever the number of keys.
 MAX_FILTER_BITS = 28
 
@@ -40,6 +46,13 @@ def release(*tables: DataFrame) -> None:
                 folder.getFileSystem(session._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system: Python workers live on after their tasks, next to the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
+
+
 def key_filter(keys: DataFrame, column: str, count: int) -> tuple[np.ndarray, int]:
     """A bitmap of the low bits of evenly spread 64-bit ``keys``: no false negatives, size bounded.
 
@@ -82,9 +95,10 @@ def combined(tables: Iterable[pa.Table], keys: list[str], sums: list[str], held:
             if rows > held // 2:
                 yield from parts[0].to_batches()
                 parts, rows = [], 0
-                pa.default_memory_pool().release_unused()
+                give_back()
     if parts:
         yield from merged().to_batches()
+    give_back()
 
 
 def in_filter(bitmap: np.ndarray, bits: int, keys: np.ndarray) -> np.ndarray:

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhawk.llm.common import cut, in_filter, key_filter, prepare, release
+from tallyhawk.llm.common import cut, give_back, in_filter, key_filter, prepare, release
 from tallyhawk.llm.text import BYTE, U, buffers, mix, power, signed, slices
 
 LENGTH = 200
@@ -188,17 +188,22 @@ def _ranges(repeated: np.ndarray) -> tuple[list[int], list[int]]:
     return edge[::2].tolist(), edge[1::2].tolist()
 
 
-def _scan(docs: DataFrame, made, columns: str, length: int, gram: int) -> DataFrame:
-    """``made(key, size, runs, data, offsets)`` over slices of ``docs`` (key, size, text); it returns Arrow columns."""
+def _scan(docs: DataFrame, made, columns: str, length: int, gram: int, wanted=None) -> DataFrame:
+    """``made(key, size, runs, data, offsets)`` over slices of ``docs`` (key, size, text); it returns Arrow columns.
+
+    ``wanted(key)``: which documents are looked at.
+    """
     names = [c.split()[0] for c in columns.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            if wanted is not None:
+                b = b.filter(pa.array(wanted(b.column("key").to_numpy())))
             key, size = (b.column(c).to_numpy() for c in ("key", "size"))
             for lo, hi, data, offsets in slices(b.column("text"), SLICE):
                 runs = Runs(data, offsets, length, gram)
                 yield pa.RecordBatch.from_arrays(made(key[lo:hi], size[lo:hi], runs, data, offsets), names)
-            pa.default_memory_pool().release_unused()
+            give_back()
 
     return docs.mapInArrow(run, columns)
 
@@ -239,10 +244,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     total, anchors, keys = compared.agg(F.sum(F.col("windows") + length), F.count_distinct("anchor"), F.count_distinct("key")).first()
     mixed = sc.broadcast((key_filter(compared, "anchor", anchors), key_filter(compared, "key", keys)))
 
-    def holding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Documents that hold a string to compare."""
-        for b in batches:
-            yield b.filter(pa.array(in_filter(*mixed.value[1], b.column("key").to_numpy().view(U))))
+    def holding(key: np.ndarray) -> np.ndarray:
+        """Documents that may hold a string to compare."""
+        return in_filter(*mixed.value[1], key.view(U))
 
     def bytes_of(key, size, r: Runs, data, offsets) -> list[pa.Array]:
         at = np.flatnonzero(in_filter(*mixed.value[0], r.anchor))
@@ -253,7 +257,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
         return [pa.array(signed(r.anchor[at])), pa.array(signed(r.content[at])), pa.array(r.windows[at].astype(np.int32)),
                 pa.array([raw[a:b] for a, b in zip(r.start[at].tolist(), stop.tolist())], pa.binary())]
 
-    texts = _scan(docs.mapInArrow(holding, docs.schema), bytes_of, "anchor long, content long, windows int, text binary", length, gram) \
+    texts = _scan(docs, bytes_of, "anchor long, content long, windows int, text binary", length, gram, holding) \
         .groupBy(by).agg(F.min("text").alias("text"))
     texts = cut(texts.join(compared.drop("key", "bytes"), by))
     shards = max(1, -(-(total or 0) // SHARD_BYTES))
@@ -262,6 +266,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
         out = []
         for a, c, w, found in zip(rows["anchor"], rows["content"], rows["windows"], repeated_windows(list(rows["text"]), length)):
             out += [(a, c, w, lo, hi) for lo, hi in zip(*_ranges(found))]
+        give_back()
         return pd.DataFrame(out, columns=[*by, "low", "high"])
 
     spans = "anchor long, content long, windows int, low int, high int"
@@ -333,6 +338,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 there = in_filter(*losing.value, b.column("key").to_numpy().view(U))
                 part = b.filter(pa.array(there == wanted))
                 yield from [part] if wanted else in_parts(part)
+                give_back()
         return run
 
     whole_type = packed.schema["row"].dataType.simpleString()
