@@ -126,7 +126,8 @@ def components(edges: DataFrame, a: str, b: str, out: str) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"),
                                             F.col("m").alias("v"))
-        now = cut(small.filter("u <> v").distinct())
+        before, now = now, cut(small.filter("u <> v").distinct())
+        release(before, large)
         mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark == seen:
             break
