@@ -32,7 +32,7 @@ from tallyhawk.llm.text import BYTE, U, buffers, mix, power, signed, slices
 #: Between pieces, and between the words of a piece.
 BREAKS = b".,;:!?\x0a\x0b\x0c\x0d"
 BLANKS = b" \x09"
-SLICE = 2 << 20
+SLICE = 1 << 20
 UNKNOWN = "und"
 
 _HASHED = "size int, h long, n long"
@@ -133,7 +133,7 @@ def _counting(longest: int, words: bool, ready: list, late: list | None):
                                         "h": pa.array(signed(found[edge[:-1]])), "n": pa.array(np.diff(edge))})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from combined(tables(batches), ["size", "h"], ["n"], held=1 << 20)
+        yield from combined(tables(batches), ["size", "h"], ["n"], held=1 << 19)
 
     return run
 
@@ -160,7 +160,7 @@ def _naming(longest: int, wanted: list):
                                     "phrase": phrase.cast(pa.string()), "n": pa.array(n)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from combined(tables(batches), ["size", "lang", "phrase"], ["n"], held=1 << 18)
+        yield from combined(tables(batches), ["size", "lang", "phrase"], ["n"], held=1 << 16)
 
     return run
 
