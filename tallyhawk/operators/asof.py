@@ -4,9 +4,10 @@
 full snapshots without folding day by day (gaps and islands): per key,
 consecutive snapshot days with equal attributes form one version; a version
 ends the day before the key changes (open again) or disappears (closed and
-flagged deleted). Rows are first reduced to one per (key, day) with a partial
-aggregate, so the windows run per key over at most one row per snapshot day
-and their groups are bounded by the number of days.
+flagged deleted). The rows are moved by key and sorted once, without an
+aggregate before: a key has one row per snapshot day (a second one fails the
+job), so the windows' groups are bounded by the number of days and a task
+holds the rows of its partition once.
 
 ``temporal_chain`` intersects the card, account and client histories into the
 versions of the whole chain: equi joins on the keys with overlapping
@@ -26,42 +27,52 @@ from pyspark.sql import functions as F
 from tallyhawk.functions.scalars import open_end
 
 
+#: Snapshot rows of one task, where their number is known.
+ROWS_PER_TASK = 500_000
+
+
+def tasks_for(rows: int) -> int:
+    """Partitions in which ``rows`` rows are at most about :data:`ROWS_PER_TASK` each."""
+    return max(1, -(-rows // ROWS_PER_TASK))
+
+
 def scd2_from_snapshots(snapshots: DataFrame, key: str, attrs: list[str], day_col: str = "day",
-                        days: DataFrame | None = None) -> DataFrame:
+                        days: DataFrame | None = None, rows: int | None = None) -> DataFrame:
     """Strict history from ``snapshots`` (key, attrs..., day), one full snapshot per day.
 
     ``days`` lists every snapshot day (defaults to the days present in
     ``snapshots``); a key missing on a listed day is deleted on that day.
+    ``rows``, where the caller knows a bound of the snapshots' rows, sets the number
+    of tasks; without it AQE sizes them by the bytes it measures.
     """
     cal = (days if days is not None else snapshots.select(day_col).distinct()).select(F.col(day_col).alias("day"))
     cal = cal.withColumn("idx", F.row_number().over(Window.orderBy("day")))   # one row per day
     last_idx = cal.agg(F.max("idx")).scalar()
-    # one row per (key, day): copies collapse map-side; a key listed twice in a snapshot fails the job
-    vals = snapshots.groupBy(key, F.col(day_col).alias("day")).agg(
-        F.max(F.struct(*[F.col(a) for a in attrs])).alias("__v"), F.count(F.lit(1)).alias("__n"))
-    checked = F.when(F.col("__n") > 1, F.raise_error(F.concat(F.lit(f"duplicate key {key}="),
-                                                              F.col(key).cast("string")))).otherwise(F.col(key))
-    s = vals.select(checked.alias(key), *[F.col("__v")[a].alias(a) for a in attrs], "day") \
-        .join(cal, "day")
-
-    w = Window.partitionBy(key).orderBy("idx")
-    prev_vals = F.lag(F.struct(*[F.col(a) for a in attrs])).over(w)
-    s = s.withColumn("_prev_idx", F.lag("idx").over(w)).withColumn("_prev", prev_vals)
+    s = snapshots.select(key, *attrs, F.col(day_col).alias("day")).filter(F.col("day").isNotNull())
+    # moved by key once and sorted by (key, day) once: all windows below share both
+    s = s.repartition(key) if rows is None else s.repartition(tasks_for(rows), key)
+    by_day = Window.partitionBy(key).orderBy("day")
+    # a key listed twice in a snapshot fails the job
+    checked = F.when(F.lag("day").over(by_day) == F.col("day"), F.raise_error(F.concat(
+        F.lit(f"duplicate key {key}="), F.col(key).cast("string")))).otherwise(F.lit(True))
+    s = s.withColumn("_checked", checked).filter("_checked").join(F.broadcast(cal), "day").select(key, *attrs, "day", "idx")
+
+    s = s.withColumn("_prev_idx", F.lag("idx").over(by_day)) \
+        .withColumn("_prev", F.lag(F.struct(*[F.col(a) for a in attrs])).over(by_day)) \
+        .withColumn("_key_last", F.max("idx").over(Window.partitionBy(key)))
     changed = reduce(lambda x, y: x | y, [~F.col(a).eqNullSafe(F.col("_prev")[a]) for a in attrs])
     new_island = F.col("_prev_idx").isNull() | (F.col("_prev_idx") != F.col("idx") - 1) | changed
-    s = s.withColumn("_island", F.sum(new_island.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
 
-    isl = s.groupBy(key, "_island").agg(
-        *[F.first(a, ignorenulls=False).alias(a) for a in attrs],
-        F.min("day").alias("effective_from"), F.min("idx").alias("_first"), F.max("idx").alias("_last"))
-    wi = Window.partitionBy(key).orderBy("_island")
-    isl = isl.withColumn("_next_first", F.lead("_first").over(wi))
+    # an island is its first row; it ends with the row before the next one's first
+    isl = s.filter(new_island).drop("_prev") \
+        .withColumn("_next_first", F.lead("idx").over(by_day)) \
+        .withColumn("_last", F.coalesce(F.lead("_prev_idx").over(by_day), "_key_last"))
     ends = cal.select(F.col("idx").alias("_end_idx"), F.date_sub("day", 1).alias("_end_day"))
-    isl = isl.join(ends, F.col("_end_idx") == F.col("_last") + 1, "left")
+    isl = isl.join(F.broadcast(ends), F.col("_end_idx") == F.col("_last") + 1, "left")
     is_open = F.col("_last") == last_idx
     deleted = ~is_open & (F.col("_next_first").isNull() | (F.col("_next_first") != F.col("_last") + 1))
     return isl.select(
-        key, *attrs, "effective_from",
+        key, *attrs, F.col("day").alias("effective_from"),
         F.when(is_open, open_end()).otherwise(F.col("_end_day")).alias("effective_to"),
         deleted.alias("deleted_flg"))
 

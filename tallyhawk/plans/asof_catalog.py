@@ -26,8 +26,9 @@ from tallyhawk.schemas import REFERENCE, STRICT
 DAYS = 30
 
 
-def _daily(df: DataFrame) -> DataFrame:
-    """Every row once a day, with the day and its number ``n``."""
+def _daily(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Every row once a day, with the day and its number ``n``; ``rows`` rows are first dealt to tasks that stay small."""
+    df = df if rows is None else df.repartition(asof.tasks_for(rows * DAYS))
     return df.withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(DAYS - 1)))).withColumn("day", F.date_add(F.lit(fx.BASE_DAY), F.col("n")))
 
 
@@ -35,9 +36,9 @@ def _date(plus: Column) -> Column:
     return F.date_add(F.lit(fx.BASE_DAY), plus.cast("int"))
 
 
-def snapshots(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+def snapshots(spark: SparkSession, d: str, customers: int | None = None) -> dict[str, DataFrame]:
     k, n = F.col("c_custkey"), F.col("n")
-    c = _daily(fx.table(spark, d, "customer").select("c_custkey", "c_name"))
+    c = _daily(fx.table(spark, d, "customer").select("c_custkey", "c_name"), customers)
     moved = (k % 3 == 0) & (n >= 15) & (k % 10 != 0)
     renewed = F.when((k % 4 == 0) & (n >= k % 20), 20).otherwise(0)
     fresh = (k % 5 == 0) & (n >= k % 25)
@@ -68,7 +69,9 @@ SHAPES = {"cards": ("card_num", ["account_num"]), "accounts": ("account_num", ["
 
 def histories(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     calendar = spark.range(DAYS).select(_date(F.col("id")).alias("day"))
-    return {name: asof.scd2_from_snapshots(df, *SHAPES[name], days=calendar) for name, df in snapshots(spark, d).items()}
+    customers = fx.table(spark, d, "customer").count()   # from the files' footers; an upper bound of all but the terminals
+    return {name: asof.scd2_from_snapshots(df, *SHAPES[name], days=calendar, rows=None if name == "terminals" else customers * DAYS)
+            for name, df in snapshots(spark, d, customers).items()}
 
 
 def q_temporal_chain(spark, d):

@@ -2,12 +2,13 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from tallyhawk.operators import fraud, scd2
+from tallyhawk.operators import asof, fraud, scd2
 from tallyhawk.operators.chain import dim_chain
-from tallyhawk.plans import catalog
+from tallyhawk.plans import asof_catalog, catalog
 from tallyhawk.plans import fixtures as fx
 from tallyhawk.operators.facts import write_day
 from tallyhawk.plans.state import FACTS, Warehouse
@@ -108,3 +109,29 @@ def test_snapshot_merge_moves_the_history_once(spark, tmp_path):
     scans = [l for l in plan.splitlines() if "Scan parquet" in l]
     assert sum("/t0" in l for l in scans) == 1 and sum("/t1" in l for l in scans) == 1
     assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 2   # the snapshot's keys, then everything once
+
+
+def test_history_of_snapshots_sorts_once(spark):
+    """The rows are moved by key and sorted once, without an aggregate that holds a task's whole input."""
+    snaps = fx.snapshot(spark, SF_SMALL, 1).withColumn("day", F.lit(dt.date(2024, 1, 1)))
+    days = spark.createDataFrame([(dt.date(2024, 1, 1),), (dt.date(2024, 1, 2),)], "day date")
+    plan = _plan(asof.scd2_from_snapshots(snaps, "k", ["s"], days=days)).split("== Subqueries")[0]
+    assert "SortAggregate" not in plan and plan.count("Exchange hashpartitioning(k#") == 1
+    assert plan.count("Sort [k#") == 1
+
+
+def test_known_rows_bound_the_rows_of_a_task(spark):
+    snaps = fx.snapshot(spark, SF_SMALL, 1).withColumn("day", F.lit(dt.date(2024, 1, 1)))
+    days = spark.createDataFrame([(dt.date(2024, 1, 1),)], "day date")
+    assert "hashpartitioning(k#" in (p := _plan(asof.scd2_from_snapshots(snaps, "k", ["s"], days=days, rows=7 * asof.ROWS_PER_TASK)))
+    assert ", 7), REPARTITION_BY_NUM" in p
+    daily = asof_catalog.snapshots(spark, SF_SMALL, customers=asof.ROWS_PER_TASK)["cards"]
+    assert f"RoundRobinPartitioning({asof_catalog.DAYS})" in _plan(daily)
+
+
+@pytest.mark.parametrize("key", [1, None])
+def test_key_twice_in_a_snapshot_fails(spark, key):
+    day = dt.date(2024, 1, 1)
+    snaps = spark.createDataFrame([(key, "x", day), (key, "x", day), (2, "y", day)], "k int, s string, day date")
+    with pytest.raises(Exception):
+        asof.scd2_from_snapshots(snaps, "k", ["s"]).collect()
