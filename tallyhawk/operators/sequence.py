@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 FIND = "find"
 #: A key is hot with more rows than this and than one in HOT_SHARE of all rows (so there are fewer than HOT_SHARE).
 HOT_ROWS = 100_000
-HOT_SHARE = 10_000
-#: Items a sketch keeps: ten times the keys it is asked for, so their counts are close.
+HOT_SHARE = 1_000
+#: Items a sketch keeps: ten times the keys it is asked for, so their counts are close. Each task of a load sends its sketch to the driver.
 TRACKED = 10 * HOT_SHARE
 #: Stretches of one hot key at most, which bounds the table of borders.
 MAX_STRETCHES = 256

@@ -231,7 +231,8 @@ def run_day(spark: SparkSession, wh: Warehouse, input_dir: str, archive_dir: str
     # the chain is built and flagged once (blacklist per card; cards that can hit
     # rules 1-2 by the report day) and written with its row counts, so the report
     # reads it back and every broadcast decision has a measured bound
-    chain = dim_chain(read("cards"), read("accounts"), read("clients"))
+    chain = dim_chain(*(read(name) for name in ("cards", "accounts", "clients")),
+                      known_rows=tuple(tables[name][3] for name in ("cards", "accounts", "clients")))
     flags = fraud.chain_with_flags(chain, blacklist, blacklist_rows=tables["blacklist"][3], check_entry_date=check_entry_date)
     flags = flags.withColumn("may_hit", fraud.may_hit_rules_1_2(F.lit(report_day).cast("date")))
     chain_path = f"{wh.epoch_root()}/chain/v={version}"

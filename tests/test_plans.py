@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from tallyhawk.operators import asof, fraud, scd2
+from tallyhawk.operators import asof, chain, fraud, scd2, sequence
 from tallyhawk.operators.chain import dim_chain
 from tallyhawk.plans import asof_catalog, catalog
 from tallyhawk.plans import fixtures as fx
@@ -135,3 +135,21 @@ def test_key_twice_in_a_snapshot_fails(spark, key):
     snaps = spark.createDataFrame([(key, "x", day), (key, "x", day), (2, "y", day)], "k int, s string, day date")
     with pytest.raises(Exception):
         asof.scd2_from_snapshots(snaps, "k", ["s"]).collect()
+
+
+def test_broadcasts_are_bounded_by_counted_rows(spark):
+    """A dimension counted beyond the bound is shuffled, though its files are small enough for Spark's own broadcast."""
+    dims = fx.cards(spark, SF_SMALL), fx.accounts(spark, SF_SMALL), fx.clients(spark, SF_SMALL)
+    assert "BroadcastHashJoin" in _plan(dim_chain(*dims))
+    many = chain.BROADCAST_MAX_ROWS + 1
+    plan = _plan(dim_chain(*dims, known_rows=(many, many, many)))
+    assert "Broadcast" not in plan and plan.count("SortMergeJoin") == 2
+    # a chain row is about 120 bytes; a day's broadcasts all pass through the driver
+    assert chain.BROADCAST_MAX_ROWS * 120 <= 10_000_000
+
+
+def test_sketch_of_hot_cards_is_small(spark):
+    """Every task of a load sends its sketch to the driver: below 0.3 MB however many cards it meets."""
+    many = spark.range(400_000, numPartitions=1).select(F.col("id").cast("string").alias("card_num"))
+    sketch = many.agg(F.expr(f"approx_top_k_accumulate(card_num, {sequence.TRACKED})").alias("s")).select(F.length("s.sketch")).first()[0]
+    assert sketch < 300_000
