@@ -11,13 +11,20 @@ empty, and its empty signatures are left out. Signatures belong to a band of siz
 similar to sets of the next band has signatures for that band too.
 
 1. Equal sets are one vertex, named by a hash of the set, so copies are never paired.
-2. (signature, vertex) pairs are gathered, pre-aggregated to the smallest and largest vertex. Signatures
-   of one vertex alone fall away; for the others each vertex is tied to the signature's smallest. The
-   connected groups of these ties (star rounds) hold all similar pairs.
-3. The sets of the vertices in groups are read again. A group's neighbouring size classes are dealt into
+2. Only sets that may be similar to another go on. A set of n shows its ``shown(n)`` smallest elements, a few more than
+   it may differ in. Of two similar sets, that whose last shown element is the smaller has at least ``needed(n)`` of
+   its shown ones among those that the other shows (its elements up to there are all shown), and so has the other at
+   least as many. A set fewer of whose shown elements are shown by another set is similar to none: strangers that share
+   a passage make no signatures.
+3. (signature, vertex) pairs are gathered, pre-aggregated to the smallest and largest vertex. Signatures
+   of one vertex alone fall away, and of those with the same vertices one stays. A vertex has a sketch, the parities of
+   its elements by their hash, about two a set's element: sketches differ in at most as many places as the sets do.
+   Of a signature's vertices those are tied whose sketches allow them to be similar; where a signature has more than
+   ``SKETCHED`` each is tied to the smallest. The connected groups of these ties (star rounds) hold all similar pairs.
+4. The sets of the vertices in groups are read again. A group's neighbouring size classes are dealt into
    blocks of bounded elements; a pair of blocks is one task's work: exact intersections of its pairs over an inverted list. It
    returns joining links only, never the pairs.
-4. The components of the links give the answer.
+5. The components of the links give the answer.
 """
 
 from __future__ import annotations
@@ -32,13 +39,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhawk.llm.common import components, cut, in_filter, key_filter, prepare
-from tallyhawk.llm.text import U, Words, grams, mix, signed, slices
+from tallyhawk.llm.common import components, cut, give_back, in_filter, key_filter, prepare, release, tidied
+from tallyhawk.llm.text import SMALL_SLICE, U, Words, grams, mix, signed, slices
 
 #: Second-level parts of each first-level part.
 N2 = 3
 #: A band's upper end is about its lower end divided by the similarity this often.
 BAND_STEPS = 2
+#: Per cent of a set's elements that it shows beyond those that it may differ in.
+SHOWN_MORE = 10
+#: Vertices of a signature whose sketches are compared; rows of sketches that a task holds.
+SKETCHED = 4096
+SKETCH_ROWS = 20_000
 #: Elements of one block of a group; a task holds two blocks.
 BLOCK_ELEMENTS = 1_000_000
 
@@ -109,6 +121,62 @@ def signatures(elements: np.ndarray, bands: Bands) -> np.ndarray:
     return np.concatenate(out)
 
 
+def _common(n, percent: int):
+    """Elements that a set of ``n`` has at least in common with a similar one; also the size of the smallest such."""
+    return (percent * n + 99) // 100
+
+
+def _more(n, percent: int):
+    return np.minimum(np.maximum(1, n * SHOWN_MORE // 100), _common(n, percent))
+
+
+def shown(n, percent: int):
+    """How many of its smallest elements a set of ``n`` shows."""
+    return n - _common(n, percent) + _more(n, percent)
+
+
+def needed(n, percent: int):
+    """How many of its shown elements a set of ``n`` has to find shown by another to be similar to it."""
+    return _more(_common(n, percent), percent)
+
+
+def sketch(elements: np.ndarray) -> bytes:
+    """The parity of the number of elements in each of 2 to 4 times as many places, 64 at least."""
+    places = 1 << max(6, (2 * len(elements) - 1).bit_length())
+    at = (mix(elements + U(3)) & U(places - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=places) & 1).tobytes()
+
+
+def _folded(sketches: np.ndarray, width: int) -> np.ndarray:
+    """Sketches, a row each, as they are with the places of ``width`` bytes."""
+    return np.bitwise_xor.reduce(sketches.reshape(len(sketches), -1, width), axis=1)
+
+
+def sketched_links(ids: np.ndarray, size: np.ndarray, sketches: list[bytes], percent: int) -> list[tuple[int, int]]:
+    """Links that join all sets connected by pairs whose sketches differ in no more places than similar sets may."""
+    width = np.fromiter(map(len, sketches), np.int64, len(sketches))
+    row, rows = np.zeros(len(ids), dtype=np.int64), {}
+    for w in np.unique(width).tolist():
+        of = np.flatnonzero(width == w)
+        row[of] = np.arange(len(of))
+        rows[w] = np.frombuffer(b"".join(sketches[i] for i in of), np.uint8).reshape(len(of), w)
+    links, left = [], np.arange(len(ids))
+    while len(left):
+        joined, left = [left[0]], left[1:]
+        while joined and len(left):
+            one = joined.pop()
+            near = 100 * np.minimum(size[left], size[one]) >= percent * np.maximum(size[left], size[one])
+            for w in np.unique(width[left[near]]).tolist():
+                at = np.flatnonzero(near & (width[left] == w))
+                least = min(w, int(width[one]))
+                apart = _folded(rows[w][row[left[at]]], least) ^ _folded(rows[int(width[one])][row[one]][None], least)
+                near[at] = (100 + percent) * np.bitwise_count(apart).sum(axis=1, dtype=np.int64) <= (100 - percent) * (size[left[at]] + size[one])
+            links += [(int(ids[one]), int(ids[i])) for i in left[near]]
+            joined += left[near].tolist()
+            left = left[~near]
+    return links
+
+
 def joining_links(ids: list[int], sets: list[np.ndarray], percent: int, left: list[bool] | None = None) -> list[tuple[int, int]]:
     """Links (J >= percent / 100) that join all sets that are connected by such links.
 
@@ -150,21 +218,35 @@ def joining_links(ids: list[int], sets: list[np.ndarray], percent: int, left: li
     return links
 
 
-def _sets(docs: DataFrame, shingle: int, percent: int, made, columns: str) -> DataFrame:
+def _slices(text: pa.Array, shingle: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first row, row after the last, element hashes, their edges by row, vertex of each row) for slices of ``text``."""
+    for lo, hi, data, offsets in slices(text, SMALL_SLICE):
+        h, doc = shingle_sets(Words(data, offsets, lower=True), shingle)
+        edge = np.searchsorted(doc, np.arange(hi - lo + 1))
+        total = np.concatenate((np.zeros(1, U), np.cumsum(mix(h + U(1)))))
+        yield lo, hi, h, edge, mix(total[edge[1:]] - total[edge[:-1]] + np.diff(edge).astype(U))
+
+
+def _sets(docs: DataFrame, shingle: int, made, columns: str) -> DataFrame:
     """``made(ids, element hashes, edges, vertex of each document)`` over slices of ``docs`` (doc_id, text)."""
     names = [c.split()[0] for c in columns.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = b.column("doc_id")
-            for lo, hi, data, offsets in slices(b.column("text")):
-                h, doc = shingle_sets(Words(data, offsets, lower=True), shingle)
-                edge = np.searchsorted(doc, np.arange(hi - lo + 1))
-                total = np.concatenate((np.zeros(1, U), np.cumsum(mix(h + U(1)))))
-                vertex = mix(total[edge[1:]] - total[edge[:-1]] + np.diff(edge).astype(U))
-                yield pa.RecordBatch.from_arrays(made(ids.slice(lo, hi - lo), h, edge, vertex), names)
+            for lo, hi, h, edge, vertex in _slices(b.column("text"), shingle):
+                yield pa.RecordBatch.from_arrays(made(b.column("doc_id").slice(lo, hi - lo), h, edge, vertex), names)
+
+    return docs.mapInArrow(tidied(run), columns)
+
+
+def _chosen(docs: DataFrame, shingle: int, which) -> DataFrame:
+    """The rows of ``docs`` that ``which(element hashes, edges)`` marks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo, hi, h, edge, _ in _slices(b.column("text"), shingle):
+                yield b.slice(lo, hi - lo).filter(pa.array(which(h, edge)))
 
-    return docs.mapInArrow(run, columns)
+    return docs.mapInArrow(tidied(run), docs.schema)
 
 
 def jaccard_components(docs: DataFrame, shingle: int = 3, percent: int = 90) -> DataFrame:
@@ -187,6 +269,16 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, percent: int = 90) ->
     def describe(ids, h, edge, vertex) -> list[pa.Array]:
         return [ids, pa.array(np.diff(edge).astype(np.int64)), pa.array(signed(vertex))]
 
+    def show(h, edge) -> tuple[np.ndarray, np.ndarray]:
+        n = np.diff(edge)
+        doc = np.repeat(np.arange(len(n)), n)
+        at = np.flatnonzero(np.arange(len(h)) - edge[doc] < shown(n, percent)[doc])  # a set's elements ascend
+        return h[at], doc[at]
+
+    def show_all(ids, h, edge, vertex) -> list[pa.Array]:
+        element, doc = show(h, edge)
+        return [pa.array(signed(element)), pa.array(signed(vertex[doc]))]
+
     def mark(h, edge, vertex) -> tuple[np.ndarray, np.ndarray]:
         made = [signatures(h[a:z], bands) if z > a else np.zeros(0, U) for a, z in zip(edge, edge[1:])]
         return np.concatenate(made), np.repeat(vertex, [len(m) for m in made])
@@ -194,9 +286,21 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, percent: int = 90) ->
     def all_marks(ids, h, edge, vertex) -> list[pa.Array]:
         return [pa.array(signed(x)) for x in mark(h, edge, vertex)]
 
-    described = cut(_sets(docs, shingle, percent, describe, "doc_id struct<doc_id:bigint,text_key:bigint>, n long, vertex long")
+    described = cut(_sets(docs, shingle, describe, "doc_id struct<doc_id:bigint,text_key:bigint>, n long, vertex long")
                     .select("doc_id.*", "n", "vertex"))
-    marks = _sets(docs, shingle, percent, all_marks, "mark long, vertex long")
+    met = cut(_sets(docs, shingle, show_all, "element long, vertex long").groupBy("element").agg(
+        F.min("vertex").alias("least"), F.max("vertex").alias("most")).filter("least < most").select("element"))
+    by_another = spark.sparkContext.broadcast(key_filter(met, "element", met.count()))
+    release(met)
+
+    def may_join(h, edge) -> np.ndarray:
+        element, doc = show(h, edge)
+        n = np.diff(edge)
+        found = np.bincount(doc[in_filter(*by_another.value, element)], minlength=len(n))
+        return (n > 0) & (found >= needed(n, percent))
+
+    docs = cut(_chosen(docs, shingle, may_join))
+    marks = _sets(docs, shingle, all_marks, "mark long, vertex long")
     shared = cut(marks.groupBy("mark").agg(F.min("vertex").alias("least"), F.max("vertex").alias("most"))
                  .filter("least < most").select("mark", "least"))
     of_several = spark.sparkContext.broadcast(key_filter(shared, "mark", shared.count()))
@@ -206,8 +310,32 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, percent: int = 90) ->
         at = in_filter(*of_several.value, m)
         return [pa.array(signed(m[at])), pa.array(signed(v[at]))]
 
-    met = _sets(docs, shingle, percent, shared_marks, "mark long, vertex long").distinct().join(shared, "mark")
-    groups = cut(components(met, "vertex", "least", "group"))
+    def sketches(ids, h, edge, vertex) -> list[pa.Array]:
+        n = np.diff(edge)
+        return [pa.array(signed(vertex)), pa.array(n), pa.array([sketch(h[a:z]) for a, z in zip(edge, edge[1:])], pa.binary())]
+
+    met = cut(_sets(docs, shingle, shared_marks, "mark long, vertex long").distinct().join(shared, "mark"))
+    # signatures with the same vertices say the same
+    marked = met.groupBy("mark").agg(F.count("*").alias("sets"), F.sum(F.xxhash64("vertex").cast("decimal(38,0)")).alias("all")) \
+        .filter("sets > 1").groupBy("sets", "all").agg(F.min("mark").alias("mark"))
+    marked = cut(marked.select("mark", "sets"))
+    few = met.join(marked.filter(F.col("sets") <= SKETCHED), "mark")
+    described_sets = _sets(docs, shingle, sketches, "vertex long, n long, sketch binary").groupBy("vertex").agg(
+        F.min("n").alias("n"), F.min("sketch").alias("sketch"))
+    deal = marked.filter(F.col("sets") <= SKETCHED).agg(F.sum("sets")).first()[0] or 0
+    dealt = few.join(described_sets, "vertex").select("mark", "vertex", "n", "sketch", F.pmod(F.xxhash64("mark"), F.lit(deal // SKETCH_ROWS + 1)).alias("deal"))
+
+    def allowed(rows: pd.DataFrame) -> pd.DataFrame:
+        found = set()
+        for at in rows.groupby("mark").indices.values():
+            found.update(sketched_links(rows["vertex"].to_numpy()[at], rows["n"].to_numpy()[at], rows["sketch"].to_numpy()[at].tolist(), percent))
+        give_back()
+        return pd.DataFrame(list(found), columns=["vertex", "least"], dtype="int64")
+
+    ties = dealt.groupBy("deal").applyInPandas(allowed, "vertex long, least long")
+    ties = cut(ties.union(met.join(marked.filter(F.col("sets") > SKETCHED), "mark").select("vertex", "least")))
+    groups = cut(components(ties, "vertex", "least", "group"))
+    release(met, marked, ties)
     # similar sets lie in one size class or in neighbours, so a group's classes meet in pairs (c, c + 1) only
     sized = groups.withColumnRenamed("node", "vertex").join(
         described.filter("n > 0").groupBy("vertex").agg(F.min("n").alias("n")), "vertex")
@@ -224,7 +352,7 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, percent: int = 90) ->
         raw = h.tobytes()
         return [pa.array(signed(vertex[at])), pa.array([raw[8 * edge[i]:8 * edge[i + 1]] for i in at], pa.binary())]
 
-    sets = _sets(docs, shingle, percent, elements, "vertex long, elements binary") \
+    sets = _sets(docs, shingle, elements, "vertex long, elements binary") \
         .groupBy("vertex").agg(F.min("elements").alias("elements")).join(chosen, "vertex")
     pairs = sets.withColumn("block", F.pmod(F.xxhash64("vertex"), F.col("blocks"))).withColumn(
         "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
@@ -233,6 +361,7 @@ def jaccard_components(docs: DataFrame, shingle: int = 3, percent: int = 90) ->
     def links(rows: pd.DataFrame) -> pd.DataFrame:
         left = None if rows["a"].iloc[0] == rows["b"].iloc[0] else (rows["block"] == rows["a"]).tolist()
         found = joining_links(rows["vertex"].tolist(), [np.frombuffer(e, U) for e in rows["elements"]], percent, left)
+        give_back()
         return pd.DataFrame(found, columns=["x", "y"], dtype="int64")
 
     linked = cut(pairs.groupBy("group", "pair", "a", "b").applyInPandas(links, "x long, y long"))

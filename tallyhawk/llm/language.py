@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhawk.llm.common import cut, prepare
+from tallyhawk.llm.common import cut, prepare, tidied
 
 FEATURES = 1 << 13
 SAMPLE = 400
@@ -136,7 +136,7 @@ def fit(train: DataFrame) -> Model:
         total[-1] = docs
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(FEATURES + 1)), pa.array(total)], ["feature", "n"])
 
-    counted = train.select("text").mapInArrow(frequencies, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+    counted = train.select("text").mapInArrow(tidied(frequencies), "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n"))
     df = np.zeros(FEATURES + 1)
     for r in counted.collect():  # FEATURES + 1 rows
         df[r["feature"]] = r["n"]
@@ -165,7 +165,7 @@ def fit(train: DataFrame) -> Model:
     # a language's sample is bounded: SAMPLE texts and their stretches
     held = train.sparkSession.sparkContext.broadcast(idf)
     rows = train.withColumn("h", F.xxhash64("text")).join(sample, ["lang", "h"], "left_semi") \
-        .mapInArrow(sampled, "lang string, h long, part int, at binary, c binary") \
+        .mapInArrow(tidied(sampled), "lang string, h long, part int, at binary, c binary") \
         .groupBy("lang", "h", "part").agg(F.min(F.struct("at", "c")).alias("v")).select("lang", "h", "part", "v.*")
 
     def learned(rows: pd.DataFrame) -> pd.DataFrame:
@@ -216,4 +216,4 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
             made = [pa.array([f[i] for f in found], k) for i, k in enumerate((pa.string(), pa.float64(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays([*b.columns, *made], [*b.schema.names, "lang_pred", "lang_score", "rejected"])
 
-    return docs.mapInArrow(run, f"{fields}, lang_pred string, lang_score double, rejected boolean")
+    return docs.mapInArrow(tidied(run), f"{fields}, lang_pred string, lang_score double, rejected boolean")

@@ -20,14 +20,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhawk.llm.common import cut, prepare
+from tallyhawk.llm.common import cut, kept, prepare
 from tallyhawk.llm.text import buffers, slices
 
 GROUP_PIECES = 60_000
 #: Cuts whose ids a worker remembers.
 KNOWN_CUTS = 600_000
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-_workers: dict[str, "_Encoder"] = {}
 
 # Classes of bytes: ASCII letters, marks that end a word, ASCII that is no white space, what may begin white space.
 _LETTER, _MARK, _SOLID = np.zeros(256, dtype=bool), np.zeros(256, dtype=bool), np.zeros(256, dtype=bool)
@@ -161,9 +160,9 @@ _CLOSE = np.arange(1 << 8, dtype="<u4")
 
 
 def _encoder(path: str) -> _Encoder:
-    if path not in _workers:
-        _workers[path] = _Encoder(path)
-    return _workers[path]
+    if path not in kept:
+        kept[path] = _Encoder(path)
+    return kept[path]
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int = 2048) -> DataFrame:

@@ -29,8 +29,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhawk.llm.common import cut, in_filter, key_filter, prepare
-from tallyhawk.llm.text import U, Words, grams, mix, signed, slices
+from tallyhawk.llm.common import cut, in_filter, key_filter, prepare, tidied
+from tallyhawk.llm.text import SMALL_SLICE, U, Words, grams, mix, signed, slices
 
 WINDOW = 13
 GRAM = 6
@@ -162,11 +162,11 @@ def _per_slice(docs: DataFrame, made, columns: str, window: int, gram: int) -> D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = [b.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "row")]
-            for lo, hi, data, offsets in slices(b.column("text")):
+            for lo, hi, data, offsets in slices(b.column("text"), SMALL_SLICE):
                 runs = Runs(Words(data, offsets, lower=False), window, gram)
                 yield pa.RecordBatch.from_arrays(made([i[lo:hi] for i in ids], runs), names)
 
-    return docs.mapInArrow(run, columns)
+    return docs.mapInArrow(tidied(run), columns)
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -298,7 +298,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         return run
 
     named = docs.withColumn(key_, F.xxhash64(number, row_))
-    whole = named.drop(row_).mapInArrow(parted(False), f"{ddl}n_words long, n_removed long, kept string")
-    losers = named.mapInArrow(parted(True), f"{ddl}{row_} long, {key_} long").drop(key_).join(
+    whole = named.drop(row_).mapInArrow(tidied(parted(False)), f"{ddl}n_words long, n_removed long, kept string")
+    losers = named.mapInArrow(tidied(parted(True)), f"{ddl}{row_} long, {key_} long").drop(key_).join(
         spans.drop(key_), (number == F.col(id_)) & (F.col(row_) == F.col(of_)), "left").drop(id_, of_, row_)
     return whole.union(losers.mapInArrow(lambda batches: map(finished, batches), f"{ddl}n_words long, n_removed long, kept string"))

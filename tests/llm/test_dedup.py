@@ -49,6 +49,12 @@ def test_jaccard_components(odd, rows, k, percent):
     assert got == brute.jaccard_components(rows, k, percent)
 
 
+def test_jaccard_ties_of_signatures_that_are_not_sketched(odd, rows, monkeypatch):
+    monkeypatch.setattr(jaccard, "SKETCHED", 1)
+    got = as_rows(jaccard.jaccard_components(odd, 5, 80), "doc_id", "n_shingles", "component_id")
+    assert got == brute.jaccard_components(rows, 5, 80)
+
+
 def test_jaccard_blocks_join_as_one(odd, rows, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK_ELEMENTS", 300)
     got = as_rows(jaccard.jaccard_components(odd), "doc_id", "n_shingles", "component_id")
@@ -77,6 +83,60 @@ def test_similar_sets_share_a_signature():
                 assert set(jaccard.signatures(a, bands)) & set(jaccard.signatures(b, bands))
 
 
+def test_similar_sets_show_each_other_enough():
+    rng = np.random.default_rng(3)
+    for percent in (10, 80, 90, 100):
+        for _ in range(600):
+            n = int(rng.integers(1, 60))
+            a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+            gone = rng.random(len(a)) < rng.random() * (100 - percent) / 50
+            b = np.unique(np.concatenate((a[~gone], rng.integers(0, 1 << 63, int(rng.integers(0, n // 5 + 2)), dtype=np.uint64))))
+            both = len(np.intersect1d(a, b))
+            if both and 100 * both >= percent * (len(a) + len(b) - both):
+                found = np.intersect1d(a[:jaccard.shown(len(a), percent)], b[:jaccard.shown(len(b), percent)])
+                assert len(found) >= max(jaccard.needed(len(a), percent), jaccard.needed(len(b), percent))
+
+
+def test_sketches_join_similar_sets_and_not_strangers():
+    rng = np.random.default_rng(5)
+    make = lambda n: rng.integers(0, 1 << 63, n, dtype=np.uint64)
+    for percent in (80, 90):
+        for n in (1, 5, 31, 32, 33, 400, 2050):
+            one = np.unique(make(n))
+            near = [np.unique(np.append(one, make(m))) for m in range(0, n * (100 - percent) // percent + 1, n // 8 + 1)]
+            near += [one[m:] for m in range(1, n * (100 - percent) // 100 + 1, n // 8 + 1)]
+            strangers = [np.unique(np.concatenate((one[:n // 3], make(n - n // 3)))) for _ in range(4)] if n >= 400 else []
+            sets = near + strangers
+            order = rng.permutation(len(sets))
+            ids, size = np.arange(len(sets))[order], np.array([len(sets[i]) for i in order])
+            links = jaccard.sketched_links(ids, size, [jaccard.sketch(sets[i]) for i in order], percent)
+            label = list(range(len(sets)))
+            for a, b in links:
+                label = [label[b] if x == label[a] else x for x in label]
+            assert len({label[i] for i in range(len(near))}) == 1
+            assert len({label[i] for i in range(len(near), len(sets))} | {label[0]}) == len(strangers) + 1
+
+
+@pytest.mark.parametrize("k, percent", [(3, 90), (5, 80)])
+def test_strangers_that_share_a_passage_make_no_signatures(spark, monkeypatch, k, percent):
+    rng = np.random.default_rng(4)
+    word = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 10 ** 9, n))
+    passage, near = word(40), word(400)
+    texts = [f"{word(300)} {passage} {word(100)}" for _ in range(30)] + [near, f"{near} end"]
+    marked, made = [], jaccard._sets
+
+    def sets(docs, *rest):
+        if rest[-1].startswith("mark "):
+            marked.append(docs.count())
+        return made(docs, *rest)
+
+    monkeypatch.setattr(jaccard, "_sets", sets)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = as_rows(jaccard.jaccard_components(docs, k, percent), "doc_id", "n_shingles", "component_id")
+    assert got == brute.jaccard_components(list(enumerate(texts)), k, percent)
+    assert marked and max(marked) == 2
+
+
 def test_substring_dedup(odd, rows):
     got = as_rows(substring.without_repeats(odd), "doc_id", "n_words", "n_removed", "kept")
     assert got == brute.without_repeats(rows)
