@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhawk.llm.common import cut, prepare, tidied
+from tallyhawk.llm.common import cut, give_back, prepare, tidied
 
 FEATURES = 1 << 13
 SAMPLE = 400
@@ -170,11 +170,13 @@ def fit(train: DataFrame) -> Model:
 
     def learned(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["h", "part"])
-        counts = [_dense(a, c) for a, c in zip(rows["at"], rows["c"])]
-        centres = cluster(np.stack([vector(c, held.value) for c, n in zip(counts, rows["part"]) if n == 0]).astype(np.float32), CENTROIDS)
+        texts = rows[rows["part"] == 0]
+        centres = cluster(np.stack([vector(_dense(a, c), held.value) for a, c in zip(texts["at"], texts["c"])]).astype(np.float32), CENTROIDS)
         seen: list[list[float]] = [[] for _ in range(LENGTHS)]
-        for c in counts:
-            seen[length_class(c)].append(float((centres @ vector(c, held.value)).max()))
+        for a, c in zip(rows["at"], rows["c"]):  # one at a time: together the stretches take some hundred MB
+            counts = _dense(a, c)
+            seen[length_class(counts)].append(float((centres @ vector(counts, held.value)).max()))
+        give_back()
         enough = min(ENOUGH, max(map(len, seen)))  # of a length; other lengths take the nearest one's
         least = {i: SLACK * float(np.quantile(x, QUANTILE)) for i, x in enumerate(seen) if len(x) >= enough}
         least = [least[min(least, key=lambda k: (abs(k - i), k))] for i in range(LENGTHS)]
