@@ -120,6 +120,44 @@ def test_lm_keeps_contexts_however_large_the_table(spark, monkeypatch):
             assert math.isclose(suffix_tree_lm.score(docs, tree, table).first().score, want, rel_tol=1e-9)
 
 
+def test_lm_scores_without_a_row_for_each_token(spark, monkeypatch):
+    texts = [" ".join(f"w{(i * j) % 23} v{j % 11}" for j in range(60)) for i in range(120)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    tree, table = suffix_tree_lm.fit(docs)
+    want = {r.doc_id: r.score for r in suffix_tree_lm.score(docs, tree, table).collect()}
+    for name in ("HEAD_STATES", "HEAD_CELLS", "HEAD", "ALPHABET"):  # nothing is settled without the tables
+        monkeypatch.setattr(suffix_tree_lm, name, 1)
+    tree, table = suffix_tree_lm.fit(docs)
+    written, cut = [], suffix_tree_lm.cut
+    monkeypatch.setattr(suffix_tree_lm, "cut", lambda df: (written.append(cut(df)), written[-1])[1])
+    got = suffix_tree_lm.score(docs, tree, table).collect()
+    assert {r.doc_id for r in got} == set(want) and all(math.isclose(r.score, want[r.doc_id], rel_tol=1e-9) for r in got)
+    assert sum(df.count() for df in written if "doc_id" in df.columns) <= len(texts)  # 14,520 tokens
+
+
+def test_lm_is_the_same_in_small_pieces(spark, odd, monkeypatch):
+    docs = odd.union(odd.filter("doc_id % 2 = 0"))
+    tree, table = suffix_tree_lm.fit(docs)
+    want = sorted((r.doc_id, r.n_tokens, r.n_known, round(r.score, 6)) for r in suffix_tree_lm.score(docs, tree, table).collect())
+    monkeypatch.setattr(suffix_tree_lm, "HELD", 30)
+    monkeypatch.setattr(suffix_tree_lm, "CHUNK", 20)
+    monkeypatch.setattr(suffix_tree_lm, "_parts", lambda spark, rows: 5)
+    tree, table = suffix_tree_lm.fit(docs)
+    assert sorted((r.doc_id, r.n_tokens, r.n_known, round(r.score, 6)) for r in suffix_tree_lm.score(docs, tree, table).collect()) == want
+
+
+def test_lm_order_of_keys():
+    rng = np.random.default_rng(5)
+    for n in (0, 1, 2, 1000):
+        for high in (4, 1 << 20, (1 << 64) - 1):
+            keys = rng.integers(0, high, n, dtype=np.uint64)
+            order, got = suffix_tree_lm.ordered(keys)
+            assert (got == np.sort(keys)).all() and (keys[order] == got).all() and sorted(order) == list(range(n))
+            assert (suffix_tree_lm.unpacked_keys(suffix_tree_lm.packed_keys(got)) == got).all()
+            found, at = suffix_tree_lm.distinct(keys)
+            assert (found == np.unique(keys)).all() and (found[at] == keys).all()
+
+
 def test_lm_beats_the_baseline_on_held_out_documents(spark):
     got = [r for r in queries.op6_suffix_tree_lm(spark, SF_ORACLE).collect() if r.held_out]
     assert sum(r.score for r in got) > 0.9 * sum(r.base_score for r in got)
