@@ -14,8 +14,9 @@ and the last cell leave. A token is scored in the longest retained suffix state.
 
 A context and a context with its next token are named by a 64-bit polynomial of their words' hashes, so both are
 rows of tables: counted, tested and kept by Spark, level by level, without a limit. The tree that tasks are sent holds
-the states and cells of the highest counts (``HEAD_STATES``, ``HEAD_CELLS`` at most) and two bitmaps of all others;
-positions that these do not settle meet the tables in a join, as do the words beyond the ``HEAD`` most frequent.
+the states and cells of the highest counts (``HEAD_STATES``, ``HEAD_CELLS`` at most) and two bitmaps of all;
+a chunk of texts asks the tables for the different names that these do not settle, and for its words beyond the ``HEAD``
+most frequent.
 """
 
 from __future__ import annotations
